@@ -8,7 +8,8 @@ A document's *features* come from its whole text. Fixed base rules reject texts
   reject are false rejections. The exact binomial tail P(X <= rejected | n, alpha) is the p-value of "this step rejects more than alpha of good documents".
 * Steps are tested in order, from lenient to strict, until one fails (fixed-sequence testing needs no correction inside a stratum); over strata the level delta is
   divided by their number (Bonferroni). So with probability 1 - delta no stratum's chosen step rejects more than alpha of its good documents.
-* Among a stratum's certified steps the most lenient that catches as many labelled bad documents as any of them is chosen: being stricter would risk good documents for nothing.
+* Among a stratum's certified steps the one with the largest excess of labelled bad over labelled good rejections is chosen, the most lenient of equals: being stricter
+  would risk good documents for little.
 
 A stratum whose holdout can't certify any step, or that has no labels, rejects by base rules only.
 
@@ -147,8 +148,9 @@ def certified_steps(holdout: DataFrame, alpha: float, delta: float) -> DataFrame
         return pd.Series([binomial_tail(int(a), int(b), alpha) for a, b in zip(k, n, strict=True)])
 
     tested = sums.withColumn("p", p_value("rejected", "n")).withColumn("failed", F.max((F.col("p") > F.lit(delta / strata)).cast("int")).over(rising))
-    best = tested.withColumn("most", F.max(F.when(F.col("failed") == 0, F.col("caught"))).over(whole))
-    chosen = F.min(F.when((F.col("failed") == 0) & (F.col("caught") == F.col("most")) & (F.col("most") > 0), F.col("step")))
+    tested = tested.withColumn("gain", F.when(F.col("failed") == 0, F.col("caught") - F.col("rejected")))
+    best = tested.withColumn("most", F.max("gain").over(whole))
+    chosen = F.min(F.when((F.col("gain") == F.col("most")) & (F.col("most") > 0), F.col("step")))
     return best.groupBy("stratum").agg(chosen.alias("cut"), F.max("n").alias("n_good"))
 
 

@@ -1,0 +1,46 @@
+"""What jobs need of the cluster: a shared folder for checkpoints, and this package on the executors."""
+
+from __future__ import annotations
+
+import os
+import tempfile
+import zipfile
+
+from pyspark.sql import DataFrame, SparkSession
+
+_shipped: set[str] = set()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir; a folder of our own only where that is unset."""
+    sc = spark.sparkContext
+    try:
+        named = spark.conf.get("spark.checkpoint.dir")
+    except Exception:  # no such setting in this session
+        named = None
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="rolodeck-"))
+    return named or sc.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df, cut from its lineage by a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
+def ship(spark: SparkSession) -> None:
+    """Puts this package on the Python path of the executors, once for each application; Spark's file server delivers it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    _shipped.add(sc.applicationId)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="rolodeck-ship-"), "rolodeck.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.join("rolodeck", os.path.relpath(full, root)))
+    sc.addPyFile(path)

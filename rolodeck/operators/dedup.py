@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..plans.cluster import checkpointed
 from ..schemas import LEAD
 
 
@@ -32,28 +33,55 @@ def richness(columns: tuple[str, ...] = LEAD) -> Column:
     return reduce(lambda a, b: a + b, [X.nonblank(X.blank_if_null(F.col(c))).cast("int") for c in columns])
 
 
-def merged_by_email(leads: DataFrame, order: str = "ord", columns: tuple[str, ...] = LEAD) -> DataFrame:
+def merged_by_email(leads: DataFrame, order: str = "ord", columns: tuple[str, ...] = LEAD, most: int = 1000) -> DataFrame:
     """One row for each merge key: the rows folded in order, the richer one being the base.
 
     The fold keeps a base record and fills its holes from the next one; the next one becomes the base only if it has strictly more fields than the base has by
-    then; ``source`` is the sorted union. A fold is sequential by nature, so a key's rows meet in one task. Rows that repeat a key and all columns change nothing
-    but the order, so they are dropped before (an aggregation that combines), which leaves as many rows as a key has different records.
+    then; ``source`` is the sorted union. Keys with up to ``most`` different records are folded as arrays in one aggregation. A key with more (a shared mailbox may hold a third of all rows)
+    is never gathered: a record changes the base only if it is richer or fills a hole, and each change adds a field, so a key changes at most once for each column. Each round finds every
+    large key's next changing record by a minimum, which is combined before it is shuffled; as many rounds as columns are enough.
     """
+    rest = tuple(c for c in columns if c != "source")
+    record = [F.col(c) for c in columns]
     keyed = leads.withColumn("_key", merge_key(order))
-    once = keyed.groupBy("_key", *columns).agg(F.min(order).alias(order))
-    record = F.struct(*[F.col(c) for c in columns])
-    rows = once.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), record.alias("r")))).alias("rows"))
-    filled = lambda r: reduce(lambda a, b: a + b, [X.nonblank(r[c]).cast("int") for c in columns])
+    once = checkpointed(keyed.groupBy("_key", *columns).agg(F.min(order).alias("_o"), F.count(F.lit(1)).alias("_n")))
+    sizes = checkpointed(once.groupBy(F.col("_key").alias("k_")).agg(F.count(F.lit(1)).alias("records"), F.sum("_n").alias("n"), F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.filter(F.split("source", ","), lambda x: x != ""))))).alias("sources")))
+    filled = lambda get: reduce(lambda a, b: a + b, [X.nonblank(get(c)).cast("int") for c in columns])
 
     def step(base: Column, nxt: Column) -> Column:
-        richer = filled(nxt) > filled(base)
-        new = lambda c: F.when(richer, X.first_nonblank(nxt[c], base[c])).otherwise(X.first_nonblank(base[c], nxt[c]))
-        sources = F.array_join(F.array_sort(F.array_distinct(F.filter(F.concat(F.split(base["source"], ","), F.split(nxt["source"], ",")), lambda s: s != ""))), ",")
-        return F.struct(*[(sources if c == "source" else new(c)).alias(c) for c in columns])
+        richer = filled(lambda c: nxt[c]) > filled(lambda c: base[c])
+        return F.struct(*[F.when(richer, X.first_nonblank(nxt[c], base[c])).otherwise(X.first_nonblank(base[c], nxt[c])).alias(c) for c in columns])
 
+    big = sizes.filter(F.col("records") > most)
+    small = once.join(big.select("k_"), F.col("_key") == F.col("k_"), "left_anti") if big.limit(1).count() else once
+    lists = small.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("_o", F.struct(*record).alias("r")))).alias("rows"))
     first = F.element_at("rows", 1)
-    folded = F.aggregate(F.slice("rows", F.lit(2), F.greatest(F.size("rows") - 1, F.lit(0))), first["r"], lambda a, x: step(a, x["r"]))
-    return rows.select(first["o"].alias(order), folded.alias("m"), F.size("rows").alias("_n")).select(order, "m.*")
+    state = lists.select("_key", first["_o"].alias("_first"), F.aggregate(F.slice("rows", F.lit(2), F.greatest(F.size("rows") - 1, F.lit(0))), first["r"], lambda a, x: step(a, x["r"])).alias("base"))
+    if small is not once:
+        state = state.unionByName(_folded_in_rounds(once.join(big.select("k_"), F.col("_key") == F.col("k_"), "left_semi"), columns, filled, step))
+    # Every row's source counts, and a merge leaves nothing blank but empty texts; a row that is alone stays as it is.
+    done = state.join(sizes, F.col("_key") == F.col("k_"))
+    value = lambda c: F.when((F.col("n") == 1) | X.nonblank(F.col(f"base.{c}")), F.col(f"base.{c}")).otherwise(F.lit(""))
+    source = F.when(F.col("n") == 1, F.col("base.source")).otherwise(F.array_join("sources", ","))
+    return done.select(F.col("_first").alias(order), *[(value(c) if c in rest else source).alias(c) for c in columns])
+
+
+def _folded_in_rounds(rows: DataFrame, columns: tuple[str, ...], filled, step) -> DataFrame:
+    """(_key, _first, base) of keys with many records; rows: _key, _o and the columns."""
+    item = F.struct(F.col("_o").alias("o"), F.struct(*[F.col(c) for c in columns]).alias("r"))
+    state = checkpointed(rows.groupBy("_key").agg(F.min(item).alias("x")).select("_key", F.col("x.o").alias("_first"), F.col("x.o").alias("at"), F.col("x.r").alias("base")))
+    while True:
+        held = state.select(F.col("_key").alias("k_"), "at", "base")
+        base = lambda c: F.col("base")[c]
+        fills = reduce(lambda a, b: a | b, [~X.nonblank(base(c)) & X.nonblank(F.col(c)) for c in columns])
+        richer = filled(F.col) > filled(base)
+        changing = rows.join(held, F.col("_key") == F.col("k_")).filter((F.col("_o") > F.col("at")) & (fills | richer))
+        nxt = checkpointed(changing.groupBy(F.col("_key").alias("n_")).agg(F.min(item).alias("x")))
+        if not nxt.limit(1).count():
+            return state.select("_key", "_first", "base")
+        joined = state.join(nxt, F.col("_key") == F.col("n_"), "left")
+        new = F.when(F.col("x").isNull(), F.col("base")).otherwise(step(F.col("base"), F.col("x")["r"]))
+        state = checkpointed(joined.select("_key", "_first", F.coalesce("x.o", "at").alias("at"), new.alias("base")))
 
 
 def merged_simple(leads: DataFrame, order: str = "ord", columns: tuple[str, ...] = LEAD) -> DataFrame:
@@ -79,26 +107,24 @@ def cross_campaign(leads: DataFrame, rank: str, order: str = "ord", email: str =
     on all of their keys stay; and so on until none is undecided. Each round is aggregations by key, which combine before they shuffle (a hot key is one row per task), and a
     join back; it ends in a reliable checkpoint.
     """
-    from ..plans.cluster import checkpointed
-
     position = F.struct(F.col(rank).alias("c"), F.col(order).alias("o"))
     mail, profile, n, g = X.key(F.col(email)), X.profile_key(F.col(url)), X.key(F.col(name)), X.key(F.col(org))
     keys = F.array_compact(F.array(F.when(mail != "", F.struct(F.lit(1).alias("kind"), mail.alias("key"))), F.when(profile != "", F.struct(F.lit(2).alias("kind"), profile.alias("key"))), F.when((n != "") & (g != ""), F.struct(F.lit(3).alias("kind"), F.concat(n, F.lit("|"), g).alias("key")))))
-    rows = leads.select(position.alias("p"), keys.alias("keys"), F.when((F.col(rank) == 1) | (F.size(keys) == 0), F.lit(1)).otherwise(F.lit(0)).alias("state"), F.lit(None).cast("int").alias("reason"))
+    rows = leads.select(position.alias("p"), keys.alias("keys"), F.when((F.col(rank) == 1) | (F.size(keys) == 0), F.lit(1)).otherwise(F.lit(0)).alias("state"))
     rows = checkpointed(rows)  # state: 0 undecided, 1 kept, 2 dropped
     while rows.filter("state = 0").limit(1).count():
         k = rows.filter("state < 2").select("p", "state", F.explode("keys").alias("k"))
         firsts = k.groupBy("k").agg(F.min(F.when(F.col("state") == 1, F.col("p"))).alias("kept"), F.min(F.when(F.col("state") == 0, F.col("p"))).alias("open"))
         open_ = k.filter("state = 0").join(firsts.withColumnRenamed("k", "k_"), F.col("k") == F.col("k_"))
-        verdict = open_.groupBy(F.col("p").alias("p_")).agg(
-            F.min(F.when(F.col("kept") < F.col("p"), F.col("k.kind"))).alias("hit"),
-            F.min((F.col("open") == F.col("p")).cast("int")).alias("first"),
-        )
+        verdict = open_.groupBy(F.col("p").alias("p_")).agg(F.max((F.col("kept") < F.col("p")).cast("int")).alias("hit"), F.min((F.col("open") == F.col("p")).cast("int")).alias("first"))
         joined = rows.join(verdict, F.col("p") == F.col("p_"), "left")
-        state = F.when(F.col("state") != 0, F.col("state")).when(F.col("hit").isNotNull(), 2).when(F.col("first") == 1, 1).otherwise(0)
-        rows = checkpointed(joined.select("p", "keys", state.alias("state"), F.coalesce("reason", "hit").alias("reason")))
+        state = F.when(F.col("state") != 0, F.col("state")).when(F.col("hit") == 1, 2).when(F.col("first") == 1, 1).otherwise(0)
+        rows = checkpointed(joined.select("p", "keys", state.alias("state")))
+    k = rows.select("p", "state", F.explode("keys").alias("k"))
+    kept = k.filter("state = 1").groupBy(F.col("k").alias("k_")).agg(F.min("p").alias("kept"))
+    hits = k.filter("state = 2").join(kept, (F.col("k") == F.col("k_")) & (F.col("kept") < F.col("p"))).groupBy(F.col("p").alias("p_")).agg(F.min("k.kind").alias("reason"))
     name_of = F.when(F.col("reason") == 1, "email").when(F.col("reason") == 2, "url").when(F.col("reason") == 3, "name_org")
-    return rows.select(F.col("p.o").alias(order), F.col("p.c").alias(rank), name_of.alias("reason"))
+    return rows.join(hits, F.col("p") == F.col("p_"), "left").select(F.col("p.o").alias(order), F.col("p.c").alias(rank), name_of.alias("reason"))
 
 
 def cross_counts(decided: DataFrame, rank: str) -> DataFrame:

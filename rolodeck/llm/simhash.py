@@ -303,7 +303,7 @@ def simhash_groups(
     return out.select(F.col("id").alias(id), F.col("print").alias("fingerprint"), "component", *["part"] * group, *[f"carry{i}" for i in range(len(carry or []))])
 
 
-def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, max_bits: int = 4, blocks: int = 6, most: int = 20_000) -> DataFrame:
+def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 4, max_bits: int = 4, blocks: int = 6, most: int = 20_000) -> DataFrame:
     """One row of docs, with all its columns, for each group: the one with the smallest id, nulls last, ties by a hash of the text.
 
     Of repeated rows one stays. The documents are shuffled once, by id and text hash, so copies of one text do not meet in one task.

@@ -200,7 +200,10 @@ class _Expression:
         tree = self.atom()
         while op := self.take(".", "["):
             if op == ".":
-                tree = Look(tree, Const(self.need("name")))
+                name = self.need("name")
+                if name.startswith("_"):
+                    raise TemplateError(f"names may not start with an underscore: {name}")
+                tree = Look(tree, Const(name))
             else:
                 tree = Look(tree, self.either())
                 if not self.take("]"):
@@ -310,7 +313,12 @@ def fold(tree):
         return out
     if isinstance(tree, Apply):
         args = [fold(a) for a in tree.args]
-        return Const(tree.what(*(a.value for a in args))) if all(isinstance(a, Const) for a in args) else Apply(tree.what, args)
+        if not all(isinstance(a, Const) for a in args):
+            return Apply(tree.what, args)
+        try:
+            return Const(tree.what(*(a.value for a in args)))
+        except TypeError as e:
+            raise TemplateError(f"a constant can't be worked out: {e}") from e
     if isinstance(tree, Logic):
         left, right = fold(tree.left), fold(tree.right)
         if isinstance(left, Const):

@@ -54,7 +54,7 @@ def codewords(k: int) -> np.ndarray:
     if k < 2:
         return np.ones((k, 1))
     if k <= 6:
-        splits = np.arange(1 << (k - 1))[1:]
+        splits = np.arange((1 << (k - 1)) - 1)  # all bits set would be no split
         rows = [np.ones(len(splits), int), *[np.where(splits >> i & 1, 1, -1) for i in range(k - 1)]]
         return np.array(rows)
     bits = max(15, 4 * int(np.ceil(np.log2(k))))

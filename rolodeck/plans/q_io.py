@@ -11,6 +11,8 @@ from ..operators import enrich as E, filters as L, normalize as N, pages as G
 from ..sources import readers as R, sinks as S
 from ..streaming import incremental as I
 from . import cluster
+from .q_joins import _COLS, _MERGE
+from .q_normalize import _LEAD_B
 from .registry import query
 
 
@@ -203,4 +205,8 @@ def flagship(t):
     return profiles.top_counts(merged.filter(L.has_email(F.col("email"))), {"country": (F.col("country"), None)})
 
 
-query("flagship")(flagship)
+query(
+    "flagship",
+    _MERGE.replace("FROM fx_leads", f"FROM ({_LEAD_B} WHERE NOT contains(name, 'LOG:'))").replace(f"SELECT ord, {_COLS} FROM m QUALIFY", f"SELECT 'country' AS field, value, n, rank FROM (SELECT *, row_number() OVER (ORDER BY n DESC, first) AS rank FROM (SELECT CASE WHEN country = '' THEN 'EMPTY' ELSE country END AS value, count(*) AS n, min(ord) AS first FROM (SELECT ord, {_COLS} FROM m QUALIFY")
+    + ") WHERE email <> '' GROUP BY 1))",
+)(flagship)

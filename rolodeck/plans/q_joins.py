@@ -83,5 +83,15 @@ query("dd_merge_simple", f"SELECT ord FROM fx_leads WHERE email <> '' QUALIFY ro
 query("win_first_seen", "SELECT min(ord) AS ord FROM fx_leads GROUP BY lower(company_name)")(lambda t: D.first_seen(t("fx_leads"), X.key(F.col("company_name")), "ord").select("ord"))
 query("dd_place", "SELECT min(ord) AS ord FROM fx_places GROUP BY CASE WHEN placeId <> '' THEN placeId ELSE md5(trim(lower(title || '|' || address))) END")(lambda t: D.deduped_places(t("fx_places")).select("ord"))
 _campaigns = lambda t: t("fx_leads").withColumn("rank", F.col("campaign_no") + 1)
-query("dd_cross_campaign")(lambda t: D.cross_campaign(_campaigns(t), "rank").select("ord", "rank", X.blank_if_null(F.col("reason")).alias("reason")))
-query("dd_cross_counts")(lambda t: D.cross_counts(D.cross_campaign(_campaigns(t), "rank"), "rank").withColumn("rank", F.coalesce("rank", F.lit(0))))
+# Row by row: a row stays in the baseline, or if none of its keys was seen on a row that stayed.
+_CROSS = """WITH RECURSIVE k AS (SELECT row_number() OVER (ORDER BY campaign_no, ord) AS i, ord, campaign_no + 1 AS rank, list_filter([
+    CASE WHEN email <> '' THEN 'e:' || lower(email) END, CASE WHEN linkedin_url <> '' THEN 'u:' || string_split(regexp_replace(regexp_replace(regexp_replace(lower(linkedin_url), '^https?://', ''), '^www[.]', ''), '/+$', ''), '?')[1] END,
+    CASE WHEN name <> '' AND company_name <> '' THEN 'n:' || lower(name) || '|' || lower(company_name) END], lambda x: x IS NOT NULL) AS keys FROM fx_leads),
+  s AS (SELECT 0::BIGINT AS i, 0::BIGINT AS ord, 0 AS rank, NULL::VARCHAR AS hit, []::VARCHAR[] AS seen UNION ALL
+  SELECT k.i, k.ord, k.rank, CASE WHEN k.rank > 1 THEN list_filter(k.keys, lambda x: list_contains(s.seen, x))[1] END, CASE WHEN k.rank > 1 AND list_has_any(s.seen, k.keys) THEN s.seen ELSE list_concat(s.seen, k.keys) END FROM s JOIN k ON k.i = s.i + 1)
+  SELECT ord, rank, CASE hit[1] WHEN 'e' THEN 'email' WHEN 'u' THEN 'url' WHEN 'n' THEN 'name_org' ELSE '' END AS reason FROM s WHERE i > 0"""
+query("dd_cross_campaign", _CROSS)(lambda t: D.cross_campaign(_campaigns(t), "rank").select("ord", "rank", X.blank_if_null(F.col("reason")).alias("reason")))
+query(
+    "dd_cross_counts",
+    _CROSS.replace("SELECT ord, rank, CASE hit[1]", "SELECT coalesce(rank, 0) AS rank, count(*) AS rows, count(*) FILTER (reason = 'email') AS by_email, count(*) FILTER (reason = 'url') AS by_url, count(*) FILTER (reason = 'name_org') AS by_name_org, count(*) FILTER (reason = '') AS kept, round_even(100.0 * count(*) FILTER (reason <> '') / count(*), 1) AS rate FROM (SELECT ord, rank, CASE hit[1]") + ") GROUP BY ROLLUP (rank)",
+)(lambda t: D.cross_counts(D.cross_campaign(_campaigns(t), "rank"), "rank").withColumn("rank", F.coalesce("rank", F.lit(0))))

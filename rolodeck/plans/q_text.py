@@ -26,8 +26,8 @@ query(
 )(over("fx_labels", "title", lambda: text.industry_title(F.col("industry"))))
 query(
     "url_domain",
-    r"""SELECT ord, replace(CASE WHEN regexp_matches(site, '^\s*[a-zA-Z]+://') THEN regexp_extract(site, '://([^/?#]*)', 1) ELSE site END, 'www.', '') AS domain FROM fx_labels WHERE site NOT LIKE ' %'""",
-)(lambda t: t("fx_labels").filter("site not like ' %'").select("ord", text.domain(F.col("site")).alias("domain")))
+    r"""SELECT ord, replace(CASE WHEN regexp_matches(site, '^[a-zA-Z]+://') THEN regexp_extract(site, '://([^/?#]*)', 1) ELSE site END, 'www.', '') AS domain FROM fx_labels""",
+)(lambda t: t("fx_labels").select("ord", text.domain(F.col("site")).alias("domain")))
 query("url_domain_simple", "SELECT ord, string_split(replace(replace(replace(site, 'https://', ''), 'http://', ''), 'www.', ''), '/')[1] AS domain FROM fx_labels")(over("fx_labels", "domain", lambda: text.domain_simple(F.col("site"))))
 query("url_clean", "SELECT ord, CASE WHEN trim(site) = '' OR trim(site) LIKE 'http://%' OR trim(site) LIKE 'https://%' THEN trim(site) ELSE 'https://' || trim(site) END AS url FROM fx_labels")(over("fx_labels", "url", lambda: text.with_scheme(F.col("site"))))
 query(
@@ -77,14 +77,17 @@ query(
     "name_restore",
     "SELECT ord, CASE WHEN ord % 6 = 1 THEN 'Artūrs' ELSE 'Arturs' END AS first_name, CASE WHEN ord % 6 = 1 THEN 'Bērziņš' ELSE 'Berzins' END AS last_name, CASE WHEN ord % 6 = 1 THEN 'Artūrs Bērziņš' ELSE 'Arturs Berzins' END AS name, ord % 6 = 1 AS changed FROM fx_labels",
 )(_restored)
-query("name_case", "SELECT ord, array_to_string(list_transform(string_split(lower(name), ' '), lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), ' ') AS name FROM fx_leads WHERE name NOT LIKE 'LOG%'")(lambda t: t("fx_leads").filter("name not like 'LOG%'").select("ord", names.name_case(F.upper("name")).alias("name")))
+query("name_case", "SELECT ord, array_to_string(list_transform(string_split(lower(name), ' '), lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), ' ') AS name FROM fx_leads")(lambda t: t("fx_leads").select("ord", names.name_case(F.upper("name")).alias("name")))
 query("name_fold_eq", "SELECT ord, strip_accents(lower(label)) = lower(company) AND label <> '' AND company <> '' AS same FROM fx_labels")(lambda t: t("fx_labels").select("ord", names.same_folded(F.col("label"), F.col("company")).alias("same")))
 query(
     "name_legal_strip",
     r"""SELECT ord, regexp_replace(CASE WHEN ends_with(lower(company), ', inc.') THEN trim(company[:-7]) WHEN ends_with(lower(company), ' llc') THEN trim(company[:-5]) WHEN ends_with(lower(company), ' gmbh') THEN trim(company[:-6])
     WHEN ends_with(lower(company), ' ltd') THEN trim(company[:-5]) ELSE company END, '[., ]+$', '') AS company FROM fx_labels""",
 )(over("fx_labels", "company", lambda: text.without_legal_form(F.col("company"), LEGAL_FORMS)))
-query("name_casual")(lambda t: t("fx_labels").select("ord", names.casual_name(F.col("company"), (r"\bsalons?\b",), ("SIA", "LLC", "GmbH", "Inc"), "You").alias("casual"), names.casual_name(F.col("label"), (r"\bsalons?\b",), ("SIA",), "You").alias("brand")))
+query(
+    "name_casual",
+    "SELECT ord, CASE ord % 6 WHEN 0 THEN 'Acme ' || ord WHEN 1 THEN 'Beta ' || ord WHEN 2 THEN 'Gamma' WHEN 3 THEN 'Delta ' || ord WHEN 4 THEN '' ELSE 'Plain ' || ord END AS casual, CASE ord % 4 WHEN 0 THEN label WHEN 1 THEN 'Frizētava' WHEN 2 THEN '!!!' ELSE label END AS brand FROM fx_labels",
+)(lambda t: t("fx_labels").select("ord", names.casual_name(F.col("company"), (r"\bsalons?\b",), ("SIA", "LLC", "GmbH", "Inc"), "You").alias("casual"), names.casual_name(F.col("label"), (r"\bsalons?\b",), ("SIA",), "You").alias("brand")))
 query("id_hash", "SELECT ord, md5(trim(lower(title || '|' || address))) AS id FROM fx_places")(over("fx_places", "id", lambda: text.hash_id(F.col("title"), F.col("address"))))
 query("id_hash_safe", "SELECT ord, CASE WHEN title = '' AND address = '' THEN md5('row:' || ord) ELSE md5(trim(lower(title || '|' || address))) END AS id FROM fx_places")(over("fx_places", "id", lambda: text.hash_id_safe(F.col("ord"), F.col("title"), F.col("address"))))
 query("id_client", r"SELECT ord, regexp_replace(trim(regexp_replace(lower(label), '[^\p{L}\p{N}\s]', '', 'g')), '\s+', '_', 'g') AS id FROM fx_labels")(over("fx_labels", "id", lambda: text.client_id(F.col("label"))))

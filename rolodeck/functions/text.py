@@ -23,8 +23,8 @@ def strip(c: Column) -> Column:
 
 
 def nonblank(c: Column) -> Column:
-    """Present even after stripping."""
-    return present(strip(c))
+    """Present even after stripping: some character is no white space."""
+    return c.isNotNull() & c.rlike(r"(?U)\S")
 
 
 def first_present(*cs: Column) -> Column:

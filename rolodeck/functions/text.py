@@ -128,8 +128,9 @@ def email_domain(email: Column) -> Column:
 
 
 def phone_prefix4(*phones: Column) -> Column:
-    """The first four characters of the first phone that starts with a plus; empty if none does."""
-    return F.coalesce(*[F.when(p.startswith("+"), F.substring(p, 1, 4)) for p in phones], F.lit(""))
+    """The first four characters of the first phone there is, if it starts with a plus; else empty."""
+    p = strip(first_present(*phones))
+    return F.when(p.startswith("+"), F.substring(p, 1, 4)).otherwise(F.lit(""))
 
 
 def phone_code(phone: Column, known: list[str]) -> Column:

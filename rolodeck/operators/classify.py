@@ -6,10 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from .filters import lead_country, lead_domain, own, PHONES
+from .filters import lead_domain, own
 
 #: Labels and the patterns that give them, in order.
-SENIORITY = [("founder", "founder|owner"), ("c_suite", r"\bc[etofm]o\b|chief"), ("vp", r"\bvp\b|vice president"), ("head", "head of"), ("director", "director"), ("manager", "manager"), ("senior", "senior|lead"), ("entry", "junior|intern|trainee")]
+SENIORITY = [
+    ("owner", r"\bowner\b"),
+    ("founder", r"\bfounder\b"),
+    ("c_suite", r"\bc[etfomi]o\b|\bchief\b|\bc\.[et]\.o\b"),
+    ("vp", r"\bvp\b|\bvice[ -]president\b"),
+    ("director", r"\bdirector\b"),
+    ("head", r"\bhead of\b|\bhead\s"),
+    ("manager", r"\bmanager\b|\bmanaging\b"),
+    ("partner", r"\bpartner\b"),
+    ("senior", r"\bsenior\b|\bsr\s|\blead\b"),
+    ("entry", r"\bjunior\b|\bintern\b|\btrainee\b|\bassistant\b(?!.*director|.*manager)"),
+]
 TITLE_CLASSES = [("Founder", "founder|owner"), ("Chief", r"\bceo\b|chief"), ("Sales", "sales"), ("Marketing", "marketing"), ("Finance", "finance"), ("Engineering", "engineer")]
 
 
@@ -27,30 +38,29 @@ def title_class(title: Column, classes: list[tuple[str, str]] = TITLE_CLASSES) -
     return F.when(low == "", F.lit("No title")).otherwise(out)
 
 
-def country_class(df: DataFrame, name: str, tld: str, code: str, foreign: list[str], neutral: list[str], compound: list[str]) -> DataFrame:
+def country_class(df: DataFrame, code: str, name: str, tld: str, phone: str, foreign: list[str], compound: list[str]) -> DataFrame:
     """df with ``verdict`` (domestic, foreign, uncertain) and ``why``.
 
-    The company's country decides; else signals of domain, e-mail domain (if its ending differs) and phone are weighed: all domestic or all foreign decide, a
-    mix and none are uncertain.
+    The company's country decides, as code or name; else signals of domain, e-mail domain (if its ending differs) and phone are weighed: all domestic or all foreign
+    decide, a mix and none are uncertain. Endings that are neither the country's own nor on its foreign list give no signal.
     """
-    endings = X.tld(lead_domain(df.columns), compound), X.tld(X.email_domain(F.col("email")), compound)
-    sign = lambda e: F.when(e == tld, 1).when(e.isin(*foreign), -1).otherwise(0)
-    domain, mail = sign(endings[0]), F.when(endings[1] == endings[0], 0).otherwise(sign(endings[1]))
-    phone = X.phone_prefix4(*map(X.blank_if_null, own(df.columns, PHONES)))
-    call = F.when(phone.startswith(code), 1).when(phone != "", -1).otherwise(0)
-    signals = {"domain": domain, "email": mail, "phone": call}
-    home = [F.when(s > 0, F.lit(k)) for k, s in signals.items()]
-    away = [F.when(s < 0, F.lit(k)) for k, s in signals.items()]
-    known = X.key(F.col("company_country"))
-    plus, minus = F.array_compact(F.array(*home)), F.array_compact(F.array(*away))
-    verdict = (
-        F.when(known != "", F.when(known == name.lower(), "domestic").otherwise("foreign"))
-        .when((F.size(plus) > 0) & (F.size(minus) == 0), "domestic")
-        .when((F.size(minus) > 0) & (F.size(plus) == 0), "foreign")
-        .otherwise("uncertain")
+    ending = X.tld(lead_domain(df.columns), compound)
+    mail = X.tld(X.email_domain(F.col("email")), compound)
+    prefix = X.phone_prefix4(*map(X.blank_if_null, own(df.columns, ("organization_phone", "company_phone", "phone"))))
+    signals = {"domain": (ending, ending == tld, ending.isin(*foreign)), "email": (mail, (mail == tld) & (mail != ending), mail.isin(*foreign) & (mail != ending)), "phone": (prefix, prefix.startswith(phone), (prefix != "") & ~prefix.startswith(phone))}
+    plus = F.array_compact(F.array(*[F.when(home, F.concat(F.lit(f"{k}="), v)) for k, (v, home, _) in signals.items()]))
+    minus = F.array_compact(F.array(*[F.when(away, F.concat(F.lit(f"{k}="), v)) for k, (v, _, away) in signals.items()]))
+    known = F.upper(X.strip(X.blank_if_null(F.col("company_country"))))
+    told = known.isin(code.upper(), name.upper())
+    p, m = F.array_join(plus, ","), F.array_join(minus, ",")
+    verdict = F.when(known != "", F.when(told, "domestic").otherwise("foreign")).when((p != "") & (m == ""), "domestic").when((m != "") & (p == ""), "foreign").otherwise("uncertain")
+    why = (
+        F.when(known != "", F.when(told, F.lit("company_country")).otherwise(F.concat(F.lit("company_country="), known)))
+        .when((p != "") & (m == ""), p)
+        .when((m != "") & (p == ""), m)
+        .when(p != "", F.concat(F.lit("conflict:domestic="), p, F.lit("|foreign="), m))
+        .otherwise("no_signals")
     )
-    why = F.when(known != "", F.concat(F.lit("country: "), known)).when((F.size(plus) == 0) & (F.size(minus) == 0), F.lit("no signal")).otherwise(F.concat(F.lit("+"), F.array_join(plus, ","), F.lit(" -"), F.array_join(minus, ",")))
-    del neutral  # neutral endings give no signal, as unknown ones
     return df.withColumns({"verdict": verdict, "why": why})
 
 
@@ -96,14 +106,14 @@ WEIGHTS = [("performance_score", 0.35), ("is_mobile_friendly", 0.20), ("has_ssl"
 
 
 def web_score() -> Column:
-    """The weighted mean of what is known, cut to a whole number; null if nothing is. Mobile counts 100 or 20, SSL 100 or 0."""
-    value = {"is_mobile_friendly": F.when(F.col("is_mobile_friendly"), 100).when(~F.col("is_mobile_friendly"), 20), "has_ssl": F.when(F.col("has_ssl"), 100).when(~F.col("has_ssl"), 0)}
+    """The weighted mean of what is known, cut to a whole number. Mobile counts 100 or 20, SSL 100 or 0, and 0 if it isn't known."""
+    value = {"is_mobile_friendly": F.when(F.col("is_mobile_friendly"), 100).when(~F.col("is_mobile_friendly"), 20), "has_ssl": F.when(F.col("has_ssl"), 100).otherwise(0)}
     total, weight = F.lit(0.0), F.lit(0.0)
     for c, w in WEIGHTS:
         v = value.get(c, F.col(c)).cast("double")
         total = total + F.coalesce(v * w, F.lit(0.0))
         weight = weight + F.when(v.isNotNull(), F.lit(w)).otherwise(F.lit(0.0))
-    return F.when(weight > 0, (total / F.nullif(weight, F.lit(0.0))).cast("int"))
+    return (total / weight).cast("int")
 
 
 def web_insights(score: Column, most: int = 3) -> Column:
@@ -111,9 +121,9 @@ def web_insights(score: Column, most: int = 3) -> Column:
     slow = F.when(F.col("lcp_seconds") > 4, F.format_string("Main content takes %.1f seconds", "lcp_seconds")).when(F.col("lcp_seconds") > 2.5, F.lit("Main content could appear sooner"))
     every = [
         slow,
-        F.when(~F.col("has_ssl"), F.lit("No secure connection")),
+        F.when(~F.coalesce("has_ssl", F.lit(False)), F.lit("No secure connection")),
         F.when(~F.col("is_mobile_friendly"), F.lit("Hard to use on phones")),
-        F.when((F.col("performance_score") < 40) & slow.isNull(), F.lit("Slow pages")),
+        F.when((F.col("performance_score") < 40) & ~F.coalesce(F.col("lcp_seconds") > 4, F.lit(False)), F.lit("Slow pages")),
         F.when(F.col("seo_score") < 60, F.lit("Hard to find by search")),
         F.when(F.col("cms").isNotNull() & (score < 50), F.concat(F.lit("Dated "), F.col("cms"), F.lit(" site"))),
     ]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from .normalize import is_junk
 
-PHONES = ("company_phone", "organization_phone", "personal_phone", "phone")
+PHONES = ("phone", "organization_phone", "personal_phone", "company_phone")
 #: Titles that are not decision makers, and the exempt ones that the pattern would hit.
 TITLE_EXCLUDE = [("intern|trainee|student|assistant|junior", None), ("designer?|design", "design director|head of design")]
 

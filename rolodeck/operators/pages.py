@@ -18,38 +18,76 @@ from ..functions import text as X
 
 
 @dataclass(frozen=True)
-class TextRules:
-    """What of a page is read: tags left out, kinds of blocks (name, words in tag, id or class, characters at most, characters at least), the fallback and the cap."""
+class Block:
+    """Elements whose text is read: by selectors (``tag``, ``class*=x``, ``class~=x``, ``id*=x``, ``id=x``, ``role=x``), in this order, so many of each.
+
+    Texts up to ``over`` characters are left out. ``only``: of the first selector that hits, only the first element.
+    """
 
-    skip: tuple[str, ...] = ("script", "style", "noscript", "iframe")
-    blocks: tuple[tuple[str, tuple[str, ...], int, int], ...] = (("hero", ("hero", "banner", "header", "h1"), 500, 20), ("about", ("about",), 800, 30), ("service", ("service", "product"), 800, 30), ("main", ("main", "article", "p"), 1500, 40))
-    per_block: int = 3
-    fallback_below: int = 100
-    longest: int = 2000
+    selectors: tuple[str, ...]
+    most: int
+    over: int
+    joint: str = " "
+    only: bool = False
 
 
-SITE_RULES = TextRules()
-SECTION_RULES = TextRules(skip=("script", "style", "noscript", "iframe", "nav", "header", "footer"), per_block=5, longest=3000)
+@dataclass(frozen=True)
+class TextRules:
+    skip: tuple[str, ...]
+    blocks: tuple[Block, ...]
+    longest: int
+    body_below: int = 0  # with less text than this the whole body is read, if that is more
+
+
+SITE_RULES = TextRules(
+    ("script", "style", "noscript", "iframe"),
+    (
+        Block(("h1", "class*=hero", "class*=headline", "class*=banner", "class*=intro"), 3, 10, ""),
+        Block(("class*=about", "id*=about", "class*=who-we-are", "class*=company"), 2, 30),
+        Block(("class*=service", "class*=product", "class*=solution", "class*=offer"), 3, 20),
+        Block(("main", "role=main", "class*=content"), 1, 50, only=True),
+    ),
+    2000,
+    100,
+)
+SECTION_RULES = TextRules(
+    ("script", "style", "noscript", "iframe", "nav", "header", "footer"),
+    (Block(("h1", "h2", "h3", "class*=hero", "class*=headline", "class*=banner", "class*=about", "id*=about", "class*=service", "class*=solution", "main", "role=main", "article", "class~=content", "id=content", "class*=content"), 5, 20),),
+    3000,
+)
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
+def _hits(selector: str, tag: str, attributes: dict[str, str]) -> bool:
+    name, sign, value = (m[1], m[2], m[3]) if (m := re.fullmatch(r"(\w+)([*~]?=)(.+)", selector)) else (selector, "", "")
+    if not sign:
+        return tag == name
+    has = attributes.get(name, "")
+    return value in has if sign == "*=" else value in has.split() if sign == "~=" else has == value
+
+
 class _Reader(HTMLParser):
+    """Collects the text nodes of the elements that selectors hit, in document order."""
+
     def __init__(self, rules: TextRules):
         super().__init__(convert_charrefs=True)
-        self.rules, self.stack, self.body = rules, [], []
-        self.found: dict[str, list[list[str]]] = {b[0]: [] for b in rules.blocks}
+        self.skip = set(rules.skip)
+        self.limits = {s: b.most for b in rules.blocks for s in b.selectors} | {"body": 1}
+        self.found: dict[str, list[list[str]]] = {s: [] for s in self.limits}
+        self.stack: list[tuple[str, bool, list[list[str]]]] = []
 
     def handle_starttag(self, tag, attrs):
         if tag in _VOID:
             return
-        marks = {tag, *re.findall(r"[a-z0-9]+", " ".join(str(v) for k, v in attrs if k in ("id", "class")).lower())}
+        hidden = tag in self.skip or bool(self.stack) and self.stack[-1][1]
         opened = []
-        for name, words, _, _ in self.rules.blocks:
-            if marks & set(words) and not any(name == n for _, _, os in self.stack for n, _ in os):
-                text: list[str] = []
-                self.found[name].append(text)
-                opened.append((name, text))
-        self.stack.append((tag, tag in self.rules.skip, opened))
+        if not hidden:
+            attributes = {k: v or "" for k, v in attrs}
+            for selector, most in self.limits.items():
+                if len(self.found[selector]) < most and _hits(selector, tag, attributes):
+                    self.found[selector].append([])
+                    opened.append(self.found[selector][-1])
+        self.stack.append((tag, hidden, opened))
 
     def handle_endtag(self, tag):
         for i in range(len(self.stack) - 1, -1, -1):
@@ -58,33 +96,32 @@ class _Reader(HTMLParser):
                 return
 
     def handle_data(self, data):
-        if any(skip for _, skip, _ in self.stack):
-            return
-        self.body.append(data)
-        for _, _, opened in self.stack:
-            for _, text in opened:
-                text.append(data)
+        text = data.strip()
+        if text and not (self.stack and self.stack[-1][1]):
+            for _, _, opened in self.stack:
+                for nodes in opened:
+                    nodes.append(text)
 
 
 def page_text(html: str | None, rules: TextRules) -> str:
-    """The readable text of a page by the rules; blanks squeezed."""
+    """The readable text of a page by the rules; blanks squeezed. A null or empty page has none."""
     if not html:
         return ""
     reader = _Reader(rules)
     reader.feed(html)
     reader.close()
-    squeeze = lambda parts: " ".join(" ".join(parts).split())
-    out, seen = [], set()
-    for name, _, longest, shortest in rules.blocks:
-        for parts in reader.found[name][: rules.per_block]:
-            text = squeeze(parts)[:longest]
-            if len(text) >= shortest and text not in seen:
-                seen.add(text)
-                out.append(text)
+    out = []
+    for block in rules.blocks:
+        for selector in block.selectors:
+            texts = [block.joint.join(nodes) for nodes in reader.found[selector]]
+            out += [t for t in texts if len(t) > block.over]
+            if block.only and texts:
+                break
     text = " ".join(out)
-    if len(text) < rules.fallback_below:
-        text = squeeze(reader.body)
-    return text[: rules.longest]
+    if len(text) < rules.body_below and reader.found["body"]:
+        body = " ".join(" ".join(reader.found["body"][0]).split())
+        text = max(text, body, key=len)
+    return " ".join(text.split())[: rules.longest]
 
 
 def with_text(pages: DataFrame, rules: TextRules = SITE_RULES, html: str = "html", into: str = "content") -> DataFrame:

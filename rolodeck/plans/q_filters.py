@@ -71,7 +71,7 @@ query(
     SELECT first_failed AS stage, CASE first_failed WHEN 'title' THEN title WHEN 'industry_in' THEN industry WHEN 'country' THEN country ELSE company_phone[1:4] END AS value, count(*) AS n, min(ord) AS first FROM ({_TAGGED}) WHERE first_failed IS NOT NULL GROUP BY 1, 2)) WHERE rank <= 10""",
 )(lambda t: L.top_removed(_chain(t), {s: {"title": F.col("title"), "industry_in": F.col("industry"), "country": F.col("country")}.get(s, F.substring("company_phone", 1, 4)) for s in _STAGES}, 10))
 _keep("flt_titles_in", "lower(title) = '' OR contains(lower(title), 'ceo') OR contains(lower(title), 'sales')", lambda d: L.contains_any(F.col("title"), ["CEO", "sales"], True))
-_keep("flt_seniority", "title = '' OR regexp_matches(lower(title), 'ceo|founder|chief|head of')", lambda d: (X.key(F.col("title")) == "") | F.arrays_overlap(classify.seniority(F.col("title")), F.array(*map(F.lit, ["c_suite", "founder", "head"]))))
+_keep("flt_seniority", "title = '' OR regexp_matches(lower(title), '\\b(ceo|founder|chief|head of)\\b')", lambda d: (X.key(F.col("title")) == "") | F.arrays_overlap(classify.seniority(F.col("title")), F.array(*map(F.lit, ["c_suite", "founder", "head"]))))
 _keep("flt_person_loc", "contains(lower(city || ' ' || country), 'latvia') OR contains(lower(city || ' ' || country), 'berlin')", lambda d: L.contains_any(F.concat_ws(" ", "city", "country"), ["Latvia", "berlin"], False))
 _keep("flt_org_loc", "contains(lower(company_country || ' ' || country), 'germany')", lambda d: L.contains_any(F.concat_ws(" ", "company_country", "country"), ["Germany"], False))
 _keep("flt_industry_sub", "industry = '' OR contains(lower(industry), 'mach') OR contains(lower(industry), 'build')", lambda d: L.contains_any(F.col("industry"), ["mach", "BUILD"], True))

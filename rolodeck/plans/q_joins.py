@@ -23,17 +23,18 @@ _FILLED = """SELECT l.ord, CASE WHEN l.company_country <> '' THEN 'had' WHEN l.c
   FROM fx_leads l LEFT JOIN fx_company c ON l.company_domain = c.domain"""
 _filled = lambda t: J.filled_country(t("fx_leads"), N.company_country(t("fx_company")))
 query("join_domain_lookup", _FILLED)(lambda t: _filled(t).select("ord", "filled", "company_country"))
-_CLASS = """SELECT ord, CASE WHEN cc <> '' THEN CASE WHEN lower(cc) = 'latvia' THEN 'domestic' ELSE 'foreign' END WHEN plus > 0 AND minus = 0 THEN 'domestic' WHEN minus > 0 AND plus = 0 THEN 'foreign' ELSE 'uncertain' END AS verdict,
-  CASE WHEN cc <> '' THEN 'country: ' || lower(cc) WHEN plus = 0 AND minus = 0 THEN 'no signal' ELSE '+' || array_to_string(list_filter([CASE WHEN d > 0 THEN 'domain' END, CASE WHEN e > 0 THEN 'email' END, CASE WHEN f > 0 THEN 'phone' END], lambda x: x IS NOT NULL), ',') || ' -' || array_to_string(list_filter([CASE WHEN d < 0 THEN 'domain' END, CASE WHEN e < 0 THEN 'email' END, CASE WHEN f < 0 THEN 'phone' END], lambda x: x IS NOT NULL), ',') END AS why FROM (
-  SELECT *, (d > 0)::INT + (e > 0)::INT + (f > 0)::INT AS plus, (d < 0)::INT + (e < 0)::INT + (f < 0)::INT AS minus FROM (
-  SELECT ord, cc, CASE WHEN dt = '.lv' THEN 1 WHEN dt IN ('.de', '.ee', '.co.uk') THEN -1 ELSE 0 END AS d, CASE WHEN et = dt THEN 0 WHEN et = '.lv' THEN 1 WHEN et IN ('.de', '.ee', '.co.uk') THEN -1 ELSE 0 END AS e, CASE WHEN starts_with(ph, '+371') THEN 1 WHEN starts_with(ph, '+') THEN -1 ELSE 0 END AS f FROM (
-  SELECT ord, {cc} AS cc, company_phone AS ph, CASE WHEN ends_with(company_domain, '.co.uk') THEN '.co.uk' WHEN contains(company_domain, '.') THEN '.' || string_split(company_domain, '.')[-1] ELSE '' END AS dt,
-  CASE WHEN ends_with(lower(email), '.co.uk') THEN '.co.uk' WHEN contains(email, '@') THEN '.' || string_split(lower(email), '.')[-1] ELSE '' END AS et FROM {src})))"""
-_classify = lambda d: classify.country_class(d, "Latvia", ".lv", "+371", [".de", ".ee", ".co.uk"], [".com"], [".co.uk"])
+_TLD = "CASE WHEN ends_with({0}, '.co.uk') THEN '.co.uk' WHEN contains({0}, '.') THEN '.' || string_split({0}, '.')[-1] ELSE '' END"
+_signs = lambda test: "array_to_string(list_filter([" + ", ".join(f"CASE WHEN {test.format(k)} THEN '{n}=' || {k} END" for k, n in (("d", "domain"), ("e", "email"), ("f", "phone"))) + "], lambda x: x IS NOT NULL), ',')"
+_CLASS = f"""SELECT ord, CASE WHEN cc <> '' THEN CASE WHEN cc IN ('LV', 'LATVIA') THEN 'domestic' ELSE 'foreign' END WHEN p <> '' AND m = '' THEN 'domestic' WHEN m <> '' AND p = '' THEN 'foreign' ELSE 'uncertain' END AS verdict,
+  CASE WHEN cc IN ('LV', 'LATVIA') THEN 'company_country' WHEN cc <> '' THEN 'company_country=' || cc WHEN p = '' AND m = '' THEN 'no_signals' WHEN m = '' THEN p WHEN p = '' THEN m ELSE 'conflict:domestic=' || p || '|foreign=' || m END AS why FROM (
+  SELECT ord, cc, {_signs("CASE WHEN '{0}' = 'f' THEN starts_with({0}, '+371') ELSE {0} = '.lv' END")} AS p, {_signs("CASE WHEN '{0}' = 'f' THEN {0} <> '' AND NOT starts_with({0}, '+371') ELSE {0} IN ('.de', '.ee', '.co.uk') END")} AS m FROM (
+  SELECT ord, cc, d, CASE WHEN e = d THEN '' ELSE e END AS e, f FROM (
+  SELECT ord, upper(trim({{cc}})) AS cc, {_TLD.format("company_domain")} AS d, CASE WHEN contains(email, '@') THEN {_TLD.format("string_split(lower(email), '@')[-1]")} ELSE '' END AS e, CASE WHEN starts_with(company_phone, '+') THEN company_phone[1:4] ELSE '' END AS f FROM {{src}})))"""
+_classify = lambda d: classify.country_class(d, "LV", "Latvia", ".lv", "+371", [".de", ".ee", ".co.uk"], [".co.uk"])
 query("cls_country", _CLASS.format(cc="company_country", src="fx_leads"))(lambda t: _classify(t("fx_leads")).select("ord", "verdict", "why"))
 query(
     "join_country_recheck",
-    f"WITH f AS ({_FILLED}), l AS (SELECT x.* REPLACE (f.company_country AS company_country) FROM fx_leads x JOIN f ON x.ord = f.ord) " + _CLASS.format(cc="company_country", src="l").replace(", why", ", why"),
+    f"WITH f AS ({_FILLED}), l AS (SELECT x.* REPLACE (f.company_country AS company_country) FROM fx_leads x JOIN f ON x.ord = f.ord) " + _CLASS.format(cc="company_country", src="l"),
 )(lambda t: _classify(_filled(t)).select("ord", "verdict", "why"))
 query("agg_country_stats", f"SELECT coalesce(verdict, 'all') AS verdict, coalesce(why, 'all') AS why, count(*) AS n FROM ({_CLASS.format(cc='company_country', src='fx_leads')}) GROUP BY ROLLUP (verdict, why)")(
     lambda t: _classify(t("fx_leads")).rollup("verdict", "why").agg(F.count(F.lit(1)).alias("n")).select(F.coalesce("verdict", F.lit("all")).alias("verdict"), F.coalesce("why", F.lit("all")).alias("why"), "n")

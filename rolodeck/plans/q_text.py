@@ -57,11 +57,12 @@ query("name_slug", _SLUG)(over("fx_labels", "slug", lambda: text.name_slug(F.col
 _TRIMMED = rf"""SELECT ord, CASE WHEN len(q) > 2 AND regexp_matches(q[-1], '^[0-9]{{{{3,}}}}$') THEN q[:-2] ELSE q END AS parts FROM (
   SELECT ord, CASE WHEN len(p) > 2 AND length(p[-1]) >= 6 AND regexp_matches(p[-1], '[0-9]') THEN p[:-2] ELSE p END AS q FROM (SELECT ord, string_split(slug, '-') AS p FROM ({_SLUG})))""".replace("{{", "{").replace("}}", "}")
 query("name_slug_trim", f"SELECT ord, array_to_string(parts, '-') AS slug FROM ({_TRIMMED})")(over("fx_labels", "slug", lambda: text.slug_trimmed(text.name_slug(F.col("url")))))
+_title = lambda c: f"array_to_string(list_transform(regexp_extract_all({c}, '[^ '']+|[ '']'), lambda v: upper(v[1]) || v[2:]), '')"
 query(
     "name_slug_split",
-    f"""SELECT ord, CASE WHEN n IS NULL THEN NULL WHEN n <= 1 THEN parts[1] ELSE array_to_string(parts[:s - 1], ' ') END AS first, CASE WHEN n IS NULL THEN NULL WHEN n <= 1 THEN '' ELSE array_to_string(parts[s:], ' ') END AS last FROM (
-    SELECT ord, parts, len(parts) AS n, coalesce(list_filter(range(2, len(parts)), lambda i: list_contains(['van', 'von', 'de', 'der', 'den', 'la', 'le', 'di', 'da', 'du'], parts[i]))[1], len(parts)) AS s FROM ({_TRIMMED}))""",
-)(lambda t: t("fx_labels").select("ord", text.slug_names(text.name_slug(F.col("url")), list(names.PARTICLES)).alias("n"), text.name_slug(F.col("url")).alias("slug")).select("ord", *[F.when(F.col("slug").isNotNull(), F.col(f"n.{x}")).alias(x) for x in ("first", "last")]))
+    f"""SELECT ord, {_title('first')} AS first, {_title('last')} AS last FROM (SELECT ord, CASE WHEN n IS NULL THEN NULL WHEN n <= 1 THEN parts[1] ELSE array_to_string(parts[:s - 1], ' ') END AS first, CASE WHEN n IS NULL THEN NULL WHEN n <= 1 THEN '' ELSE array_to_string(parts[s:], ' ') END AS last FROM (
+    SELECT ord, parts, len(parts) AS n, coalesce(list_filter(range(2, len(parts)), lambda i: list_contains(['van', 'von', 'de', 'der', 'den', 'la', 'le', 'di', 'da', 'du'], parts[i]))[1], len(parts)) AS s FROM ({_TRIMMED})))""",
+)(lambda t: t("fx_labels").select("ord", text.slug_names(text.name_slug(F.col("url")), list(names.PARTICLES)).alias("n"), text.name_slug(F.col("url")).alias("slug")).select("ord", *[names.name_title(F.when(F.col("slug").isNotNull(), F.col(f"n.{x}"))).alias(x) for x in ("first", "last")]))
 
 
 def _restored(t):

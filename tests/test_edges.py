@@ -37,6 +37,7 @@ def test_urls(spark):
 
 def test_names():
     assert names.cased("o'neil VAN DER berg mcdonald") == "O'Neil van der Berg McDonald"
+    assert (names.cased("van"), names.cased("de la cruz macleod"), names.cased(None)) == ("Van", "De la Cruz MacLeod", "")
     assert names.folded("Bērziņš") == names.folded("berzins") != names.folded("Łódź")
     assert names.casual("SIA \"Acme\" | hair salon", (), ("SIA",), "You") == "Acme"
     assert names.casual("SIA", (), ("SIA",), "You") == "You"
@@ -134,7 +135,7 @@ def test_segments(spark, score, segment):
 
 def test_web_score_without_parts(spark):
     df = spark.createDataFrame([(None,) * 5, (50, True, False, None, None)], "performance_score int, is_mobile_friendly boolean, has_ssl boolean, seo_score int, best_practices_score int")
-    assert [r.s for r in df.select(classify.web_score().alias("s")).collect()] == [None, int((50 * 0.35 + 100 * 0.2) / 0.7)]
+    assert [r.s for r in df.select(classify.web_score().alias("s")).collect()] == [0, int((50 * 0.35 + 100 * 0.2 + 0 * 0.15) / 0.7)]
 
 
 def test_half_way_percentages(spark):
@@ -150,12 +151,14 @@ def test_round_trip_of_odd_searches(spark):
 
 
 def test_page_text():
-    html = "<html><head><title>t</title><script>no()</script></head><body><nav>menu</nav><div class='about us'>" + "We bake bread. " * 5 + "</div><br><p>" + "More words here " * 5 + "</p></body></html>"
+    html = "<html><head><title>t</title><script>no()</script></head><body><nav>menu of the site</nav><div class='x about-us'>" + "We bake <b>bread</b>. " * 5 + "</div><br><main><p>" + "More words here " * 5 + "</p></main></body></html>"
     got = pages.page_text(html, pages.SITE_RULES)
-    assert "no()" not in got and got.startswith("We bake") and "More words" in got
-    assert "menu" not in pages.page_text(html, pages.SECTION_RULES)
+    assert "no()" not in got and got.startswith("We bake bread .") and got.endswith("More words here") and "menu" not in got
+    assert pages.page_text("<h1>A <i>big</i> headline</h1>", pages.SITE_RULES) == "Abigheadline"  # headlines are joined without blanks
     assert pages.page_text(None, pages.SITE_RULES) == pages.page_text("", pages.SITE_RULES) == ""
-    assert pages.page_text("<p>short", pages.SITE_RULES) == "short"
+    assert pages.page_text("<body><nav>a</nav><p>short &amp; sweet", pages.SITE_RULES) == "a short & sweet"
+    assert pages.page_text("<body><nav>a</nav><p>short", pages.SECTION_RULES) == ""
+    assert len(pages.page_text("<main>" + "word " * 9999, pages.SITE_RULES)) == 2000
 
 
 def test_enrichment_calls_once_and_retries(spark):

@@ -7,6 +7,7 @@ import tempfile
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _shipped: set[str] = set()
 
@@ -29,13 +30,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small(df: DataFrame, most: int = 10_000) -> DataFrame:
+    """df, marked for a broadcast, for joins that have no other way (ranges, "contains"); over ``most`` rows it is an error."""
+    if df.limit(most + 1).count() > most:
+        raise ValueError(f"a table of over {most} rows where a small one is needed")
+    return F.broadcast(df)
+
+
 def ship(spark: SparkSession) -> None:
     """Puts this package on the Python path of the executors, once for each application; Spark's file server delivers it."""
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
     _shipped.add(sc.applicationId)
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    root = os.path.dirname(os.path.abspath(__file__))
     path = os.path.join(tempfile.mkdtemp(prefix="rolodeck-ship-"), "rolodeck.zip")
     with zipfile.ZipFile(path, "w") as z:
         for folder, _, files in os.walk(root):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..cluster import small
 from ..functions import text as X
 from .filters import lead_domain, own
 
@@ -72,7 +73,7 @@ def filter_gaps(active: DataFrame, capabilities: DataFrame, keep_rates: dict[str
     rate = F.lit(1.0)
     for k, v in keep_rates.items():
         rate = F.when(F.col("filter_key") == k, F.lit(v)).otherwise(rate)
-    joined = capabilities.join(F.broadcast(active), "filter_key", "left_semi")
+    joined = capabilities.join(active, "filter_key", "left_semi")
     of = lambda s: F.array_join(F.array_sort(F.collect_set(F.when(F.col("state") == s, F.col("filter_key")))), ",")
     product = F.exp(F.sum(F.when(F.col("state") == "supported", F.lit(0.0)).otherwise(F.log(rate))))
     out = joined.groupBy("source").agg(of("supported").alias("supported"), of("enforceable").alias("enforceable"), of("lost").alias("lost"), product.alias("keep"))
@@ -82,7 +83,7 @@ def filter_gaps(active: DataFrame, capabilities: DataFrame, keep_rates: dict[str
 def mapped_values(df: DataFrame, key: str, values: str, dim: DataFrame, code: str, label: str, pos: str, keep_unknown: bool) -> DataFrame:
     """(key, values): each value of a list replaced by its labels, in order, each once; unknown ones stay or go."""
     exploded = df.select(key, F.posexplode(values).alias("i", "v"))
-    d = F.broadcast(dim.select(F.col(code).alias("c_"), F.col(label).alias("l_"), F.col(pos).alias("p_")))
+    d = dim.select(F.col(code).alias("c_"), F.col(label).alias("l_"), F.col(pos).alias("p_"))
     joined = exploded.join(d, F.col("v") == F.col("c_"), "left" if keep_unknown else "inner").withColumn("out", F.coalesce("l_", "v"))
     firsts = joined.groupBy(key, "out").agg(F.min(F.struct("i", F.coalesce("p_", F.lit(0)).alias("p"))).alias("at"))
     lists = firsts.groupBy(F.col(key).alias("k_")).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "out"))), lambda x: x["out"]).alias(values))
@@ -95,13 +96,14 @@ def revenue_buckets(df: DataFrame, key: str, low: str, high: str, buckets: DataF
     The only non-equi join here: the buckets are a table of a few rows.
     """
     hit = F.when(F.col(high).isNull(), (F.col("b_high") > F.col(low)) & (F.col("b_low") < F.col(low) * 100)).otherwise((F.col("b_high") > F.col(low)) & (F.col("b_low") < F.col(high)))
-    b = F.broadcast(buckets.select("bucket", F.col("low").alias("b_low"), F.col("high").alias("b_high")))
+    b = small(buckets.select("bucket", F.col("low").alias("b_low"), F.col("high").alias("b_high")))
     lists = df.filter(F.col(low).isNotNull()).join(b, hit).groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("b_low", "bucket"))), lambda x: x["bucket"]).alias("buckets"))
     return lists.select(key, F.array_join("buckets", "|").alias("buckets"))
 
 
 # --- web scores
 
+#: Parts of a site's score and their weights.
 WEIGHTS = [("performance_score", 0.35), ("is_mobile_friendly", 0.20), ("has_ssl", 0.15), ("seo_score", 0.15), ("best_practices_score", 0.15)]
 
 

@@ -7,11 +7,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..plans.cluster import checkpointed
+from ..cluster import checkpointed
 from ..schemas import LEAD
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..plans.cluster import checkpointed
+from ..cluster import checkpointed
 
 
 class FailFast(Exception):

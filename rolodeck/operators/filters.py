@@ -67,7 +67,7 @@ def with_country_rules(df: DataFrame, foreign: DataFrame, phones: DataFrame) ->
     f = foreign.groupBy(F.lower("country").alias("f_")).agg(F.collect_set("tld").alias("_foreign"))
     p = phones.select(F.lower("country").alias("p_"), F.col("code").alias("_code"))
     country = F.lower(lead_country(df.columns))
-    return df.join(F.broadcast(f), country == F.col("f_"), "left").join(F.broadcast(p), country == F.col("p_"), "left").drop("f_", "p_")
+    return df.join(f, country == F.col("f_"), "left").join(p, country == F.col("p_"), "left").drop("f_", "p_")
 
 
 def not_foreign_tld(columns: list[str], compound: list[str]) -> Column:
@@ -127,7 +127,7 @@ def enforced(df: DataFrame, capabilities: DataFrame, predicates: dict[str, Colum
     capabilities: source, filter_key, state.
     """
     per = capabilities.filter("state = 'enforceable'").groupBy(F.col("source").alias("s_")).agg(F.collect_set("filter_key").alias("_keys"))
-    joined = df.join(F.broadcast(per), F.col("source") == F.col("s_"), "left").drop("s_")
+    joined = df.join(per, F.col("source") == F.col("s_"), "left").drop("s_")
     stages = [(k, ~F.coalesce(F.array_contains("_keys", k), F.lit(False)) | p) for k, p in predicates.items()]
     return tagged(joined, stages).drop("_keys")
 
@@ -139,7 +139,7 @@ def by_relevance(df: DataFrame, scores: DataFrame, with_maybe: bool, industry: s
     """
     exact = scores.select(F.col("industry").alias("x_"), F.struct("score", "reason").alias("xs"))
     lower = scores.groupBy(F.lower("industry").alias("y_")).agg(F.min_by(F.struct("score", "reason"), "industry").alias("ys"))
-    joined = df.join(F.broadcast(exact), F.col(industry) == F.col("x_"), "left").join(F.broadcast(lower), F.lower(industry) == F.col("y_"), "left")
+    joined = df.join(exact, F.col(industry) == F.col("x_"), "left").join(lower, F.lower(industry) == F.col("y_"), "left")
     hit = F.coalesce("xs", "ys")
     keep = F.coalesce(hit["score"].isin("relevant", *["maybe"] * with_maybe), F.lit(True)) | (X.key(F.col(industry)) == "")
     return joined.withColumns({"relevance": hit["score"], "reason": hit["reason"], "kept": keep}).drop("x_", "y_", "xs", "ys")

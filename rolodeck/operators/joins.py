@@ -1,7 +1,7 @@
 """Lookups and anti joins of leads, taxonomies and scores.
 
 Person-level keys are joined without hints: statistics and adaptive execution pick the strategy, and skewed keys are split. Configuration tables (taxonomies, id names, scores) are
-written by hand, a few hundred rows at most, and broadcast.
+written by hand and small; they are joined without hints too, so Spark broadcasts them by their size and has a shuffled join beyond its threshold.
 """
 
 from __future__ import annotations
@@ -75,13 +75,13 @@ def to_v1(df: DataFrame, taxonomy: DataFrame, industry: str, into: str = "v1") -
     """df with its industry in the first taxonomy: by exact name, else in lower case, else unchanged."""
     exact = taxonomy.groupBy(F.col("v2").alias("e_")).agg(F.min(F.struct("prio", "v1")).alias("e"))
     lower = taxonomy.groupBy(F.lower("v2").alias("l_")).agg(F.min(F.struct("prio", "v1")).alias("l"))
-    joined = df.join(F.broadcast(exact), F.col(industry) == F.col("e_"), "left").join(F.broadcast(lower), F.lower(industry) == F.col("l_"), "left")
+    joined = df.join(exact, F.col(industry) == F.col("e_"), "left").join(lower, F.lower(industry) == F.col("l_"), "left")
     return joined.withColumn(into, F.coalesce("e.v1", "l.v1", industry)).drop("e_", "l_", "e", "l")
 
 
 def spellings(industries: DataFrame, taxonomy: DataFrame) -> DataFrame:
     """One column industry: names of both taxonomies in three spellings: as they are, with & for and, and the reverse, in lower case."""
-    v2 = taxonomy.join(F.broadcast(industries.withColumnRenamed("industry", "i_")), F.lower("v1") == F.lower("i_")).select(F.col("v2").alias("industry"))
+    v2 = taxonomy.join(industries.withColumnRenamed("industry", "i_"), F.lower("v1") == F.lower("i_")).select(F.col("v2").alias("industry"))
     every = industries.select("industry").unionByName(v2).select(F.lower("industry").alias("x"))
     forms = F.array(F.col("x"), F.replace("x", F.lit(" and "), F.lit(" & ")), F.replace("x", F.lit(" & "), F.lit(" and ")))
     return every.select(F.explode(forms).alias("industry")).distinct()
@@ -89,7 +89,7 @@ def spellings(industries: DataFrame, taxonomy: DataFrame) -> DataFrame:
 
 def resolved_ids(df: DataFrame, key: str, ids: str, names: DataFrame) -> DataFrame:
     """(key, names, unresolved): the ids' names, each once, in order, and the ids without one."""
-    d = F.broadcast(names.select(F.col("id").alias("id_"), F.col("name").alias("name_")))
+    d = names.select(F.col("id").alias("id_"), F.col("name").alias("name_"))
     joined = df.select(key, F.posexplode(ids).alias("i", "id")).join(d, F.col("id") == F.col("id_"), "left")
     named = joined.filter("name_ is not null").groupBy(key, "name_").agg(F.min("i").alias("i"))
     found = named.groupBy(F.col(key).alias("k1")).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "name_"))), lambda x: x["name_"]).alias("names"))
@@ -101,7 +101,7 @@ def resolved_ids(df: DataFrame, key: str, ids: str, names: DataFrame) -> DataFra
 def name_ids(df: DataFrame, name: str, names: DataFrame, order: str = "ord") -> DataFrame:
     """df with ``id`` of its name by normalised key; of names that meet in a key the last id counts. names: id, name and an order."""
     last = names.groupBy(X.industry_key(F.col("name")).alias("n_")).agg(F.max(F.struct(F.col(order).alias("o"), "id"))["id"].alias("id"))
-    return df.join(F.broadcast(last), X.industry_key(F.col(name)) == F.col("n_"), "left").drop("n_")
+    return df.join(last, X.industry_key(F.col(name)) == F.col("n_"), "left").drop("n_")
 
 
 def merged_ids(known: DataFrame, new: DataFrame) -> DataFrame:
@@ -116,5 +116,5 @@ def scored_industries(leads: DataFrame, scores: DataFrame, industry: str = "indu
     """leads with ``score``: each distinct industry is looked up once; unknown ones and malformed scores are maybe. Blank ones have none."""
     s = scores.select(F.lower("industry").alias("s_"), F.when(F.col("score").isin("relevant", "maybe", "irrelevant"), F.col("score")).alias("score_"))
     distinct = leads.select(F.col(industry).alias("i_")).filter(X.nonblank(F.col("i_"))).distinct()
-    table = distinct.join(F.broadcast(s), F.lower("i_") == F.col("s_"), "left").select("i_", F.coalesce("score_", F.lit("maybe")).alias("score"))
+    table = distinct.join(s, F.lower("i_") == F.col("s_"), "left").select("i_", F.coalesce("score_", F.lit("maybe")).alias("score"))
     return leads.join(table, F.col(industry) == F.col("i_"), "left").drop("i_")

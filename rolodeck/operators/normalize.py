@@ -41,7 +41,7 @@ def vendor_c(feed: DataFrame, taxonomy: DataFrame, keep: tuple[str, ...] = ()) -
     named = {"first_name": "firstName", "last_name": "lastName", "name": "fullName", "title": "position", "email": "email", "linkedin_url": "linkedinUrl", "country": "country", "company_name": "organizationName", "company_website": "organizationWebsite", "company_linkedin": "organizationLinkedinUrl"}
     domain = F.when(F.col("organizationWebsite") != "", F.split_part(X.domain(X.with_scheme(F.col("organizationWebsite"))), F.lit("/"), F.lit(1)))
     first = taxonomy.groupBy(F.lower("v2").alias("v2_")).agg(F.min(F.struct("prio", "v1")).alias("best"))
-    joined = feed.join(F.broadcast(first), F.lower("organizationIndustry") == F.col("v2_"), "left")
+    joined = feed.join(first, F.lower("organizationIndustry") == F.col("v2_"), "left")
     return shaped(joined, named | {"company_domain": domain, "industry": F.coalesce("best.v1", "organizationIndustry"), "source": F.lit("feed_c")}, keep=keep)
 
 

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..cluster import small
 from ..functions import text as X
 
 
@@ -39,6 +40,7 @@ class TextRules:
     body_below: int = 0  # with less text than this the whole body is read, if that is more
 
 
+#: What is read of a site's page, and of a section's.
 SITE_RULES = TextRules(
     ("script", "style", "noscript", "iframe"),
     (
@@ -160,7 +162,7 @@ def contact_links(pages: DataFrame, patterns: DataFrame, url: str = "url", html:
     links = pages.select(key, host.alias("host"), F.posexplode(hrefs).alias("pos", "href"))
     full = F.when(F.col("href").startswith("/") & ~F.col("href").startswith("//"), F.concat(F.lit("https://"), "host", "href")).when(F.col("href").rlike("^https?://"), F.col("href"))
     same = links.withColumn("link", full).filter(F.try_parse_url("link", F.lit("HOST")) == F.col("host"))
-    hit = same.join(F.broadcast(patterns), F.contains(F.lower("href"), F.col("pattern")), "left_semi")
+    hit = same.join(small(patterns), F.contains(F.lower("href"), F.col("pattern")), "left_semi")
     first = hit.groupBy(key, "link").agg(F.min("pos").alias("pos"))
     return first.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy("pos"))).filter(F.col("rank") <= most).select(key, "rank", "link")
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..cluster import small
 from ..functions import text as X
 from . import classify
 
@@ -54,10 +55,10 @@ def expected_countries(leads: DataFrame, locations: DataFrame, words: DataFrame,
 
     words: word, code, pos; codes: country (the word), code (of phones). Both are small.
     """
-    named = locations.select(F.lower("location").alias("l")).distinct().join(F.broadcast(words), F.rlike("l", F.concat(F.lit("\\b"), F.col("word"), F.lit("\\b")))).select("word").distinct()
-    wanted = named.join(F.broadcast(codes.select(F.lower("country").alias("word"), F.col("code").alias("phone_code"))), "word")
+    named = locations.select(F.lower("location").alias("l")).distinct().join(small(words), F.rlike("l", F.concat(F.lit("\\b"), F.col("word"), F.lit("\\b")))).select("word").distinct()
+    wanted = named.join(codes.select(F.lower("country").alias("word"), F.col("code").alias("phone_code")), "word")
     phones = leads.groupBy(F.substring("company_phone", 1, 4).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
-    matched = wanted.join(F.broadcast(phones), F.startswith("prefix", F.col("phone_code")), "left")
+    matched = wanted.join(small(phones, 100_000), F.startswith("prefix", F.col("phone_code")), "left")
     return matched.groupBy("word", "phone_code").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("leads"))
 
 
@@ -76,7 +77,7 @@ def approval(marked: DataFrame, column: str = "industry") -> DataFrame:
 def shares(df: DataFrame, key: Column, name: str) -> DataFrame:
     """name, n, share: counts per value and their share of all rows."""
     counts = df.groupBy(key.alias(name)).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("share", percent(F.col("n"), F.sum("n").over(Window.partitionBy())))
+    return counts.withColumn("share", percent(F.col("n"), F.lit(df.count())))
 
 
 def stages(named: dict[str, DataFrame]) -> DataFrame:

@@ -10,7 +10,7 @@ from ..functions import text as X
 from ..operators import enrich as E, filters as L, normalize as N, pages as G
 from ..sources import readers as R, sinks as S
 from ..streaming import incremental as I
-from . import cluster
+from .. import cluster
 from .q_joins import _COLS, _MERGE
 from .q_normalize import _LEAD_B
 from .registry import query

@@ -11,7 +11,7 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     from pyspark.sql import SparkSession
 
-    from rolodeck.plans import cluster
+    from rolodeck import cluster
 
     session = (
         SparkSession.builder.master("local[4]")

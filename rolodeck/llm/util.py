@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -11,6 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..cluster import checkpointed, shared_folder
+
+__all__ = ["WORD", "binary", "checkpointed", "extended", "filesystem", "fresh", "new_folder", "shared_folder", "table", "text_or_empty", "text_slices"]
+
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -24,27 +27,6 @@ def fresh(columns: Iterable[str], base: str) -> str:
     return name
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only where that is unset (tests on one machine) a folder of our own is used.
-    """
-    sc = spark.sparkContext
-    try:
-        named = spark.conf.get("spark.checkpoint.dir")
-    except Exception:  # no such setting in this session
-        named = None
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="rolodeck-"))
-    return named or sc.getCheckpointDir()
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df, cut from its lineage by a reliable checkpoint in the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 def new_folder(spark: SparkSession, kind: str) -> str:
     """A path, not used before, for files of one run inside the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
@@ -82,21 +64,11 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 32 <
         yield batch.slice(start)
 
 
-def with_columns(batch: pa.RecordBatch, arrays: dict[str, pa.Array]) -> pa.RecordBatch:
-    """batch and, to its right, the arrays."""
-    return pa.RecordBatch.from_arrays([*batch.columns, *arrays.values()], names=[*batch.schema.names, *arrays])
-
-
 def extended(df: DataFrame, fields: list[T.StructField]) -> T.StructType:
     """df's schema and the fields after it."""
     return T.StructType([*df.schema.fields, *fields])
 
 
-def nulls_last(column: Column) -> list[Column]:
-    """Sort keys: ascending, nulls last, as plain expressions that also work in struct comparison."""
-    return [column.isNull(), column]
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -41,47 +41,51 @@ def merged_by_email(leads: DataFrame, order: str = "ord", columns: tuple[str, ..
     is never gathered: a record changes the base only if it is richer or fills a hole, and each change adds a field, so a key changes at most once for each column. Each round finds every
     large key's next changing record by a minimum, which is combined before it is shuffled; as many rounds as columns are enough.
     """
-    rest = tuple(c for c in columns if c != "source")
-    record = [F.col(c) for c in columns]
+    record = F.array(*[F.col(c) for c in columns])  # as a list, so that a step of the fold is a few small expressions
     keyed = leads.withColumn("_key", merge_key(order))
     once = checkpointed(keyed.groupBy("_key", *columns).agg(F.min(order).alias("_o"), F.count(F.lit(1)).alias("_n")))
-    sizes = checkpointed(once.groupBy(F.col("_key").alias("k_")).agg(F.count(F.lit(1)).alias("records"), F.sum("_n").alias("n"), F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.filter(F.split("source", ","), lambda x: x != ""))))).alias("sources")))
-    filled = lambda get: reduce(lambda a, b: a + b, [X.nonblank(get(c)).cast("int") for c in columns])
-
-    def step(base: Column, nxt: Column) -> Column:
-        richer = filled(lambda c: nxt[c]) > filled(lambda c: base[c])
-        return F.struct(*[F.when(richer, X.first_nonblank(nxt[c], base[c])).otherwise(X.first_nonblank(base[c], nxt[c])).alias(c) for c in columns])
-
-    big = sizes.filter(F.col("records") > most)
-    small = once.join(big.select("k_"), F.col("_key") == F.col("k_"), "left_anti") if big.limit(1).count() else once
-    lists = small.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("_o", F.struct(*record).alias("r")))).alias("rows"))
+    named = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.filter(F.split("source", ","), lambda x: x != "")))))
+    sizes = checkpointed(once.groupBy(F.col("_key").alias("k_")).agg(F.count(F.lit(1)).alias("records"), F.sum("_n").alias("n"), named.alias("sources")))
+    big = sizes.filter(F.col("records") > most).select("k_")
+    large = bool(big.limit(1).count())
+    small = once.join(big, F.col("_key") == F.col("k_"), "left_anti") if large else once
+    lists = small.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("_o", record.alias("r")))).alias("rows"))
     first = F.element_at("rows", 1)
-    state = lists.select("_key", first["_o"].alias("_first"), F.aggregate(F.slice("rows", F.lit(2), F.greatest(F.size("rows") - 1, F.lit(0))), first["r"], lambda a, x: step(a, x["r"])).alias("base"))
-    if small is not once:
-        state = state.unionByName(_folded_in_rounds(once.join(big.select("k_"), F.col("_key") == F.col("k_"), "left_semi"), columns, filled, step))
+    later = F.slice("rows", F.lit(2), F.greatest(F.size("rows") - 1, F.lit(0)))
+    state = lists.select("_key", first["_o"].alias("_first"), F.aggregate(later, first["r"], lambda base, x: _step(base, x["r"])).alias("base"))
+    if large:
+        rows = once.join(big, F.col("_key") == F.col("k_"), "left_semi").select("_key", F.col("_o").alias("o"), record.alias("r"))
+        state = state.unionByName(_folded_in_rounds(rows))
     # Every row's source counts, and a merge leaves nothing blank but empty texts; a row that is alone stays as it is.
     done = state.join(sizes, F.col("_key") == F.col("k_"))
-    value = lambda c: F.when((F.col("n") == 1) | X.nonblank(F.col(f"base.{c}")), F.col(f"base.{c}")).otherwise(F.lit(""))
-    source = F.when(F.col("n") == 1, F.col("base.source")).otherwise(F.array_join("sources", ","))
-    return done.select(F.col("_first").alias(order), *[(value(c) if c in rest else source).alias(c) for c in columns])
+    value = lambda i: F.when((F.col("n") == 1) | X.nonblank(F.col("base")[i]), F.col("base")[i]).otherwise(F.lit(""))
+    source = lambda i: F.when(F.col("n") == 1, F.col("base")[i]).otherwise(F.array_join("sources", ","))
+    return done.select(F.col("_first").alias(order), *[(source(i) if c == "source" else value(i)).alias(c) for i, c in enumerate(columns)])
+
+
+def _filled(record: Column) -> Column:
+    return F.size(F.filter(record, X.nonblank))
+
+
+def _step(base: Column, nxt: Column) -> Column:
+    """The base after one more record: the richer of both, its holes filled from the other."""
+    over = lambda a, b: F.zip_with(a, b, lambda x, y: F.when(X.nonblank(x), x).otherwise(y))
+    return F.when(_filled(nxt) > _filled(base), over(nxt, base)).otherwise(over(base, nxt))
 
 
-def _folded_in_rounds(rows: DataFrame, columns: tuple[str, ...], filled, step) -> DataFrame:
-    """(_key, _first, base) of keys with many records; rows: _key, _o and the columns."""
-    item = F.struct(F.col("_o").alias("o"), F.struct(*[F.col(c) for c in columns]).alias("r"))
-    state = checkpointed(rows.groupBy("_key").agg(F.min(item).alias("x")).select("_key", F.col("x.o").alias("_first"), F.col("x.o").alias("at"), F.col("x.r").alias("base")))
+def _folded_in_rounds(rows: DataFrame) -> DataFrame:
+    """(_key, _first, base) of keys with many records; rows: _key, o (order) and r (record)."""
+    state = checkpointed(rows.groupBy("_key").agg(F.min(F.struct("o", "r")).alias("x")).select("_key", F.col("x.o").alias("_first"), F.col("x.o").alias("at"), F.col("x.r").alias("base")))
     while True:
         held = state.select(F.col("_key").alias("k_"), "at", "base")
-        base = lambda c: F.col("base")[c]
-        fills = reduce(lambda a, b: a | b, [~X.nonblank(base(c)) & X.nonblank(F.col(c)) for c in columns])
-        richer = filled(F.col) > filled(base)
-        changing = rows.join(held, F.col("_key") == F.col("k_")).filter((F.col("_o") > F.col("at")) & (fills | richer))
-        nxt = checkpointed(changing.groupBy(F.col("_key").alias("n_")).agg(F.min(item).alias("x")))
+        fills = F.exists(F.zip_with("base", "r", lambda b, n: X.nonblank(n) & ~X.nonblank(X.blank_if_null(b))), lambda x: x)
+        changing = rows.join(held, F.col("_key") == F.col("k_")).filter((F.col("o") > F.col("at")) & (fills | (_filled(F.col("r")) > _filled(F.col("base")))))
+        nxt = checkpointed(changing.groupBy(F.col("_key").alias("n_")).agg(F.min(F.struct("o", "r")).alias("x")))
         if not nxt.limit(1).count():
             return state.select("_key", "_first", "base")
         joined = state.join(nxt, F.col("_key") == F.col("n_"), "left")
-        new = F.when(F.col("x").isNull(), F.col("base")).otherwise(step(F.col("base"), F.col("x")["r"]))
-        state = checkpointed(joined.select("_key", "_first", F.coalesce("x.o", "at").alias("at"), new.alias("base")))
+        base = F.when(F.col("x").isNull(), F.col("base")).otherwise(_step(F.col("base"), F.col("x")["r"]))
+        state = checkpointed(joined.select("_key", "_first", F.coalesce("x.o", "at").alias("at"), base.alias("base")))
 
 
 def merged_simple(leads: DataFrame, order: str = "ord", columns: tuple[str, ...] = LEAD) -> DataFrame:

@@ -108,7 +108,7 @@ def top_removed(tags: DataFrame, values: dict[str, Column], k: int, order: str =
     for stage, v in values.items():
         value = F.when(F.col(column) == stage, X.blank_if_null(v)).otherwise(value)
     counts = tags.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("stage"), value.alias("value")).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
-    rank = F.row_number().over(Window.partitionBy("stage").orderBy(F.desc("n"), "first"))
+    rank = F.row_number().over(Window.partitionBy("stage").orderBy(F.desc("n"), "first")).cast("long")
     return counts.withColumn("rank", rank).filter(F.col("rank") <= k).drop("first")
 
 

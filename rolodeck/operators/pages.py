@@ -164,7 +164,7 @@ def contact_links(pages: DataFrame, patterns: DataFrame, url: str = "url", html:
     same = links.withColumn("link", full).filter(F.try_parse_url("link", F.lit("HOST")) == F.col("host"))
     hit = same.join(small(patterns), F.contains(F.lower("href"), F.col("pattern")), "left_semi")
     first = hit.groupBy(key, "link").agg(F.min("pos").alias("pos"))
-    return first.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy("pos"))).filter(F.col("rank") <= most).select(key, "rank", "link")
+    return first.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy("pos")).cast("long")).filter(F.col("rank") <= most).select(key, "rank", "link")
 
 
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"

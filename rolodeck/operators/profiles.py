@@ -36,7 +36,7 @@ def top_counts(df: DataFrame, columns: dict[str, tuple[Column, int | None]], ord
     limit = F.lit(None).cast("int")
     for k, (_, most) in columns.items():
         limit = F.when(F.col("field") == k, F.lit(most).cast("int")).otherwise(limit)
-    ranked = counts.withColumn("rank", F.row_number().over(Window.partitionBy("field").orderBy(F.desc("n"), "first")))
+    ranked = counts.withColumn("rank", F.row_number().over(Window.partitionBy("field").orderBy(F.desc("n"), "first")).cast("long"))
     return ranked.filter(limit.isNull() | (F.col("rank") <= limit)).drop("first")
 
 
@@ -141,4 +141,4 @@ def best_leads(leads: DataFrame, n: int, order: str = "ord") -> DataFrame:
 def sorted_campaigns(campaigns: DataFrame) -> DataFrame:
     """With ``place``: oldest first, those without a date last, ties by id. One row per campaign: a small table."""
     first = F.coalesce(F.nullif(X.blank_if_null(F.col("created_at")), F.lit("")), F.lit("9999"))
-    return campaigns.withColumn("place", F.row_number().over(Window.orderBy(first, "campaign_id")))
+    return campaigns.withColumn("place", F.row_number().over(Window.orderBy(first, "campaign_id")).cast("long"))

@@ -5,6 +5,8 @@ All are aggregates that combine before they shuffle. Several value counts share
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,11 +35,19 @@ def top_counts(df: DataFrame, columns: dict[str, tuple[Column, int | None]], ord
     value = lambda c: F.when(X.nonblank(X.blank_if_null(c)), c).otherwise(F.lit(empty))
     stacked = df.select(order, F.explode(F.array(*[F.struct(F.lit(k).alias("field"), value(c).alias("value")) for k, (c, _) in columns.items()])).alias("x"))
     counts = stacked.groupBy("x.field", "x.value").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
-    limit = F.lit(None).cast("int")
-    for k, (_, most) in columns.items():
-        limit = F.when(F.col("field") == k, F.lit(most).cast("int")).otherwise(limit)
-    ranked = counts.withColumn("rank", F.row_number().over(Window.partitionBy("field").orderBy(F.desc("n"), "first")).cast("long"))
-    return ranked.filter(limit.isNull() | (F.col("rank") <= limit)).drop("first")
+    rank = F.row_number().over(Window.partitionBy("field").orderBy(F.desc("n"), "first")).cast("long")
+    limits = {k: most for k, (_, most) in columns.items() if most is not None}
+    whole = [k for k in columns if k not in limits]
+    parts = []
+    if limits:  # the largest limit is a literal, so each task sends no more than so many values of a field
+        top = counts.filter(F.col("field").isin(*limits)).withColumn("rank", rank).filter(F.col("rank") <= max(limits.values()))
+        own = F.lit(0)
+        for k, most in limits.items():
+            own = F.when(F.col("field") == k, F.lit(most)).otherwise(own)
+        parts.append(top.filter(F.col("rank") <= own))
+    if whole:
+        parts.append(counts.filter(F.col("field").isin(*whole)).withColumn("rank", rank))
+    return reduce(DataFrame.unionByName, parts).drop("first")
 
 
 def distinct_counts(df: DataFrame, columns: dict[str, Column]) -> DataFrame:

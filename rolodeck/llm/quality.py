@@ -46,15 +46,21 @@ LADDER = tuple(round(0.25 * 1.25**i, 4) for i in range(14))
 def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     """Words inside windows of so many words that occur twice or more in the text, the first occurrence included.
 
-    Windows are compared exactly: runs of 1, 2, 4, 8 words are ranked, each from the ranks of its two halves, so memory stays in proportion to the words.
+    Equal windows have equal rolling hashes, so a text whose hashes all differ has none. In others, windows are compared exactly: runs of 1, 2, 4, 8 words are
+    ranked, each from the ranks of its two halves, so memory stays in proportion to the words.
     """
     n = len(words) - window + 1
     if n < 2:
         return 0
+    hashes = np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)
+    rolled = np.zeros(n, np.uint64)
+    for i in range(window):
+        rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + hashes[i : i + n]
+    rolled.sort()
+    if not (rolled[1:] == rolled[:-1]).any():
+        return 0
     seen: dict[bytes, int] = {}
     rank = np.fromiter((seen.setdefault(w, len(seen)) for w in words), np.int64, len(words))
-    if len(seen) == len(words):
-        return 0
     length = 1
     while length < window:
         step = min(length, window - length)
@@ -71,16 +77,22 @@ def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     return int((np.cumsum(edges[:-1]) > 0).sum())
 
 
+_BLANKS = b" \t\n\x0b\x0c\r"
+_UPPER, _LOWER = bytes(range(65, 91)), bytes(range(97, 123))
+_NO_CHARACTER = _BLANKS + bytes(range(0x80, 0xC0))  # a character of UTF-8 has one byte that is none of the latter
+
+
+def _count(raw: bytes, of: bytes) -> int:
+    return len(raw) - len(raw.translate(None, of))
+
+
 def features(text: bytes | None) -> tuple[int, ...]:
     """FEATURES of one text."""
     raw = text or b""
     words = raw.split()
-    lines = [x for x in raw.split(b"\n") if x.split()] if b"\n" in raw else [raw] if words else []
-    continued = np.frombuffer(b"".join(words), np.uint8)
-    chars = int(((continued & 0xC0) != 0x80).sum())
-    upper = int(((continued >= 65) & (continued <= 90)).sum())
-    lower = int(((continued >= 97) & (continued <= 122)).sum())
-    return (len(words), chars, sum(raw.count(SYMBOLS[i : i + 1]) for i in range(len(SYMBOLS))), len(lines) - len(set(lines)), repeated_words(words), len(lines), upper, upper + lower, raw.count(b"!"))
+    lines = [x for x in raw.split(b"\n") if x.strip()]
+    chars = len(raw.translate(None, _NO_CHARACTER))
+    return (len(words), chars, _count(raw, SYMBOLS), len(lines) - len(set(lines)), repeated_words(words), len(lines), _count(raw, _UPPER), _count(raw, _UPPER + _LOWER), raw.count(b"!"))
 
 
 def with_features(docs: DataFrame, text: str = "text", prefix: str = "", keep_text: bool = True) -> DataFrame:

@@ -147,8 +147,13 @@ def count_tokens_by(files: DataFrame, eod: int, width: int, step: int) -> DataFr
 
 
 def document_tokens(docs: DataFrame, vocabulary: bytes, pattern: str, id: str = "doc_id", text: str = "text", block_mb: int = 8) -> DataFrame:
-    """(id, n_tokens) of each document: its tokens are written to flat files, and these are scanned."""
-    words = Vocabulary(vocabulary, pattern)
-    manifest = write_tokens(docs, vocabulary, pattern, id=id, text=text)
+    """(id, n_tokens) of each document: its tokens are written to flat files, and these are scanned.
+
+    The files go once they are scanned; the scan's result is kept by a reliable checkpoint, so nothing reads them again.
+    """
+    words, folder = Vocabulary(vocabulary, pattern), new_folder(docs.sparkSession, "tokens")
+    manifest = write_tokens(docs, vocabulary, pattern, folder, id, text)
     counts = count_tokens(manifest, words.eod, words.dtype.itemsize, block_mb).withColumnsRenamed({"path": "path_", "ordinal": "ordinal_"})
+    files, inner = filesystem(folder)
+    files.delete_dir_contents(inner, missing_dir_ok=True)
     return manifest.join(counts, (F.col("path") == F.col("path_")) & (F.col("ordinal") == F.col("ordinal_"))).select(F.col("id").alias(id), "n_tokens")

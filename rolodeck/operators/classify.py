@@ -65,6 +65,16 @@ def country_class(df: DataFrame, code: str, name: str, tld: str, phone: str, for
     return df.withColumns({"verdict": verdict, "why": why})
 
 
+def industry_source(codes: Column, content: Column, least: int = 50) -> Column:
+    """What an industry can be told from: codes, else a website with so many characters, else none."""
+    return F.when(codes, "codes").when(F.length(X.blank_if_null(content)) >= least, "website").otherwise("none")
+
+
+def industry_preferred(own: Column, model: Column, unknown: tuple[str, ...] = ("", "unknown", "n/a")) -> Column:
+    """The lead's own industry unless it says nothing; else the model's."""
+    return F.when(X.key(own).isin(*unknown), model).otherwise(own)
+
+
 def filter_gaps(active: DataFrame, capabilities: DataFrame, keep_rates: dict[str, float], most: float = 4.0) -> DataFrame:
     """Per source: filters it supports, drops but can be enforced, or loses; and how many times more rows to ask for.
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..operators import classify as C, filters as L, joins as J, profiles as P
+from ..operators import classify as C, filters as L, joins as J, profiles as P, sets as S
 from .q_filters import _REL
 from .q_joins import _KEPT
 from .registry import query
@@ -53,7 +53,7 @@ query(
     "SELECT term, x.niche IS NOT NULL AS passed, coalesce(x.cs, '') AS categories FROM (SELECT DISTINCT niche AS term FROM fx_places UNION ALL SELECT 'nothing') LEFT JOIN (SELECT niche, string_agg(categoryName, '|' ORDER BY n DESC, first) AS cs FROM (SELECT niche, categoryName, count(*) AS n, min(ord) AS first FROM fx_places GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY niche ORDER BY n DESC, first) <= 3) GROUP BY 1) x ON x.niche = term",
 )(lambda t: P.term_categories(t("fx_places"), t("fx_places").select(F.col("niche").alias("term")).distinct().unionByName(t.spark.range(1).select(F.lit("nothing").alias("term"))), "niche", "categoryName"))
 _STREAM = "CASE WHEN len(emails) > 0 AND ord % 4 <> 3 THEN 'email' WHEN phone <> '' THEN 'call' ELSE 'none' END"
-_stream = lambda: F.when((F.size("emails") > 0) & (F.col("ord") % 4 != 3), "email").when(F.col("phone") != "", "call").otherwise("none")
+_stream = lambda: S.stream(F.when(F.col("ord") % 4 != 3, F.col("emails")), F.col("phone"))
 query("set_split3", f"SELECT ord, {_STREAM} AS stream FROM fx_places")(lambda t: t("fx_places").select("ord", _stream().alias("stream")))
 query("agg_split_summary", f"SELECT {_STREAM} AS stream, website <> '' AS has_web, count(*) AS n FROM fx_places GROUP BY 1, 2")(lambda t: t("fx_places").groupBy(_stream().alias("stream"), (F.col("website") != "").alias("has_web")).agg(F.count(F.lit(1)).alias("n")))
 # --- web scores
@@ -103,9 +103,9 @@ query(
 query("srt_campaign", "SELECT campaign_id, row_number() OVER (ORDER BY coalesce(nullif(created_at, ''), '9999'), campaign_id) AS place FROM fx_campaigns")(lambda t: P.sorted_campaigns(t("fx_campaigns")).select("campaign_id", "place"))
 query("lim_n", "SELECT ord FROM fx_leads WHERE linkedin_url <> '' ORDER BY ord LIMIT 25")(lambda t: t("fx_leads").filter("linkedin_url <> ''").orderBy("ord").limit(25).select("ord"))
 # --- sets
-query("set_concat", "SELECT ord, email, source FROM fx_leads UNION ALL SELECT ord, \"Email\", '' FROM fx_reviewed")(lambda t: t("fx_leads").select("ord", "email", "source").unionByName(t("fx_reviewed").select("ord", F.col("Email").alias("email")), allowMissingColumns=True).select("ord", "email", X.blank_if_null(F.col("source")).alias("source")))
-query("set_new_emails", "SELECT count(*) AS n FROM (SELECT DISTINCT lower(\"Email\") FROM fx_reviewed WHERE \"Email\" <> '' EXCEPT SELECT lower(email) FROM fx_leads)")(lambda t: t("fx_reviewed").filter("Email <> ''").select(X.key(F.col("Email")).alias("e")).subtract(t("fx_leads").select(X.key(F.col("email")).alias("e"))).agg(F.count(F.lit(1)).alias("n")))
-query("set_union_sources", "SELECT ord, array_to_string(list_sort(list_distinct(list_concat(string_split(source, ','), ['feed_a', 'feed_z']))), ',') AS sources FROM fx_leads")(lambda t: t("fx_leads").select("ord", F.array_join(F.array_sort(F.array_distinct(F.concat(F.split("source", ","), F.array(F.lit("feed_a"), F.lit("feed_z"))))), ",").alias("sources")))
+query("set_concat", "SELECT ord, email, source FROM fx_leads UNION ALL SELECT ord, \"Email\", '' FROM fx_reviewed")(lambda t: S.concatenated(t("fx_leads").select("ord", "email", "source"), t("fx_reviewed").select("ord", F.col("Email").alias("email"))))
+query("set_new_emails", "SELECT count(*) AS n FROM (SELECT DISTINCT lower(\"Email\") FROM fx_reviewed WHERE \"Email\" <> '' EXCEPT SELECT lower(email) FROM fx_leads)")(lambda t: S.new_emails(t("fx_leads"), t("fx_reviewed")))
+query("set_union_sources", "SELECT ord, array_to_string(list_sort(list_distinct(list_concat(string_split(source, ','), ['feed_a', 'feed_z']))), ',') AS sources FROM fx_leads")(lambda t: t("fx_leads").select("ord", S.union_sources(F.col("source"), F.lit("feed_z,feed_a")).alias("sources")))
 # --- classes
 _labels = lambda: ", ".join(f"CASE WHEN regexp_matches(lower(title), '{p.split('|' + chr(92) + 'bassistant')[0]}') THEN '{k}' END" for k, p in C.SENIORITY)  # noqa: E731  DuckDB has no lookahead; no title here says assistant
 query("cls_seniority", f"SELECT ord, array_to_string(list_filter([{_labels()}], lambda x: x IS NOT NULL), ',') AS labels FROM fx_leads")(
@@ -131,5 +131,5 @@ query(
     """SELECT search_id, string_agg(bucket, '|' ORDER BY b.low) AS buckets FROM (SELECT search_id, (search_id % 7) * 1000000 AS lo, CASE WHEN search_id % 2 = 0 THEN NULL ELSE (1 + search_id % 9) * 5000000 END AS hi FROM fx_searches WHERE search_id % 5 <> 0) s
     JOIN cfg_revenue b ON CASE WHEN hi IS NULL THEN b.high > lo AND b.low < lo * 100 ELSE b.high > lo AND b.low < hi END GROUP BY search_id""",
 )(lambda t: C.revenue_buckets(_searches(t).withColumn("revenue_max", F.when(F.col("search_id") % 2 != 0, F.col("revenue_max"))), "search_id", "revenue_min", "revenue_max", t("cfg_revenue")))
-query("cls_industry_src", "SELECT page_id AS ord, CASE WHEN page_id % 3 = 0 THEN 'codes' WHEN length(html) >= 50 THEN 'website' ELSE 'none' END AS src FROM pages")(lambda t: t("pages").select(F.col("page_id").alias("ord"), F.when(F.col("page_id") % 3 == 0, "codes").when(F.length("html") >= 50, "website").otherwise("none").alias("src")))
-query("cls_industry_pref", "SELECT ord, CASE WHEN lower(trim(industry)) IN ('', 'unknown', 'n/a') THEN 'model' ELSE industry END AS industry FROM fx_labels")(lambda t: t("fx_labels").select("ord", F.when(X.key(F.col("industry")).isin("", "unknown", "n/a"), "model").otherwise(F.col("industry")).alias("industry")))
+query("cls_industry_src", "SELECT page_id AS ord, CASE WHEN page_id % 3 = 0 THEN 'codes' WHEN length(html) >= 50 THEN 'website' ELSE 'none' END AS src FROM pages")(lambda t: t("pages").select(F.col("page_id").alias("ord"), C.industry_source(F.col("page_id") % 3 == 0, F.col("html")).alias("src")))
+query("cls_industry_pref", "SELECT ord, CASE WHEN lower(trim(industry)) IN ('', 'unknown', 'n/a') THEN 'model' ELSE industry END AS industry FROM fx_labels")(lambda t: t("fx_labels").select("ord", C.industry_preferred(F.col("industry"), F.lit("model")).alias("industry")))

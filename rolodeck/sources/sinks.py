@@ -105,11 +105,14 @@ def write_mode(df: DataFrame, path: str, mode: str) -> None:
     df.write.mode({"create": "errorifexists", "append": "append", "replace": "overwrite"}[mode]).parquet(path)
 
 
-def fan_out(df: DataFrame, path: str, niche: str = "niche") -> DataFrame:
-    """Writes a partition for each niche, replacing those written before and no others; returns the summary (niche, rows)."""
+def fan_out(df: DataFrame, path: str, niche: str = "niche", keep_others: bool = False) -> DataFrame:
+    """Writes a partition for each niche, all together being the combined output; returns the summary (niche, rows).
+
+    Niches written before and not in df are dropped, or stay with keep_others; those in df are replaced.
+    """
     safe = F.regexp_replace(F.lower(X.blank_if_null(F.col(niche))), "[^a-z0-9]+", "_")
     tagged = df.withColumn("niche_safe", safe)
-    tagged.write.partitionBy("niche_safe").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+    tagged.write.partitionBy("niche_safe").option("partitionOverwriteMode", "dynamic" if keep_others else "static").mode("overwrite").parquet(path)
     return tagged.groupBy("niche_safe").agg(F.count(F.lit(1)).alias("rows"))
 
 

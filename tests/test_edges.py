@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rolodeck.functions import names, text
-from rolodeck.operators import classify, dedup, enrich, filters, joins, normalize, pages, profiles, searches
+from rolodeck.operators import classify, dedup, enrich, filters, joins, normalize, pages, profiles, searches, sets
 from rolodeck.schemas import LEAD
 from rolodeck.sources import readers, sinks
 
@@ -205,6 +205,21 @@ def test_modes(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3
 
 
+def test_fan_out_drops_stale_niches(spark, tmp_path):
+    path, df = str(tmp_path / "t"), spark.createDataFrame([(1, "A b"), (2, "c")], "ord int, niche string")
+    sinks.fan_out(df, path)
+    sinks.fan_out(df.filter("ord = 2"), path, keep_others=True)
+    assert spark.read.parquet(path).count() == 2
+    assert [tuple(r) for r in sinks.fan_out(df.filter("ord = 2"), path).collect()] == [("c", 1)]
+    assert [r.ord for r in spark.read.parquet(path).collect()] == [2]
+
+
+def test_streams_and_unions(spark):
+    df = spark.createDataFrame([(["a@b"], "", "b,a"), ([], "+1", None), (None, None, ",b,")], "e array<string>, p string, s string")
+    got = df.select(sets.stream(F.col("e"), F.col("p")).alias("v"), sets.union_sources(F.col("s"), F.lit("c,a")).alias("u")).collect()
+    assert [(r.v, r.u) for r in got] == [("email", "a,b,c"), ("call", "a,c"), ("none", "a,b,c")]
+
+
 def test_empty_input(spark):
     none = leads(spark, [])
     assert dedup.merged_by_email(none).count() == 0

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .util import binary, checkpointed, extended, fresh, text_slices
+from .util import binary, checkpointed, extended, free_prefix, fresh, text_slices
 
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_exclaims")
 SYMBOLS = b"#*$%&|<>"
@@ -206,8 +206,6 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, stratum: str = "lang",
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", id: str = "doc_id", text: str = "text", alpha: float = 0.01, delta: float = 0.05) -> DataFrame:
     """docs without the rows that the rules reject. The documents themselves are never shuffled."""
     cutoffs = checkpointed(choose_cutoffs(docs, labels, stratum, id, text, alpha=alpha, delta=delta))
-    prefix = "_q_"
-    while any(c.lower().startswith(prefix) for c in docs.columns):
-        prefix += "_"
+    prefix = free_prefix(docs.columns, "_q_")
     verdicts = judged(with_features(docs, text, prefix), cutoffs, stratum, prefix, (f"{prefix}base", f"{prefix}kept"))
     return verdicts.filter(F.col(f"{prefix}kept")).select(*docs.columns)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..cluster import checkpointed, shared_folder
 
-__all__ = ["WORD", "binary", "checkpointed", "extended", "filesystem", "fresh", "new_folder", "shared_folder", "table", "text_or_empty", "text_slices"]
+__all__ = ["WORD", "binary", "checkpointed", "extended", "filesystem", "free_prefix", "fresh", "new_folder", "shared_folder", "table", "text_or_empty", "text_slices"]
 
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -27,6 +27,14 @@ def fresh(columns: Iterable[str], base: str) -> str:
     return name
 
 
+def free_prefix(columns: Iterable[str], base: str) -> str:
+    """A prefix that starts with base and that none of columns starts with."""
+    prefix, names = base, [c.lower() for c in columns]
+    while any(c.startswith(prefix) for c in names):
+        prefix += "_"
+    return prefix
+
+
 def new_folder(spark: SparkSession, kind: str) -> str:
     """A path, not used before, for files of one run inside the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"

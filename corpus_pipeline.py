@@ -6,29 +6,51 @@ returns what it keeps in the same columns; the last adds shard and slot. A docum
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rolodeck import cluster
 from rolodeck.llm import decontaminate, mixing, quality, sharding, simhash
-from rolodeck.llm.util import fresh, table
+from rolodeck.llm.util import free_prefix, fresh, table
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def on_cluster(stage: Stage) -> Stage:
+    """stage, after the package was put on the executors' Python path."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        cluster.ship(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
 
 
+@on_cluster
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that base rules or certified cutoffs reject."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+@on_cluster
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group: the one with the smallest doc_id."""
     return simhash.keep_one(docs, words=4, max_bits=4)
 
 
+@on_cluster
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that hold benchmark passages in at least a twentieth of their words."""
-    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"), prefix=(p := fresh([c[:2] for c in docs.columns], "_d")))
-    return found.filter(~F.col(f"{p}contaminated")).select(*docs.columns)
+    prefix = free_prefix(docs.columns, "_d_")
+    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"), prefix=prefix)
+    return found.filter(~F.col(f"{prefix}contaminated")).select(*docs.columns)
 
 
+@on_cluster
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of sources takes it: never, once or twice."""
     times = fresh(docs.columns, "_times")
@@ -37,6 +59,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return taken.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).drop(times)
 
 
+@on_cluster
 def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row with its shard (0 to 15) and slot."""
     return sharding.shard(docs, 16)
@@ -49,7 +72,7 @@ STAGES = [
     ("source mixing", mix_sources),
     ("sharding", assign_shards),
 ]
-#: Quality cutoffs, SimHash groups and WARC-like side effects are beyond SQL; tests compare each stage with a brute-force version.
+#: XXH64 fingerprints and hash-ordered row numbers are beyond DuckDB's SQL; tests compare each stage with a brute-force version.
 ORACLE_SQL = None
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -60,11 +61,22 @@ SECTION_RULES = TextRules(
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
-def _hits(selector: str, tag: str, attributes: dict[str, str]) -> bool:
-    name, sign, value = (m[1], m[2], m[3]) if (m := re.fullmatch(r"(\w+)([*~]?=)(.+)", selector)) else (selector, "", "")
-    if not sign:
-        return tag == name
-    has = attributes.get(name, "")
+@lru_cache
+def _selectors(rules: TextRules) -> tuple[dict[str, list[str]], dict[str, list[tuple[str, str, str]]], dict[str, int]]:
+    """The rules' selectors by tag, and by attribute as (sign, value, selector); how many elements each takes."""
+    limits = {s: b.most for b in rules.blocks for s in b.selectors} | {"body": 1}
+    tags: dict[str, list[str]] = {}
+    attributes: dict[str, list[tuple[str, str, str]]] = {}
+    for s in limits:
+        m = re.fullmatch(r"(\w+)([*~]?=)(.+)", s)
+        if m:
+            attributes.setdefault(m[1], []).append((m[2], m[3], s))
+        else:
+            tags.setdefault(s, []).append(s)
+    return tags, attributes, limits
+
+
+def _hit(sign: str, value: str, has: str) -> bool:
     return value in has if sign == "*=" else value in has.split() if sign == "~=" else has == value
 
 
@@ -74,7 +86,7 @@ class _Reader(HTMLParser):
     def __init__(self, rules: TextRules):
         super().__init__(convert_charrefs=True)
         self.skip = set(rules.skip)
-        self.limits = {s: b.most for b in rules.blocks for s in b.selectors} | {"body": 1}
+        self.tags, self.attributes, self.limits = _selectors(rules)
         self.found: dict[str, list[list[str]]] = {s: [] for s in self.limits}
         self.stack: list[tuple[str, bool, list[list[str]]]] = []
 
@@ -84,9 +96,11 @@ class _Reader(HTMLParser):
         hidden = tag in self.skip or bool(self.stack) and self.stack[-1][1]
         opened = []
         if not hidden:
-            attributes = {k: v or "" for k, v in attrs}
-            for selector, most in self.limits.items():
-                if len(self.found[selector]) < most and _hits(selector, tag, attributes):
+            hits = [*self.tags.get(tag, ())]
+            for name, has in dict(attrs).items():
+                hits += [s for sign, value, s in self.attributes.get(name, ()) if _hit(sign, value, has or "")]
+            for selector in hits:
+                if len(self.found[selector]) < self.limits[selector]:
                     self.found[selector].append([])
                     opened.append(self.found[selector][-1])
         self.stack.append((tag, hidden, opened))

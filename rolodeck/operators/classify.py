@@ -45,15 +45,20 @@ def country_class(df: DataFrame, code: str, name: str, tld: str, phone: str, for
     The company's country decides, as code or name; else signals of domain, e-mail domain (if its ending differs) and phone are weighed: all domestic or all foreign
     decide, a mix and none are uncertain. Endings that are neither the country's own nor on its foreign list give no signal.
     """
-    ending = X.tld(lead_domain(df.columns), compound)
-    mail = X.tld(X.email_domain(F.col("email")), compound)
-    prefix = X.phone_prefix4(*map(X.blank_if_null, own(df.columns, ("organization_phone", "company_phone", "phone"))))
+    # Step by step, so that each part is worked out once for all that use it.
+    found = df.withColumns(
+        {
+            "_ending": X.tld(lead_domain(df.columns), compound),
+            "_mail": X.tld(X.email_domain(F.col("email")), compound),
+            "_prefix": X.phone_prefix4(*map(X.blank_if_null, own(df.columns, ("organization_phone", "company_phone", "phone")))),
+            "_known": F.upper(X.strip(X.blank_if_null(F.col("company_country")))),
+        }
+    )
+    ending, mail, prefix, known = (F.col(c) for c in ("_ending", "_mail", "_prefix", "_known"))
     signals = {"domain": (ending, ending == tld, ending.isin(*foreign)), "email": (mail, (mail == tld) & (mail != ending), mail.isin(*foreign) & (mail != ending)), "phone": (prefix, prefix.startswith(phone), (prefix != "") & ~prefix.startswith(phone))}
-    plus = F.array_compact(F.array(*[F.when(home, F.concat(F.lit(f"{k}="), v)) for k, (v, home, _) in signals.items()]))
-    minus = F.array_compact(F.array(*[F.when(away, F.concat(F.lit(f"{k}="), v)) for k, (v, _, away) in signals.items()]))
-    known = F.upper(X.strip(X.blank_if_null(F.col("company_country"))))
-    told = known.isin(code.upper(), name.upper())
-    p, m = F.array_join(plus, ","), F.array_join(minus, ",")
+    listed = lambda side: F.array_join(F.array_compact(F.array(*[F.when(s[side], F.concat(F.lit(f"{k}="), s[0])) for k, s in signals.items()])), ",")
+    found = found.withColumns({"_plus": listed(1), "_minus": listed(2)})
+    p, m, told = F.col("_plus"), F.col("_minus"), known.isin(code.upper(), name.upper())
     verdict = F.when(known != "", F.when(told, "domestic").otherwise("foreign")).when((p != "") & (m == ""), "domestic").when((m != "") & (p == ""), "foreign").otherwise("uncertain")
     why = (
         F.when(known != "", F.when(told, F.lit("company_country")).otherwise(F.concat(F.lit("company_country="), known)))
@@ -62,7 +67,7 @@ def country_class(df: DataFrame, code: str, name: str, tld: str, phone: str, for
         .when(p != "", F.concat(F.lit("conflict:domestic="), p, F.lit("|foreign="), m))
         .otherwise("no_signals")
     )
-    return df.withColumns({"verdict": verdict, "why": why})
+    return found.withColumns({"verdict": verdict, "why": why}).drop("_ending", "_mail", "_prefix", "_known", "_plus", "_minus")
 
 
 def industry_source(codes: Column, content: Column, least: int = 50) -> Column:

@@ -62,7 +62,7 @@ def test_merge_is_a_fold(spark):
 
 
 def brute_merge(rows):
-    """The reference rule, row by row."""
+    """The fold, row by row."""
     count = lambda r: sum(bool(r[c].strip()) for c in LEAD)
     out = {}
     for r in rows:

@@ -4,6 +4,9 @@ Known licence sentences have identifiers. A text is cut into sentences, each is
 mapped to its identifier; ordered rules then name the licence whose identifier sequence occurs in the text's sequence. A rule that matches
 takes its identifiers away, so a later, shorter rule can't claim them again. What stays is reported as ``unmatched``.
 
+A line's end may be a sentence's end or lie inside it: a known sentence is found on a line of its own and wrapped over lines, with or without
+comment or bullet marks before them. Of the known sentences that begin at one place the longest counts. None runs across a blank line (or one of marks only).
+
 All of it is one projection: no shuffle, no Python. A cheap test for the few words without which no known sentence can be spares ordinary
 texts the cutting and mapping; it loses nothing, for ANCHORS holds a word of every known sentence and prefix.
 
@@ -20,16 +23,24 @@ SENTENCES = {
     "released under the mit license": "MitRef",
     "licensed under the mit license": "MitRef",
     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction": "MitGrant",
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "MitGrant",
     "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software": "MitNotice",
     "the software is provided as is without warranty of any kind": "MitAsIs",
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement": "MitAsIs",
     "licensed under the apache license version 2 0": "Apache2Ref",
     "licensed under the apache license version 2 0 the license": "Apache2Ref",
+    "the asf licenses this file to you under the apache license version 2 0 the license": "Apache2Ref",
     "you may not use this file except in compliance with the license": "Apache2Comply",
     "you may obtain a copy of the license at": "Apache2Copy",
+    "you may obtain a copy of the license at http www apache org licenses license 2 0": "Apache2Copy",
+    "you may obtain a copy of the license at https www apache org licenses license 2 0": "Apache2Copy",
     "this work is licensed under the gnu general public license version 3": "Gpl3Ref",
     "licensed under the gnu general public license version 3": "Gpl3Ref",
     "licensed under the gnu general public license version 2": "Gpl2Ref",
     "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license": "GplGrant",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation": "GplGrant",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "Gpl3LaterGrant",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version": "Gpl2LaterGrant",
     "either version 3 of the license or at your option any later version": "GplLater3",
     "either version 2 of the license or at your option any later version": "GplLater2",
     "licensed under cc by nc 4 0": "CcByNc4Ref",
@@ -49,9 +60,13 @@ PREFIXES = {"spdx license identifier ": "Spdx", "copyright c ": "Copyright", "co
 RULES = [
     ("MIT", ["MitGrant", "MitNotice", "MitAsIs"]),
     ("MIT", ["MitGrant", "MitNotice"]),
+    ("BSD-3-Clause", ["Copyright", "AllRights", "BsdGrant", "BsdSource", "BsdEndorse"]),
     ("BSD-3-Clause", ["BsdGrant", "BsdSource", "BsdEndorse"]),
+    ("BSD-2-Clause", ["Copyright", "AllRights", "BsdGrant", "BsdSource"]),
     ("BSD-2-Clause", ["BsdGrant", "BsdSource"]),
+    ("GPL-3.0-or-later", ["Gpl3LaterGrant"]),
     ("GPL-3.0-or-later", ["GplGrant", "GplLater3"]),
+    ("GPL-2.0-or-later", ["Gpl2LaterGrant"]),
     ("GPL-2.0-or-later", ["GplGrant", "GplLater2"]),
     ("Apache-2.0", ["Apache2Ref", "Apache2Comply", "Apache2Copy"]),
     ("Apache-2.0", ["Apache2Ref"]),
@@ -67,8 +82,10 @@ RULES = [
 # Each known sentence or prefix has one of these words in it.
 ANCHORS = ["license", "licensed", "permission", "copyright", "software", "redistribution", "rights reserved", "under cc"]
 
-#: A sentence ends at a line's end, or at one of these marks before white space or the text's end.
+#: A sentence ends at one of these marks before white space or the text's end, at a blank line, and may end at a line's end.
 ENDS = "[.;:!?]+([ \\t\\n\\r\\f]|$)"
+#: "2)" before an item of a list ends a sentence as well.
+ITEM = r"(^|\n)[^a-z0-9\n]*[0-9]{1,2}\)"
 
 
 def normalised(sentence: str) -> str:
@@ -80,9 +97,15 @@ def normalised(sentence: str) -> str:
 
 def sentence_ids(text: Column, sentences: dict[str, str] = SENTENCES, prefixes: dict[str, str] = PREFIXES, anchors: list[str] | None = ANCHORS) -> Column:
     """The identifiers of a text's known sentences, in order."""
+    import re
+
     low = F.lower(text)
     known = F.create_map(*[F.lit(x) for pair in sentences.items() for x in pair])
-    clean = F.regexp_replace(F.regexp_replace(low, ENDS, "\n"), r"[^a-z0-9\n]+", " ")
+    clean = F.regexp_replace(F.regexp_replace(F.regexp_replace(low, ENDS, "\n\n"), ITEM, "\n\n"), r"[^a-z0-9\n]+", " ")
+    # From here on "|" is a sentence's end and "~" a line's end that may be one.
+    clean = F.trim(F.regexp_replace(F.regexp_replace(clean, r" ?\n ?\n[ \n]*", "|"), r" ?\n ?", "~"))
+    forms = [re.escape(s).replace(r"\ ", "[ ~]") for s in sorted(sentences, key=len, reverse=True)] + [re.escape(s).replace(r"\ ", "[ ~]") + "[^|~]*+" for s in prefixes]
+    begun = F.regexp_extract_all(clean, F.lit(f"(?:^|[|~])({'|'.join(forms)})(?=[|~]|$)"), 1)
 
     def identifier(s: Column) -> Column:
         found = F.try_element_at(known, s)
@@ -91,7 +114,7 @@ def sentence_ids(text: Column, sentences: dict[str, str] = SENTENCES, prefixes:
             found = F.coalesce(found, F.when(s.startswith(start), label))
         return found
 
-    ids = F.filter(F.transform(F.split(clean, "\n"), lambda s: identifier(F.trim(s))), lambda x: x.isNotNull())
+    ids = F.transform(F.transform(begun, lambda s: F.translate(s, "~", " ")), identifier)
     none = F.array().cast("array<string>")
     if anchors is None:
         return F.coalesce(ids, none)

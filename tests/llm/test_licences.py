@@ -82,3 +82,89 @@ def test_clash_and_empty(spark):
     with pytest.raises(ValueError):
         L.scan(df)
     assert L.scan(df, into=("a", "b", "c")).count() == 0
+
+
+MIT = """MIT License
+
+Copyright (c) 2021 Jo Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD2 = """Copyright (c) 2021, Jo Doe
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD2 + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+APACHE = """Copyright 2021 Jo Doe
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+"""
+GPL3 = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+"""
+GPL2 = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+"""
+
+
+def commented(text, mark):
+    return "".join(f"{mark}{line}\n" for line in text.splitlines())
+
+
+def test_original_texts(spark):
+    """Verbatim, wrapped, in comments, on one line a paragraph, and with other list marks: licences and unmatched are written by hand."""
+    want = [(MIT, ["MIT"], 1), (BSD2, ["BSD-2-Clause"], 0), (BSD3, ["BSD-3-Clause"], 0), (APACHE, ["Apache-2.0"], 1), (GPL3, ["GPL-3.0-or-later"], 0), (GPL2, ["GPL-2.0-or-later"], 0)]
+    cases = []
+    for text, names, left in want:
+        forms = [text, text.replace("\n", "\r\n"), *(commented(text, m) for m in (" * ", "# ", "// ", "-- ")), "Prose\nbefore it\n\n" + text + "\nand after", re.sub(r"(?<!\n)\n(?!\n|All)", " ", text)]
+        cases += [(f, names, left) for f in forms + [re.sub(r"(?m)^(\d)\.", r"\1)", text), re.sub(r"(?m)^\d\.", "*", text)]]
+    cases += [
+        ("A title\nReleased under the MIT License\nmore words", ["MIT"], 0),
+        ("Released under the\n\nMIT License", [], 0),
+        ("Foo is not released under the\nMIT License", [], 0),
+        (MIT.replace("to deal\nin", "to trade\nin"), [], 3),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(cases)], "doc_id int, text string")
+    for r in L.scan(df).collect():
+        assert (r.licences, r.unmatched) == cases[r.doc_id][1:], (r.text, r.sentence_ids)

@@ -79,8 +79,8 @@ RULES = [
     ("MPL-2.0", ["Mpl2Ref"]),
     ("Proprietary", ["Copyright", "AllRights"]),
 ]
-# Each known sentence or prefix has one of these words in it.
-ANCHORS = ["license", "licensed", "permission", "copyright", "software", "redistribution", "rights reserved", "under cc"]
+# Each known sentence or prefix has one of these words in it. Single words: between two, the text may have any marks and blanks.
+ANCHORS = ["license", "permission", "copyright", "software", "redistribution", "reserved"]
 
 #: A sentence ends at one of these marks before white space or the text's end, at a blank line, and may end at a line's end.
 ENDS = "[.;:!?]+([ \\t\\n\\r\\f]|$)"

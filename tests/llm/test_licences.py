@@ -75,6 +75,15 @@ def test_anchors_lose_nothing(spark):
     assert a == b
 
 
+def test_anchors_lose_nothing_between_words(spark):
+    """A known sentence as a text's only one, whatever stands between its words."""
+    assert not any(" " in a for a in L.ANCHORS)
+    texts = [s.strip().replace(" ", gap) for s in L.SENTENCES for gap in ("  ", "\t", "\u00a0", "-", "\n")]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = df.select("text", L.sentence_ids(F.col("text")).alias("v")).collect()
+    assert [r.v for r in got] == [[name] for name in L.SENTENCES.values() for _ in range(5)]
+
+
 def test_clash_and_empty(spark):
     import pytest
 

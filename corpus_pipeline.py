@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rolodeck import cluster
-from rolodeck.llm import decontaminate, mixing, quality, sharding, simhash
+from rolodeck.llm import decontaminate, mixing, overlap, quality, sharding
 from rolodeck.llm.util import free_prefix, fresh, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -38,8 +38,8 @@ def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 @on_cluster
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group: the one with the smallest doc_id."""
-    return simhash.keep_one(docs, words=4, max_bits=4)
+    """One document of each group of near copies (five-word shingles, similarity 0.8 or more): the one with the smallest doc_id."""
+    return overlap.keep_one(docs, words=5, similarity=0.8)
 
 
 @on_cluster

@@ -1,0 +1,167 @@
+"""Near copies by what they share: exact Jaccard similarity of word shingles, over candidates from banded minima.
+
+A document's shingles are its runs of ``words`` lower-cased words (a shorter text is one shingle), as 64-bit hashes. Two documents are linked
+if their sets of shingles have a Jaccard similarity of at least ``similarity``, and a group is all that links reach.
+
+1. Equal sets collapse into one *node*, so exact copies cost one.
+2. A node has ``bands`` keys, each made of the smallest shingles under ``rows`` hash functions. Two nodes of similarity s share one of them with
+   probability 1 - (1 - s**rows)**bands: with 32 of 6, 0.99994 for 0.8 and more above it. That is the search's only approximation.
+3. In each key's bucket, the node that shares most keys with others is the centre, and all others are compared with it, set with set.
+4. What is linked becomes components. Nodes that share a bucket but not a component are compared with each other, set with set: after this,
+   every candidate pair is compared or connected already. Pairs are first tested by their sets' sizes, which loses none.
+
+Defined results: all null or word-less texts are one node. Repeated rows, null ids and empty tables are as in ``simhash``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .simhash import components, content_hash, one_of_each
+from .util import binary, checkpointed, extended, text_slices
+
+ROUND = 1e-9  # of floating-point products
+
+
+def shingles(text: bytes | None, words: int, seed: int = 42) -> np.ndarray:
+    """The hashes of a text's distinct shingles, ascending."""
+    import xxhash
+
+    tokens = (text or b"").lower().split()
+    if not tokens:
+        return np.zeros(0, np.uint64)
+    joined = b" ".join(tokens)
+    ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    tails = ends[min(words, len(tokens)) - 1 :]
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts[: len(tails)].tolist(), tails.tolist(), strict=True)), np.uint64, len(tails)))
+
+
+def band_keys(found: np.ndarray, bands: int, rows: int) -> list[int]:
+    """One key for each band, as signed numbers; a band's number is part of its key."""
+    import xxhash
+
+    if not len(found):
+        return []
+    draw = np.random.default_rng(7).integers(0, 1 << 63, (2, bands * rows), dtype=np.uint64)
+    times, plus = (draw[0] << np.uint64(1)) | np.uint64(1), draw[1]
+    least = np.full(bands * rows, ~np.uint64(0))
+    for at in range(0, len(found), 4096):  # so that a very long text takes bounded memory
+        least = np.minimum(least, (found[at : at + 4096, None] * times + plus).min(axis=0))
+    kept = least.reshape(bands, rows)
+    return np.array([xxhash.xxh64_intdigest(kept[i].tobytes(), i) for i in range(bands)], np.uint64).view(np.int64).tolist()
+
+
+def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two sets of shingles have that Jaccard similarity at least."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both + ROUND >= similarity * (len(a) + len(b) - both)
+
+
+def with_keys(df: DataFrame, text: str, words: int, bands: int, rows: int) -> DataFrame:
+    """df without text, and ``node`` (a hash of the set of shingles), ``size`` (of that set), ``keys``. Narrow: no shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for batch in text_slices(batches, text):
+            nodes, sizes, keys = [], [], []
+            for t in binary(batch.column(text)):
+                found = shingles(t, words)
+                nodes.append(xxhash.xxh64_intdigest(found.tobytes(), 7))
+                sizes.append(len(found))
+                keys.append(band_keys(found, bands, rows))
+            kept = [i for i, c in enumerate(batch.schema.names) if c != text]
+            columns = [*(batch.column(i) for i in kept), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*(batch.schema.names[i] for i in kept), "node", "size", "keys"])
+
+    schema = extended(df.drop(text), [T.StructField("node", T.LongType()), T.StructField("size", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+    return df.mapInArrow(run, schema)
+
+
+def with_sets(df: DataFrame, text: str, words: int) -> DataFrame:
+    """(node, shingles) of df's node and text. Narrow."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, text):
+            sets = [shingles(t, words).tobytes() for t in binary(batch.column(text))]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], names=["node", "shingles"])
+
+    return df.select("node", text).mapInArrow(run, "node long, shingles binary")
+
+
+def linked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Those of the distinct pairs (node, root) that are similar. A root's set moves once, its partners' once a pair."""
+    asked = pairs.select(F.col("root").alias("root_"), F.col("node").alias("node_"), F.lit(1).alias("place"))
+    own = pairs.select(F.col("root").alias("root_"), F.col("root").alias("node_"), F.lit(0).alias("place")).distinct()
+    dealt = asked.unionByName(own).join(sets, F.col("node_") == F.col("node")).select("root_", "place", "node_", "shingles")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, centre = None, np.zeros(0, np.uint64)
+        for batch in batches:
+            nodes, roots = [], []
+            for root, place, node, found in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                found = np.frombuffer(found, np.uint64)
+                if not place:
+                    held, centre = root, found
+                elif held == root and similar(centre, found, similarity):
+                    nodes.append(node)
+                    roots.append(root)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(roots, pa.int64())], names=["node", "root"])
+
+    return dealt.repartition("root_").sortWithinPartitions("root_", "place").mapInArrow(run, "node long, root long")
+
+
+def near(one: str, other: str, similarity: float) -> Column:
+    """Whether sets of such sizes can be similar enough."""
+    return F.least(one, other) + ROUND >= similarity * F.greatest(one, other)
+
+
+def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, bands: int = 32, rows: int = 6) -> DataFrame:
+    """One row of docs, with all its columns, for each group: the one with the smallest id, nulls last, ties by a hash of the text."""
+    d = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"), content_hash(text).alias("content"))
+    prints = checkpointed(with_keys(d, "text", words, bands, rows))
+    first = F.min(F.struct(F.col("id").isNull().alias("missing"), F.col("id").alias("id"), F.col("content").alias("hash")))
+    members = checkpointed(prints.groupBy("node").agg(first.alias("first")))
+
+    # Buckets of two nodes or more, with how many keys a node shares with others, counted by node and bucket.
+    keyed = checkpointed(prints.select("node", "size", F.explode("keys").alias("key")).distinct())
+    buckets = keyed.groupBy(F.col("key").alias("key_")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = checkpointed(keyed.join(buckets, F.col("key") == F.col("key_")).select("key", "node", "size", "n"))
+    weight = shared.groupBy(F.col("node").alias("node_")).agg(F.sum("n").alias("weight"))
+    wanted = members.join(weight, F.col("node") == F.col("node_"), "left_semi").select("node", F.col("first.id").alias("id_"), F.col("first.hash").alias("content_"))
+    texts = d.join(wanted, F.col("id").eqNullSafe(F.col("id_")) & (F.col("content") == F.col("content_"))).select("node", "text")
+    sets = checkpointed(with_sets(texts, "text", words).dropDuplicates(["node"]))
+
+    # Each node of a bucket with the bucket's centre.
+    weighed = shared.join(weight, F.col("node") == F.col("node_")).select("key", "node", "size", "weight")
+    centres = weighed.groupBy(F.col("key").alias("key_")).agg(F.min(F.struct((-F.col("weight")).alias("w"), F.col("node").alias("root"), F.col("size").alias("root_size"))).alias("c")).select("key_", "c.root", "c.root_size")
+    stars = weighed.join(centres, F.col("key") == F.col("key_")).filter((F.col("node") != F.col("root")) & near("size", "root_size", similarity))
+    stars = checkpointed(stars.select("node", "root").distinct())
+    edges = checkpointed(linked(stars, sets, similarity))
+
+    # Nodes of one bucket and different components: by pairs of components first, so that no component meets itself.
+    found = components(edges)
+    placed = checkpointed(shared.join(found.withColumnRenamed("node", "node_"), F.col("node") == F.col("node_"), "left").select("key", "node", "size", F.coalesce("component", "node").alias("part")))
+    parts = placed.select("key", "part").distinct()
+    several = parts.groupBy(F.col("key").alias("key_")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    parts = checkpointed(parts.join(several, F.col("key") == F.col("key_"), "left_semi"))
+    both = parts.join(parts.select(F.col("key").alias("key_"), F.col("part").alias("other")), F.col("key") == F.col("key_")).filter("part < other").select(F.col("key").alias("k"), F.col("part").alias("p"), "other")
+    left = both.join(placed, (F.col("k") == F.col("key")) & (F.col("p") == F.col("part"))).select("k", "other", F.col("node").alias("a"), F.col("size").alias("a_size"))
+    rest = left.join(placed, (F.col("k") == F.col("key")) & (F.col("other") == F.col("part"))).filter(near("a_size", "size", similarity))
+    rest = rest.select(F.greatest("a", "node").alias("node"), F.least("a", "node").alias("root")).distinct()
+    tested = stars.select(F.greatest("node", "root").alias("high"), F.least("node", "root").alias("low"))
+    rest = checkpointed(rest.join(tested, (F.col("node") == F.col("high")) & (F.col("root") == F.col("low")), "left_anti"))
+    more = checkpointed(linked(rest, sets, similarity))
+    if not more.isEmpty():
+        found = components(edges.unionByName(more))
+
+    grouped = members.join(found.withColumnRenamed("node", "node_"), F.col("node") == F.col("node_"), "left").select("first", F.coalesce("component", "node").alias("part"))
+    return one_of_each(docs, grouped.groupBy("part").agg(F.min("first").alias("first")), id, text)

@@ -308,13 +308,22 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int
 
     Of repeated rows one stays. The documents are shuffled once, by id and text hash, so copies of one text do not meet in one task.
     """
-    hash_, id_, other = (fresh(docs.columns, x) for x in ("_hash", "_id", "_other"))
-    content = F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
-    found = simhash_groups(docs, id, text, words, max_bits, blocks, most, carry=[content], group=True)
+    found = simhash_groups(docs, id, text, words, max_bits, blocks, most, carry=[content_hash(text)], group=True)
     # The group is named by a fingerprint, which has one row for each, so that ids may be null.
     first = F.min(F.struct(F.col(id).isNull().alias("missing"), F.col(id).alias("id"), F.col("carry0").alias("hash")))
-    keepers = checkpointed(found.groupBy("part").agg(first.alias("first")).select(F.col("first.id").alias(id_), F.col("first.hash").alias(other)))
-    rows = docs.withColumn(hash_, content)
+    return one_of_each(docs, found.groupBy("part").agg(first.alias("first")), id, text)
+
+
+def content_hash(text: str) -> Column:
+    """The hash that tells rows of one id apart; null counts as an empty text."""
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
+def one_of_each(docs: DataFrame, groups: DataFrame, id: str, text: str) -> DataFrame:
+    """The rows of docs that the groups' column ``first`` (struct with id, hash) names; of repeated rows one."""
+    hash_, id_, other = (fresh(docs.columns, x) for x in ("_hash", "_id", "_other"))
+    keepers = checkpointed(groups.select(F.col("first.id").alias(id_), F.col("first.hash").alias(other)))
+    rows = docs.withColumn(hash_, content_hash(text))
     kept = rows.join(keepers, F.col(id).cast("long").eqNullSafe(F.col(id_)) & (F.col(hash_) == F.col(other)), "left_semi")
     rank = fresh(rows.columns, "_rank")
     same = Window.partitionBy(F.col(id).cast("long"), hash_).orderBy(F.lit(0))

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rolodeck import cluster
-from rolodeck.llm import decontaminate, mixing, overlap, quality, sharding
-from rolodeck.llm.util import free_prefix, fresh, table
+from rolodeck.llm import decontaminate, mixing, neardup, quality, sharding
+from rolodeck.llm.util import filesystem, free_prefix, fresh, new_folder, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -39,7 +39,7 @@ def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 @on_cluster
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8 or more): the one with the smallest doc_id."""
-    return overlap.keep_one(docs, words=5, similarity=0.8)
+    return neardup.keep_one(docs, words=5, similarity=0.8)
 
 
 @on_cluster
@@ -77,8 +77,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents."""
-    docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over documents. Each stage's rows are written to the shared folder and read again by the next, which reads them more than once;
+    only what the last stage reads stays there."""
+    docs, folder = table(spark, sf_dir, "documents"), new_folder(spark, "pipeline")
+    for i, (_, stage) in enumerate(STAGES[:-1]):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
+        docs = spark.read.parquet(f"{folder}/{i}")
+        if i:
+            files, inner = filesystem(f"{folder}/{i - 1}")
+            files.delete_dir(inner)
+    return STAGES[-1][1](spark, docs, sf_dir)

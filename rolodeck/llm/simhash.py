@@ -9,7 +9,8 @@ How links are found, without ever comparing all fingerprints with each other:
    node, made by an aggregation that combines before it shuffles.
 2. The 64 bits are cut into blocks. Fingerprints within ``max_bits`` agree on at least ``blocks - max_bits`` blocks,
    so each node goes to one *upper group* for each choice of that many blocks, keyed by the masked bit pattern. This
-   is the index's top level, and the only one that is shuffled: fingerprints, never text.
+   is the index's top level, and the only one that is shuffled: fingerprints, never text. (``near_copies`` uses the same index over
+   wider fingerprints with other masks.)
 3. Inside a task, the nodes of an upper group are sorted by Gray rank, so that neighbours share most bits. Each run
    of ``fan`` neighbours becomes an index node that holds the bits that all of them share and its parent does not
    hold yet; runs of runs follow, up to one root. A search starts at the root and adds up the differing bits of the
@@ -20,6 +21,7 @@ How links are found, without ever comparing all fingerprints with each other:
    task's work, exact as well.
 5. Components over these star-shaped edges come from alternating large-star and small-star steps, all of them joins
    and aggregations of Spark, with a reliable checkpoint after each.
+6. Joins by a fingerprint or a star's centre, which may hold a third of all rows, are ``join_hot``: heavy keys never meet in one task.
 
 Defined results: a null or word-less text has fingerprint zero and is linked like any other. Repeated rows stay,
 each with its own row. A null id is a row as any other; ``component`` is the smallest non-null id reachable, null if
@@ -37,7 +39,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .util import binary, checkpointed, extended, fresh, text_slices
+from .util import binary, checkpointed, extended, fresh, join_hot, text_slices
+
+#: Of a group of nodes that is dealt out in blocks, up to so many blocks are told to tasks by a broadcast (16 bytes each).
+BROADCAST_GROUPS = 100_000
+
 
 def fingerprint(text: bytes | None, words: int, seed: int = 42) -> int:
     """The SimHash of one text, as an unsigned number."""
@@ -75,22 +81,23 @@ def with_fingerprint(df: DataFrame, text: str, name: str, words: int, seed: int
 
 
 def gray_rank(prints: np.ndarray) -> np.ndarray:
-    """The place of each bit pattern in Gray order, where neighbours differ in one bit."""
+    """The place of each bit pattern in Gray order, where neighbours differ in one bit. prints: words (the first one leading) x patterns."""
     rank = prints.copy()
     for shift in (1, 2, 4, 8, 16, 32):
         rank ^= rank >> np.uint64(shift)
+    odd = np.bitwise_xor.accumulate(rank & np.uint64(1), axis=0)  # whether the words so far have an odd number of bits
+    rank[1:] ^= np.uint64(0) - odd[:-1]
     return rank
 
 
 class GrayIndex:
     """Index of many groups of fingerprints at once; a search stays inside its own group.
 
-    ``group`` numbers the rows' groups (0, 1, ..., ascending); rows of a group are sorted by Gray rank.
+    ``group`` numbers the rows' groups (0, 1, ..., ascending); prints are words x rows, and rows of a group are sorted by Gray rank.
     """
 
     def __init__(self, group: np.ndarray, prints: np.ndarray, fan: int = 8):
-        self.leaves = prints
-        levels = [(group, prints, np.full(len(prints), ~np.uint64(0)))]  # group, shared bits, mask of what is shared
+        levels = [(group, prints, np.full(prints.shape, ~np.uint64(0)))]  # group, shared bits, mask of what is shared
         self.children: list[tuple[np.ndarray, np.ndarray]] = []  # of each node one level up: first child, end
         while len(levels[-1][0]) > (levels[-1][0][-1] + 1 if len(levels[-1][0]) else 0):
             of, bits, mask = levels[-1]
@@ -98,34 +105,35 @@ class GrayIndex:
             start = np.flatnonzero(first)
             place = np.arange(len(of)) - start[of]
             cut = np.flatnonzero(place % fan == 0)
-            ones, zeros = np.bitwise_and.reduceat(bits & mask, cut), np.bitwise_and.reduceat(~bits & mask, cut)
+            ones, zeros = np.bitwise_and.reduceat(bits & mask, cut, axis=1), np.bitwise_and.reduceat(~bits & mask, cut, axis=1)
             self.children.append((cut, np.append(cut[1:], len(of))))
             levels.append((of[cut], ones, ones | zeros))
-        self.roots = len(levels[-1][0])
         #: From the top down: each node's bits and the part of its mask that its parent has not.
         self.levels = []
         for depth in range(len(levels) - 1, -1, -1):
             _, bits, mask = levels[depth]
             if depth < len(levels) - 1:
                 above, (start, end) = levels[depth + 1][2], self.children[depth]
-                mask = mask & ~np.repeat(above, end - start)
+                mask = mask & ~np.repeat(above, end - start, axis=1)
             self.levels.append((bits & mask, mask))
         self.children.reverse()
 
     def search(self, queries: np.ndarray, roots: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (query number, leaf number) at a distance of at most ``most``."""
-        query, node = np.arange(len(queries)), roots
-        bits, mask = self.levels[0]
-        apart = np.bitwise_count((queries ^ bits[node]) & mask[node]).astype(np.int64)
-        for (start, end), (bits, mask) in zip(self.children, self.levels[1:], strict=True):
-            keep = apart <= most
-            query, node, apart = query[keep], node[keep], apart[keep]
-            size = end[node] - start[node]
-            query, apart = np.repeat(query, size), np.repeat(apart, size)
-            node = np.repeat(start[node] - np.concatenate([[0], np.cumsum(size)[:-1]]) if len(size) else start[node], size) + np.arange(len(query))
-            apart = apart + np.bitwise_count((queries[query] ^ bits[node]) & mask[node])
-        keep = apart <= most
-        return query[keep], node[keep]
+        query, node, apart = np.arange(queries.shape[1]), roots, np.zeros(queries.shape[1], np.int16)
+        for depth, (bits, mask) in enumerate(self.levels):
+            if depth:
+                start, end = self.children[depth - 1]
+                size = end[node] - start[node]
+                query, apart = np.repeat(query, size), np.repeat(apart, size)
+                node = np.repeat(start[node] - np.concatenate([[0], np.cumsum(size)[:-1]]) if len(size) else start[node], size) + np.arange(len(query))
+            for k in range(len(queries)):  # word by word: what differs too much already is not looked at further
+                apart = apart + np.bitwise_count((queries[k][query] ^ bits[k][node]) & mask[k][node])
+                if k == len(queries) - 1 or 64 * k > most:
+                    keep = apart <= most
+                    if not keep.all():
+                        query, node, apart = query[keep], node[keep], apart[keep]
+        return query, node
 
 
 def merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -152,8 +160,8 @@ def group_roots(group: np.ndarray, side: np.ndarray, prints: np.ndarray, most: i
 
     side: 1 or 2 where a group is one block of nodes against another (only links between them matter), else 0.
     """
-    label = np.arange(len(prints))
-    if not len(prints):
+    label = np.arange(prints.shape[1])
+    if not len(label):
         return label
     index = GrayIndex(group, prints, fan)
     size = np.bincount(group)
@@ -163,7 +171,7 @@ def group_roots(group: np.ndarray, side: np.ndarray, prints: np.ndarray, most: i
     while at < len(asks):
         end = max(at + 1, int(np.searchsorted(cost, (cost[at - 1] if at else 0) + work, "right")))
         rows = asks[at:end]
-        query, leaf = index.search(prints[rows], group[rows], most)
+        query, leaf = index.search(prints[:, rows], group[rows], most)
         query = rows[query]
         wanted = (leaf > query) | (side[query] != side[leaf])
         merge(label, query[wanted], leaf[wanted])
@@ -173,158 +181,132 @@ def group_roots(group: np.ndarray, side: np.ndarray, prints: np.ndarray, most: i
     return label
 
 
-def masks(max_bits: int, blocks: int) -> list[int]:
-    """The masks of the upper groups: all choices of ``blocks - max_bits`` of the blocks of 64 bits."""
+def masks(max_bits: int, blocks: int) -> list[list[int]]:
+    """The masks of the upper groups: all choices of ``blocks - max_bits`` of the blocks of 64 bits. Each has one word."""
     edges = [64 * i // blocks for i in range(blocks + 1)]
     parts = [((1 << edges[i + 1]) - 1) ^ ((1 << edges[i]) - 1) for i in range(blocks)]
-    return [sum(choice) for choice in combinations(parts, blocks - max_bits)]
+    return [[sum(choice)] for choice in combinations(parts, blocks - max_bits)]
 
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def star_edges(nodes: DataFrame, max_bits: int, blocks: int, most: int) -> DataFrame:
-    """(node, root), fingerprints with root < node, for what the upper groups link. nodes: distinct fingerprints ``print``.
+def dealt_in_blocks(rows: DataFrame, parts: Column, spread: Column) -> DataFrame:
+    """rows and ``low``, ``high``, ``side``: each row once for each of its group's ``parts`` blocks, so that each block meets each other one once.
+
+    spread: a hash that deals a group's rows to its blocks. side: 0 where a block meets itself, else 1 or 2.
+    """
+    own, other = F.pmod(spread, F.col("parts_")), F.col("other_")
+    dealt = rows.withColumn("parts_", parts).withColumn("other_", F.explode(F.expr("sequence(0L, parts_ - 1)")))
+    side = F.when(own == other, 0).when(own < other, 1).otherwise(2).cast("int")
+    return dealt.withColumns({"low": F.least(own, other), "high": F.greatest(own, other), "side": side}).drop("parts_", "other_")
+
+
+def in_groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], held_rows: int = 200_000, held_bytes: int = 64 << 20) -> Iterator[pa.Table]:
+    """Tables of whole groups, of rows that are sorted by keys: many small groups at once, or one large one."""
+    held: list[pa.RecordBatch] = []
+    rows = size = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        rows, size = rows + batch.num_rows, size + batch.nbytes
+        if rows < held_rows and size < held_bytes:
+            continue
+        table = pa.Table.from_batches(held)
+        last = np.ones(rows, bool)
+        for k in keys:
+            column = table.column(k).to_numpy()
+            last &= column == column[-1]
+        cut = int(np.argmax(last))  # all but the last group is whole
+        if cut:
+            yield table.slice(0, cut)
+            rest = table.slice(cut).combine_chunks()
+            held, rows, size = rest.to_batches(), rest.num_rows, rest.nbytes
+    if rows:
+        yield pa.Table.from_batches(held)
+
+
+def numbered_groups(table: pa.Table, keys: tuple[str, ...]) -> np.ndarray:
+    """0, 1, ... for the groups of a table sorted by keys."""
+    new = np.zeros(table.num_rows, bool)
+    for k in keys:
+        column = table.column(k).to_numpy()
+        new[1:] |= column[1:] != column[:-1]
+    return np.cumsum(new)
+
+
+def star_edges(nodes: DataFrame, words: list[str], masks: list[list[int]], max_bits: int, most: int) -> DataFrame:
+    """(node, root) with root < node, for what the upper groups link. nodes: ``node`` (long, distinct) and the fingerprints' words (longs).
 
     Groups of over ``most`` nodes are split into blocks of about most / 2; each block meets each other one once.
     """
-    keyed = nodes.select(
-        "print",
-        F.explode(F.array(*[F.struct(F.lit(i).alias("mask"), F.col("print").bitwiseAND(F.lit(_signed(m))).alias("shared")) for i, m in enumerate(masks(max_bits, blocks))])).alias("g"),
-    ).select("print", "g.mask", "g.shared")
-    sizes = keyed.groupBy("mask", "shared").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    parts = F.ceil(F.col("n") / F.lit(most / 2)).cast("long")
-    own = F.pmod(F.xxhash64("print", F.lit(7)), F.col("parts"))
-    dealt = (
-        keyed.join(sizes.withColumnsRenamed({"mask": "mask_", "shared": "shared_"}), (F.col("mask") == F.col("mask_")) & (F.col("shared") == F.col("shared_")))
-        .withColumn("parts", F.when(F.col("n") <= most, F.lit(1).cast("long")).otherwise(parts))
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)")))
-        .select(
-            "mask", "shared", "print",
-            F.least("own", "other").alias("low"),
-            F.greatest("own", "other").alias("high"),
-            F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).cast("int").alias("side"),
-        )
-    )
-    keys = ["mask", "shared", "low", "high"]
+    kinds = F.array(*[F.struct(F.lit(i).alias("i"), *[F.lit(_signed(m)).alias(f"m{k}") for k, m in enumerate(mask)]) for i, mask in enumerate(masks)])
+    key = F.xxhash64("mask.i", *[F.col(w).bitwiseAND(F.col(f"mask.m{k}")) for k, w in enumerate(words)])
+    keyed = nodes.select("node", *words, F.explode(kinds).alias("mask")).select("node", *words, key.alias("key"))
+    parts = F.lit(1).cast("long")
+    if nodes.count() > most:
+        sizes = keyed.groupBy(F.col("key").alias("key_")).agg(F.count(F.lit(1)).alias("n_"))
+        large = checkpointed(sizes.filter(F.col("n_") > most))
+        if n := large.count():
+            keyed = keyed.join(F.broadcast(large) if n <= BROADCAST_GROUPS else large, F.col("key") == F.col("key_"), "left")
+            parts = F.coalesce(F.ceil(F.col("n_") / F.lit(most / 2)).cast("long"), parts)
+    dealt = dealt_in_blocks(keyed, parts, F.xxhash64("node", F.lit(7))).select("key", "low", "high", "side", "node", *words)
+    keys = ("key", "low", "high")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict[str, np.ndarray]] = []
-
-        def edges(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
-            prints = rows["print"].view(np.uint64)
-            new = np.zeros(len(prints), bool)
-            for k in keys:
-                new[1:] |= rows[k][1:] != rows[k][:-1]
-            group = np.cumsum(new)
-            order = np.lexsort((gray_rank(prints), group))
-            node, group, prints, side = rows["print"][order], group[order], prints[order], rows["side"][order]
-            label = group_roots(group, side, prints, max_bits)
+        for table in in_groups(batches, keys):
+            group = numbered_groups(table, keys)
+            prints = np.stack([table.column(w).to_numpy().view(np.uint64) for w in words])
+            order = np.lexsort((*gray_rank(prints)[::-1], group))
+            node, side = table.column("node").to_numpy()[order], table.column("side").to_numpy()[order]
+            label = group_roots(group[order], side, prints[:, order], max_bits)
             least = node.copy()  # the smallest of each linked part
             np.minimum.at(least, label, node)
             root = least[label]
             away = root != node
-            return pa.RecordBatch.from_arrays([pa.array(node[away]), pa.array(root[away])], names=["node", "root"])
-
-        def together(parts: list[dict]) -> dict:
-            return {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
-
-        rows_held = 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append({k: batch.column(k).to_numpy(zero_copy_only=False) for k in (*keys, "print", "side")})
-            rows_held += batch.num_rows
-            if rows_held < 200_000:
-                continue
-            rows = together(held)  # all but the last group is whole
-            last = np.ones(rows_held, bool)
-            for k in keys:
-                last &= rows[k] == rows[k][-1]
-            cut = int(np.argmax(last))
-            if cut:
-                yield edges({k: v[:cut] for k, v in rows.items()})
-            held, rows_held = [{k: v[cut:] for k, v in rows.items()}], rows_held - cut
-        if rows_held:
-            yield edges(together(held))
+            yield pa.RecordBatch.from_arrays([pa.array(node[away]), pa.array(root[away])], names=["node", "root"])
 
     return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "node long, root long").filter("root < node")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, heavy: int = 1_000) -> DataFrame:
     """(node, component): the smallest node that each node of the edges (node, root) reaches. Nodes without edges are left out.
 
-    Alternating star contraction: a large-star step ties each larger neighbour to the smallest one, a small-star step
-    each smaller one, until every edge points at its component's smallest node.
+    Alternating star contraction: a large-star step ties each larger neighbour to the smallest one, a small-star step each smaller one, until every
+    edge points at its component's smallest node. Both steps are joins by a node; where one has over ``heavy`` neighbours they are ``join_hot``.
     """
     state = checkpointed(edges.filter("node <> root").select(F.greatest("node", "root").alias("big"), F.least("node", "root").alias("small")).distinct())
-    before = None
     while True:
-        now = state.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("big", "small").cast("decimal(38,0)")).alias("h")).first()
-        if (now.n, now.h) == before or not now.n:
-            break
-        before = (now.n, now.h)
         both = state.unionByName(state.select(F.col("small").alias("big"), F.col("big").alias("small")))
-        lowest = both.groupBy(F.col("big").alias("u")).agg(F.min("small").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(lowest, F.col("big") == F.col("u")).filter("small > big").select(F.col("small").alias("big"), F.col("m").alias("small")).distinct()
-        down = large.groupBy(F.col("big").alias("u")).agg(F.min("small").alias("m"))
-        small = large.join(down, F.col("big") == F.col("u")).select(F.explode(F.array(F.struct(F.col("small").alias("big"), F.col("m").alias("small")), F.struct("big", F.col("m").alias("small")))).alias("e"))
+        lowest = checkpointed(both.groupBy(F.col("big").alias("u")).agg(F.min("small").alias("m"), F.count(F.lit(1)).alias("n")))
+        # Done if each node with a smaller neighbour has no other: then all these are roots.
+        now = lowest.agg(F.sum("n").alias("total"), F.max("n").alias("most"), F.max((F.col("m") < F.col("u")) & (F.col("n") > 1)).alias("open")).first()
+        if not now.open:
+            return lowest.select(F.col("u").alias("node"), F.least("u", "m").alias("component"))
+
+        def by_node(left: DataFrame, right: DataFrame, now=now) -> DataFrame:
+            return join_hot(left, right, ("big", "u"), "n", now.total, heavy) if now.most > heavy else left.join(right, F.col("big") == F.col("u"))
+
+        large = by_node(both, lowest).filter("small > big").select(F.col("small").alias("big"), F.least("u", "m").alias("small")).distinct()
+        down = large.groupBy(F.col("big").alias("u")).agg(F.min("small").alias("m"), F.count(F.lit(1)).alias("n"))
+        small = by_node(large, down).select(F.explode(F.array(F.struct(F.col("small").alias("big"), F.col("m").alias("small")), F.struct("big", F.col("m").alias("small")))).alias("e"))
         state = checkpointed(small.select("e.big", "e.small").filter("big <> small").distinct())
-    return state.select(F.col("big").alias("node"), F.col("small").alias("component")).unionByName(state.select(F.col("small").alias("node"), F.col("small").alias("component")).distinct())
-
-
-def simhash_groups(
-    docs: DataFrame,
-    id: str = "doc_id",
-    text: str = "text",
-    words: int = 4,
-    max_bits: int = 4,
-    blocks: int = 6,
-    most: int = 20_000,
-    seed: int = 42,
-    carry: list[Column] | None = None,
-    group: bool = False,
-) -> DataFrame:
-    """One row for each document: ``id``, ``fingerprint`` (signed long), ``component`` (smallest id reachable), ``carry``.
-
-    docs may have any other columns. id must be whole numbers. most: nodes of an upper group that one task takes.
-    carry: further columns to compute from docs and return as carry0, carry1, ... group: return ``part`` too, the group's smallest fingerprint.
-    """
-    d = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"), *(c.alias(f"carry{i}") for i, c in enumerate(carry or [])))
-    prints = checkpointed(with_fingerprint(d, "text", "print", words, seed))
-    nodes = checkpointed(prints.groupBy("print").agg(F.min("id").alias("first")))
-    found = components(star_edges(nodes.select("print"), max_bits, blocks, most))
-    placed = nodes.join(found, F.col("print") == F.col("node"), "left").select("print", "first", F.coalesce("component", "print").alias("part"))
-    least = placed.groupBy(F.col("part").alias("part_")).agg(F.min("first").alias("component"))
-    named = checkpointed(placed.join(least, F.col("part") == F.col("part_")).select(F.col("print").alias("print_"), "part", "component"))
-    out = prints.join(named, F.col("print") == F.col("print_"))
-    return out.select(F.col("id").alias(id), F.col("print").alias("fingerprint"), "component", *["part"] * group, *[f"carry{i}" for i in range(len(carry or []))])
 
 
-def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 4, max_bits: int = 4, blocks: int = 6, most: int = 20_000) -> DataFrame:
-    """One row of docs, with all its columns, for each group: the one with the smallest id, nulls last, ties by a hash of the text.
+def simhash_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 4, max_bits: int = 4, blocks: int = 6, most: int = 20_000, seed: int = 42) -> DataFrame:
+    """One row for each document: ``id``, ``fingerprint`` (signed long), ``component`` (smallest id reachable).
 
-    Of repeated rows one stays. The documents are shuffled once, by id and text hash, so copies of one text do not meet in one task.
+    docs may have any other columns. id must be whole numbers. most: nodes of an upper group that one task takes.
     """
-    found = simhash_groups(docs, id, text, words, max_bits, blocks, most, carry=[content_hash(text)], group=True)
-    # The group is named by a fingerprint, which has one row for each, so that ids may be null.
-    first = F.min(F.struct(F.col(id).isNull().alias("missing"), F.col(id).alias("id"), F.col("carry0").alias("hash")))
-    return one_of_each(docs, found.groupBy("part").agg(first.alias("first")), id, text)
-
-
-def content_hash(text: str) -> Column:
-    """The hash that tells rows of one id apart; null counts as an empty text."""
-    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
-
-
-def one_of_each(docs: DataFrame, groups: DataFrame, id: str, text: str) -> DataFrame:
-    """The rows of docs that the groups' column ``first`` (struct with id, hash) names; of repeated rows one."""
-    hash_, id_, other = (fresh(docs.columns, x) for x in ("_hash", "_id", "_other"))
-    keepers = checkpointed(groups.select(F.col("first.id").alias(id_), F.col("first.hash").alias(other)))
-    rows = docs.withColumn(hash_, content_hash(text))
-    kept = rows.join(keepers, F.col(id).cast("long").eqNullSafe(F.col(id_)) & (F.col(hash_) == F.col(other)), "left_semi")
-    rank = fresh(rows.columns, "_rank")
-    same = Window.partitionBy(F.col(id).cast("long"), hash_).orderBy(F.lit(0))
-    return kept.withColumn(rank, F.row_number().over(same)).filter(F.col(rank) == 1).select(*docs.columns)
+    d = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    prints = checkpointed(with_fingerprint(d, "text", "print", words, seed))
+    nodes = checkpointed(prints.groupBy(F.col("print").alias("node")).agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies")))
+    found = components(star_edges(nodes.withColumn("print", F.col("node")), ["print"], masks(max_bits, blocks), max_bits, most)).withColumnRenamed("node", "node_")
+    placed = checkpointed(nodes.join(found, F.col("node") == F.col("node_"), "left").select("node", "first", "copies", F.coalesce("component", "node").alias("part")))
+    least = placed.groupBy(F.col("part").alias("part_")).agg(F.min("first").alias("component"), F.count(F.lit(1)).alias("nodes"))
+    total = nodes.agg(F.count(F.lit(1)).alias("nodes"), F.coalesce(F.sum("copies"), F.lit(0)).alias("rows")).first()
+    named = checkpointed(join_hot(placed, least, ("part", "part_"), "nodes", total.nodes).select("node", "component", "copies"))
+    out = join_hot(prints, named, ("print", "node"), "copies", total.rows)
+    return out.select(F.col("id").alias(id), F.col("print").alias("fingerprint"), "component")

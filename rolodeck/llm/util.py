@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..cluster import checkpointed, shared_folder
 
-__all__ = ["WORD", "binary", "checkpointed", "extended", "filesystem", "free_prefix", "fresh", "new_folder", "shared_folder", "table", "text_or_empty", "text_slices"]
+__all__ = ["WORD", "binary", "checkpointed", "extended", "filesystem", "free_prefix", "fresh", "join_hot", "new_folder", "shared_folder", "table", "text_or_empty", "text_slices"]
 
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -81,5 +81,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def join_hot(left: DataFrame, right: DataFrame, on: tuple[str, str], weight: str, total: int, heavy: int = 1_000) -> DataFrame:
+    """left joined (inner) with right, which has one row for each key, by equality of left's column on[0] and right's on[1].
+
+    weight: right's column with the number of left's rows that have the key; total: at least the sum of all weights. Keys of over ``heavy`` rows and over a
+    ten-thousandth of total are told to all tasks by a broadcast: there are fewer than 10,000, whatever the tables' sizes. All others are joined as
+    Spark sees fit, and none of them is much for one task. Both tables are read twice.
+    """
+    most = max(total // 10_000, heavy)
+    hot, cold = F.broadcast(right.filter(F.col(weight) > most)), right.filter(F.col(weight) <= most)
+    same = F.col(on[0]) == F.col(on[1])
+    return left.join(hot, same).unionByName(left.join(hot.select(on[1]), same, "left_anti").join(cold, same))
+
+
 def text_or_empty(column: Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit(""))

@@ -18,9 +18,9 @@ def test_pipeline(spark, small, tmp_path):
     """Each stage, on what its predecessor kept, against its brute-force version."""
     import corpus_pipeline as P
 
-    from rolodeck.llm import quality, simhash
+    from rolodeck.llm import quality
 
-    from . import test_decontaminate, test_mixing, test_simhash
+    from . import test_decontaminate, test_mixing, test_neardup
 
     def good(rows):
         """With so few labels no cutoff can be certified: the base rules decide."""
@@ -32,9 +32,9 @@ def test_pipeline(spark, small, tmp_path):
         return kept
 
     def single(rows):
-        prints = [simhash.fingerprint(r.text.encode(), 4) for r in rows]
+        """Groups by five-word shingles and a similarity of 0.8, as the contract has it for stages."""
         first = {}
-        for r, root in zip(rows, test_simhash.brute(prints, 4), strict=True):
+        for r, root in zip(rows, test_neardup.brute([r.text for r in rows]), strict=True):
             first[root] = min(first.get(root, r.doc_id), r.doc_id)
         return first.values()
 

@@ -5,21 +5,25 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _shipped: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; a folder of our own only where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a local session may do without; it gets a folder of its own."""
     sc = spark.sparkContext
     try:
         named = spark.conf.get("spark.checkpoint.dir")
     except Exception:  # no such setting in this session
         named = None
     if not sc.getCheckpointDir():
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="rolodeck-"))
     return named or sc.getCheckpointDir()
 
@@ -37,6 +41,36 @@ def small(df: DataFrame, most: int = 10_000) -> DataFrame:
     return F.broadcast(df)
 
 
+def fresh(columns: Iterable[str], base: str) -> str:
+    """A column name that starts with base and clashes with none of columns (names are compared without case)."""
+    taken = {c.lower() for c in columns}
+    name = base
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered(df: DataFrame, order: list[Column], into: str) -> DataFrame:
+    """df with the numbers 1, 2, ... of its rows in an order.
+
+    No task sees all rows: the sort deals them to ranges, each range is numbered by itself, and the ranges before it are added.
+    """
+    part, first, other = (fresh([*df.columns, into], x) for x in ("_part", "_first", "_other"))
+    dealt = checkpointed(df.orderBy(*order)).withColumn(part, F.spark_partition_id())
+    sizes = dealt.groupBy(F.col(part).alias(other)).agg(F.count(F.lit(1)).alias(first))
+    before = sizes.select(other, (F.sum(first).over(Window.orderBy(other)) - F.col(first)).alias(first))  # a row for each range
+    inside = F.row_number().over(Window.partitionBy(part).orderBy(*order)).cast("long")
+    return dealt.withColumn(into, inside).join(F.broadcast(before), F.col(part) == F.col(other)).withColumn(into, F.col(into) + F.col(first)).drop(part, first, other)
+
+
+def row_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 32 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches, cut into slices of as many rows as their average size allows in ``most`` bytes of the column; at least one."""
+    for batch in batches:
+        step = max(1, batch.num_rows * most // max(1, batch.column(column).nbytes)) if batch.num_rows else 1
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
+
+
 def ship(spark: SparkSession) -> None:
     """Puts this package on the Python path of the executors, once for each application; Spark's file server delivers it."""
     sc = spark.sparkContext

@@ -11,15 +11,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..cluster import checkpointed
+from ..cluster import checkpointed, fresh
 from ..schemas import LEAD
 
 
 def first_seen(df: DataFrame, key: Column, order: str) -> DataFrame:
-    """The first row of each key. Only (key, order) is aggregated, combined before the shuffle, so a hot key costs one row per task."""
-    k = df.withColumn("_key", key)
-    firsts = k.groupBy(F.col("_key").alias("k_")).agg(F.min(order).alias("o_"))
-    return k.join(firsts, (F.col("_key") == F.col("k_")) & (F.col(order) == F.col("o_")), "left_semi").drop("_key")
+    """The first row of each key; null is a key as any other. Only (key, order) is aggregated, combined before the shuffle, so a hot key costs one row per task.
+
+    ``order`` tells rows of a key apart: rows that are equal in both all stay.
+    """
+    key_, other, least = (fresh(df.columns, x) for x in ("_key", "_other", "_least"))
+    k = df.withColumn(key_, key)
+    firsts = k.groupBy(F.col(key_).alias(other)).agg(F.min(order).alias(least))
+    return k.join(firsts, F.col(key_).eqNullSafe(F.col(other)) & (F.col(order) == F.col(least)), "left_semi").drop(key_)
 
 
 def merge_key(order: str) -> Column:
@@ -90,9 +94,10 @@ def _folded_in_rounds(rows: DataFrame) -> DataFrame:
 
 def merged_simple(leads: DataFrame, order: str = "ord", columns: tuple[str, ...] = LEAD) -> DataFrame:
     """By e-mail only: the row with most fields, the first of equals; rows without an e-mail are dropped."""
-    k = leads.filter(X.nonblank(X.blank_if_null(F.col("email")))).withColumn("_key", X.key(F.col("email"))).withColumn("_rank", F.struct((-richness(columns)).alias("less"), F.col(order).alias("o")))
-    best = k.groupBy(F.col("_key").alias("k_")).agg(F.min("_rank").alias("r_"))
-    return k.join(best, (F.col("_key") == F.col("k_")) & (F.col("_rank") == F.col("r_")), "left_semi").drop("_key", "_rank")
+    key_, rank, other, least = (fresh(leads.columns, x) for x in ("_key", "_rank", "_other", "_least"))
+    k = leads.filter(X.nonblank(X.blank_if_null(F.col("email")))).withColumn(key_, X.key(F.col("email"))).withColumn(rank, F.struct((-richness(columns)).alias("less"), F.col(order).alias("o")))
+    best = k.groupBy(F.col(key_).alias(other)).agg(F.min(rank).alias(least))
+    return k.join(best, (F.col(key_) == F.col(other)) & (F.col(rank) == F.col(least)), "left_semi").drop(key_, rank)
 
 
 def merge_stats(raw: DataFrame, merged: DataFrame, first: str, second: str) -> DataFrame:
@@ -109,7 +114,8 @@ def cross_campaign(leads: DataFrame, rank: str, order: str = "ord", email: str =
     Campaigns go by ``rank`` (1: oldest with rows, the baseline, which stays whole); inside one by ``order``. A row stays if no *kept* earlier row shares a key; keys of
     dropped rows count for nothing, so this is no grouping. Rounds decide it: rows sharing a key with a kept earlier row are dropped; of the undecided, those that are first
     on all of their keys stay; and so on until none is undecided. Each round is aggregations by key, which combine before they shuffle (a hot key is one row per task), and a
-    join back; it ends in a reliable checkpoint.
+    join back; it ends in a reliable checkpoint. Their number is bounded by the longest chain of rows that each wait for the one before (about half its length); keys of persons and
+    companies make short ones, but a chain of a thousand rows takes some hundred rounds.
     """
     position = F.struct(F.col(rank).alias("c"), F.col(order).alias("o"))
     mail, profile, n, g = X.key(F.col(email)), X.profile_key(F.col(url)), X.key(F.col(name)), X.key(F.col(org))

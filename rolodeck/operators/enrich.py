@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..cluster import checkpointed
+from ..cluster import checkpointed, fresh
 
 
 class FailFast(Exception):
@@ -56,14 +56,16 @@ def enriched(df: DataFrame, needs: Column, key: str, into: str, fn: Callable[[st
 
     fallback: a rule for rows that need a value and got none.
     """
-    marked = df.withColumn("_needs", F.coalesce(needs, F.lit(False)))
-    found = looked_up(marked.filter("_needs"), key, fn, tries).withColumnsRenamed({"key": "k_", "value": "v_", "error": "e_"})
-    joined = marked.join(found, F.col("_needs") & (F.col(key) == F.col("k_")), "left")
+    names = {x: fresh(df.columns, f"_{x}") for x in ("needs", "key", "value", "error")}
+    n, k, v, e = (F.col(names[x]) for x in names)
+    marked = df.withColumn(names["needs"], F.coalesce(needs, F.lit(False)))
+    found = looked_up(marked.filter(n), key, fn, tries).withColumnsRenamed({x: names[x] for x in ("key", "value", "error")})
+    joined = marked.join(found, n & (F.col(key) == k), "left")
     old = F.col(into) if into in df.columns else F.lit(None).cast("string")
     rule = fallback if fallback is not None else F.lit(None).cast("string")
-    value = F.when(F.col("_needs"), F.coalesce("v_", rule, old)).otherwise(old)
-    source = F.when(F.col("v_").isNotNull(), F.lit(by)).when(F.col("_needs") & rule.isNotNull(), F.lit("fallback"))
-    return joined.withColumns({f"{into}_by": source, f"{into}_error": F.when(F.col("_needs") & F.col("v_").isNull(), F.coalesce("e_", F.lit("no_value")))}).withColumn(into, value).drop("_needs", "k_", "v_", "e_")
+    value = F.when(n, F.coalesce(v, rule, old)).otherwise(old)
+    source = F.when(v.isNotNull(), F.lit(by)).when(n & rule.isNotNull(), F.lit("fallback"))
+    return joined.withColumns({f"{into}_by": source, f"{into}_error": F.when(n & v.isNull(), F.coalesce(e, F.lit("no_value")))}).withColumn(into, value).drop(*names.values())
 
 
 def prompt(template: str, **columns: Column) -> Column:

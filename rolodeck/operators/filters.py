@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..schemas import INVALID_MARKERS
 from .normalize import is_junk
 
 PHONES = ("phone", "organization_phone", "personal_phone", "company_phone")
@@ -23,9 +24,9 @@ def own(df_columns: list[str], names: tuple[str, ...]) -> list[Column]:
     return [F.col(c) for c in names if c in df_columns]
 
 
-def valid(name: Column, email: Column) -> Column:
-    """No log line, and a name or an e-mail."""
-    return ~is_junk(name) & (X.nonblank(X.blank_if_null(name)) | X.nonblank(X.blank_if_null(email)))
+def valid(name: Column, email: Column, markers: tuple[str, ...] = INVALID_MARKERS) -> Column:
+    """No status line, and a name or an e-mail; white space counts as one."""
+    return ~is_junk(name, markers) & (X.present(X.blank_if_null(name)) | X.present(X.blank_if_null(email)))
 
 
 def has_email(email: Column) -> Column:

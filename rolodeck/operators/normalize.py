@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import text as X
-from ..schemas import FREE_PROVIDERS, JUNK_MARKERS, LEAD
+from ..functions import names, text as X
+from ..schemas import BLOCKED_DOMAINS, FREE_PROVIDERS, JUNK_MARKERS, LEAD, SOCIAL_DOMAINS
 
 
 def shaped(df: DataFrame, columns: dict[str, Column | str], target: tuple[str, ...] = LEAD, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -80,12 +80,23 @@ def scraper_shape(feed: DataFrame, columns: dict[str, str], source: str, keep: t
     return shaped(feed, columns | {"name": name, "company_domain": domain, "source": F.lit(source)}, SCRAPER_SHAPE, keep)
 
 
-def extended_shape(feed: DataFrame, keep: tuple[str, ...] = (), keywords: int = 10) -> DataFrame:
-    """Nested feed with lists: first industry in title case, so many keywords at most."""
+EXTENDED_SHAPE = ("first_name", "last_name", "name", "organization_phone", "linkedin_url", "title", "email_status", "email", "city", "country", "org_name", "website_url", "industry", "org_keywords", "org_linkedin", "org_facebook", "org_employee_count", "org_founded_year", "seniority", "departments", "headline", "source")
+
+
+def extended_shape(feed: DataFrame, source: str, keep: tuple[str, ...] = (), keywords: int = 10) -> DataFrame:
+    """The 22-column shape of a nested feed with lists: first industry in title case, so many keywords at most.
+
+    Lists stay lists, counts stay numbers; a missing e-mail status is "unknown". Values of the lead go before those of its organization.
+    """
     o = "organization."
-    industries = F.filter(F.transform(F.col(o + "naics_codes"), lambda x: x["naics_description"]), X.present)
-    words = F.filter(F.concat(F.transform(F.col(o + "naics_codes"), lambda x: x["naics_description"]), F.transform(F.col(o + "sic_codes"), lambda x: x["sic_description"])), X.present)
-    return feed.select(*keep, "name", "email", F.col(o + "name").alias("org_name"), X.blank_if_null(X.industry_title(F.lower(F.get(industries, F.lit(0))))).alias("industry"), F.slice(words, 1, keywords).alias("org_keywords"))
+    same = ("first_name", "last_name", "linkedin_url", "title", "email", "city", "country", "seniority", "headline")
+    full = F.trim(F.concat_ws(" ", X.blank_if_null(F.col("first_name")), X.blank_if_null(F.col("last_name"))))
+    values = {c: X.blank_if_null(F.col(c)) for c in same}
+    values |= {"name": X.first_present(F.col("name"), full), "email_status": F.coalesce("email_status", F.lit("unknown")), "source": F.lit(source)}
+    values |= {"organization_phone": X.first_present(F.col("organization_phone"), F.col("phone"), F.col(o + "phone")), "org_name": X.first_present(F.col("organization_name"), F.col(o + "name")), "website_url": X.first_present(F.col("website_url"), F.col(o + "website_url"))}
+    values |= {"industry": X.blank_if_null(names.name_title(F.get(o + "industries", F.lit(0)))), "org_keywords": F.coalesce(F.slice(F.col(o + "keywords"), 1, keywords), F.array().cast("array<string>"))}
+    values |= {"org_linkedin": X.blank_if_null(F.col(o + "linkedin_url")), "org_facebook": X.blank_if_null(F.col(o + "facebook_url")), "org_employee_count": F.col(o + "estimated_num_employees"), "org_founded_year": F.col(o + "founded_year"), "departments": F.coalesce("departments", F.array().cast("array<string>"))}
+    return feed.select(*keep, *[values[c].alias(c) for c in EXTENDED_SHAPE])
 
 
 def configured_shape(feed: DataFrame, paths: dict[str, list[str]], keep: tuple[str, ...] = ()) -> DataFrame:
@@ -95,29 +106,45 @@ def configured_shape(feed: DataFrame, paths: dict[str, list[str]], keep: tuple[s
 
 # --- places
 
-BLOCKED_DOMAINS = ("directory.example",)
-SOCIAL_DOMAINS = ("facebook.com", "instagram.com")
+PLACE = ("place_id", "business_name", "category", "categories", "address", "street", "city", "postal_code", "country", "phone", "phone_unformatted", "website", "domain", "google_maps_url", "rating", "review_count", "emails", "phones_extra", "facebook", "instagram", "linkedin", "twitter", "youtube", "tiktok", "whatsapp")
 
 
 def emails_by_domain(emails: Column, domain: Column, providers: tuple[str, ...] = FREE_PROVIDERS) -> Column:
-    """Own-domain e-mails first, then those of free providers, none twice; without a domain only the latter."""
+    """Own-domain e-mails first, then those of free providers that are not among them; without a domain only the latter."""
     mine = F.filter(emails, lambda e: (F.coalesce(domain, F.lit("")) != "") & e.endswith(F.concat(F.lit("@"), domain)))
-    free = F.filter(emails, lambda e: F.element_at(F.split(e, "@"), -1).isin(*providers))
-    return F.array_distinct(F.concat(mine, free))
-
-
-def places(feed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Open places: social pages are no website, directories' pages and e-mails are dropped, e-mails by domain, first social page."""
-    site = F.lower(F.col("website"))
-    social, blocked = X.any_contains(site, list(SOCIAL_DOMAINS)), X.any_contains(site, list(BLOCKED_DOMAINS))
-    website = F.when(~social & ~blocked & (F.col("website") != ""), F.col("website"))
-    own = F.when(website.isNotNull(), X.domain_simple(website))
-    emails = F.when(blocked, F.array().cast("array<string>")).otherwise(emails_by_domain(F.col("emails"), own))
-    maps = F.when(F.col("placeId") != "", F.concat(F.lit("https://maps.example/place?id="), F.replace(F.url_encode("placeId"), F.lit("+"), F.lit("%20")))).otherwise(F.col("url"))
-    return feed.filter(~F.col("permanentlyClosed")).select(
-        *keep, "placeId", "title", "categoryName", "address", "phone", website.alias("website"), emails.alias("emails"), F.slice("phones", 1, 5).alias("phones_extra"),
-        "categories", F.get("facebooks", F.lit(0)).alias("facebook"), F.col("totalScore").alias("rating"), F.col("reviewsCount").alias("review_count"), maps.alias("maps_url"), "niche",
-    )
+    free = F.filter(emails, lambda e: F.element_at(F.split(e, "@"), -1).isin(*providers) & ~F.coalesce(F.array_contains(mine, e), F.lit(False)))
+    return F.concat(mine, free)
+
+
+def maps_url(title: Column, place_id: Column) -> Column:
+    """A search address of a place; the title is percent-encoded but for slashes."""
+    quoted = F.url_encode(title)
+    for a, b in (("+", "%20"), ("*", "%2A"), ("%7E", "~"), ("%2F", "/")):
+        quoted = F.replace(quoted, F.lit(a), F.lit(b))
+    return F.concat(F.lit("https://www.google.com/maps/search/?api=1&query="), quoted, F.lit("&query_place_id="), place_id)
+
+
+def places(feed: DataFrame, keep: tuple[str, ...] = (), country: str = "lv", social: tuple[str, ...] = SOCIAL_DOMAINS, blocked: tuple[str, ...] = BLOCKED_DOMAINS, providers: tuple[str, ...] = FREE_PROVIDERS) -> DataFrame:
+    """The 25-column row of each open place (PLACE).
+
+    Pages of social networks are no website; where the domain is a blocked one, website, domain and e-mails go. E-mails are ordered by domain, of each
+    list of social pages the first stays, and the maps address is built of title and place id. Texts are empty where missing; website, domain, rating,
+    review_count and social pages are null. country: what a place without a country code gets.
+    """
+    text = lambda c: X.blank_if_null(F.col(c))
+    some = lambda c: F.when(X.present(F.col(c)), F.col(c))
+    listed = lambda c: F.coalesce(F.col(c), F.array().cast("array<string>"))
+    on_blocked = F.coalesce(F.col("domain").isin(*blocked), F.lit(False))
+    on_social = some("website").isNotNull() & F.coalesce(F.col("domain").isin(*social), F.lit(False))
+    own = F.when(~on_blocked & ~on_social, some("domain"))
+    known = F.when(F.coalesce(F.col("domain").isin(*social), F.lit(False)), F.lit(None)).otherwise(own)
+    renamed = {"business_name": "title", "category": "categoryName", "address": "address", "street": "street", "city": "city", "postal_code": "postalCode", "phone": "phone", "phone_unformatted": "phoneUnformatted", "place_id": "placeId"}
+    values = {k: text(c) for k, c in renamed.items()}
+    values |= {"categories": listed("categories"), "country": X.first_present(F.col("countryCode"), F.lit(country)), "website": F.when(~on_blocked & ~on_social, some("website")), "domain": own, "rating": F.col("totalScore"), "review_count": F.col("reviewsCount")}
+    values |= {"google_maps_url": F.when(text("placeId") != "", maps_url(text("title"), F.col("placeId"))).otherwise(text("url"))}
+    values |= {"emails": emails_by_domain(F.when(on_blocked, F.array().cast("array<string>")).otherwise(listed("emails")), known, providers), "phones_extra": listed("phones")}
+    values |= {one: F.get(c, F.lit(0)) for one, c in {"facebook": "facebooks", "instagram": "instagrams", "linkedin": "linkedIns", "twitter": "twitters", "youtube": "youtubes", "tiktok": "tiktoks", "whatsapp": "whatsapps"}.items()}
+    return feed.filter(~F.coalesce("permanentlyClosed", F.lit(False))).select(*keep, *[values[c].alias(c) for c in PLACE])
 
 
 def places_basic(feed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -125,12 +152,40 @@ def places_basic(feed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return feed.filter(~F.col("permanentlyClosed")).select(*keep, *same, "totalScore", "reviewsCount", F.array_join("categories", ", ").alias("categories"))
 
 
-def place_leads(rows: DataFrame, contacts: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Places with the contacts found on their sites (site, emails, error) and a status: no_website, success, error: .. or skipped."""
-    c = contacts.select(F.col("site").alias("site_"), F.col("emails").alias("found"), F.col("error").alias("error_"))
-    joined = rows.join(c, F.col("website") == F.col("site_"), "left")
-    status = F.when(F.coalesce("website", F.lit("")) == "", "no_website").when(F.col("site_").isNull(), "skipped").when(F.col("error_").isNotNull(), F.concat(F.lit("error: "), "error_")).otherwise("success")
-    return joined.select(*keep, "title", "website", X.blank_if_null(F.array_join("found", ", ")).alias("contact_emails"), X.blank_if_null(F.to_json("found")).alias("contacts_json"), status.alias("status"))
+PLACE_LEAD = (
+    "scraped_at", "search_query", "business_name", "category", "address", "city", "state", "zip_code", "country", "phone", "website", "google_maps_url", "rating", "review_count", "price_level",
+    "emails", "additional_phones", "business_hours", "facebook", "twitter", "linkedin", "instagram", "youtube", "tiktok", "owner_name", "owner_title", "owner_email", "owner_phone", "owner_linkedin",
+    "team_contacts", "additional_contact_methods", "pages_scraped", "search_enriched", "enrichment_status",
+)
+
+
+def _spaced_json(list_: Column, fields: list[str]) -> Column:
+    """A list of objects as JSON with a blank behind each comma and colon; empty for an empty list."""
+    text = lambda v: F.regexp_replace(F.to_json(F.array(v)), r"^\[|\]$", "")
+    one = lambda x: F.concat(F.lit("{"), F.concat_ws(", ", *[F.concat(F.lit(f'"{f}": '), F.when(x[f].isNull(), "null").otherwise(text(x[f]))) for f in fields]), F.lit("}"))
+    return F.when(F.size(list_) > 0, F.concat(F.lit("["), F.array_join(F.transform(list_, one), ", "), F.lit("]")))
+
+
+def place_leads(rows: DataFrame, contacts: DataFrame, query: str, scraped_at: Column, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The 34-column lead of each place (PLACE_LEAD): its own values, and what its site's contacts (one row per site) say.
+
+    contacts: site, status, error (null: none), emails, phone_numbers, business_hours, social struct<facebook, twitter, linkedin, instagram, youtube, tiktok>, owner struct<name, title, email,
+    phone, linkedin>, team array<struct>, additional_contacts, pages_scraped, search_enriched. enrichment_status: no_website, skipped (nothing looked up), error: .. (cut to 50 characters
+    behind the colon) or the contacts' own. Hours found on the site replace the place's, even by nothing.
+    """
+    own = [f.name for f in contacts.schema["team"].dataType.elementType.fields]
+    c = contacts.select(F.struct(*[x for x in contacts.columns if x != "site"]).alias("c_"), F.col("site").alias("site_"))
+    joined = rows.join(c, X.present(F.col("website")) & (F.col("website") == F.col("site_")), "left")
+    got = F.col("site_").isNotNull() & F.col("c_.error").isNull()
+    found = lambda f: F.when(got, F.col(f"c_.{f}"))
+    status = F.when(~X.present(F.col("website")), "no_website").when(F.col("site_").isNull(), "skipped").when(F.col("c_.error").isNotNull(), F.concat(F.lit("error: "), F.substring("c_.error", 1, 50))).otherwise(F.col("c_.status"))
+    plain = ("business_name", "category", "address", "city", "state", "zip_code", "country", "phone", "website", "google_maps_url", "rating", "review_count", "price_level")
+    values = {k: F.col(k) if k in rows.columns else F.lit("") for k in plain}
+    hours = F.col("business_hours") if "business_hours" in rows.columns else F.lit("")
+    values |= {"scraped_at": scraped_at, "search_query": F.lit(query), "emails": F.array_join(found("emails"), ", "), "additional_phones": F.array_join(found("phone_numbers"), ", "), "business_hours": F.when(got, F.col("c_.business_hours")).otherwise(hours)}
+    values |= {s: found(f"social.{s}") for s in ("facebook", "twitter", "linkedin", "instagram", "youtube", "tiktok")} | {f"owner_{o}": found(f"owner.{o}") for o in ("name", "title", "email", "phone", "linkedin")}
+    values |= {"team_contacts": _spaced_json(found("team"), own), "additional_contact_methods": F.array_join(found("additional_contacts"), ", "), "pages_scraped": F.coalesce(found("pages_scraped"), F.lit(0)), "search_enriched": F.coalesce(found("search_enriched"), F.lit(False)), "enrichment_status": status}
+    return joined.select(*keep, *[(values[k] if k in ("rating", "review_count", "pages_scraped", "search_enriched") else X.blank_if_null(values[k].cast("string"))).alias(k) for k in PLACE_LEAD])
 
 
 # --- answers of look-up services
@@ -143,13 +198,28 @@ def company_country(answers: DataFrame) -> DataFrame:
     return answers.select("domain", F.coalesce(F.when(X.present(F.col("hq_country")), F.col("hq_country")), at(lambda x: x["headquarter"] & has(x)), at(has), F.lit("")).alias("country"))
 
 
-def profile_filled(leads: DataFrame, answers: DataFrame, key: str = "ord") -> DataFrame:
-    """Leads' title and city overwritten by what is present in the answer; up to five jobs and three schools."""
-    a = answers.select(F.col(key).alias("k_"), F.col("bio").alias("bio_"), "professional_title", "location", "work_experience", "education")
-    filled = lambda new, old: X.first_present(F.col(new), F.col(old))
-    text = lambda x: F.concat_ws(" / ", x["position_title"], x["company_name"])
+#: Columns of a lead and the parts of a profile answer that fill them.
+PROFILE = {"linkedin_bio": "bio", "linkedin_headline": "professional_title", "linkedin_company": "company_name", "linkedin_industry": "company_industry", "linkedin_location": "location", "linkedin_tenure_years": "total_tenure_years", "linkedin_followers": "followers_range"}
+
+
+def profile_filled(leads: DataFrame, answers: DataFrame, enriched_at: str, credits: int, key: str = "ord") -> DataFrame:
+    """leads with nine profile columns: what is present in the answer overwrites what was there, anything else stays; up to five jobs and three schools.
+
+    linkedin_enriched_at and linkedin_enrichment_credits are set where there is an answer. leads may have any of these columns already, as texts and lists.
+    """
+    jobs, schools = {"title": "position_title", "company": "company_name", "period": "employment_period"}, {"school": "institution_name", "degree": "degree", "period": "attendance_period"}
+    a = answers.select(F.col(key).alias("k_"), F.struct(*[c for c in answers.columns if c != key]).alias("a_"))
     joined = leads.join(a, F.col(key) == F.col("k_"), "left")
-    return joined.select(key, filled("professional_title", "title").alias("title"), filled("location", "city").alias("city"), X.blank_if_null(F.col("bio_")).alias("bio"), F.array_join(F.transform(F.slice("work_experience", 1, 5), text), ";").alias("jobs"), F.array_join(F.transform(F.slice("education", 1, 3), lambda x: x["institution_name"]), ";").alias("schools"))
+    before = lambda c: F.col(c) if c in leads.columns else F.lit(None)
+    filled = {c: X.first_present(F.col(f"a_.{p}").cast("string"), before(c).cast("string")) for c, p in PROFILE.items()}
+
+    def shaped_list(list_: Column, fields: dict[str, str]) -> Column:
+        return F.transform(list_, lambda x: F.struct(*[X.blank_if_null(x[p]).alias(c) for c, p in fields.items()]))
+
+    for into, c, fields, most in (("linkedin_experience", "work_experience", jobs, 5), ("linkedin_education", "education", schools, 3)):
+        filled[into] = F.when(F.size(F.col(f"a_.{c}")) > 0, shaped_list(F.slice(F.col(f"a_.{c}"), 1, most), fields)).otherwise(before(into))
+    filled |= {"linkedin_enriched_at": F.when(F.col("k_").isNotNull(), F.lit(enriched_at)).otherwise(before("linkedin_enriched_at")), "linkedin_enrichment_credits": F.when(F.col("k_").isNotNull(), F.lit(credits)).otherwise(before("linkedin_enrichment_credits"))}
+    return joined.withColumns(filled).drop("k_", "a_")
 
 
 def tag_pairs(raw: DataFrame, column: str = "raw") -> DataFrame:

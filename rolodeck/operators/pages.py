@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..cluster import small
+from ..cluster import row_slices, small
 from ..functions import text as X
 
 
@@ -141,11 +141,13 @@ def page_text(html: str | None, rules: TextRules) -> str:
 
 
 def with_text(pages: DataFrame, rules: TextRules = SITE_RULES, html: str = "html", into: str = "content") -> DataFrame:
-    """pages without html, and its readable text. Narrow; a page is parsed on its own."""
+    """pages without html, and its readable text. Narrow; a page is parsed on its own. A column that is named as ``into`` already is an error."""
     kept = [c for c in pages.columns if c != html]
+    if into.lower() in {c.lower() for c in kept}:
+        raise ValueError(f"a column {into} exists already; choose another with into=")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in row_slices(batches, html):
             texts = pa.array([page_text(h, rules) for h in batch.column(html).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), texts], names=[*kept, into])
 
@@ -202,9 +204,28 @@ def bundle(pages: DataFrame, site: str, main: Column, text: str, order: str, lon
     return lists.select("site", F.substring(F.array_join(F.transform("ts", lambda x: x["t"]), "\n"), 1, longest).alias("bundle"))
 
 
-#: Marks of content systems and frameworks, in order.
-CMS = [("WordPress", "wp-content|wp-includes"), ("Shopify", "cdn\\.shopify"), ("Wix", "wixstatic|wix\\.com"), ("Squarespace", "squarespace"), ("Drupal", "drupal"), ("Joomla", "joomla"), ("Webflow", "webflow"), ("Tilda", "tilda")]
-FRAMEWORKS = [("Next.js", "__next"), ("Nuxt", "__nuxt"), ("React", "react"), ("Vue", "vue"), ("Angular", "ng-app|angular"), ("jQuery", "jquery")]
+#: Marks of content systems and frameworks, in order; their case does not matter.
+CMS = [
+    ("WordPress", r"/wp-content/|/wp-includes/|wp-json"),
+    ("WordPress", r"""<meta\s+name=["']generator["']\s+content=["']WordPress"""),
+    ("Shopify", r"cdn\.shopify\.com|Shopify\.theme"),
+    ("Squarespace", r"squarespace\.com|data-squarespace"),
+    ("Wix", r"static\.wixstatic\.com|X-Wix-"),
+    ("Weebly", r"weebly\.com|weebly-footer"),
+    ("Google Sites", r"sites\.google\.com|googleusercontent\.com/site"),
+    ("Webflow", r"webflow\.com|data-wf-"),
+    ("Ghost", r"ghost\.org|ghost-api"),
+    ("Joomla", r"joomla|/administrator/"),
+    ("Drupal", r"drupal\.org|Drupal\.settings"),
+]
+FRAMEWORKS = [
+    ("Next.js", r"__NEXT_DATA__|_next/static"),
+    ("Nuxt.js", r"__NUXT__|_nuxt/"),
+    ("React", r"data-reactroot|react-dom"),
+    ("Angular", r"ng-version|angular\.js"),
+    ("Vue.js", r"data-v-[a-f0-9]|Vue\.config"),
+    ("Svelte", r"svelte-|__svelte"),
+]
 
 
 def first_match(c: Column, patterns: list[tuple[str, str]]) -> Column:
@@ -214,10 +235,16 @@ def first_match(c: Column, patterns: list[tuple[str, str]]) -> Column:
     return out
 
 
-def technology(pages: DataFrame, html: str = "html", headers: Column | None = None, key: str = "page_id") -> DataFrame:
-    """(key, cms, framework, server)."""
-    h = headers if headers is not None else F.lit("")
-    return pages.select(key, X.blank_if_null(first_match(F.concat_ws(" ", html, h), CMS)).alias("cms"), X.blank_if_null(first_match(F.col(html), FRAMEWORKS)).alias("framework"), F.regexp_extract(h, r"(?i)server: ([^\n]+)", 1).alias("server"))
+def technology(pages: DataFrame, html: str = "html", headers: str | None = None, key: str = "page_id", cms: list[tuple[str, str]] = CMS, frameworks: list[tuple[str, str]] = FRAMEWORKS) -> DataFrame:
+    """(key, cms, framework, server), empty where nothing is found. headers: a column with the answer's headers (map), which are searched for content systems too."""
+    text = X.blank_if_null(F.col(html))
+    if headers is None:
+        return pages.select(key, X.blank_if_null(first_match(text, cms)).alias("cms"), X.blank_if_null(first_match(text, frameworks)).alias("framework"), F.lit("").alias("server"))
+    h = F.col(headers)
+    either = lambda a, b: X.first_present(F.try_element_at(h, F.lit(a)), F.try_element_at(h, F.lit(b)))
+    lines = F.array_join(F.transform(F.map_entries(h), lambda e: F.concat(e["key"], F.lit(": "), X.blank_if_null(e["value"]))), " ")
+    combined = F.concat_ws(" ", text, either("x-powered-by", "X-Powered-By"), lines)
+    return pages.select(key, X.blank_if_null(first_match(combined, cms)).alias("cms"), X.blank_if_null(first_match(text, frameworks)).alias("framework"), either("server", "Server").alias("server"))
 
 
 def is_ssl(url: Column) -> Column:

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..cluster import small
+from ..cluster import checkpointed, numbered, small
 from ..functions import text as X
 from . import classify
 
@@ -46,18 +46,30 @@ def top_counts(df: DataFrame, columns: dict[str, tuple[Column, int | None]], ord
             own = F.when(F.col("field") == k, F.lit(most)).otherwise(own)
         parts.append(top.filter(F.col("rank") <= own))
     if whole:
-        parts.append(counts.filter(F.col("field").isin(*whole)).withColumn("rank", rank))
+        parts.append(ranked(counts.filter(F.col("field").isin(*whole))))
     return reduce(DataFrame.unionByName, parts).drop("first")
 
 
+def ranked(counts: DataFrame) -> DataFrame:
+    """counts (field, value, n, first) with ``rank`` inside each field by n, then first, where a field may have any number of values: numbered in one global order, from each field's first."""
+    order = [F.col("field"), F.desc("n"), F.col("first")]
+    every = checkpointed(numbered(counts, order, "place"))
+    starts = every.groupBy(F.col("field").alias("f_")).agg(F.min("place").alias("start"))
+    return every.join(F.broadcast(starts), F.col("field") == F.col("f_")).select("field", "value", "n", "first", (F.col("place") - F.col("start") + 1).alias("rank"))
+
+
 def distinct_counts(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """field, distinct values (blank ones are one value)."""
     stacked = df.select(F.explode(F.array(*[F.struct(F.lit(k).alias("field"), X.blank_if_null(c).alias("value")) for k, c in columns.items()])).alias("x"))
     return stacked.select("x.*").distinct().groupBy("field").agg(F.count(F.lit(1)).alias("n"))
 
 
-def title_classes(df: DataFrame, title: str = "title") -> DataFrame:
-    return df.groupBy(classify.title_class(F.col(title)).alias("class")).agg(F.count(F.lit(1)).alias("n"))
+def title_classes(df: DataFrame, title: str = "title", others: int = 15, order: str = "ord") -> DataFrame:
+    """kind, value, n: rows in each class of titles (kind "class"), and the most frequent titles that are in none (kind "other"); ties by first appearance."""
+    marked = df.select(order, F.col(title).alias("title"), classify.title_class(F.col(title)).alias("class"))
+    counts = marked.groupBy(F.lit("class").alias("kind"), F.col("class").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    top = top_counts(marked.filter(F.col("class") == classify.OTHER_TITLE), {"other": (F.col("title"), others)}, order)
+    return counts.unionByName(top.select(F.col("field").alias("kind"), "value", "n"))
 
 
 def expected_countries(leads: DataFrame, locations: DataFrame, words: DataFrame, codes: DataFrame) -> DataFrame:
@@ -67,15 +79,26 @@ def expected_countries(leads: DataFrame, locations: DataFrame, words: DataFrame,
     """
     named = locations.select(F.lower("location").alias("l")).distinct().join(small(words), F.rlike("l", F.concat(F.lit("\\b"), F.col("word"), F.lit("\\b")))).select("word").distinct()
     wanted = named.join(codes.select(F.lower("country").alias("word"), F.col("code").alias("phone_code")), "word")
-    phones = leads.groupBy(F.substring("company_phone", 1, 4).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
-    matched = wanted.join(small(phones, 100_000), F.startswith("prefix", F.col("phone_code")), "left")
-    return matched.groupBy("word", "phone_code").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("leads"))
+    # A phone has one prefix of each length, so that equality joins find its codes, however many different phones there are.
+    lengths = F.array(*[F.lit(n) for n in range(2, 6)])
+    prefixes = leads.select(F.explode(F.transform(lengths, lambda n: F.when(F.length("company_phone") >= n, F.substr(F.col("company_phone"), F.lit(1), n)))).alias("prefix")).filter("prefix is not null")
+    counts = prefixes.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"))
+    return wanted.join(counts, F.col("prefix") == F.col("phone_code"), "left").select("word", "phone_code", F.coalesce("n", F.lit(0)).alias("leads"))
 
 
-def recommendations(df: DataFrame, filters: dict[str, Column]) -> DataFrame:
-    """filter, removed: how many rows each suggested filter (what it keeps) would remove."""
-    sums = df.agg(*[count_if(~F.coalesce(keeps, F.lit(False))).alias(k) for k, keeps in filters.items()])
-    return sums.select(F.explode(F.array(*[F.struct(F.lit(k).alias("filter"), F.col(k).alias("removed")) for k in filters])).alias("r")).select("r.*")
+def recommendations(leads: DataFrame, codes: list[str], known: list[str]) -> DataFrame:
+    """place, filter, removed: the filters worth while and how many rows each would remove.
+
+    1 email: rows without one; 2 phone: rows whose phone code is none of codes (not asked where there are none); 3 individual: titles of people who contribute alone; 4 industry: always, without
+    a number. The first three only if they remove any. known: all phone codes, longest match first.
+    """
+    phone = X.strip(X.first_present(*[F.col(c).cast("string") for c in ("company_phone", "phone", "organization_phone") if c in leads.columns]))
+    wanted = F.coalesce(X.phone_code(phone, known).isin(*codes), F.lit(False)) if codes else F.lit(True)
+    removed = {"email": ~F.coalesce(X.present(F.col("email")), F.lit(False)), "phone": ~wanted, "individual": classify.title_class(F.col("title")).isin(*classify.INDIVIDUAL)}
+    sums = leads.agg(*[count_if(c).alias(k) for k, c in removed.items()])
+    rows = [F.struct(F.lit(i + 1).alias("place"), F.lit(k).alias("filter"), F.col(k).alias("removed")) for i, k in enumerate(removed)]
+    rows.append(F.struct(F.lit(4).alias("place"), F.lit("industry").alias("filter"), F.lit(None).cast("long").alias("removed")))
+    return sums.select(F.explode(F.array(*rows)).alias("r")).select("r.*").filter("removed is null or removed > 0")
 
 
 def approval(marked: DataFrame, column: str = "industry") -> DataFrame:
@@ -137,8 +160,8 @@ def best_leads(leads: DataFrame, n: int, order: str = "ord") -> DataFrame:
     """The n leads with the highest score, ties by order, with reasons. Points for content, bio, jobs, headline and e-mail. A bounded top-k: each task keeps n rows."""
     size = F.length(X.blank_if_null(F.col("content")))
     parts = {
-        "content": F.when(size > 1000, 30).when(size > 300, 15).otherwise(0),
-        "bio": F.when(F.length(X.blank_if_null(F.col("bio"))) > 20, 25).when(X.blank_if_null(F.col("bio")) != "", 10).otherwise(0),
+        "content": F.when(size > 2000, 30).when(size > 500, 15).otherwise(0),
+        "bio": F.when(F.length(X.blank_if_null(F.col("bio"))) > 100, 25).when(X.blank_if_null(F.col("bio")) != "", 10).otherwise(0),
         "jobs": F.when(F.col("n_jobs") >= 3, 25).when(F.col("n_jobs") > 0, 10).otherwise(0),
         "headline": F.when(X.blank_if_null(F.col("professional_title")) != "", 10).otherwise(0),
         "email": F.when(X.blank_if_null(F.col("email")) != "", 10).otherwise(0),
@@ -149,6 +172,6 @@ def best_leads(leads: DataFrame, n: int, order: str = "ord") -> DataFrame:
 
 
 def sorted_campaigns(campaigns: DataFrame) -> DataFrame:
-    """With ``place``: oldest first, those without a date last, ties by id. One row per campaign: a small table."""
+    """With ``place``: oldest first, those without a date last, ties by id."""
     first = F.coalesce(F.nullif(X.blank_if_null(F.col("created_at")), F.lit("")), F.lit("9999"))
-    return campaigns.withColumn("place", F.row_number().over(Window.orderBy(first, "campaign_id")).cast("long"))
+    return numbered(campaigns, [first, F.col("campaign_id")], "place")

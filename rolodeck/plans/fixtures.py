@@ -17,7 +17,7 @@ FIXTURES = {
 SELECT k AS ord,
   CASE p % 5 WHEN 0 THEN 'Anna' WHEN 1 THEN 'Janis' WHEN 2 THEN 'Elina' WHEN 3 THEN 'Marc' ELSE 'Olga' END AS first_name,
   'Person' || p AS last_name,
-  CASE WHEN k % 37 = 0 THEN 'LOG: run started ' || k WHEN k % 41 = 0 THEN '' ELSE (CASE p % 5 WHEN 0 THEN 'Anna' WHEN 1 THEN 'Janis' WHEN 2 THEN 'Elina' WHEN 3 THEN 'Marc' ELSE 'Olga' END) || ' Person' || p END AS name,
+  CASE WHEN k % 37 = 0 THEN 'Scanning pages ' || k WHEN k % 41 = 0 THEN '' ELSE (CASE p % 5 WHEN 0 THEN 'Anna' WHEN 1 THEN 'Janis' WHEN 2 THEN 'Elina' WHEN 3 THEN 'Marc' ELSE 'Olga' END) || ' Person' || p END AS name,
   CASE k % 9 WHEN 0 THEN 'CEO' WHEN 1 THEN 'Head of Sales' WHEN 2 THEN 'Design Director' WHEN 3 THEN 'Junior Engineer' WHEN 4 THEN '' WHEN 5 THEN 'Marketing Manager' WHEN 6 THEN 'VP of Finance' WHEN 7 THEN 'Founder & CEO' ELSE 'Intern' END AS title,
   CASE WHEN k % 5 = 0 THEN '' WHEN k % 4 = 1 THEN upper('person' || p || '@corp' || c || tld) ELSE 'person' || p || '@corp' || c || tld END AS email,
   CASE k % 6 WHEN 0 THEN 'verified' WHEN 1 THEN 'risky' WHEN 2 THEN 'invalid' WHEN 3 THEN '' WHEN 4 THEN 'deliverable' ELSE 'missing' END AS email_status,
@@ -60,15 +60,38 @@ SELECT ord, CASE WHEN ord % 6 = 0 THEN '' ELSE 'place' || (ord - ord % 2) END AS
   CASE ord % 4 WHEN 0 THEN 'Bakery' WHEN 1 THEN 'Dentist' WHEN 2 THEN 'Gym' ELSE 'Florist' END AS categoryName,
   CASE WHEN ord % 9 = 0 THEN '' ELSE 'Street ' || (ord % 50) || ', Riga' END AS address, 'Street ' || (ord % 50) AS street, 'Riga' AS city, 'LV-' || (1000 + ord % 90) AS postalCode, 'LV' AS countryCode,
   CASE WHEN ord % 3 = 0 THEN '' ELSE '+371' || (20000000 + ord) END AS phone,
-  CASE WHEN ord % 4 = 0 THEN '' WHEN ord % 7 = 0 THEN 'https://www.facebook.com/shop' || ord WHEN ord % 11 = 0 THEN 'https://directory.example/shop' || ord ELSE 'https://shop' || ord || '.lv/' END AS website,
-  'shop' || ord || '.lv' AS domain, 'https://maps.example/' || ord AS url,
-  CASE ord % 4 WHEN 0 THEN ARR['x@gmail.com'] WHEN 1 THEN ARR['a@other.com'; 'info@shop' || ord || '.lv'; 'me@gmail.com'] WHEN 2 THEN ARR['info@shop' || ord || '.lv'] ELSE ARR['a@other.com'] END AS emails,
+  CASE WHEN ord % 4 = 0 THEN '' WHEN ord % 7 = 0 THEN 'https://www.facebook.com/shop' || ord WHEN ord % 11 = 0 THEN 'https://www.delfi.lv/shop' || ord ELSE 'https://shop' || ord || '.lv/' END AS website,
+  CASE WHEN ord % 4 = 0 THEN '' WHEN ord % 7 = 0 THEN 'facebook' WHEN ord % 11 = 0 THEN 'delfi.lv' ELSE 'shop' || ord || '.lv' END AS domain, 'https://maps.example/' || ord AS url,
+  CASE WHEN ord % 3 = 0 THEN '' ELSE '371' || (20000000 + ord) END AS "phoneUnformatted",
+  CASE ord % 4 WHEN 0 THEN ARR['x@gmail.com'] WHEN 1 THEN ARR['a@other.com'; 'info@shop' || ord || '.lv'; 'me@gmail.com'] WHEN 2 THEN ARR['info@shop' || ord || '.lv'] ELSE ARR['a@other.com'; 'old@one.lv'; 'old@one.lv'] END AS emails,
   CASE WHEN ord % 2 = 0 THEN ARR['+3711'; '+3712'] ELSE ARR['+3713'] END AS phones,
   ARR['Shop'; CASE ord % 4 WHEN 0 THEN 'Bakery' WHEN 1 THEN 'Dentist' WHEN 2 THEN 'Gym' ELSE 'Florist' END] AS categories,
-  ARR['https://facebook.com/s' || ord; 'https://facebook.com/t'] AS facebooks,
+  ARR['https://facebook.com/s' || ord; 'https://facebook.com/t'] AS facebooks, CASE WHEN ord % 2 = 0 THEN ARR['https://instagram.com/i' || ord] ELSE ARR[] END AS instagrams, ARR['https://linkedin.com/company/l' || ord] AS "linkedIns",
+  CASE WHEN ord % 5 = 0 THEN ARR['https://twitter.com/t' || ord] ELSE ARR[] END AS twitters, CASE WHEN ord % 5 = 1 THEN ARR['https://youtube.com/y' || ord] ELSE ARR[] END AS youtubes,
+  CASE WHEN ord % 5 = 2 THEN ARR['https://tiktok.com/k' || ord] ELSE ARR[] END AS tiktoks, CASE WHEN ord % 5 = 3 THEN ARR['https://wa.me/' || ord] ELSE ARR[] END AS whatsapps,
   CAST(1 + ord % 5 AS DOUBLE) AS totalScore, ord % 300 AS reviewsCount, ord % 13 = 0 AS permanentlyClosed,
   CASE ord % 3 WHEN 0 THEN 'bakeries' WHEN 1 THEN 'gyms' ELSE 'florists' END AS niche
 FROM (SELECT s_suppkey AS ord FROM supplier UNION ALL SELECT 100000000 + c_custkey FROM customer) s""",
+    "fx_business": """
+SELECT ord, placeId AS place_id, title AS business_name, categoryName AS category, address, city, '' AS state, postalCode AS zip_code, countryCode AS country, phone, website, url AS google_maps_url, totalScore AS rating, reviewsCount AS review_count,
+  CASE WHEN ord % 2 = 0 THEN '$$' ELSE '' END AS price_level, CASE WHEN ord % 3 = 0 THEN 'Mo-Fr 9-17' ELSE '' END AS business_hours, emails, niche, CASE WHEN ord % 2 = 0 THEN NULL ELSE 'https://facebook.com/s' || ord END AS facebook,
+  'https://instagram.com/i' || ord AS instagram, CASE WHEN ord % 3 = 0 THEN NULL ELSE 'https://linkedin.com/company/l' || ord END AS linkedin, CASE WHEN ord % 5 = 0 THEN NULL ELSE CAST(ord % 101 AS INT) END AS overall_score, CAST(ord % 99 AS INT) AS performance_score,
+  CASE WHEN ord % 4 = 0 THEN 0 ELSE CAST(ord % 97 AS INT) END AS seo_score, CASE WHEN ord % 4 = 0 THEN NULL ELSE ord % 4 = 1 END AS is_mobile_friendly, ord % 3 <> 1 AS has_ssl, CASE WHEN ord % 5 < 2 THEN 'WordPress' ELSE NULL END AS cms,
+  CASE ord % 3 WHEN 0 THEN ARR['one'; 'two'; 'three'; 'four'] WHEN 1 THEN ARR['one'] ELSE ARR[] END AS insights, CASE WHEN ord % 6 = 1 THEN NULL ELSE 'Casual ' || ord END AS casual_name, 'About ' || ord AS insight_lv, niche || '_poor' AS segment_id
+FROM fx_places""",
+    "fx_contacts": """
+SELECT website AS site, 'success' AS status, CASE WHEN ord % 5 = 0 THEN 'timeout while reading the first page of the site, which never came' ELSE NULL END AS error, emails, phones AS phone_numbers, CASE WHEN ord % 7 = 1 THEN NULL ELSE 'daily 8-20' END AS business_hours,
+  REC[facebook := 'https://facebook.com/s' || ord; twitter := ''; linkedin := 'https://linkedin.com/company/l' || ord; instagram := 'https://instagram.com/i' || ord; youtube := ''; tiktok := ''] AS social,
+  REC[name := 'Owner ' || ord; title := 'Owner'; email := 'owner@shop' || ord || '.lv'; phone := ''; linkedin := ''] AS owner,
+  CASE WHEN ord % 3 = 0 THEN ARR[REC[name := 'Ann "A" ' || ord; title := 'Baker'; email := 'ann@shop' || ord || '.lv']; REC[name := 'Bob'; title := ''; email := '']] ELSE ARR[REC[name := 'Eve'; title := 'Clerk'; email := 'eve@shop' || ord || '.lv']] END AS team,
+  ARR['chat'; 'form'] AS additional_contacts, CAST(ord % 4 AS INT) AS pages_scraped, ord % 2 = 1 AND ord % 3 = 0 AS search_enriched
+FROM fx_places WHERE website <> '' AND ord % 2 = 1""",
+    "fx_feed_d": """
+SELECT ord, first_name, last_name, CASE WHEN ord % 4 = 0 THEN '' ELSE name END AS name, CASE WHEN ord % 3 = 0 THEN company_phone ELSE '' END AS organization_phone, CASE WHEN ord % 2 = 0 THEN '+1' || ord ELSE '' END AS phone, linkedin_url, title, CASE WHEN email_status = '' THEN NULL ELSE email_status END AS email_status,
+  email, city, country, CASE WHEN ord % 5 = 0 THEN 'Named ' || ord ELSE '' END AS organization_name, CASE WHEN ord % 6 = 0 THEN company_website ELSE NULL END AS website_url, 'owner' AS seniority, ARR['sales'] AS departments, 'Head line ' || ord AS headline,
+  REC[name := company_name; phone := '+371' || ord; website_url := company_website; linkedin_url := company_linkedin; facebook_url := CASE WHEN ord % 2 = 0 THEN NULL ELSE 'https://facebook.com/c' || ord END; estimated_num_employees := CAST(ord % 500 AS INT); founded_year := CASE WHEN ord % 7 = 0 THEN NULL ELSE CAST(1950 + ord % 70 AS INT) END;
+    industries := CASE WHEN industry = '' THEN ARR[] ELSE ARR[lower(industry) || ' goods'; 'second'] END; keywords := CASE WHEN ord % 3 = 0 THEN ARR['a'; 'b'; 'c'; 'd'; 'e'; 'f'; 'g'; 'h'; 'i'; 'j'; 'k'; 'l'] ELSE ARR['x'] END] AS organization
+FROM fx_leads WHERE source = 'feed_a'""",
     "fx_web_eval": """
 SELECT p_partkey AS ord, 'https://site' || p_partkey || '.example' AS site,
   CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE CAST((p_partkey * 13) % 101 AS INT) END AS performance_score,
@@ -83,6 +106,7 @@ SELECT p_partkey AS ord, 'https://site' || p_partkey || '.example' AS site,
 FROM part""",
     "fx_profiles": """
 SELECT ord, linkedin_url, CASE WHEN ord % 3 = 0 THEN NULL ELSE 'Bio of ' || name END AS bio, CASE WHEN ord % 4 = 0 THEN '' ELSE title END AS professional_title, CASE WHEN ord % 2 = 0 THEN '' ELSE city END AS location,
+  CASE WHEN ord % 5 = 0 THEN NULL ELSE company_name END AS company_name, industry AS company_industry, CAST(ord % 30 AS INT) AS total_tenure_years, CASE WHEN ord % 6 = 0 THEN '' ELSE '500-1000' END AS followers_range,
   ARR[REC[position_title := 'A' || ord; company_name := 'C1'; employment_period := '2020']; REC[position_title := 'B'; company_name := 'C2'; employment_period := '2019']; REC[position_title := 'C'; company_name := 'C3'; employment_period := '2018'];
     REC[position_title := 'D'; company_name := 'C4'; employment_period := '2017']; REC[position_title := 'E'; company_name := 'C5'; employment_period := '2016']; REC[position_title := 'F'; company_name := 'C6'; employment_period := '2015']] AS work_experience,
   ARR[REC[institution_name := 'S1'; degree := 'BSc'; attendance_period := '2010']; REC[institution_name := 'S2'; degree := 'MSc'; attendance_period := '2012']; REC[institution_name := 'S3'; degree := 'PhD'; attendance_period := '2015']; REC[institution_name := 'S4'; degree := 'MBA'; attendance_period := '2018']] AS education
@@ -97,9 +121,9 @@ SELECT ord, name AS "Name", email AS "Email", company_name AS "Company", title A
 UNION ALL SELECT 1000000 + ord, 'New ' || ord, 'new' || ord || '@new.lv', 'New Co', 'CEO', industry, 'Latvia' FROM fx_leads WHERE ord % 20 = 0""",
     "fx_reference": """SELECT DISTINCT '  ' || email AS "Email" FROM fx_leads WHERE ord % 10 = 3 AND email <> ''""",
     "fx_campaigns": """
-SELECT 'camp_' || n_nationkey AS campaign_id, 'Campaign ' || n_name AS campaign_name, CASE n_nationkey % 3 WHEN 0 THEN 'leads' ELSE 'places' END AS type,
-  CASE WHEN n_nationkey % 6 = 5 THEN '' ELSE '2024-0' || (1 + n_nationkey % 9) || '-1' || (n_nationkey % 10) END AS created_at, CAST(n_nationkey * 10 AS BIGINT) AS lead_count, 'client_' || n_regionkey AS client
-FROM nation""",
+SELECT 'camp_' || c_custkey AS campaign_id, 'Campaign ' || c_name AS campaign_name, CASE c_custkey % 3 WHEN 0 THEN 'leads' ELSE 'places' END AS type,
+  CASE WHEN c_custkey % 6 = 5 THEN '' ELSE '2024-0' || (1 + c_custkey % 9) || '-1' || (c_custkey % 10) END AS created_at, CAST(c_custkey * 10 AS BIGINT) AS lead_count, 'client_' || (c_custkey % 5) AS client
+FROM customer""",
     "fx_searches": """
 SELECT CAST(c_custkey AS BIGINT) AS search_id, 'https://app.example.com/#/people?page=1&personTitles[]=' || CASE c_custkey % 3 WHEN 0 THEN 'sales%20manager' WHEN 1 THEN 'ceo' ELSE 'head%20of%20it' END
   || CASE WHEN c_custkey % 2 = 0 THEN '&personTitles[]=founder' ELSE '' END || '&personLocations[]=' || CASE c_custkey % 4 WHEN 0 THEN 'Latvia' WHEN 1 THEN 'Berlin%2C%20Germany' WHEN 2 THEN 'Atlantis' ELSE 'London%2C%20United%20Kingdom' END
@@ -152,13 +176,14 @@ def dialect(sql: str, spark: bool) -> str:
             end += 1
         parts = _split(sql[last.end() : end - 1])
         if last[1] == "ARR":
+            parts = [x for x in parts if x]
             out = f"array({', '.join(parts)})" if spark else f"list_value({', '.join(parts)})"
         else:
             pairs = [p.split(":=", 1) for p in parts]
             out = f"named_struct({', '.join(f"'{a.strip()}', {b}" for a, b in pairs)})" if spark else f"struct_pack({', '.join(f'{a.strip()} := {b}' for a, b in pairs).replace(':=', chr(1))})"
         sql = sql[: last.start()] + out + sql[end:]
     sql = sql.replace("\1", ":=")
-    return re.sub(r'AS "([A-Za-z ]+)"', r"AS `\1`", sql) if spark else sql
+    return re.sub(r'AS "([A-Za-z ]+)"', r"AS `\1`", sql) if spark else sql.replace("list_value()", "[]::VARCHAR[]")
 
 
 def _values(name: str) -> str:

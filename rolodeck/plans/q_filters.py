@@ -26,8 +26,8 @@ def _keep(name, sql, predicate):
     query(name, f"SELECT ord FROM fx_leads WHERE {sql}")(lambda t: t("fx_leads").filter(predicate(t("fx_leads"))).select("ord"))
 
 
-_keep("flt_junk", "NOT contains(name, 'LOG:')", lambda d: ~L.is_junk(F.col("name")))
-_keep("flt_invalid", "NOT contains(name, 'LOG:') AND (trim(name) <> '' OR trim(email) <> '')", lambda d: L.valid(F.col("name"), F.col("email")))
+_keep("flt_junk", "NOT contains(name, 'Scanning pages')", lambda d: ~L.is_junk(F.col("name")))
+_keep("flt_invalid", "NOT contains(name, 'Scanning pages') AND (name <> '' OR email <> '')", lambda d: L.valid(F.col("name"), F.col("email")))
 _keep("flt_email", _PASS["email"], lambda d: L.has_email(F.col("email")))
 _keep("flt_phone_code", "starts_with(company_phone, '+371')", lambda d: L.phone_has_code(L.own(d.columns, L.PHONES), "371"))
 _keep("flt_title_exclude", _PASS["title"], lambda d: L.title_allowed(F.col("title")))

@@ -12,7 +12,7 @@ from ..sources import readers as R, sinks as S
 from ..streaming import incremental as I
 from .. import cluster
 from .q_joins import _COLS, _MERGE
-from .q_normalize import _LEAD_B
+from .q_normalize import _LEAD34, _LEAD_B, _leads34
 from .registry import query
 
 
@@ -72,8 +72,34 @@ def _written(t):
 
 
 query("snk_run", "SELECT ord, 'run-1' AS run_id, (SELECT count(*) FROM fx_leads) AS rows FROM fx_leads")(_written)
-_S28 = {"headline": "title", "phone": "company_phone", **{c: "''" for c in ("seniority", "state", "casual_name", "keywords", "summary", "bio", "experience", "education", "icebreaker")}}
-query("snk_sheet28", f"SELECT ord, {', '.join(f'{_S28.get(c, c)} AS {c}' for c in S.SHEET28)} FROM fx_leads WHERE NOT contains(name, 'LOG:')")(lambda t: S.sheet28(t("fx_leads"), keep=("ord",)))
+# org_name is a text in some rows and an object in others, as a variant; website_url and organization_phone are what it falls back to.
+_ORG = """SELECT *, CASE WHEN ord % 4 < 2 THEN '' ELSE company_name END AS own_name, CASE WHEN ord % 3 = 0 THEN '' ELSE company_website END AS own_site, CASE ord % 5 WHEN 0 THEN 'text' WHEN 1 THEN 'object' WHEN 2 THEN 'blank' ELSE 'none' END AS form FROM fx_leads"""
+_NAME = "CASE WHEN own_name <> '' THEN own_name WHEN form = 'text' THEN 'Text ' || ord WHEN form = 'object' THEN 'Object ' || ord ELSE '' END"
+_SHEET = {
+    "First Name": "first_name", "Last Name": "last_name", "Full Name": "name", "Job Title": "title", "Email": "email", "Email Status": "email_status", "LinkedIn URL": "linkedin_url", "City": "city", "Country": "country", "Company Name": _NAME, "Casual Company Name": "'casual ' || ord",
+    "Company Website": "CASE WHEN own_site <> '' THEN own_site WHEN form = 'object' THEN 'https://object.example' WHEN form = 'blank' THEN '' ELSE 'https://fallback.example' END", "Company LinkedIn": "CASE WHEN company_linkedin = '' AND form = 'object' THEN 'https://linkedin.com/object' ELSE company_linkedin END",
+    "Company Phone": "CASE WHEN company_phone <> '' THEN company_phone ELSE '+000' END", "Company Domain": "CASE WHEN company_domain = '' AND form = 'object' THEN 'object.example' ELSE company_domain END", "Company Country": "company_country", "Industry": "industry", "Company Summary": "''", "Icebreaker": "''",
+    "LinkedIn Headline": "'Head'", "LinkedIn Bio": "''", "LinkedIn Industry": "''", "LinkedIn Location": "''", "LinkedIn Followers": "''", "LinkedIn Experience": "CASE WHEN ord % 2 = 0 THEN 'A @ C1 (2020) | B @ C2 () | C @ C3 (2018)' ELSE '' END", "LinkedIn Education": "CASE WHEN ord % 2 = 0 THEN 'BSc @ S1 | MSc @ S2' ELSE '' END",
+    "Website Content": "CASE WHEN ord % 1500 > 1000 THEN repeat('x', 1000) || '...' ELSE repeat('x', (ord % 1500)::INT) END", "Source": "source",
+}
+
+
+def _with_org(t):
+    form = F.col("ord") % 5
+    object_ = F.format_string('{"name":"Object %d","website_url":"https://object.example","linkedin_url":"https://linkedin.com/object","phone":"+999","primary_domain":"object.example"}', "ord")
+    org = F.when(form == 0, F.format_string('"Text %d"', "ord")).when(form == 1, object_).when(form == 2, F.lit('""'))
+    job = lambda a, b, c: F.struct(F.lit(a).alias("title"), F.lit(b).alias("company"), F.lit(c).cast("string").alias("period"))
+    school = lambda a, b: F.struct(F.lit(a).alias("degree"), F.lit(b).alias("school"))
+    even = lambda xs: F.when(F.col("ord") % 2 == 0, F.array(*xs))
+    return t("fx_leads").withColumns({
+        "company_name": F.when(F.col("ord") % 4 < 2, "").otherwise(F.col("company_name")), "company_website": F.when(F.col("ord") % 3 == 0, "").otherwise(F.col("company_website")), "org_name": F.parse_json(org), "website_url": F.lit("https://fallback.example"), "organization_phone": F.lit("+000"),
+        "casual_org_name": F.format_string("casual %d", "ord"), "linkedin_headline": F.lit("Head"), "linkedin_experience": even([job("A", "C1", "2020"), job("B", "C2", None), job("C", "C3", "2018"), job("D", "C4", "2017")]), "linkedin_education": even([school("BSc", "S1"), school("MSc", "S2"), school("PhD", "S3")]),
+        "website_content": F.repeat(F.lit("x"), (F.col("ord") % 1500).cast("int")),
+    })
+
+
+query("snk_sheet28", f"SELECT ord, {', '.join(f'{v} AS "{k}"' for k, v in _SHEET.items())} FROM ({_ORG}) WHERE NOT contains(name, 'Scanning pages')")(lambda t: S.sheet28(_with_org(t), keep=("ord",)))
+assert (tuple(_SHEET), len(S.CSV20), len(S.OUTREACH10), len(S.CALLING9), len(S.EMAIL24), len(S.PLACE10)) == (S.SHEET28, 20, 10, 9, 24, 10)
 
 
 def _modes(t):
@@ -89,24 +115,27 @@ query("snk_modes", "SELECT ord, CASE WHEN ord % 2 = 0 THEN 2 ELSE 1 END::BIGINT
 
 def _csv20(t):
     path = folder(t, "csv20")
-    S.csv20(t("fx_leads"), ("ord",)).write.option("header", True).csv(path)
+    S.csv20(_with_org(t), ("ord",)).write.option("header", True).csv(path)
     back = t.spark.read.option("header", True).csv(path)
+    assert tuple(back.columns[1:]) == S.CSV20
     return back.select(F.col("ord").cast("long").alias("ord"), *[X.blank_if_null(F.col(c)).alias(c) for c in S.CSV20])
 
 
-query("snk_csv20", f"SELECT ord, {', '.join(c if c not in ('casual_name', 'icebreaker', 'summary') else f"'' AS {c}" for c in S.CSV20)} FROM fx_leads")(_csv20)
+_C20 = {"company_name": _NAME, "casual_org_name": "'casual ' || ord", "company_website": "CASE WHEN own_site <> '' THEN own_site ELSE 'https://fallback.example' END", "company_phone": "CASE WHEN company_phone <> '' THEN company_phone ELSE '+000' END", "company_summary": "''", "icebreaker": "''"}
+_TWENTY = "first_name, last_name, name, title, email, email_status, linkedin_url, city, country, company_name, casual_org_name, company_website, company_linkedin, company_phone, company_domain, company_country, industry, company_summary, icebreaker, source".split(", ")
+query("snk_csv20", f"SELECT ord, {', '.join(f'{_C20.get(c, c)} AS {c}' for c in _TWENTY)} FROM ({_ORG})")(_csv20)
+_blank = lambda c: f"CASE WHEN coalesce({c}::VARCHAR, '') IN ('0', '0.0', 'false') THEN '' WHEN {c}::VARCHAR = 'true' THEN 'True' ELSE coalesce({c}::VARCHAR, '') END AS {c}"
 query(
     "snk_outreach10",
-    "SELECT ord, CASE WHEN ord % 5 = 0 THEN 'one@x.lv' ELSE emails[1] END AS email, title AS business, categoryName AS category, city, phone, website, totalScore::VARCHAR AS rating, reviewsCount::VARCHAR AS reviews, niche, '' AS segment FROM fx_places WHERE ord % 5 = 0 OR ord % 5 > 1",
-)(lambda t: S.outreach10(t("fx_places").withColumns({"emails": F.when(F.col("ord") % 5 > 1, F.col("emails")).when(F.col("ord") % 5 == 1, F.array().cast("array<string>")), "email_1": F.lit("one@x.lv")}), ("ord",)))
-query("snk_calling9", "SELECT ord, title AS business, phone, categoryName AS category, address, city, totalScore::VARCHAR AS rating, CASE WHEN reviewsCount = 0 THEN '' ELSE reviewsCount::VARCHAR END AS reviews, url AS maps_url, niche FROM fx_places")(lambda t: S.calling9(t("fx_places"), ("ord",)))
+    """SELECT ord, CASE WHEN ord % 5 = 0 THEN 'one@x.lv' ELSE emails[1] END AS email, business_name AS company_name, coalesce(casual_name, business_name) AS casual_name, insight_lv AS icebreaker, niche, city, coalesce(overall_score::VARCHAR, '') AS score, segment_id AS segment, website, phone
+    FROM fx_business WHERE ord % 5 = 0 OR ord % 5 > 1""",
+)(lambda t: S.outreach10(t("fx_business").withColumns({"emails": F.when(F.col("ord") % 5 > 1, F.col("emails")).when(F.col("ord") % 5 == 1, F.array().cast("array<string>")), "email_1": F.lit("one@x.lv")}), ("ord",)))
+query("snk_calling9", f"SELECT ord, niche, business_name, category, address, city, phone, google_maps_url, {_blank('rating')}, {_blank('review_count')} FROM fx_business")(lambda t: S.calling9(t("fx_business"), ("ord",)))
 query(
     "snk_email24",
-    """SELECT ord, '' AS title, '' AS "categoryName", '' AS address, '' AS city, '' AS phone, '' AS website, niche, '' AS segment, coalesce(cms, '') AS cms, '' AS email_1, '' AS email_2, CASE WHEN lcp_seconds > 2.5 THEN 'x' ELSE '' END AS insight_1, '' AS insight_2, '' AS insight_3,
-    """
-    + ", ".join(f"CASE WHEN coalesce({c}::VARCHAR, '') IN ('0', 'false', '0.0') THEN '' ELSE coalesce({c}::VARCHAR, '') END AS {c}" for c in ("performance_score", "accessibility_score", "seo_score", "best_practices_score", "lcp_seconds", "is_mobile_friendly", "has_ssl"))
-    + """, '' AS score, '' AS "reviewsCount", '' AS "totalScore" FROM fx_web_eval""",
-)(lambda t: S.email24(t("fx_web_eval").withColumn("insights", F.when(F.col("lcp_seconds") > 2.5, F.array(F.lit("x"))).otherwise(F.array().cast("array<string>"))), ("ord",)))
+    f"""SELECT ord, niche, business_name, category, address, city, phone, website, coalesce(emails[1], '') AS email_1, coalesce(emails[2], '') AS email_2, coalesce(facebook, '') AS facebook, instagram, coalesce(linkedin, '') AS linkedin, google_maps_url,
+    {', '.join(map(_blank, ('rating', 'review_count', 'overall_score', 'performance_score', 'seo_score', 'is_mobile_friendly', 'has_ssl')))}, coalesce(cms, '') AS cms, {', '.join(f"coalesce(insights[{i}], '') AS insight_{i}" for i in (1, 2, 3))} FROM fx_business""",
+)(lambda t: S.email24(t("fx_business"), ("ord",)))
 
 
 def _fan(t):
@@ -114,9 +143,8 @@ def _fan(t):
 
 
 query("snk_fanout", "SELECT 'best_' || niche AS niche_safe, count(*) AS rows FROM fx_places GROUP BY 1")(_fan)
-query("snk_place10", "SELECT ord, title, categoryName, address, city, phone, website, totalScore::VARCHAR AS totalScore, reviewsCount::VARCHAR AS reviewsCount, url, niche FROM fx_places")(lambda t: S.place10(t("fx_places"), ("ord",)))
-_AT = ", ".join(f"coalesce({c}[{i + 1}], '') AS {c}_{i + 1}" for c in ("emails", "phones", "categories", "facebooks") for i in range(4))
-query("snk_place34", f"SELECT ord, placeId, title, categoryName, address, street, city, postalCode, countryCode, phone, website, domain, url, totalScore::VARCHAR AS totalScore, reviewsCount::VARCHAR AS reviewsCount, niche, '' AS status, '' AS owner, '' AS owner_title, {_AT} FROM fx_places")(lambda t: S.place34(t("fx_places"), ("ord",)))
+query("snk_place10", f"SELECT ord, '2026-01-02' AS scraped_at, niche, business_name, category, address, city, phone, google_maps_url, {_blank('rating')}, {_blank('review_count')} FROM fx_business")(lambda t: S.place10(t("fx_business"), F.lit("2026-01-02"), ("ord",)))
+query("snk_place34", f"SELECT * REPLACE ({', '.join(map(_blank, ('rating', 'review_count', 'pages_scraped', 'search_enriched')))}) FROM ({_LEAD34})")(lambda t: S.place34(_leads34(t), ("ord",)))
 
 
 def _scores(t):
@@ -154,8 +182,23 @@ query(
     "pg_bundle",
     f"""SELECT site, substr(string_agg(CASE WHEN kind = 0 THEN '== main ==' ELSE '== page ==' END || chr(10) || html, chr(10) ORDER BY r), 1, 50000) AS bundle FROM (SELECT *, row_number() OVER (PARTITION BY site ORDER BY kind, page_id) AS r FROM (SELECT right({_host}, 12) AS site, CASE WHEN contains(url, '/en') THEN 0 ELSE 1 END AS kind, page_id, html FROM pages)) WHERE r <= 6 GROUP BY site""",
 )(lambda t: G.bundle(t("pages").withColumn("site", F.right(F.try_parse_url("url", F.lit("HOST")), F.lit(12))), "site", F.contains("url", F.lit("/en")), "html", "page_id"))
+_SYSTEMS = [("WordPress", r"""/wp-content/|/wp-includes/|wp-json|<meta\s+name=["'']generator["'']\s+content=["'']WordPress"""), ("Shopify", r"cdn\.shopify\.com|Shopify\.theme"), ("Squarespace", r"squarespace\.com|data-squarespace"), ("Wix", r"static\.wixstatic\.com|X-Wix-"), ("Weebly", r"weebly\.com|weebly-footer"), ("Google Sites", r"sites\.google\.com|googleusercontent\.com/site"), ("Webflow", r"webflow\.com|data-wf-"), ("Ghost", r"ghost\.org|ghost-api"), ("Joomla", r"joomla|/administrator/"), ("Drupal", r"drupal\.org|Drupal\.settings")]
+_LIBRARIES = [("Next.js", r"__NEXT_DATA__|_next/static"), ("Nuxt.js", r"__NUXT__|_nuxt/"), ("React", r"data-reactroot|react-dom"), ("Angular", r"ng-version|angular\.js"), ("Vue.js", r"data-v-[a-f0-9]|Vue\.config"), ("Svelte", r"svelte-|__svelte")]
 _case = lambda c, ps: "coalesce(CASE " + " ".join(f"WHEN regexp_matches({c}, '(?i){p}') THEN '{n}'" for n, p in ps) + " END, '')"
-query("pg_tech", f"SELECT page_id, {_case('html', G.CMS)} AS cms, {_case('html', G.FRAMEWORKS)} AS framework, '' AS server FROM pages")(lambda t: G.technology(t("pages")))
+_MARKS = ["<link href=''/wp-content/a.css''>", "<script src=''https://cdn.shopify.com/x.js''>", "<div data-v-1f>", "<script id=__NEXT_DATA__>", "<div data-reactroot>", "svelte-abc", "see squarespace.com", "plain reactive words about vue and joomlas"]
+_TECH = "SELECT page_id, CASE page_id % 11 " + " ".join(f"WHEN {i} THEN '{m}'" for i, m in enumerate(_MARKS)) + " ELSE html END AS h, CASE page_id % 6 WHEN 1 THEN 'Ghost-API' WHEN 2 THEN 'PHP' END AS powered, CASE page_id % 4 WHEN 0 THEN 'nginx' WHEN 1 THEN 'apache' END AS server FROM pages"
+
+
+def _tech(t):
+    mark = F.col("html")
+    for i, m in enumerate(_MARKS):
+        mark = F.when(F.col("page_id") % 11 == i, m.replace("''", "'")).otherwise(mark)
+    n = F.col("page_id")
+    pairs = [F.when(n % 4 == 0, F.struct(F.lit("server").alias("key"), F.lit("nginx").alias("value"))), F.when(n % 4 == 1, F.struct(F.lit("Server").alias("key"), F.lit("apache").alias("value"))), F.when(n % 6 == 1, F.struct(F.lit("X-Powered-By").alias("key"), F.lit("Ghost-API").alias("value"))), F.when(n % 6 == 2, F.struct(F.lit("x-powered-by").alias("key"), F.lit("PHP").alias("value")))]
+    return G.technology(t("pages").withColumns({"html": mark, "headers": F.map_from_entries(F.array_compact(F.array(*pairs)))}), headers="headers")
+
+
+query("pg_tech", f"SELECT page_id, {_case("(h || ' ' || coalesce(powered, ''))", _SYSTEMS)} AS cms, {_case('h', _LIBRARIES)} AS framework, coalesce(server, '') AS server FROM ({_TECH})")(_tech)
 query("pg_ssl", "SELECT page_id, starts_with(url, 'https') AS ssl FROM pages")(lambda t: t("pages").select("page_id", G.is_ssl(F.col("url")).alias("ssl")))
 
 
@@ -184,7 +227,7 @@ query(
     "enr_apply",
     "SELECT ord, CASE WHEN ord % 4 = 0 THEN 'kept' WHEN company_name = '' OR regexp_matches(company_name, '[37]$') THEN '' ELSE upper(company_name) END AS casual, CASE WHEN ord % 4 = 0 OR company_name = '' OR regexp_matches(company_name, '[37]$') THEN '' ELSE 'model' END AS by FROM fx_leads",
 )(lambda t: E.enriched(_needing(t), L.needs_value("casual", F.col(_KEY)), _KEY, "casual", _model, "model").select("ord", X.blank_if_null(F.col("casual")).alias("casual"), X.blank_if_null(F.col("casual_by")).alias("by")))
-query("enr_retry", "SELECT DISTINCT 'k' || n_nationkey AS key, CASE WHEN n_nationkey % 10 = 7 THEN 'TimeoutError: no answer' ELSE '' END AS error FROM nation")(lambda t: E.looked_up(t("nation").select(F.concat(F.lit("k"), F.col("n_nationkey").cast("string")).alias("k")), "k", _model).select("key", X.blank_if_null(F.col("error")).alias("error")))
+query("enr_retry", "SELECT DISTINCT 'k' || c_custkey AS key, CASE WHEN c_custkey % 10 = 7 THEN 'TimeoutError: no answer' ELSE '' END AS error FROM customer")(lambda t: E.looked_up(t("customer").select(F.concat(F.lit("k"), F.col("c_custkey").cast("string")).alias("k")), "k", _model).select("key", X.blank_if_null(F.col("error")).alias("error")))
 query(
     "enr_fallback",
     "SELECT ord, CASE WHEN ord % 4 = 0 THEN 'kept' WHEN company_name = '' THEN '' WHEN regexp_matches(company_name, '[37]$') THEN lower(company_name) ELSE upper(company_name) END AS casual, CASE WHEN ord % 4 = 0 OR company_name = '' THEN '' WHEN regexp_matches(company_name, '[37]$') THEN 'fallback' ELSE 'model' END AS by FROM fx_leads",
@@ -207,6 +250,6 @@ def flagship(t):
 
 query(
     "flagship",
-    _MERGE.replace("FROM fx_leads", f"FROM ({_LEAD_B} WHERE NOT contains(name, 'LOG:'))").replace(f"SELECT ord, {_COLS} FROM m QUALIFY", f"SELECT 'country' AS field, value, n, rank FROM (SELECT *, row_number() OVER (ORDER BY n DESC, first) AS rank FROM (SELECT CASE WHEN country = '' THEN 'EMPTY' ELSE country END AS value, count(*) AS n, min(ord) AS first FROM (SELECT ord, {_COLS} FROM m QUALIFY")
+    _MERGE.replace("FROM fx_leads", f"FROM ({_LEAD_B} WHERE NOT contains(name, 'Scanning pages'))").replace(f"SELECT ord, {_COLS} FROM m QUALIFY", f"SELECT 'country' AS field, value, n, rank FROM (SELECT *, row_number() OVER (ORDER BY n DESC, first) AS rank FROM (SELECT CASE WHEN country = '' THEN 'EMPTY' ELSE country END AS value, count(*) AS n, min(ord) AS first FROM (SELECT ord, {_COLS} FROM m QUALIFY")
     + ") WHERE email <> '' GROUP BY 1))",
 )(flagship)

@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from ..cluster import shared_folder
 from ..functions import text as X
 from ..operators import classify, dedup as D, joins as J, normalize as N
+from ..sources import readers as R
 from .registry import query
 
 _old = lambda t: t("fx_leads").filter("ord % 5 = 2")
@@ -52,14 +54,25 @@ query(
 query("join_taxonomy_whitelist", "SELECT DISTINCT unnest([x, replace(x, ' and ', ' & '), replace(x, ' & ', ' and ')]) AS industry FROM (SELECT lower(industry) AS x FROM fx_labels UNION SELECT v2 FROM cfg_taxonomy WHERE v1 IN (SELECT lower(industry) FROM fx_labels))")(lambda t: J.spellings(t("fx_labels").select("industry").distinct(), t("cfg_taxonomy")))
 _ids = lambda t: t("fx_leads").select("ord", F.array(F.concat(F.lit("5567cd4773696439b10b000"), (F.col("ord") % 6).cast("string")), F.lit("5567cd4773696439b10b0001")).alias("ids"))
 query("join_id_resolve", "SELECT ord, CASE ord % 6 WHEN 0 THEN 'Building|Automobile' WHEN 1 THEN 'Automobile' WHEN 2 THEN 'Machinery|Automobile' WHEN 3 THEN 'BUILDING|Automobile' ELSE 'Automobile' END AS names, CASE WHEN ord % 6 > 3 THEN '5567cd4773696439b10b000' || ord % 6 ELSE '' END AS unresolved FROM fx_leads")(lambda t: J.resolved_ids(_ids(t), "ord", "ids", t("cfg_industry_id")))
-query("src_id_map", "SELECT id, name FROM cfg_industry_id")(lambda t: t("cfg_industry_id").select("id", "name"))
+def _id_map(t):
+    """Learned pairs in a JSON file, over pairs in memory."""
+    import uuid
+
+    path = f"{shared_folder(t.spark).rstrip('/')}/ids-{uuid.uuid4().hex}"
+    t("part").filter("p_partkey % 2 = 0").select(F.concat(F.lit("id"), F.col("p_partkey").cast("string")).alias("id"), F.concat(F.lit("learned "), "p_name").alias("name")).write.json(path)
+    return R.id_map(t.spark, path, t("part").filter("p_partkey % 3 = 0").select(F.concat(F.lit("id"), F.col("p_partkey").cast("string")).alias("id"), F.col("p_name").alias("name")))
+
+
+query("src_id_map", "SELECT 'id' || p_partkey AS id, CASE WHEN p_partkey % 2 = 0 THEN 'learned ' || p_name ELSE p_name END AS name FROM part WHERE p_partkey % 2 = 0 OR p_partkey % 3 = 0")(_id_map)
 query("join_name_to_id", "SELECT ord, coalesce((SELECT arg_max(id, c.ord) FROM cfg_industry_id c WHERE lower(name) = lower(industry)), '') AS id FROM fx_leads")(lambda t: J.name_ids(t("fx_leads"), "industry", t("cfg_industry_id")).select("ord", X.blank_if_null(F.col("id")).alias("id")))
 query("join_valid_industry", "SELECT ord, lower(industry) IN (SELECT lower(name) FROM cfg_industry_id) AS valid FROM fx_leads")(lambda t: J.name_ids(t("fx_leads"), "industry", t("cfg_industry_id")).select("ord", F.col("id").isNotNull().alias("valid")))
+_known = lambda t: t("part").filter("p_partkey % 3 <> 0").select(F.concat(F.lit("id"), F.col("p_partkey").cast("string")).alias("id"), F.col("p_name").alias("name"))
+_fresh = lambda t: t("part").filter("p_partkey % 4 <> 1").select(F.concat(F.lit("id"), F.col("p_partkey").cast("string")).alias("id"), F.when(F.col("p_partkey") % 5 == 0, F.concat("p_name", F.lit(" two"))).otherwise(F.upper("p_name")).alias("name"))
 query(
     "join_id_merge",
-    """WITH n AS (SELECT '5567cd4773696439b10b000' || (n_nationkey % 7) AS id, min('Name ' || n_nationkey) AS name FROM nation WHERE n_nationkey % 7 > 1 GROUP BY 1)
-    SELECT coalesce(k.id, n.id) AS id, coalesce(k.name, n.name) AS name, CASE WHEN n.id IS NULL THEN 'known' WHEN k.id IS NULL THEN 'new' WHEN lower(k.name) = lower(n.name) THEN 'same' ELSE 'conflict' END AS status FROM cfg_industry_id k FULL OUTER JOIN n ON k.id = n.id""",
-)(lambda t: J.merged_ids(t("cfg_industry_id"), t("nation").filter("n_nationkey % 7 > 1").groupBy(F.concat(F.lit("5567cd4773696439b10b000"), (F.col("n_nationkey") % 7).cast("string")).alias("id")).agg(F.min(F.concat(F.lit("Name "), F.col("n_nationkey").cast("string"))).alias("name"))))
+    """WITH k AS (SELECT 'id' || p_partkey AS id, p_name AS name FROM part WHERE p_partkey % 3 <> 0), n AS (SELECT 'id' || p_partkey AS id, CASE WHEN p_partkey % 5 = 0 THEN p_name || ' two' ELSE upper(p_name) END AS name FROM part WHERE p_partkey % 4 <> 1)
+    SELECT coalesce(k.id, n.id) AS id, coalesce(k.name, n.name) AS name, CASE WHEN n.id IS NULL THEN 'known' WHEN k.id IS NULL THEN 'new' WHEN lower(k.name) = lower(n.name) THEN 'same' ELSE 'conflict' END AS status FROM k FULL OUTER JOIN n ON k.id = n.id""",
+)(lambda t: J.merged_ids(_known(t), _fresh(t)))
 query("join_intent", "SELECT DISTINCT industry FROM (SELECT name AS industry FROM cfg_industry_id UNION ALL SELECT industry FROM fx_leads WHERE source = 'feed_a' AND industry <> '')")(lambda t: t("cfg_industry_id").select(F.col("name").alias("industry")).unionByName(t("fx_leads").filter("source = 'feed_a' and industry <> ''").select("industry")).distinct())
 query("join_score_back", "SELECT ord, CASE WHEN industry = '' THEN '' ELSE coalesce((SELECT score FROM cfg_score s WHERE lower(s.industry) = lower(l.industry) AND score <> 'bogus'), 'maybe') END AS score FROM fx_leads l")(lambda t: J.scored_industries(t("fx_leads"), t("cfg_score")).select("ord", X.blank_if_null(F.col("score")).alias("score")))
 query("join_score_exact", "SELECT ord, CASE WHEN lower(trim(industry)) IN (SELECT lower(trim(name)) FROM cfg_industry_id) THEN 'relevant' ELSE 'irrelevant' END AS score FROM fx_leads")(lambda t: J.name_ids(t("fx_leads"), "industry", t("cfg_industry_id")).select("ord", F.when(F.col("id").isNotNull(), "relevant").otherwise("irrelevant").alias("score")))

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..functions import text as X
 from ..operators import normalize as N
 from ..schemas import LEAD
 from .registry import query
@@ -21,7 +22,7 @@ query("nrm_vendor_b", _LEAD_B)(lambda t: N.vendor_b(t("fx_feed_b"), _KEEP))
 query("nrm_vendor_c", _LEAD_C)(lambda t: N.vendor_c(t("fx_feed_c"), t("cfg_taxonomy"), _KEEP))
 query("nrm_pre_detect", "SELECT ord, ord % 3 <> 0 AND ord % 5 <> 0 AS pre FROM fx_raw")(lambda t: t("fx_raw").select("ord", N.is_pre_normalized(F.col("raw")).alias("pre")))
 query("nrm_pre", _LEAD_PRE)(lambda t: N.pre_normalized(t("fx_pre"), _KEEP))
-query("nrm_dispatch", f"SELECT * FROM ({_LEAD_A} UNION ALL {_LEAD_B} UNION ALL {_LEAD_C} UNION ALL {_LEAD_PRE}) WHERE NOT contains(name, 'LOG:')")(lambda t: N.dispatched({"feed_a": t("fx_feed_a"), "feed_b": t("fx_feed_b"), "feed_c": t("fx_feed_c"), "pre": t("fx_pre")}, t("cfg_taxonomy"), _KEEP))
+query("nrm_dispatch", f"SELECT * FROM ({_LEAD_A} UNION ALL {_LEAD_B} UNION ALL {_LEAD_C} UNION ALL {_LEAD_PRE}) WHERE NOT contains(name, 'Scanning pages')")(lambda t: N.dispatched({"feed_a": t("fx_feed_a"), "feed_b": t("fx_feed_b"), "feed_c": t("fx_feed_c"), "pre": t("fx_pre")}, t("cfg_taxonomy"), _KEEP))
 query(
     "nrm_shape_bc",
     """SELECT ord, firstName AS first_name, lastName AS last_name, CASE WHEN fullName <> '' THEN fullName ELSE firstName || ' ' || lastName END AS name, '' AS organization_phone, linkedinUrl AS linkedin_url, position AS title, '' AS email_status, email, '' AS city, country,
@@ -36,40 +37,51 @@ query(
 )
 query(
     "nrm_shape_a",
-    """SELECT ord, name, email, organization.name AS org_name, CASE WHEN organization.naics_codes[1].naics_description <> '' THEN upper(organization.naics_codes[1].naics_description[1]) || lower(organization.naics_codes[1].naics_description[2:]) ELSE 'Second' END AS industry,
-    array_to_string(list_filter([organization.naics_codes[1].naics_description, 'second', organization.sic_codes[1].sic_description], lambda x: x <> ''), '|') AS org_keywords FROM fx_feed_a""",
-)(lambda t: N.extended_shape(t("fx_feed_a"), _KEEP).withColumn("org_keywords", F.array_join("org_keywords", "|")))
+    """SELECT ord, first_name, last_name, CASE WHEN name <> '' THEN name ELSE trim(first_name || ' ' || last_name) END AS name, CASE WHEN organization_phone <> '' THEN organization_phone WHEN phone <> '' THEN phone ELSE organization.phone END AS organization_phone,
+    linkedin_url, title, coalesce(email_status, 'unknown') AS email_status, email, city, country, CASE WHEN organization_name <> '' THEN organization_name ELSE organization.name END AS org_name, CASE WHEN website_url <> '' THEN website_url ELSE organization.website_url END AS website_url,
+    CASE WHEN len(organization.industries) = 0 THEN '' ELSE upper(organization.industries[1][1]) || string_split(organization.industries[1], ' ')[1][2:] || ' Goods' END AS industry, array_to_string(organization.keywords[1:10], '|') AS org_keywords, organization.linkedin_url AS org_linkedin,
+    coalesce(organization.facebook_url, '') AS org_facebook, organization.estimated_num_employees AS org_employee_count, coalesce(organization.founded_year, -1) AS org_founded_year, seniority, array_to_string(departments, '|') AS departments, headline, 'feed_d' AS source FROM fx_feed_d""",
+)(lambda t: N.extended_shape(t("fx_feed_d"), "feed_d", _KEEP).withColumns({c: F.array_join(c, "|") for c in ("org_keywords", "departments")} | {"org_founded_year": F.coalesce("org_founded_year", F.lit(-1))}))
 query("nrm_shape_archived", "SELECT ord, full_name AS name, CASE WHEN email <> '' THEN email ELSE linkedin END AS contact, company_name AS org FROM fx_feed_b")(lambda t: N.configured_shape(t("fx_feed_b"), {"name": ["full_name"], "contact": ["email", "linkedin"], "org": ["company_name"]}, _KEEP))
-_PLACE = """SELECT ord, placeId, title, categoryName, address, phone, w AS website,
-  CASE WHEN contains(website, 'directory.example') THEN '' ELSE array_to_string(list_concat(list_filter(emails, lambda e: w IS NOT NULL AND ends_with(e, '@' || string_split(replace(w, 'https://', ''), '/')[1])), list_filter(emails, lambda e: ends_with(e, '@gmail.com'))), '|') END AS emails,
-  array_to_string(phones, '|') AS phones_extra, array_to_string(categories, '|') AS categories, facebooks[1] AS facebook, totalScore AS rating, reviewsCount AS review_count,
-  CASE WHEN placeId <> '' THEN 'https://maps.example/place?id=' || placeId ELSE url END AS maps_url, niche
-  FROM (SELECT *, CASE WHEN website = '' OR contains(website, 'facebook.com') OR contains(website, 'directory.example') THEN NULL ELSE website END AS w FROM fx_places WHERE NOT permanentlyClosed)"""
+_FREE = "'gmail.com', 'outlook.com', 'hotmail.com', 'yahoo.com', 'inbox.lv', 'one.lv', 'mail.ru'"
+_OWN = f"list_concat(list_filter(es, lambda e: d <> '' AND ends_with(e, '@' || d)), list_filter(es, lambda e: string_split(e, '@')[-1] IN ({_FREE}) AND NOT (d <> '' AND ends_with(e, '@' || d))))"
+_PLACE = f"""SELECT ord, placeId AS place_id, title AS business_name, categoryName AS category, array_to_string(categories, '|') AS categories, address, street, city, postalCode AS postal_code, countryCode AS country, phone, "phoneUnformatted" AS phone_unformatted,
+  CASE WHEN website <> '' AND domain NOT IN ('instagram', 'facebook', 'youtube', 'tiktok', 'delfi.lv') THEN website END AS website, nullif(d, '') AS domain,
+  CASE WHEN placeId <> '' THEN 'https://www.google.com/maps/search/?api=1&query=' || replace(title, ' ', '%20') || '&query_place_id=' || placeId ELSE url END AS google_maps_url, totalScore AS rating, reviewsCount AS review_count,
+  array_to_string({_OWN}, '|') AS emails, array_to_string(phones, '|') AS phones_extra, facebooks[1] AS facebook, instagrams[1] AS instagram, "linkedIns"[1] AS linkedin, twitters[1] AS twitter, youtubes[1] AS youtube, tiktoks[1] AS tiktok, whatsapps[1] AS whatsapp
+  FROM (SELECT *, CASE WHEN domain = 'delfi.lv' THEN []::VARCHAR[] ELSE emails END AS es, CASE WHEN domain IN ('delfi.lv', 'facebook') THEN '' ELSE domain END AS d FROM fx_places WHERE NOT permanentlyClosed)"""
 _flat = lambda d: d.withColumns({c: F.array_join(c, "|") for c in ("emails", "phones_extra", "categories")})
 query("nrm_place", _PLACE)(lambda t: _flat(N.places(t("fx_places"), _KEEP)))
-query("src_places", f"SELECT ord, placeId, title, website, niche FROM ({_PLACE})")(lambda t: N.places(t("fx_places"), _KEEP).select("ord", "placeId", "title", "website", "niche"))
+query("src_places", f"SELECT ord, place_id, business_name, website, country FROM ({_PLACE})")(lambda t: N.places(t("fx_places"), _KEEP).select("ord", "place_id", "business_name", "website", "country"))
 query("nrm_place_basic", "SELECT ord, title, categoryName, address, street, city, postalCode, countryCode, phone, website, url, totalScore, reviewsCount, array_to_string(categories, ', ') AS categories FROM fx_places WHERE NOT permanentlyClosed")(lambda t: N.places_basic(t("fx_places"), _KEEP))
-query(
-    "nrm_email_own_domain",
-    "SELECT ord, array_to_string(list_concat(list_filter(emails, lambda e: ends_with(e, '@' || domain)), list_filter(emails, lambda e: ends_with(e, '@gmail.com'))), '|') AS emails FROM fx_places",
-)(lambda t: t("fx_places").select("ord", F.array_join(N.emails_by_domain(F.col("emails"), F.col("domain")), "|").alias("emails")))
-
-
-def _contacts(t):
-    return t("fx_places").filter("website <> '' and ord % 2 = 1").select(F.col("website").alias("site"), "emails", F.when(F.col("ord") % 5 == 0, "timeout").alias("error")).dropDuplicates(["site"])
-
-
-query(
-    "nrm_place_lead",
-    """SELECT ord, title, website, CASE WHEN website <> '' AND ord % 2 = 1 THEN array_to_string(emails, ', ') ELSE '' END AS contact_emails,
-    CASE WHEN website = '' THEN 'no_website' WHEN ord % 2 = 0 THEN 'skipped' WHEN ord % 5 = 0 THEN 'error: timeout' ELSE 'success' END AS status FROM fx_places""",
-)(lambda t: N.place_leads(t("fx_places").drop("emails"), _contacts(t), _KEEP).drop("contacts_json"))
+query("nrm_email_own_domain", f"SELECT ord, array_to_string({_OWN}, '|') AS emails FROM (SELECT ord, emails AS es, domain AS d FROM fx_places)")(
+    lambda t: t("fx_places").select("ord", F.array_join(N.emails_by_domain(F.col("emails"), F.col("domain")), "|").alias("emails"))
+)
+_GOT = "c.site IS NOT NULL AND c.error IS NULL"
+_TEAM = """CASE WHEN ord % 3 = 0 THEN '[{"name": "Ann \\"A\\" ' || ord || '", "title": "Baker", "email": "ann@shop' || ord || '.lv"}, {"name": "Bob", "title": "", "email": ""}]' ELSE '[{"name": "Eve", "title": "Clerk", "email": "eve@shop' || ord || '.lv"}]' END"""
+_LEAD34 = f"""SELECT ord, '2026-01-02' AS scraped_at, 'shops in Riga' AS search_query, business_name, category, address, city, state, zip_code, country, phone, website, google_maps_url, rating, review_count, price_level,
+  CASE WHEN {_GOT} THEN array_to_string(c.emails, ', ') ELSE '' END AS emails, CASE WHEN {_GOT} THEN array_to_string(c.phone_numbers, ', ') ELSE '' END AS additional_phones, CASE WHEN {_GOT} THEN coalesce(c.business_hours, '') ELSE b.business_hours END AS business_hours,
+  {', '.join(f"CASE WHEN {_GOT} THEN c.social.{x} ELSE '' END AS {x}" for x in ('facebook', 'twitter', 'linkedin', 'instagram', 'youtube', 'tiktok'))},
+  {', '.join(f"CASE WHEN {_GOT} THEN c.owner.{x} ELSE '' END AS owner_{x}" for x in ('name', 'title', 'email', 'phone', 'linkedin'))},
+  CASE WHEN {_GOT} THEN {_TEAM} ELSE '' END AS team_contacts, CASE WHEN {_GOT} THEN 'chat, form' ELSE '' END AS additional_contact_methods, CASE WHEN {_GOT} THEN c.pages_scraped ELSE 0 END AS pages_scraped, CASE WHEN {_GOT} THEN c.search_enriched ELSE false END AS search_enriched,
+  CASE WHEN website = '' THEN 'no_website' WHEN c.site IS NULL THEN 'skipped' WHEN c.error IS NOT NULL THEN 'error: ' || c.error[1:50] ELSE 'success' END AS enrichment_status
+  FROM fx_business b LEFT JOIN fx_contacts c ON b.website <> '' AND b.website = c.site"""
+_leads34 = lambda t: N.place_leads(t("fx_business"), t("fx_contacts"), "shops in Riga", F.lit("2026-01-02"), _KEEP)
+query("nrm_place_lead", _LEAD34)(_leads34)
 query("nrm_company_resp", "SELECT domain, CASE WHEN hq_country <> '' THEN hq_country ELSE 'Estonia' END AS country FROM fx_company")(lambda t: N.company_country(t("fx_company")))
+_JOBS = ", ".join(f"x[{i}].position_title || ' @ ' || x[{i}].company_name || ' (' || x[{i}].employment_period || ')'" for i in range(1, 6))
 query(
     "nrm_profile_resp",
-    """SELECT l.ord, CASE WHEN professional_title <> '' THEN professional_title ELSE title END AS title, CASE WHEN location <> '' THEN location ELSE city END AS city, coalesce(bio, '') AS bio,
-    array_to_string(list_transform(work_experience[:5], lambda x: x.position_title || ' / ' || x.company_name), ';') AS jobs, 'S1;S2;S3' AS schools FROM fx_leads l JOIN fx_profiles p ON l.ord = p.ord""",
-)(lambda t: N.profile_filled(t("fx_leads"), t("fx_profiles")))
+    f"""SELECT ord, CASE WHEN has THEN CASE WHEN bio <> '' THEN bio ELSE 'old bio' END ELSE 'old bio' END AS linkedin_bio, CASE WHEN has THEN professional_title ELSE '' END AS linkedin_headline, CASE WHEN has THEN coalesce(company_name, '') ELSE '' END AS linkedin_company,
+    CASE WHEN has THEN company_industry ELSE '' END AS linkedin_industry, CASE WHEN has THEN location ELSE '' END AS linkedin_location, CASE WHEN has THEN total_tenure_years::VARCHAR ELSE '' END AS linkedin_tenure_years, CASE WHEN has THEN followers_range ELSE '' END AS linkedin_followers,
+    CASE WHEN has THEN array_to_string([{_JOBS}], ';') ELSE '' END AS jobs, CASE WHEN has THEN 'S1 BSc 2010;S2 MSc 2012;S3 PhD 2015' ELSE '' END AS schools, CASE WHEN has THEN '2026-01-02T00:00:00Z' END AS linkedin_enriched_at, CASE WHEN has THEN 1 ELSE 0 END AS linkedin_enrichment_credits
+    FROM (SELECT ord, ord % 10 <> 0 AS has, bio, professional_title, company_name, company_industry, location, total_tenure_years, followers_range, work_experience AS x FROM fx_profiles)""",
+)(
+    lambda t: N.profile_filled(t("fx_leads").select("ord", F.lit("old bio").alias("linkedin_bio")), t("fx_profiles").filter("ord % 10 <> 0").drop("linkedin_url"), "2026-01-02T00:00:00Z", 1)
+    .withColumns({"jobs": X.blank_if_null(F.array_join(F.transform("linkedin_experience", lambda x: F.concat(x["title"], F.lit(" @ "), x["company"], F.lit(" ("), x["period"], F.lit(")"))), ";")), "schools": X.blank_if_null(F.array_join(F.transform("linkedin_education", lambda x: F.concat_ws(" ", x["school"], x["degree"], x["period"])), ";"))})
+    .withColumn("linkedin_enrichment_credits", F.coalesce("linkedin_enrichment_credits", F.lit(0)))
+    .drop("linkedin_experience", "linkedin_education")
+)
 query("nrm_tag_resp", "SELECT DISTINCT lpad(CAST(c_custkey AS VARCHAR), 24, 'a') AS id, upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) || ' Goods' AS name FROM customer")(
     lambda t: N.tag_pairs(t("customer").select(F.format_string('{"tags":[{"id":"%s","name":"%s goods"},{"id":"short","name":"x"}]}', F.lpad(F.col("c_custkey").cast("string"), 24, "a"), F.lower("c_mktsegment")).alias("raw")))
 )
@@ -84,4 +96,4 @@ query("nrm_model_json", """SELECT c_custkey AS ord, CASE WHEN c_custkey % 5 = 4
         ).alias("json"),
     )
 )
-assert len(LEAD) == 17
+assert (len(LEAD), len(N.EXTENDED_SHAPE), len(N.PLACE), len(N.PLACE_LEAD)) == (17, 22, 25, 34)

@@ -22,8 +22,12 @@ query("agg_value_counts", " UNION ALL ".join(_top(f, f, k) for f, k in (("countr
 )
 query("win_topk_counts", _top("company_name", "company_name", 10))(lambda t: P.top_counts(t("fx_leads"), {"company_name": (F.col("company_name"), 10)}))
 query("agg_unique_counts", "SELECT 'city' AS field, count(DISTINCT city) AS n FROM fx_leads UNION ALL SELECT 'company', count(DISTINCT company_name) FROM fx_leads")(lambda t: P.distinct_counts(t("fx_leads"), {"city": F.col("city"), "company": F.col("company_name")}))
-_CLASS = "CASE WHEN title = '' THEN 'No title' WHEN regexp_matches(lower(title), 'founder|owner') THEN 'Founder' WHEN regexp_matches(lower(title), '\\bceo\\b|chief') THEN 'Chief' WHEN contains(lower(title), 'sales') THEN 'Sales' WHEN contains(lower(title), 'marketing') THEN 'Marketing' WHEN contains(lower(title), 'finance') THEN 'Finance' WHEN contains(lower(title), 'engineer') THEN 'Engineering' ELSE 'Other' END"
-query("agg_title_categories", f"SELECT {_CLASS} AS class, count(*) AS n FROM fx_leads GROUP BY 1")(lambda t: P.title_classes(t("fx_leads")))
+_CLASSES = [("C-Level", r"\b(ceo|cfo|cto|coo|cmo|cio|cpo|chief)\b"), ("VP / SVP", r"\b(vp|vice president|svp)\b"), ("Director", r"\bdirector\b"), ("Head of", r"\bhead of\b|\bhead\b"), ("Manager", r"\bmanager\b|\bmanaging\b"), ("Owner / Founder", r"\b(owner|founder|co-founder|partner|principal)\b"), ("Board / Chair", r"\b(board|chairman|chairwoman|chairperson|member of the board)\b"), ("Specialist / Expert", r"\b(specialist|expert|advisor|consultant)\b"), ("Coordinator", r"\bcoordinator\b"), ("Analyst", r"\banalyst\b"), ("Engineer / Developer", r"\b(engineer|developer|programmer|devops|architect)\b")]
+_CLASS = "CASE WHEN title = '' THEN 'No title' " + " ".join(f"WHEN regexp_matches(lower(title), '{p}') THEN '{k}'" for k, p in _CLASSES) + " ELSE 'Other IC' END"
+query(
+    "agg_title_categories",
+    f"SELECT 'class' AS kind, {_CLASS} AS value, count(*) AS n FROM fx_leads GROUP BY 2 UNION ALL SELECT 'other', title, n FROM (SELECT title, count(*) AS n, min(ord) AS first FROM fx_leads WHERE {_CLASS} = 'Other IC' GROUP BY 1 ORDER BY n DESC, first LIMIT 15)",
+)(lambda t: P.title_classes(t("fx_leads")))
 query("win_priority_pick", f"SELECT ord, {_CLASS} AS class FROM fx_leads")(lambda t: t("fx_leads").select("ord", C.title_class(F.col("title")).alias("class")))
 query(
     "agg_expected_country",
@@ -31,8 +35,8 @@ query(
 )(lambda t: P.expected_countries(t("fx_leads"), t("fx_leads").select(F.concat_ws(" ", "city", "country").alias("location")), t("cfg_country_word"), t("cfg_phone")))
 query(
     "agg_recommend",
-    "SELECT 'email' AS filter, count(*) FILTER (email = '') AS removed FROM fx_leads UNION ALL SELECT 'website', count(*) FILTER (company_website = '' AND company_domain = '') FROM fx_leads UNION ALL SELECT 'title', count(*) FILTER (regexp_matches(lower(title), 'intern|trainee|student|assistant|junior')) FROM fx_leads",
-)(lambda t: P.recommendations(d := t("fx_leads"), {"email": L.has_email(F.col("email")), "website": L.has_website(d.columns), "title": L.title_allowed(F.col("title"))}))
+    f"SELECT * FROM (SELECT 1 AS place, 'email' AS filter, count(*) FILTER (email = '') AS removed FROM fx_leads UNION ALL SELECT 2, 'phone', count(*) FILTER (NOT starts_with(company_phone, '+371') AND NOT starts_with(company_phone, '+49')) FROM fx_leads UNION ALL SELECT 3, 'individual', count(*) FILTER ({_CLASS} IN ('Specialist / Expert', 'Coordinator', 'Analyst', 'Engineer / Developer', 'Other IC', 'No title')) FROM fx_leads) WHERE removed > 0 UNION ALL SELECT 4, 'industry', -1",
+)(lambda t: P.recommendations(t("fx_leads"), ["+371", "+49"], ["371", "372", "49", "44", "1"]).withColumn("removed", F.coalesce("removed", F.lit(-1))))
 query("agg_approval", f"SELECT CASE WHEN industry = '' THEN 'EMPTY' ELSE industry END AS industry, count(*) AS total, count(*) FILTER (kept) AS kept, count(*) FILTER (NOT kept) AS removed, {_pct('count(*) FILTER (kept)', 'count(*)')} AS approval FROM ({_KEPT}) GROUP BY 1")(lambda t: P.approval(J.kept_or_removed(t("fx_leads"), t("fx_reviewed"))))
 query("agg_email_status", f"SELECT CASE WHEN email = '' THEN 'missing' ELSE email_status END AS status, count(*) AS n, {_pct('count(*)', '(SELECT count(*) FROM fx_leads)')} AS share FROM fx_leads GROUP BY 1")(lambda t: P.shares(t("fx_leads"), F.when(F.col("email") == "", "missing").otherwise(F.col("email_status")), "status"))
 query(
@@ -68,9 +72,16 @@ query(
     f"""SELECT ord, array_to_string(list_filter([CASE WHEN lcp_seconds > 4 THEN printf('Main content takes %.1f seconds', lcp_seconds) WHEN lcp_seconds > 2.5 THEN 'Main content could appear sooner' END, CASE WHEN NOT coalesce(has_ssl, false) THEN 'No secure connection' END, CASE WHEN NOT is_mobile_friendly THEN 'Hard to use on phones' END,
     CASE WHEN performance_score < 40 AND NOT coalesce(lcp_seconds > 4, false) THEN 'Slow pages' END, CASE WHEN seo_score < 60 THEN 'Hard to find by search' END, CASE WHEN cms IS NOT NULL AND score < 50 THEN 'Dated ' || cms || ' site' END], lambda x: x IS NOT NULL)[1:3], '|') AS insights FROM ({_SCORED})""",
 )(lambda t: _scored(t).select("ord", F.array_join(C.web_insights(F.col("score")), "|").alias("insights")))
-query("scr_web_metrics", "SELECT p_partkey AS ord, CAST(p_size AS INT) AS performance_score, 90 AS seo_score, round_even(p_partkey * 10.0 / 1000, 2)::DOUBLE AS lcp_seconds, CAST(p_size AS INT) AS tbt_ms FROM part")(
-    lambda t: t("part").select(F.col("p_partkey").alias("ord"), C.web_metrics(F.format_string('{"categories":{"performance":{"score":%s},"seo":{"score":0.9}},"audits":{"lcp":{"numericValue":%s},"tbt":{"numericValue":%d}}}', ((F.col("p_size") + 0.5) / 100).cast("string"), (F.col("p_partkey") * 10.0).cast("string"), F.col("p_size"))).alias("m")).select("ord", "m.*")
-)
+query(
+    "scr_web_metrics",
+    """SELECT p_partkey AS ord, CASE WHEN p_partkey % 6 <> 0 THEN CAST(p_size AS INT) ELSE -1 END AS performance_score, CASE WHEN p_partkey % 6 <> 0 THEN 80 ELSE -1 END AS accessibility_score, CASE WHEN p_partkey % 6 <> 0 THEN 90 ELSE -1 END AS seo_score, -1 AS best_practices_score,
+    CASE WHEN p_partkey % 6 <> 0 THEN round_even(p_partkey * 10.0 / 1000, 2)::DOUBLE END AS fcp_seconds, CASE WHEN p_partkey % 6 <> 0 THEN round_even(p_partkey * 20.0 / 1000, 2)::DOUBLE END AS lcp_seconds, CASE WHEN p_partkey % 6 <> 0 THEN 0.125::DOUBLE END AS cls, CASE WHEN p_partkey % 6 <> 0 THEN CAST(p_size AS INT) ELSE -1 END AS tbt_ms,
+    CASE WHEN p_partkey % 6 <> 0 THEN round_even(p_partkey * 30.0 / 1000, 2)::DOUBLE END AS speed_index_seconds, CASE WHEN p_partkey % 6 <> 0 THEN p_partkey % 2 = 1 END AS is_mobile_friendly FROM part""",
+)(
+    lambda t: t("part").select(F.col("p_partkey").alias("ord"), C.web_metrics(F.when(F.col("p_partkey") % 6 == 0, F.lit('{"error":{}}')).otherwise(F.format_string(
+        '{"lighthouseResult":{"categories":{"performance":{"score":%s},"accessibility":{"score":0.8},"seo":{"score":0.9},"best-practices":{"score":null}},"audits":{"first-contentful-paint":{"numericValue":%s},"largest-contentful-paint":{"numericValue":%s},"cumulative-layout-shift":{"numericValue":0.1250004},"total-blocking-time":{"numericValue":%d.7},"speed-index":{"numericValue":%s},"viewport":{"score":%d}}}}',
+        ((F.col("p_size") + 0.5) / 100).cast("string"), (F.col("p_partkey") * 10.0).cast("string"), (F.col("p_partkey") * 20.0).cast("string"), F.col("p_size"), (F.col("p_partkey") * 30.0).cast("string"), F.col("p_partkey") % 2))).alias("m")).select("ord", "m.*").withColumns({c: F.coalesce(c, F.lit(-1)) for c in ("performance_score", "accessibility_score", "seo_score", "best_practices_score", "tbt_ms")})
+)
 query(
     "scr_web_attach",
     f"SELECT c_custkey AS ord, CASE WHEN c_custkey % 3 = 0 THEN 'no_website' WHEN e.site IS NULL THEN 'not_evaluated' ELSE 'success' END AS web_status, coalesce(e.score, -1) AS score FROM customer LEFT JOIN ({_SCORED}) e ON c_custkey % 3 <> 0 AND e.site = 'https://site' || (2 * c_custkey) || '.example'",
@@ -80,11 +91,18 @@ query("agg_score_summary", f"SELECT coalesce(cms, 'Unknown') AS cms, count(*) AS
 )
 query("seg_assign", f"SELECT ord, niche || '_' || CASE WHEN score >= 70 THEN 'decent' ELSE 'poor' END AS segment FROM ({_SCORED})")(lambda t: _scored(t).select("ord", C.segment(F.col("niche"), F.col("score")).alias("segment")))
 query("agg_segment", f"SELECT niche || '_' || CASE WHEN score >= 70 THEN 'decent' ELSE 'poor' END AS segment, count(*) AS n FROM ({_SCORED}) GROUP BY 1")(lambda t: _scored(t).groupBy(C.segment(F.col("niche"), F.col("score")).alias("segment")).agg(F.count(F.lit(1)).alias("n")))
-_TEMPLATES = [(r"takes ([0-9.]+) seconds", "Your pages need {0} s to show"), ("secure", "Your site is not secure"), ("phones", "Your site is hard to use on phones")]
-query(
-    "seg_message",
-    "SELECT ord, CASE WHEN lcp_seconds > 4 THEN 'Your pages need ' || printf('%.1f', lcp_seconds) || ' s to show' WHEN lcp_seconds > 2.5 THEN 'A word about your site' WHEN NOT coalesce(has_ssl, false) THEN 'Your site is not secure' WHEN NOT is_mobile_friendly THEN 'Your site is hard to use on phones' ELSE 'A word about your site' END AS message FROM fx_web_eval",
-)(lambda t: _scored(t).select("ord", C.message(X.blank_if_null(F.get(C.web_insights(F.col("score")), F.lit(0))), _TEMPLATES, "A word about your site").alias("message")))
+_INSIGHT = {0: "Your site loads in 7.4s on mobile", 1: "The mobile load time (3.2s) is above average", 2: "Your site doesn't use HTTPS", 3: "It isn't optimized for Mobile", 4: "It scores 31/100 on Google's speed test", 5: "Your SEO score is 44/100", 6: "Your WordPress site scores 38/100", 7: "Nothing known"}
+_WANT = {0: "Paskatījos uz X lapu no telefona. Ielādējās 7.4 sekundēs.", 1: "Paskatījos uz X lapu no telefona. Ielādējās 3.2 sekundēs.", 2: "Atvēru X lapu un pārlūks uzreiz brīdināja par drošību. Nav HTTPS.", 3: "Paskatījos uz X lapu no telefona. Mobilajā versijā neizskatās labi.", 4: "Paskatījos uz X lapu. Google ātruma testā saņēma 31/100.", 5: "Paskatījos uz X lapu. SEO vērtējumā saņēma 44/100.", 6: "Paskatījos uz X lapu. Google testā saņēma 38/100.", 7: "Apskatīju X lapu."}
+
+
+def _message(t):
+    insight = F.lit(None).cast("string")
+    for i, said in _INSIGHT.items():
+        insight = F.when(F.col("ord") % 9 == i, said).otherwise(insight)
+    return t("fx_web_eval").select("ord", C.message(insight, F.concat(F.lit("Shop "), F.col("ord").cast("string"))).alias("message"))
+
+
+query("seg_message", "SELECT ord, replace(CASE ord % 9 " + " ".join(f"WHEN {i} THEN '{w}'" for i, w in _WANT.items()) + " ELSE 'Apskatīju X lapu.' END, 'X', 'Shop ' || ord) AS message FROM fx_web_eval")(_message)
 _TEXT = "CASE ord % 5 WHEN 0 THEN '' WHEN 1 THEN 'one — two' WHEN 2 THEN 'a b c d e f g h i j k l m n o p q' ELSE 'short text' END"
 _said = lambda: F.when(F.col("ord") % 5 == 0, "").when(F.col("ord") % 5 == 1, "one — two").when(F.col("ord") % 5 == 2, "a b c d e f g h i j k l m n o p q").otherwise("short text")
 query("agg_qa", f"SELECT w AS warning, count(*) AS n FROM (SELECT unnest(list_filter([CASE WHEN x = '' THEN 'empty' END, CASE WHEN len(string_split(x, ' ')) > 15 THEN 'too_long' END, CASE WHEN contains(x, '—') THEN 'em_dash' END], lambda v: v IS NOT NULL)) AS w FROM (SELECT {_TEXT} AS x FROM fx_leads)) GROUP BY 1")(
@@ -94,10 +112,10 @@ query("agg_relevance_report", f"SELECT CASE WHEN industry = '' THEN 'EMPTY' ELSE
     lambda t: L.by_relevance(t("fx_leads"), t("cfg_score"), False).groupBy(F.when(F.col("industry") == "", "EMPTY").otherwise(F.col("industry")).alias("industry"), X.blank_if_null(F.col("relevance")).alias("score")).agg(F.min(X.blank_if_null(F.col("reason"))).alias("reason"), F.count(F.lit(1)).alias("n"))
 )
 # --- top-k, sorts, limits
-_best = lambda t: P.best_leads(t("fx_profiles").join(t("fx_leads").select(F.col("ord").alias("o"), "email"), F.col("ord") == F.col("o")).withColumns({"content": F.repeat(F.lit("x"), (F.col("ord") % 1500).cast("int")), "n_jobs": (F.col("ord") % 4).cast("int")}), 50)
+_best = lambda t: P.best_leads(t("fx_profiles").withColumn("bio", F.when(F.col("ord") % 3 == 1, F.repeat(F.lit("b"), 101)).otherwise(F.col("bio"))).join(t("fx_leads").select(F.col("ord").alias("o"), "email"), F.col("ord") == F.col("o")).withColumns({"content": F.repeat(F.lit("x"), (F.col("ord") % 3000).cast("int")), "n_jobs": (F.col("ord") % 4).cast("int")}), 50)
 query(
     "topk_best_leads",
-    """SELECT p.ord, (CASE WHEN p.ord % 1500 > 1000 THEN 30 WHEN p.ord % 1500 > 300 THEN 15 ELSE 0 END + CASE WHEN length(bio) > 20 THEN 25 WHEN bio <> '' THEN 10 ELSE 0 END + CASE p.ord % 4 WHEN 3 THEN 25 WHEN 0 THEN 0 ELSE 10 END + CASE WHEN professional_title <> '' THEN 10 ELSE 0 END + CASE WHEN email <> '' THEN 10 ELSE 0 END)::INT AS score
+    """SELECT p.ord, (CASE WHEN p.ord % 3000 > 2000 THEN 30 WHEN p.ord % 3000 > 500 THEN 15 ELSE 0 END + CASE WHEN p.ord % 3 = 1 THEN 25 WHEN length(bio) > 100 THEN 25 WHEN bio <> '' THEN 10 ELSE 0 END + CASE p.ord % 4 WHEN 3 THEN 25 WHEN 0 THEN 0 ELSE 10 END + CASE WHEN professional_title <> '' THEN 10 ELSE 0 END + CASE WHEN email <> '' THEN 10 ELSE 0 END)::INT AS score
     FROM fx_profiles p JOIN fx_leads l ON p.ord = l.ord ORDER BY score DESC, p.ord LIMIT 50""",
 )(lambda t: _best(t).select("ord", "score"))
 query("srt_campaign", "SELECT campaign_id, row_number() OVER (ORDER BY coalesce(nullif(created_at, ''), '9999'), campaign_id) AS place FROM fx_campaigns")(lambda t: P.sorted_campaigns(t("fx_campaigns")).select("campaign_id", "place"))
@@ -107,10 +125,11 @@ query("set_concat", "SELECT ord, email, source FROM fx_leads UNION ALL SELECT or
 query("set_new_emails", "SELECT count(*) AS n FROM (SELECT DISTINCT lower(\"Email\") FROM fx_reviewed WHERE \"Email\" <> '' EXCEPT SELECT lower(email) FROM fx_leads)")(lambda t: S.new_emails(t("fx_leads"), t("fx_reviewed")))
 query("set_union_sources", "SELECT ord, array_to_string(list_sort(list_distinct(list_concat(string_split(source, ','), ['feed_a', 'feed_z']))), ',') AS sources FROM fx_leads")(lambda t: t("fx_leads").select("ord", S.union_sources(F.col("source"), F.lit("feed_z,feed_a")).alias("sources")))
 # --- classes
-_labels = lambda: ", ".join(f"CASE WHEN regexp_matches(lower(title), '{p.split('|' + chr(92) + 'bassistant')[0]}') THEN '{k}' END" for k, p in C.SENIORITY)  # noqa: E731  DuckDB has no lookahead; no title here says assistant
-query("cls_seniority", f"SELECT ord, array_to_string(list_filter([{_labels()}], lambda x: x IS NOT NULL), ',') AS labels FROM fx_leads")(
-    lambda t: t("fx_leads").select("ord", F.array_join(C.seniority(F.col("title")), ",").alias("labels"))
-)
+_LABELS = {"owner": "owner", "founder": "founder", "c_suite": r"ceo|cto|cfo|coo|cmo|cio|chief|c\.e\.o|c\.t\.o", "vp": "vp|vice president|vice-president", "director": "director", "manager": "manager|managing", "partner": "partner"}
+_labels = [f"CASE WHEN regexp_matches(lower(title), '\\b({p})\\b') THEN '{k}' END" for k, p in _LABELS.items()]
+_labels.insert(5, r"CASE WHEN regexp_matches(lower(title), '\bhead of\b|\bhead,\b|\bhead\s') THEN 'head' END")
+_labels += [r"CASE WHEN regexp_matches(lower(title), '\bsenior\b|\bsr\.\b|\bsr\s|\blead\b') THEN 'senior' END", r"CASE WHEN regexp_matches(lower(title), '\b(junior|intern|trainee)\b') THEN 'entry' END"]  # DuckDB has no lookahead; no title here says assistant
+query("cls_seniority", f"SELECT ord, array_to_string(list_filter([{', '.join(_labels)}], lambda x: x IS NOT NULL), ',') AS labels FROM fx_leads")(lambda t: t("fx_leads").select("ord", F.array_join(C.seniority(F.col("title")), ",").alias("labels")))
 query(
     "cls_gap",
     """SELECT source, coalesce(string_agg(filter_key, ',' ORDER BY filter_key) FILTER (state = 'supported'), '') AS supported, coalesce(string_agg(filter_key, ',' ORDER BY filter_key) FILTER (state = 'enforceable'), '') AS enforceable, coalesce(string_agg(filter_key, ',' ORDER BY filter_key) FILTER (state = 'lost'), '') AS lost,

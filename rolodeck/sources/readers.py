@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,15 +11,34 @@ from pyspark.sql import types as T
 from ..functions import text as X
 
 
-def json_leads(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Files that each hold one JSON list of objects. A file whose top level is something else is an error, as is malformed JSON.
+def heads(spark: SparkSession, files: list[str], length: int) -> list[bytes]:
+    """The first bytes of each file, decompressed where its name says so. Read through Hadoop's file systems by the driver, some files at a time: so many bytes of each, whatever its size."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def head(file: str) -> bytes:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        stream, codec = path.getFileSystem(conf).open(path), codecs.getCodec(path)
+        try:
+            return bytes((codec.createInputStream(stream) if codec is not None else stream).readNBytes(length))
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(16) as pool:
+        return list(pool.map(head, files))
+
 
-    Spark would take a lone object for a list of one, so a narrow pass over the raw files looks at their first character.
+def json_leads(spark: SparkSession, path: str, schema: T.StructType | str, length: int = 4096) -> DataFrame:
+    """Files that each hold one JSON list of objects, behind white space of any kind. A file whose top level is something else is an error, as is malformed JSON.
+
+    Spark would take a lone object for a list of one, so the first bytes of each file are looked at.
     """
-    heads = spark.read.option("wholetext", True).text(path).select(F.substring(F.ltrim("value"), 1, 1).alias("c"))
-    if heads.filter("c <> '['").limit(1).count():
-        raise ValueError(f"{path}: the top level must be a list")
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    found = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    files = found.inputFiles()
+    for file, head in zip(files, heads(spark, files, length), strict=True):
+        if not head.removeprefix(b"\xef\xbb\xbf").lstrip().startswith(b"["):
+            raise ValueError(f"{file}: the top level must be a list")
+    return found
 
 
 def csv_leads(spark: SparkSession, path: str, aliases: dict[str, list[str]], sep: str = ",") -> DataFrame:
@@ -27,10 +48,10 @@ def csv_leads(spark: SparkSession, path: str, aliases: dict[str, list[str]], sep
 
 
 def sniffed_separator(spark: SparkSession, path: str, head: int = 4096) -> str:
-    """A semicolon if the file's first characters have more of them than commas. Looks at one line's worth of one file on the driver."""
-    row = spark.read.option("wholetext", True).text(path).select(F.substring("value", 1, head).alias("h")).limit(1).first()
-    text = row.h if row else ""
-    return ";" if text.count(";") > text.count(",") else ","
+    """A semicolon if the first file's first bytes have more of them than commas; no more than these is read."""
+    files = sorted(spark.read.text(path).inputFiles())
+    data = heads(spark, files[:1], head)[0] if files else b""
+    return ";" if data.count(b";") > data.count(b",") else ","
 
 
 def csv_sniffed(spark: SparkSession, path: str, aliases: dict[str, list[str]]) -> DataFrame:
@@ -71,3 +92,10 @@ def pages_of(sites: DataFrame, pages: DataFrame, key: str, site: str) -> DataFra
     p = pages.select(F.col("url").alias("u_"), F.col("html"))
     joined = sites.join(p, F.col(site) == F.col("u_"), "left")
     return joined.select(key, site, "html", F.when(F.col("u_").isNull(), "error").otherwise("success").alias("status"))
+
+
+def id_map(spark: SparkSession, path: str, known: DataFrame) -> DataFrame:
+    """(id, name): pairs learned earlier, kept as JSON lines, which go before those in memory (known)."""
+    learned = spark.read.schema("id string, name string").json(path)
+    rest = known.select("id", "name").join(learned.select(F.col("id").alias("i_")).distinct(), F.col("id") == F.col("i_"), "left_anti")
+    return learned.unionByName(rest)

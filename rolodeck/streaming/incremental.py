@@ -4,34 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..cluster import checkpointed
 from ..functions import text as X
 
 
-def append_new(spark: SparkSession, landing: str, schema: str, sink: str, state: str, normalise: Callable[[DataFrame], DataFrame], key: Callable[[], object], files_per_batch: int = 100) -> None:
+def append_new(spark: SparkSession, landing: str, schema: str, sink: str, state: str, normalise: Callable[[DataFrame], DataFrame], key: Callable[[], Column], files_per_batch: int = 100, digits: int = 2) -> None:
     """Takes all landing files not taken yet, in batches, and appends rows whose key is new to the sink (Parquet).
 
-    Keys are unbounded, so they are not kept as streaming state but looked up in the sink by an anti join. A batch that is run again after a failure finds the
-    keys it had written before and appends nothing twice.
+    Keys are unbounded, so they are not kept as streaming state but looked up in the sink by an anti join. The sink has a folder for each beginning (``digits`` digits) of the key's
+    hash, and a batch reads only the folders that its own keys are in, and of these only the keys. A batch that is run again after a failure finds the keys it had written before
+    and appends nothing twice.
     """
+    kind = _with_key(normalise(spark.createDataFrame([], schema)), key, digits).schema
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        rows = normalise(batch).withColumn("lead_key", key())
-        first = rows.groupBy("lead_key").agg(F.min_by(F.struct(*[c for c in rows.columns if c != "lead_key"]), F.struct(*[F.col(c) for c in rows.columns if c != "lead_key"])).alias("r")).select("lead_key", "r.*")
-        seen = spark.read.parquet(sink).select(F.col("lead_key").alias("seen_"))
-        first = first.join(seen, F.col("lead_key") == F.col("seen_"), "left_anti")
-        first.write.mode("append").parquet(sink)
-
-    # An empty part gives the sink its schema, so that the first batch can look into it.
-    normalise(spark.createDataFrame([], schema)).withColumn("lead_key", key()).write.mode("append").parquet(sink)
+        rows = _with_key(normalise(batch), key, digits)
+        values = [F.col(c) for c in rows.columns if c not in ("lead_key", "part")]
+        first = checkpointed(rows.groupBy("lead_key", "part").agg(F.min(F.struct(*values)).alias("r")).select("r.*", "lead_key", "part"))
+        parts = [r.part for r in first.select("part").distinct().collect()]  # 16 to the power of digits at most
+        seen = sink_table(spark, sink, kind).filter(F.col("part").isin(parts)).select(F.col("lead_key").alias("seen_"), F.col("part").alias("seen_part_"))
+        new = first.join(seen, (F.col("lead_key") == F.col("seen_")) & (F.col("part") == F.col("seen_part_")), "left_anti")
+        new.repartition("part").write.partitionBy("part").mode("append").parquet(sink)
+
+    # The sink must be there for the first batch to look into it.
+    spark.createDataFrame([], kind).write.partitionBy("part").mode("append").parquet(sink)
     files = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
     files.writeStream.foreachBatch(take).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
 
 
-def sink_table(spark: SparkSession, sink: str) -> DataFrame:
-    return spark.read.parquet(sink)
+def _with_key(rows: DataFrame, key: Callable[[], Column], digits: int) -> DataFrame:
+    """rows, ``lead_key``, and ``part``, the beginning of its hash behind a letter, so that no reader takes it for a number."""
+    return rows.withColumn("lead_key", key()).withColumn("part", F.concat(F.lit("p"), F.substring(F.md5(F.col("lead_key").cast("string").cast("binary")), 1, digits)))
+
+
+def sink_table(spark: SparkSession, sink: str, schema: T.StructType | None = None) -> DataFrame:
+    """The sink's rows. A sink without any rows needs a schema."""
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(sink)
 
 
 def user_key():

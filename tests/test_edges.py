@@ -5,10 +5,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from rolodeck import cluster
 from rolodeck.functions import names, text
 from rolodeck.operators import classify, dedup, enrich, filters, joins, normalize, pages, profiles, searches, sets
 from rolodeck.schemas import LEAD
 from rolodeck.sources import readers, sinks
+from rolodeck.streaming import incremental
 
 
 def leads(spark, rows):
@@ -227,3 +229,157 @@ def test_empty_input(spark):
     assert profiles.coverage(none, {"email": F.col("email")}).first().share == 0.0
     assert filters.match_all(none, {"title": ["x"]}).first().share == 0.0
     assert joins.new_only(none, none).count() == 0
+
+
+# --- layouts, by hand
+
+
+def test_layout_columns():
+    """The columns and their order, written out."""
+    assert sinks.OUTREACH10 == ("email", "company_name", "casual_name", "icebreaker", "niche", "city", "score", "segment", "website", "phone")
+    assert sinks.CALLING9 == ("niche", "business_name", "category", "address", "city", "phone", "google_maps_url", "rating", "review_count")
+    assert sinks.PLACE10 == ("scraped_at", "niche", "business_name", "category", "address", "city", "phone", "google_maps_url", "rating", "review_count")
+    assert sinks.EMAIL24[7:12] == ("email_1", "email_2", "facebook", "instagram", "linkedin") and sinks.EMAIL24[-4:] == ("cms", "insight_1", "insight_2", "insight_3")
+    assert sinks.SHEET28[9:15] == ("Company Name", "Casual Company Name", "Company Website", "Company LinkedIn", "Company Phone", "Company Domain") and sinks.SHEET28[-3:] == ("LinkedIn Education", "Website Content", "Source")
+    assert sinks.CSV20[9:12] == ("company_name", "casual_org_name", "company_website") and sinks.CSV20[-4:] == ("industry", "company_summary", "icebreaker", "source")
+    assert normalize.PLACE_LEAD[:3] == ("scraped_at", "search_query", "business_name") and normalize.PLACE_LEAD[-4:] == ("additional_contact_methods", "pages_scraped", "search_enriched", "enrichment_status")
+
+
+def test_organization_as_text_object_or_variant(spark):
+    rows = [
+        (1, "", '{"name":"Obj","website_url":"http://o","phone":"+2","primary_domain":"o"}', "http://w", None),
+        (2, "Own", '{"name":"Obj"}', "http://w", "+1"),
+        (3, "", '"Text"', "http://w", "+1"),
+        (4, "", '""', "http://w", "+1"),
+        (5, "", None, "http://w", "+1"),
+    ]
+    df = spark.createDataFrame(rows, "ord int, company_name string, org string, website_url string, organization_phone string").withColumn("org_name", F.parse_json("org"))
+    sheet = [(r["Company Name"], r["Company Website"], r["Company Phone"], r["Company Domain"]) for r in sinks.sheet28(df, keep=("ord",)).orderBy("ord").collect()]
+    assert sheet == [("Obj", "http://o", "+2", "o"), ("Own", "", "+1", ""), ("Text", "http://w", "+1", ""), ("", "", "+1", ""), ("", "http://w", "+1", "")]
+    lines = [(r.company_name, r.company_website, r.company_phone) for r in sinks.csv20(df, ("ord",)).orderBy("ord").collect()]
+    assert lines == [("Obj", "http://w", ""), ("Own", "http://w", "+1"), ("Text", "http://w", "+1"), ("", "http://w", "+1"), ("", "http://w", "+1")]
+    struct = df.withColumn("org_name", F.from_json("org", "name string, website_url string"))
+    assert [r["Company Name"] for r in sinks.sheet28(struct.filter("ord < 3"), keep=("ord",)).orderBy("ord").collect()] == ["Obj", "Own"]
+    plain = df.withColumn("org_name", F.when(F.col("ord") == 3, "Text").otherwise(""))
+    assert [(r["Company Name"], r["Company Website"]) for r in sinks.sheet28(plain, keep=("ord",)).orderBy("ord").collect()] == [("", ""), ("Own", ""), ("Text", "http://w"), ("", ""), ("", "")]
+
+
+def test_sheet_lists_and_long_texts(spark):
+    job = "array<struct<title: string, company: string, period: string>>"
+    rows = [("Ann", [("A", "C", "2020"), (None, "D", None)], "x" * 1001), ("🟢 run", None, ""), ("Actor", None, "y" * 1000)]
+    got = sinks.sheet28(spark.createDataFrame(rows, f"name string, linkedin_experience {job}, website_content string")).collect()
+    assert [(r["Full Name"], r["LinkedIn Experience"], len(r["Website Content"])) for r in got] == [("Ann", "A @ C (2020) |  @ D ()", 1003), ("Actor", "", 1000)]
+
+
+def test_falsy_values_and_truth(spark):
+    df = spark.createDataFrame([(0.0, 0, True, False), (4.5, 7, None, True)], "rating double, review_count int, is_mobile_friendly boolean, has_ssl boolean")
+    got = [(r.rating, r.review_count, r.is_mobile_friendly, r.has_ssl) for r in sinks.email24(df).collect()]
+    assert got == [("", "", "True", ""), ("4.5", "7", "", "True")]
+
+
+def test_place_rules(spark):
+    lists = "emails array<string>, phones array<string>, categories array<string>, facebooks array<string>, instagrams array<string>, linkedIns array<string>, twitters array<string>, youtubes array<string>, tiktoks array<string>, whatsapps array<string>"
+    schema = f"placeId string, title string, categoryName string, address string, street string, city string, postalCode string, countryCode string, phone string, phoneUnformatted string, website string, domain string, url string, totalScore double, reviewsCount int, permanentlyClosed boolean, {lists}"
+    mails = ["a@shop.lv", "b@hotmail.com", "c@mail.ru", "d@other.lv", "a@shop.lv"]
+    tail = (mails, ["1", "2", "3", "4", "5", "6"], None, ["f1", "f2"], *[None] * 6)
+    place = lambda site, domain, closed=None: ("P/1", "A/b c*", *[None] * 8, site, domain, "u", None, None, closed, *tail)
+    df = spark.createDataFrame([place("http://shop.lv", "shop.lv"), place("http://facebook.com/x", "facebook"), place("http://delfi.lv/x", "delfi.lv"), place(None, None), place("x", "y", True)], schema)
+    one, social, blocked, none = normalize.places(df).collect()
+    assert (one.website, one.domain, one.emails) == ("http://shop.lv", "shop.lv", ["a@shop.lv", "a@shop.lv", "b@hotmail.com", "c@mail.ru"])
+    assert (social.website, social.domain, social.emails) == (None, None, ["b@hotmail.com", "c@mail.ru"])
+    assert (blocked.website, blocked.domain, blocked.emails) == (None, None, [])
+    assert (none.website, none.emails, none.country, none.facebook, len(none.phones_extra)) == (None, ["b@hotmail.com", "c@mail.ru"], "lv", "f1", 6)
+    assert one.google_maps_url == "https://www.google.com/maps/search/?api=1&query=A/b%20c%2A&query_place_id=P/1"
+
+
+def test_titles(spark):
+    want = {"Chief of staff": "C-Level", "SVP Sales": "VP / SVP", "Art Director": "Director", "Head, IT": "Head of", "Managing partner": "Manager", "Partner": "Owner / Founder", "Board member": "Board / Chair", "Advisor": "Specialist / Expert", "Clerk": "Other IC", " ": "No title", None: "No title", "Headhunter": "Other IC"}
+    assert values(spark, classify.title_class, *want) == list(want.values())
+    assert values(spark, lambda c: F.array_join(classify.seniority(c), ","), "Head, Sr. lead", "Senior c.e.o", "assistant to the director", "Assistant", "Co-Owner", None) == ["senior", "c_suite,senior", "director", "entry", "owner", ""]
+
+
+def test_recommendations_leave_out_what_removes_nothing(spark):
+    df = leads(spark, [{"email": "a@b", "title": "CEO", "company_phone": "+37120"}, {"email": "c@d", "title": "Director", "company_phone": "+37121"}])
+    assert [(r.filter, r.removed) for r in profiles.recommendations(df, ["+371"], ["371"]).collect()] == [("industry", None)]
+    assert [(r.filter, r.removed) for r in profiles.recommendations(df, ["+49"], ["371", "49"]).collect()] == [("phone", 2), ("industry", None)]
+    assert [(r.filter, r.removed) for r in profiles.recommendations(df, [], ["371"]).collect()] == [("industry", None)]
+
+
+# --- readers, pages, keys
+
+
+def test_json_behind_white_space(spark, tmp_path):
+    (tmp_path / "a.json").write_text('\n\t [{"a": 1}, {"a": 2}]')
+    (tmp_path / "b.json").write_bytes(b'\xef\xbb\xbf[{"a": 3}]')
+    assert sorted(r.a for r in readers.json_leads(spark, str(tmp_path), "a int").collect()) == [1, 2, 3]
+
+
+def test_only_a_files_head_is_sniffed(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a;b\n" + "1;2\n" * 2000 + "," * 1_000_000)
+    assert readers.sniffed_separator(spark, str(tmp_path)) == ";"
+    assert readers.heads(spark, spark.read.text(str(tmp_path)).inputFiles(), 3) == [b"a;b"]
+
+
+def test_learned_names_override(spark, tmp_path):
+    (tmp_path / "ids.json").write_text('{"id": "1", "name": "learned"}\n{"id": "3", "name": "new"}\n')
+    known = spark.createDataFrame([("1", "old"), ("2", "kept")], "id string, name string")
+    assert sorted(tuple(r) for r in readers.id_map(spark, str(tmp_path / "ids.json"), known).collect()) == [("1", "learned"), ("2", "kept"), ("3", "new")]
+
+
+def test_pages_with_a_clashing_column(spark):
+    df = spark.createDataFrame([(1, "<p>x</p>", "mine")], "page_id int, html string, Content string")
+    with pytest.raises(ValueError, match="into="):
+        pages.with_text(df)
+    assert pages.with_text(df, into="text").first().Content == "mine"
+
+
+def test_technology(spark):
+    marks = ["<link href='/wp-content/x.css'>", "<meta name='generator' content='WordPress 6'>", "SHOPIFY.theme", "x data-wf-page", "__NEXT_DATA__", "<div data-v-0a>", "we react to vue and angular words", None]
+    df = spark.createDataFrame([(i, m, {"Server": "nginx", "X-Powered-By": "Ghost-API"} if i == 6 else None) for i, m in enumerate(marks)], "page_id int, html string, h map<string,string>")
+    got = [(r.cms, r.framework, r.server) for r in pages.technology(df, headers="h").orderBy("page_id").collect()]
+    assert got == [("WordPress", "", ""), ("WordPress", "", ""), ("Shopify", "", ""), ("Webflow", "", ""), ("", "Next.js", ""), ("", "Vue.js", ""), ("Ghost", "", "nginx"), ("", "", "")]
+
+
+def test_first_seen_with_null_keys_ties_and_helper_names(spark):
+    df = spark.createDataFrame([(2, None, "a"), (1, None, "b"), (3, "x", "c"), (3, "x", "d"), (4, "x", "e")], "ord int, k string, _key string")
+    got = sorted((r.ord, r._key) for r in dedup.first_seen(df, F.col("k"), "ord").collect())
+    assert got == [(1, "b"), (3, "c"), (3, "d")]
+
+
+def test_enrichment_keeps_columns_named_as_helpers(spark):
+    df = spark.createDataFrame([("a", "kept", "mine")], "k string, v string, _needs string")
+    row = enrich.enriched(df, F.lit(True), "k", "v", str.upper, "model").first()
+    assert (row.v, row.v_by, row._needs) == ("A", "model", "mine")
+
+
+def test_a_long_chain_across_campaigns(spark):
+    """Row i shares an e-mail with row i - 1 and a profile with row i + 1: every other one stays."""
+    n = 24
+    df = leads(spark, [{"email": f"m{i // 2}", "linkedin_url": f"p{(i + 1) // 2}"} for i in range(n)]).withColumn("rank", F.when(F.col("ord") == 1, 1).otherwise(2))
+    got = {r.ord: r.reason for r in dedup.cross_campaign(df, "rank").collect()}
+    assert [got[i] is None for i in range(1, n + 1)] == [i % 2 == 1 for i in range(1, n + 1)]
+
+
+def test_global_numbers(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("x"), F.lit(1).alias("_part")).repartition(7)
+    got = cluster.numbered(df, [F.col("x")], "place").collect()
+    assert all(r.place == r.x + 1 and r._part == 1 for r in got) and len(got) == 1000
+
+
+def test_unlimited_value_counts(spark):
+    df = spark.range(900).select(F.col("id").alias("ord"), F.when(F.col("id") < 300, F.col("id") % 7).otherwise(F.col("id")).cast("string").alias("v"), F.lit("one").alias("w"))
+    got = {(r.field, r.value): (r.n, r.rank) for r in profiles.top_counts(df, {"v": (F.col("v"), None), "w": (F.col("w"), None)}).collect()}
+    order = sorted([(-got[k][0], int(k[1]), k) for k in got if k[0] == "v"])
+    assert [got[k][1] for _, _, k in order] == list(range(1, 608)) and got["w", "one"] == (900, 1)
+
+
+def test_stream_reads_only_its_parts(spark, tmp_path):
+    """Two runs: what the sink has already is not appended again; new keys are."""
+    landing, sink, state = (str(tmp_path / x) for x in ("landing", "sink", "state"))
+    schema = "event_id long, user_id long, event_type string"
+    run = lambda: incremental.append_new(spark, landing, schema, sink, state, lambda d: d.select("user_id", "event_type"), incremental.user_key, 1)
+    for users in (range(30), range(10, 50)):
+        spark.createDataFrame([(i, i % 40, "x") for i in users], schema).write.mode("append").parquet(landing)
+        run()
+    got = incremental.sink_table(spark, sink)
+    assert got.count() == 40 and got.select("user_id").distinct().count() == 40 and got.select("part").distinct().count() > 1

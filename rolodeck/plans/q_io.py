@@ -206,7 +206,7 @@ query("pg_ssl", "SELECT page_id, starts_with(url, 'https') AS ssl FROM pages")(l
 def _stream(t):
     landing, sink = folder(t, "landing"), folder(t, "sink")
     t("events").select("event_id", "user_id", "event_type", F.to_date("ts").alias("day")).repartitionByRange(6, "day").write.parquet(landing)
-    I.append_new(t.spark, landing, "event_id long, user_id long, event_type string, day date", sink, folder(t, "state"), lambda d: d.select("user_id", "event_type"), I.user_key, 2)
+    I.append_new(t.spark, landing, "event_id long, user_id long, event_type string, day date", sink, folder(t, "state"), lambda d: d.select("user_id", "event_type"), I.user_key, 2, digits=1)
     return I.sink_table(t.spark, sink).select("user_id", "event_type")
 
 

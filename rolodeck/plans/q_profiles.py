@@ -76,11 +76,11 @@ query(
     "scr_web_metrics",
     """SELECT p_partkey AS ord, CASE WHEN p_partkey % 6 <> 0 THEN CAST(p_size AS INT) ELSE -1 END AS performance_score, CASE WHEN p_partkey % 6 <> 0 THEN 80 ELSE -1 END AS accessibility_score, CASE WHEN p_partkey % 6 <> 0 THEN 90 ELSE -1 END AS seo_score, -1 AS best_practices_score,
     CASE WHEN p_partkey % 6 <> 0 THEN round_even(p_partkey * 10.0 / 1000, 2)::DOUBLE END AS fcp_seconds, CASE WHEN p_partkey % 6 <> 0 THEN round_even(p_partkey * 20.0 / 1000, 2)::DOUBLE END AS lcp_seconds, CASE WHEN p_partkey % 6 <> 0 THEN 0.125::DOUBLE END AS cls, CASE WHEN p_partkey % 6 <> 0 THEN CAST(p_size AS INT) ELSE -1 END AS tbt_ms,
-    CASE WHEN p_partkey % 6 <> 0 THEN round_even(p_partkey * 30.0 / 1000, 2)::DOUBLE END AS speed_index_seconds, CASE WHEN p_partkey % 6 <> 0 THEN p_partkey % 2 = 1 END AS is_mobile_friendly FROM part""",
+    CASE WHEN p_partkey % 6 <> 0 THEN round_even(p_partkey * 30.0 / 1000, 2)::DOUBLE END AS speed_index_seconds, CASE WHEN p_partkey % 6 <> 0 THEN p_partkey % 2 = 1 ELSE false END AS is_mobile_friendly FROM part""",
 )(
     lambda t: t("part").select(F.col("p_partkey").alias("ord"), C.web_metrics(F.when(F.col("p_partkey") % 6 == 0, F.lit('{"error":{}}')).otherwise(F.format_string(
         '{"lighthouseResult":{"categories":{"performance":{"score":%s},"accessibility":{"score":0.8},"seo":{"score":0.9},"best-practices":{"score":null}},"audits":{"first-contentful-paint":{"numericValue":%s},"largest-contentful-paint":{"numericValue":%s},"cumulative-layout-shift":{"numericValue":0.1250004},"total-blocking-time":{"numericValue":%d.7},"speed-index":{"numericValue":%s},"viewport":{"score":%d}}}}',
-        ((F.col("p_size") + 0.5) / 100).cast("string"), (F.col("p_partkey") * 10.0).cast("string"), (F.col("p_partkey") * 20.0).cast("string"), F.col("p_size"), (F.col("p_partkey") * 30.0).cast("string"), F.col("p_partkey") % 2))).alias("m")).select("ord", "m.*").withColumns({c: F.coalesce(c, F.lit(-1)) for c in ("performance_score", "accessibility_score", "seo_score", "best_practices_score", "tbt_ms")})
+        ((F.col("p_size") + 0.5) / 100).cast("string"), (F.col("p_partkey") * 10.0).cast("string"), (F.col("p_partkey") * 20.0).cast("string"), F.col("p_size"), (F.col("p_partkey") * 30.0).cast("string"), F.col("p_partkey") % 2))).alias("m")).select("ord", "m.*").withColumns({c: F.coalesce(c, F.lit(-1)) for c in ("performance_score", "accessibility_score", "seo_score", "best_practices_score", "tbt_ms")} | {"is_mobile_friendly": F.coalesce("is_mobile_friendly", F.lit(False))})
 )
 query(
     "scr_web_attach",

@@ -10,23 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..cluster import checkpointed, shared_folder
+from ..cluster import checkpointed, fresh, shared_folder
 
-__all__ = ["WORD", "binary", "checkpointed", "extended", "filesystem", "free_prefix", "fresh", "join_hot", "new_folder", "shared_folder", "table", "text_or_empty", "text_slices"]
+__all__ = ["WORD", "binary", "checkpointed", "extended", "filesystem", "free_prefix", "fresh", "join_hot", "new_folder", "shared_folder", "spread", "table", "text_or_empty", "text_slices"]
 
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def fresh(columns: Iterable[str], base: str) -> str:
-    """A column name that starts with base and clashes with none of columns (names are compared without case)."""
-    taken = {c.lower() for c in columns}
-    name = base
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def free_prefix(columns: Iterable[str], base: str) -> str:
     """A prefix that starts with base and that none of columns starts with."""
     prefix, names = base, [c.lower() for c in columns]
@@ -94,5 +85,11 @@ def join_hot(left: DataFrame, right: DataFrame, on: tuple[str, str], weight: str
     return left.join(hot, same).unionByName(left.join(hot.select(on[1]), same, "left_anti").join(cold, same))
 
 
+def spread(work: DataFrame, each: int = 8) -> DataFrame:
+    """A checkpointed table of pieces of work, dealt to tasks that take ``each`` of them or, of few pieces, fewer: a number of tasks that Spark does not merge again."""
+    n = work.count()
+    return work.repartition(max(1, min(n, max(2 * work.sparkSession.sparkContext.defaultParallelism, -(-n // each)))))
+
+
 def text_or_empty(column: Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit(""))

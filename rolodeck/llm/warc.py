@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import binary, checkpointed, filesystem, new_folder
+from .util import binary, checkpointed, filesystem, join_hot, new_folder, spread, text_slices
 
 ARCHIVE, INDEX, PACKAGE = "archive/data.warc.gz", "indexes/index.cdxj", "datapackage.json"
 #: Revisits of so few repeated payloads are looked up by a broadcast (32 bytes of digest and an id each, under 16 MB); others by a join.
@@ -162,24 +162,29 @@ def write_packages(pages: DataFrame, folder: str | None = None, id: str = "page_
     """Writes a record for each row; returns the manifest: ``path`` and ``records`` of each package.
 
     Among rows with equal payloads of at least LEAST_BYTES bytes, those with the smallest id are responses, others revisit it. A null payload is
-    empty. Rows with a null id are revisits only of an id that is not null; where all ids are null all are responses. Extra columns are
-    ignored. An empty table writes no package.
+    empty. Rows with a null id are revisits only of an id that is not null; where all ids are null all are responses, and so are repeated rows of
+    the smallest id. ids must be whole numbers. Extra columns are ignored. An empty table writes no package. Packages stay in ``folder`` (by default one inside the shared folder).
     """
     spark = pages.sparkSession
     folder = folder or new_folder(spark, "warc")
     rows = pages.select(F.col(id).cast("long").alias("id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html).cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumns({"digest": F.sha2(F.col("html").cast("binary"), 256), "length": F.octet_length("html").cast("long")})
-    repeated = checkpointed(rows.filter(F.col("length") >= LEAST_BYTES).groupBy(F.col("digest").alias("digest_")).agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1 and first is not null").drop("n"))
+    repeated = checkpointed(rows.filter(F.col("length") >= LEAST_BYTES).groupBy(F.col("digest").alias("digest_")).agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1 and first is not null"))
     if repeated.count() <= BROADCAST_ROWS:
-        repeated = F.broadcast(repeated)
-    rows = rows.join(repeated, (F.col("digest") == F.col("digest_")) & (F.col("length") >= LEAST_BYTES), "left").withColumn("revisit", F.coalesce(~F.col("id").eqNullSafe(F.col("first")) & F.col("first").isNotNull(), F.lit(False)))
+        rows = rows.join(F.broadcast(repeated.drop("n")), (F.col("digest") == F.col("digest_")) & (F.col("length") >= LEAST_BYTES), "left")
+    else:  # ids and digests meet first, a common payload without a shuffle; payloads move once, by id and digest, which spreads them evenly
+        total = repeated.agg(F.sum("n").alias("n")).first().n
+        copies = join_hot(checkpointed(rows.filter(F.col("length") >= LEAST_BYTES).select("id", "digest")), repeated, ("digest", "digest_"), "n", total)
+        again = copies.filter(~F.col("id").eqNullSafe(F.col("first"))).select(F.col("id").alias("id_"), "digest_", "first").distinct()
+        rows = rows.join(again, F.col("id").eqNullSafe(F.col("id_")) & (F.col("digest") == F.col("digest_")), "left")
+    rows = rows.withColumn("revisit", F.coalesce(~F.col("id").eqNullSafe(F.col("first")) & F.col("first").isNotNull(), F.lit(False)))
     most = package_mb << 20
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, path = filesystem(folder)
         files.create_dir(path, recursive=True)
         writer, done = None, []
-        for batch in batches:
+        for batch in text_slices(batches, "html"):
             columns = [batch.column(c).to_pylist() for c in ("id", "url", "digest", "length", "first", "revisit")]
             for (page, address, digest, length, first, revisit), payload in zip(zip(*columns, strict=True), binary(batch.column("html")), strict=True):
                 writer = writer or PackageWriter(f"{folder}/{uuid.uuid4().hex}.wacz")
@@ -226,5 +231,5 @@ def read_packages(manifest: DataFrame, range_mb: int = 8, payloads: bool = True)
                 found = [parse_record(gzip.decompress(data[a - starts[0] : a - starts[0] + n])) for a, n in zip(starts, sizes, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], t) for k, t in kinds.items()], names=list(kinds))
 
-    spread = manifest.select("path").mapInArrow(ranges, "path string, starts array<long>, sizes array<long>").repartition(F.xxhash64("path", F.col("starts")[0]))
-    return spread.mapInArrow(records, "page_id long, url string, record_type string, payload_digest string, payload_bytes long, refers_to long" + ", payload binary" * payloads)
+    work = checkpointed(spread(manifest.select("path")).mapInArrow(ranges, "path string, starts array<long>, sizes array<long>"))
+    return spread(work).mapInArrow(records, "page_id long, url string, record_type string, payload_digest string, payload_bytes long, refers_to long" + ", payload binary" * payloads)

@@ -101,3 +101,21 @@ def test_broadcast_and_join_agree(spark, monkeypatch):
 def test_empty(spark):
     manifest = W.write_packages(spark.createDataFrame([], "page_id long, url string, html string"))
     assert manifest.count() == 0 and W.read_packages(manifest).count() == 0
+
+
+def test_packages_are_read_by_many_tasks(spark):
+    """Eight packages give eight tasks at least, though the table of ranges is tiny."""
+    df = spark.range(64).selectExpr("id as page_id", "'u' as url", "repeat(cast(id as string), 50) as html").repartition(8)
+    manifest = W.write_packages(df)
+    found = W.read_packages(manifest, payloads=False)
+    assert manifest.count() == 8 and found.rdd.getNumPartitions() >= 8 and found.count() == 64
+
+
+def test_a_payload_of_many_pages_by_the_join(spark, monkeypatch):
+    monkeypatch.setattr(W, "BROADCAST_ROWS", 0)
+    df = spark.range(3000).selectExpr("id as page_id", "'u' as url", "repeat(if(id % 3 = 0, 'hot', cast(id % 1000 as string)), 100) as html")
+    got = {r.page_id: r.refers_to for r in W.read_packages(W.write_packages(df), payloads=False).collect()}
+    first = {}
+    for i in range(3000):
+        first.setdefault("hot" if i % 3 == 0 else i % 1000, i)
+    assert got == {i: f if (f := first["hot" if i % 3 == 0 else i % 1000]) != i else None for i in range(3000)}

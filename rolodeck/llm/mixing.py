@@ -67,71 +67,72 @@ def _finish(before: Column, source_size: Column, target: Column, passes: int) ->
 
 @dataclass
 class Mix:
-    """What decides a mix: each (source, bucket)'s start, each source's size and target, and the cut."""
+    """A decided mix: ``documents``, a checkpointed row for each document's row (source, id, digest, hash, size, source_size, target, times), and the cut."""
 
     id: str
     source: str
     text: str
     seed: str
-    passes: int
-    starts: DataFrame | None = None  # source, bucket, start, source_size, target
-    cut: tuple | None = None  # of the last document taken; None: nothing is taken
+    documents: DataFrame
+    cut: tuple | None = None  # the place in the order of the last document taken; None: nothing is taken
 
     def apply(self, docs: DataFrame, times: str, size: str | None = None, source_size: str | None = None, target: str | None = None) -> DataFrame:
         """docs, whatever its columns, and ``times``: how often the mix takes the document; if named, its words, its source's words and target.
 
-        The documents' rows are dealt once, by source and bucket.
+        docs must be the table the mix was planned for.
+
+        Words are not counted again: the documents meet the mix's rows by source, id and content, which spreads them evenly.
         """
-        names: list[str] = list(docs.columns)
+        wanted = {"times": times} | {k: v for k, v in (("size", size), ("source_size", source_size), ("target", target)) if v}
+        names: list[str] = [*docs.columns, *wanted.values()]
         own = {}
-        for x in ("digest", "hash", "bucket", "words", "before", "other", "other_bucket", "start", "all", "goal"):
+        for x in ("digest", "hash", "other", "other_id", "other_digest", "other_hash"):
             names.append(own.setdefault(x, fresh(names, f"_{x}")))
         c = lambda x: F.col(own[x])
-        rows = docs.withColumns({own["digest"]: _digest(self.seed, self.id), own["hash"]: F.xxhash64(text_or_empty(F.col(self.text))), own["words"]: word_count(F.col(self.text))})
-        rows = rows.withColumn(own["bucket"], F.substring(own["digest"], 1, DIGITS))
-        inside = Window.partitionBy(self.source, own["bucket"]).orderBy(own["digest"], self.id, own["hash"])
-        rows = rows.withColumn(own["before"], F.sum(own["words"]).over(inside))  # rows equal in all of the order share one value
-        starts = self.starts.select(*[F.col(a).alias(own[b]) for a, b in (("source", "other"), ("bucket", "other_bucket"), ("start", "start"), ("source_size", "all"), ("target", "goal"))])
-        rows = rows.join(starts, F.col(self.source).eqNullSafe(c("other")) & (c("bucket") == c("other_bucket")))
-        taken = F.lit(0)
-        if self.cut is not None:
-            cut = F.struct(*[F.lit(v).alias(f"k{i}") for i, v in enumerate(self.cut)])
-            for time in _finish(c("before") + c("start"), c("all"), c("goal"), self.passes):
-                taken = taken + F.when(_order(time, F.col(self.source), c("digest"), F.col(self.id), c("hash")) <= cut, 1).otherwise(0)
-        more = {times: F.when(c("words") > 0, taken).otherwise(0).cast("int")}
-        more |= {a: c(b) for a, b in ((size, "words"), (source_size, "all"), (target, "goal")) if a}
-        return rows.select(*docs.columns, *[v.alias(k) for k, v in more.items()])
+        rows = docs.withColumns({own["digest"]: _digest(self.seed, self.id), own["hash"]: F.xxhash64(text_or_empty(F.col(self.text)))})
+        # Rows equal in all of these are taken equally often, so that one of them stands for all.
+        known = self.documents.select(F.col("source").alias(own["other"]), F.col("id").alias(own["other_id"]), F.col("digest").alias(own["other_digest"]), F.col("hash").alias(own["other_hash"]), *[F.col(k).alias(v) for k, v in wanted.items()]).distinct()
+        same = (c("digest") == c("other_digest")) & (c("hash") == c("other_hash")) & F.col(self.source).eqNullSafe(c("other")) & F.col(self.id).eqNullSafe(c("other_id"))
+        return rows.join(known, same).select(*docs.columns, *wanted.values())
 
 
 def plan_mix(docs: DataFrame, weights: list[float] = (5, 2, 1), budget: float = 1.5, most: int = 2, id: str = "doc_id", source: str = "source", text: str = "text", seed: str = "mix-0") -> Mix:
     """Decides a mix of docs: targets by ``weights``, ``budget`` times all words in total, at most ``most`` passes over a source."""
-    mix = Mix(id, source, text, seed, most)
     narrow = checkpointed(docs.select(F.col(source).alias("source"), F.col(id).alias("id"), word_count(F.col(text)).alias("size"), _digest(seed, id).alias("digest"), F.xxhash64(text_or_empty(F.col(text))).alias("hash")).withColumn("bucket", F.substring("digest", 1, DIGITS)))
     sums = checkpointed(narrow.groupBy("source", "bucket").agg(F.sum("size").alias("words")))
     targets = source_targets(sums.groupBy("source").agg(F.sum("words").alias("source_size")), list(weights), budget, most).withColumnRenamed("source", "source_")
     starts = sums.withColumn("start", F.sum("words").over(Window.partitionBy("source").orderBy("bucket")) - F.col("words")).drop("words")
-    mix.starts = checkpointed(starts.join(targets, F.col("source").eqNullSafe(F.col("source_"))).drop("source_"))
-    total = mix.starts.select("source", "source_size", "target").distinct().agg(F.sum("target").alias("targets"), F.sum("source_size").alias("words")).first()
-    if not total.words:
-        return mix
-    # The mix's total is the budget, or less if all sources are at their caps.
-    limit = min(budget * total.words, total.targets + 0.5)
+    starts = checkpointed(starts.join(targets, F.col("source").eqNullSafe(F.col("source_"))).drop("source_"))
+    total = starts.select("source", "source_size", "target").distinct().agg(F.sum("target").alias("targets"), F.sum("source_size").alias("words")).first()
 
     inside = Window.partitionBy("source", "bucket").orderBy("digest", "id", "hash")
-    queue = narrow.withColumn("before", F.sum("size").over(inside)).filter("size > 0")
-    placed = mix.starts.withColumnsRenamed({"source": "source_", "bucket": "bucket_"})
-    queue = queue.join(placed, F.col("source").eqNullSafe(F.col("source_")) & (F.col("bucket") == F.col("bucket_")))
-    finish = F.explode(F.array(*_finish(F.col("before") + F.col("start"), F.col("source_size"), F.col("target"), most)))
-    queue = queue.select("source", "id", "digest", "hash", "size", finish.alias("time")).withColumn("range", F.least(F.floor(F.col("time") * RANGES), F.lit(4 * RANGES)).cast("long"))
-    queue = checkpointed(queue.select("range", "size", _order(F.col("time"), F.col("source"), F.col("digest"), F.col("id"), F.col("hash")).alias("key")))
+    placed = starts.withColumnsRenamed({"source": "source_", "bucket": "bucket_"})
+    queue = narrow.withColumn("before", F.sum("size").over(inside)).join(placed, F.col("source").eqNullSafe(F.col("source_")) & (F.col("bucket") == F.col("bucket_")))
+    # Rows equal in all of the order share one sum, so they are queued at one place.
+    queue = checkpointed(queue.select("source", "id", "digest", "hash", "size", (F.col("before") + F.col("start")).alias("before"), "source_size", "target"))
+    cut = _cut(queue, budget * total.words, total.targets, most) if total.words else None
+    times = F.lit(0)
+    if cut is not None:
+        last = F.struct(*[F.lit(v).alias(f"k{i}") for i, v in enumerate(cut)])
+        for time in _finish(F.col("before"), F.col("source_size"), F.col("target"), most):
+            times = times + F.when(_order(time, F.col("source"), F.col("digest"), F.col("id"), F.col("hash")) <= last, 1).otherwise(0)
+    times = F.when(F.col("size") > 0, times).otherwise(0).cast("int").alias("times")
+    return Mix(id, source, text, seed, queue.select("source", "id", "digest", "hash", "size", "source_size", "target", times), cut)
+
+
+def _cut(queue: DataFrame, budget: float, targets: float, passes: int) -> tuple | None:
+    """The place in the order of the last document that the budget takes."""
+    limit = min(budget, targets + 0.5)  # the mix's total is the budget, or less if all sources are at their caps
+    finish = F.explode(F.array(*_finish(F.col("before"), F.col("source_size"), F.col("target"), passes)))
+    times = queue.filter("size > 0").select("source", "id", "digest", "hash", "size", finish.alias("time")).withColumn("range", F.least(F.floor(F.col("time") * RANGES), F.lit(4 * RANGES)).cast("long"))
+    times = times.select("range", "size", _order(F.col("time"), F.col("source"), F.col("digest"), F.col("id"), F.col("hash")).alias("key"))
     so_far = F.sum("words").over(Window.orderBy("range"))  # over at most 4 * RANGES + 1 rows
-    ranges = queue.groupBy("range").agg(F.sum("size").alias("words")).select("range", so_far.alias("so_far"), (so_far - F.col("words")).alias("before"))
+    ranges = times.groupBy("range").agg(F.sum("size").alias("words")).select("range", so_far.alias("so_far"), (so_far - F.col("words")).alias("before"))
     over = ranges.filter(F.col("so_far") > F.lit(limit)).orderBy("range").limit(1).first()
     if over is None:
-        last = queue.agg(F.max("key").alias("key")).first().key
+        last = times.agg(F.max("key").alias("key")).first().key
     else:
-        cut = queue.filter(F.col("range") == F.lit(over.range)).groupBy("key").agg(F.sum("size").alias("words"))
-        cut = cut.withColumn("so_far", F.sum("words").over(Window.orderBy("key")) + F.lit(over.before)).filter(F.col("so_far") <= F.lit(limit))
-        last = cut.agg(F.max("key").alias("key")).first().key or queue.filter(F.col("range") < F.lit(over.range)).agg(F.max("key").alias("key")).first().key
-    mix.cut = tuple(last) if last is not None else None
-    return mix
+        inside = times.filter(F.col("range") == F.lit(over.range)).groupBy("key").agg(F.sum("size").alias("words"))
+        inside = inside.withColumn("so_far", F.sum("words").over(Window.orderBy("key")) + F.lit(over.before)).filter(F.col("so_far") <= F.lit(limit))
+        last = inside.agg(F.max("key").alias("key")).first().key or times.filter(F.col("range") < F.lit(over.range)).agg(F.max("key").alias("key")).first().key
+    return tuple(last) if last is not None else None

@@ -58,9 +58,8 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    mix = mixing.plan_mix(docs, weights=[5, 2, 1], budget=1.5, most=2)
-    found = mix.apply(docs, "times", "size", "source_size", "target")
-    return found.select("doc_id", "size", "source_size", "target", (F.col("times") * F.col("size")).cast("long").alias("taken"))
+    found = mixing.plan_mix(docs, weights=[5, 2, 1], budget=1.5, most=2).documents
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("times") * F.col("size")).cast("long").alias("taken"))
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

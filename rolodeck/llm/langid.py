@@ -22,9 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .util import binary, extended, text_slices
+from .util import binary, checkpointed, extended, text_slices
 
 DIMENSIONS = 1 << 13
+#: A model knows so many languages at most: those with most text.
 MOST_LANGUAGES = 500
 UNKNOWN = "und"
 #: ASCII letters in lower case, bytes beyond ASCII as they are, all else a blank.
@@ -41,7 +42,9 @@ def has_letter(text: bytes) -> bool:
 def grams(text: bytes) -> np.ndarray:
     """How often each hashed n-gram occurs in a text's letters; runs of blanks count once."""
     letters = _LETTERS[np.frombuffer(b" " + text + b" ", np.uint8)]
-    letters = letters[~((letters == 32) & (np.roll(letters, 1) == 32))] if len(letters) > 2 else letters
+    kept = np.ones(len(letters), bool)
+    kept[1:] = (letters[1:] != 32) | (letters[:-1] != 32)
+    letters = letters[kept]
     x = letters.astype(np.uint32)
     two = x[:-1] * np.uint32(257) + x[1:]
     three = two[:-1] * np.uint32(263) + x[2:]
@@ -50,7 +53,7 @@ def grams(text: bytes) -> np.ndarray:
 
 
 def codewords(k: int) -> np.ndarray:
-    """k codewords of +1 and -1. Up to 6 languages: all splits (exhaustive codes); more: a seeded search for well separated columns and rows."""
+    """k codewords of +1 and -1. Up to 6 languages: all splits (exhaustive codes); more: a seeded, greedy search for columns that keep rows apart."""
     if k < 2:
         return np.ones((k, 1))
     if k <= 6:
@@ -58,14 +61,16 @@ def codewords(k: int) -> np.ndarray:
         rows = [np.ones(len(splits), int), *[np.where(splits >> i & 1, 1, -1) for i in range(k - 1)]]
         return np.array(rows)
     bits = max(15, 4 * int(np.ceil(np.log2(k))))
-    rng, best, far = np.random.default_rng(k), None, -1
-    for _ in range(50):
-        code = rng.choice([-1, 1], size=(k, bits))
-        apart = (bits - code @ code.T) // 2
-        least = int(apart[~np.eye(k, dtype=bool)].min())
-        if least > far and (np.abs(code.sum(axis=0)) < k).all():
-            best, far = code, least
-    return best
+    rng, code, apart = np.random.default_rng(k), np.zeros((k, 0), int), np.zeros((k, k), int)
+    pairs = np.triu_indices(k, 1)
+    for _ in range(bits):  # column by column: of fifty drawn ones the one that leaves the nearest rows farthest apart, and fewest of them so near
+        drawn = rng.choice([-1, 1], size=(50, k))
+        drawn = drawn[np.abs(drawn.sum(axis=1)) < k]
+        after = [apart[pairs] + (c[pairs[0]] != c[pairs[1]]) for c in drawn]
+        best = max(range(len(drawn)), key=lambda i: (after[i].min(), -int((after[i] == after[i].min()).sum())))
+        code = np.column_stack([code, drawn[best]])
+        apart[pairs] = after[best]
+    return code
 
 
 @dataclass
@@ -91,27 +96,34 @@ class Model:
         return self.languages[order[0]], score, bool(loss[order[1]] - loss[order[0]] < close)
 
 
-def count_grams(labelled: DataFrame, text: str, lang: str) -> dict[str, np.ndarray]:
-    """Of each language its n-gram counts. Each task sums what it reads; (language, n-gram) sums are shuffled, and one row for each reaches the driver."""
+def count_grams(labelled: DataFrame, text: str, lang: str, most: int = MOST_LANGUAGES) -> dict[str, np.ndarray]:
+    """Of each language its n-gram counts; of more than ``most`` languages those with most n-grams, ties by name.
+
+    Each task sums what it reads, some languages at a time; (language, n-gram) sums are shuffled, and one row for each of the kept languages reaches the driver.
+    """
     kinds = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text")).filter("lang is not null and text is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
+
+        def done() -> Iterator[pa.RecordBatch]:
+            for name, counts in sums.items():
+                at = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["lang", "gram", "n"])
+            sums.clear()
+
         for batch in text_slices(batches, "text"):
             for name, t in zip(batch.column("lang").to_pylist(), binary(batch.column("text")), strict=True):
                 sums[name] = sums[name] + grams(t) if name in sums else grams(t)
-                if len(sums) > MOST_LANGUAGES:
-                    raise ValueError(f"over {MOST_LANGUAGES} languages")
-        for name, counts in sums.items():
-            at = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["lang", "gram", "n"])
-
-    sums = kinds.mapInArrow(run, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
-    names = sorted(sums["lang"].unique())
-    if len(names) > MOST_LANGUAGES:
-        raise ValueError(f"over {MOST_LANGUAGES} languages")
-    found = {n: np.zeros(DIMENSIONS, np.int64) for n in names}
-    for name, part in sums.groupby("lang"):
+                if len(sums) > most:
+                    yield from done()
+        yield from done()
+
+    sums = checkpointed(kinds.mapInArrow(run, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    kept = sums.groupBy("lang").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "lang").limit(most)
+    rows = sums.join(F.broadcast(kept.select("lang")), "lang", "left_semi").toPandas()
+    found = {n: np.zeros(DIMENSIONS, np.int64) for n in sorted(rows["lang"].unique())}
+    for name, part in rows.groupby("lang"):
         found[name][part["gram"].to_numpy()] = part["n"].to_numpy()
     return found
 

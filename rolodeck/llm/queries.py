@@ -74,7 +74,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Language of each document; what is held out was not learnt from."""
+    """Language of each document; what is held out was not learnt from. A document without an id is held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(True))
     model = langid.train(docs.filter(~held_out))

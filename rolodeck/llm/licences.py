@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .util import fresh
+
 # Normalised sentences that licences and licence notices consist of, with identifiers.
 SENTENCES = {
     "released under the mit license": "MitRef",
@@ -154,7 +156,7 @@ def scan(df: DataFrame, text: str = "text", into: tuple[str, str, str] = ("sente
         raise ValueError(f"columns {sorted(clash)} exist already; choose others with into=")
     ids, names, left = into
     found = df.withColumn(ids, sentence_ids(F.col(text).cast("string")))
-    result = f"{left}_state"
+    result = fresh(found.columns, "_state")
     found = found.withColumn(result, F.when(F.size(ids) > 0, matched_rules(F.col(ids))))
     rest = F.filter(F.split(F.col(result)["rest"], r"\|+"), lambda x: (x != "") & ~x.startswith("Spdx:"))
     return found.withColumns({names: F.coalesce(F.array_distinct(F.col(result)["found"]), F.array().cast("array<string>")), left: F.coalesce(F.size(rest), F.lit(0)).cast("long")}).drop(result)

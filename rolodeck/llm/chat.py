@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..cluster import row_slices
+
 #: Strings with a meaning for the model in DEFAULT_TEMPLATE; inside texts they are escaped.
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[TURN]", "[ROLE]", "[/TURN]")
 DEFAULT_TEMPLATE = (
@@ -473,7 +475,7 @@ def format_conversations(conversations: DataFrame, template: str = DEFAULT_TEMPL
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         render = compile_template(template)
         spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        for batch in batches:
+        for batch in row_slices(batches, "messages"):
             texts, marks = [], []
             for messages in batch.column("messages").to_pylist():
                 rendered, found = render(messages)
@@ -512,7 +514,7 @@ def conversation_digests(formatted: DataFrame, id: str = "conv_id") -> DataFrame
     kind = formatted.schema[id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in row_slices(batches, "formatted"):
             rows = []
             for text, spans in zip(batch.column("formatted").to_pylist(), batch.column("spans").to_pylist(), strict=True):
                 turns = read_back(text)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 from . import chat, decontaminate, langid, licences, mixing, quality, sharding, simhash, tokens, warc
 from .util import table, text_or_empty
 
-#: Where a vocabulary file of a public tokenizer lies, and how its texts are split; both are parameters of op9.
-VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
+#: Where a vocabulary file of a public tokenizer lies (the environment may name another), and how its texts are split; both are parameters of op9.
+VOCABULARY = os.environ.get("ROLODECK_VOCABULARY", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
 SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 

@@ -383,3 +383,44 @@ def test_stream_reads_only_its_parts(spark, tmp_path):
         run()
     got = incremental.sink_table(spark, sink)
     assert got.count() == 40 and got.select("user_id").distinct().count() == 40 and got.select("part").distinct().count() > 1
+
+
+# --- page text, rule by rule
+
+
+def element(selector, text):
+    """An element that the selector, and as few others as can be, hits."""
+    name, sign, value = next(((a, s, b) for s in ("*=", "~=", "=") if s in selector for a, b in [selector.split(s)]), (selector, "", ""))
+    return f"<{name}>{text}</{name}>" if not sign else f"<div {name}='{'x-' + value + '-y' if sign == '*=' else 'p ' + value + ' q' if sign == '~=' else value}'>{text}</div>"
+
+
+@pytest.mark.parametrize("block, selector", [(b, s) for b in pages.SITE_RULES.blocks for s in b.selectors])
+def test_site_blocks(block, selector):
+    """Each selector's elements are read, up to its number of them, if their text is long enough; a long other part keeps the body out."""
+    rest = "<h1>" + "A headline of a hundred characters and more, so that the page has enough text without its body. " * 2 + "</h1>"
+    keep = lambda i: f"{i}" + "k" * block.over  # noqa: E731  one character more than is left out
+    page = "<body>" + rest + "".join(element(selector, keep(i)) for i in range(block.most + 2)) + "</body>"
+    got = pages.page_text(page, pages.SITE_RULES)
+    limit = block.most - (selector == "h1")  # the headline above is one
+    assert [keep(i) in got for i in range(block.most + 2)] == [i < limit for i in range(block.most + 2)]
+    assert "s" * block.over not in pages.page_text("<body>" + rest + element(selector, "s" * block.over) + "</body>", pages.SITE_RULES)
+
+
+@pytest.mark.parametrize("selector", pages.SECTION_RULES.blocks[0].selectors)
+def test_section_blocks(selector):
+    page = "<body>" + "".join(element(selector, f"{i}" + "k" * 20) for i in range(7)) + "</body>"
+    got = pages.page_text(page, pages.SECTION_RULES)
+    assert [f"{i}" + "k" * 20 in got for i in range(7)] == [i < 5 for i in range(7)]
+    assert pages.page_text(element(selector, "s" * 20), pages.SECTION_RULES) == ""
+
+
+@pytest.mark.parametrize("rules, tag", [(r, t) for r in (pages.SITE_RULES, pages.SECTION_RULES) for t in r.skip])
+def test_skipped_elements(rules, tag):
+    assert "hidden" not in pages.page_text(f"<body><main>{'seen words ' * 20}<{tag}>{'hidden ' * 20}</{tag}></main></body>", rules)
+
+
+def test_page_text_limits():
+    words = "word " * 2000
+    assert len(pages.page_text(f"<main>{words}</main>", pages.SITE_RULES)) <= 2000 < len(pages.page_text(f"<main>{words}</main>", pages.SECTION_RULES)) <= 3000
+    assert pages.page_text("<body><main>" + "m" * 60 + "</main><p>" + "b" * 99 + "</p></body>", pages.SITE_RULES).endswith("b" * 99)  # little text: the whole body
+    assert "b" * 99 not in pages.page_text("<body><main>" + "m" * 120 + "</main><p>" + "b" * 99 + "</p></body>", pages.SITE_RULES)

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..cluster import fresh
 from ..functions import text as X
 from ..schemas import INVALID_MARKERS
 from .normalize import is_junk
@@ -127,10 +128,11 @@ def enforced(df: DataFrame, capabilities: DataFrame, predicates: dict[str, Colum
 
     capabilities: source, filter_key, state.
     """
-    per = capabilities.filter("state = 'enforceable'").groupBy(F.col("source").alias("s_")).agg(F.collect_set("filter_key").alias("_keys"))
-    joined = df.join(per, F.col("source") == F.col("s_"), "left").drop("s_")
-    stages = [(k, ~F.coalesce(F.array_contains("_keys", k), F.lit(False)) | p) for k, p in predicates.items()]
-    return tagged(joined, stages).drop("_keys")
+    of, keys = fresh(df.columns, "_of"), fresh(df.columns, "_keys")
+    per = capabilities.filter("state = 'enforceable'").groupBy(F.col("source").alias(of)).agg(F.collect_set("filter_key").alias(keys))
+    joined = df.join(per, F.col("source") == F.col(of), "left")
+    stages = [(k, ~F.coalesce(F.array_contains(keys, k), F.lit(False)) | p) for k, p in predicates.items()]
+    return tagged(joined, stages).drop(of, keys)
 
 
 def by_relevance(df: DataFrame, scores: DataFrame, with_maybe: bool, industry: str = "industry") -> DataFrame:
@@ -138,12 +140,13 @@ def by_relevance(df: DataFrame, scores: DataFrame, with_maybe: bool, industry: s
 
     scores: industry, score, reason; looked up exactly first, then in lower case.
     """
-    exact = scores.select(F.col("industry").alias("x_"), F.struct("score", "reason").alias("xs"))
-    lower = scores.groupBy(F.lower("industry").alias("y_")).agg(F.min_by(F.struct("score", "reason"), "industry").alias("ys"))
-    joined = df.join(exact, F.col(industry) == F.col("x_"), "left").join(lower, F.lower(industry) == F.col("y_"), "left")
-    hit = F.coalesce("xs", "ys")
+    same, same_hit, low, low_hit = (fresh(df.columns, x) for x in ("_same", "_same_hit", "_low", "_low_hit"))
+    exact = scores.select(F.col("industry").alias(same), F.struct("score", "reason").alias(same_hit))
+    lower = scores.groupBy(F.lower("industry").alias(low)).agg(F.min_by(F.struct("score", "reason"), "industry").alias(low_hit))
+    joined = df.join(exact, F.col(industry) == F.col(same), "left").join(lower, F.lower(industry) == F.col(low), "left")
+    hit = F.coalesce(same_hit, low_hit)
     keep = F.coalesce(hit["score"].isin("relevant", *["maybe"] * with_maybe), F.lit(True)) | (X.key(F.col(industry)) == "")
-    return joined.withColumns({"relevance": hit["score"], "reason": hit["reason"], "kept": keep}).drop("x_", "y_", "xs", "ys")
+    return joined.withColumns({"relevance": hit["score"], "reason": hit["reason"], "kept": keep}).drop(same, same_hit, low, low_hit)
 
 
 # --- what still needs work
@@ -180,7 +183,6 @@ def match_any(df: DataFrame, columns: list[str], words: list[str], least: float
     """rows, matched, share, passed, and the first rows that hold none of the words."""
     every = X.key(F.concat_ws(" ", *[X.blank_if_null(F.col(c)) for c in columns]))
     hit = X.any_contains(every, [w.lower() for w in words])
-    ranked = df.withColumn("_miss", ~hit)
-    missed = ranked.filter("_miss").orderBy(order).limit(misses).agg(F.array_join(F.array_sort(F.collect_list(F.col(order))).cast("array<string>"), ",").alias("sample"))
+    missed = df.filter(~hit).orderBy(order).limit(misses).agg(F.array_join(F.array_sort(F.collect_list(F.col(order))).cast("array<string>"), ",").alias("sample"))
     total = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(hit.cast("long")).alias("matched"), F.avg(hit.cast("double")).alias("share"))
     return total.withColumn("passed", F.col("share") >= least).withColumn("_k", F.lit(1)).join(missed.withColumn("_k", F.lit(1)), "_k").drop("_k")

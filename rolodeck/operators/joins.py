@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..cluster import fresh
 from ..functions import text as X
 
 
@@ -40,10 +41,12 @@ def without_reference(leads: DataFrame, reference: DataFrame, email: str = "emai
 
 def kept_or_removed(leads: DataFrame, reviewed: DataFrame) -> DataFrame:
     """leads with ``kept``: the e-mail is on the reviewed list, or, for rows without an e-mail, name and company are."""
-    mails, names = _keys(reviewed, F.col("Email")).withColumnRenamed("k0", "m_"), _keys(reviewed, F.col("Name"), F.col("Company"))
+    by_mail, by_name, by_org = (fresh(leads.columns, x) for x in ("_mail", "_name", "_org"))
+    mails, names = _keys(reviewed, F.col("Email")).withColumnRenamed("k0", by_mail), _keys(reviewed, F.col("Name"), F.col("Company")).withColumnsRenamed({"k0": by_name, "k1": by_org})
     mail = X.key(F.col("email"))
-    marked = leads.join(mails, mail == F.col("m_"), "left").join(names, (mail == "") & _all(2, F.col("name"), F.col("company_name")), "left")
-    return marked.withColumn("kept", F.col("m_").isNotNull() | F.col("k0").isNotNull()).drop("m_", "k0", "k1")
+    named = (mail == "") & (X.key(F.col("name")) == F.col(by_name)) & (X.key(F.col("company_name")) == F.col(by_org))
+    marked = leads.join(mails, mail == F.col(by_mail), "left").join(names, named, "left")
+    return marked.withColumn("kept", F.col(by_mail).isNotNull() | F.col(by_name).isNotNull()).drop(by_mail, by_name, by_org)
 
 
 def unseen_places(places: DataFrame, exported: DataFrame, in_batch: bool, order: str = "ord") -> DataFrame:
@@ -61,11 +64,12 @@ def unseen_places(places: DataFrame, exported: DataFrame, in_batch: bool, order:
 
 def filled_country(leads: DataFrame, answers: DataFrame) -> DataFrame:
     """leads with company_country filled from the answer (domain, country) of its domain, only where it is blank; ``filled`` says how."""
-    a = answers.select(F.lower("domain").alias("d_"), F.col("country").alias("c_"))
+    of, said = fresh(leads.columns, "_of"), fresh(leads.columns, "_said")
+    a = answers.select(F.lower("domain").alias(of), F.col("country").alias(said))
     blank = ~X.nonblank(X.blank_if_null(F.col("company_country")))
-    joined = leads.join(a, X.key(F.col("company_domain")) == F.col("d_"), "left")
-    how = F.when(~blank, "had").when(X.key(F.col("company_domain")) == "", "no_domain").when(F.coalesce("c_", F.lit("")) == "", "not_found").otherwise("filled")
-    return joined.withColumn("filled", how).withColumn("company_country", F.when(how == "filled", F.col("c_")).otherwise(F.col("company_country"))).drop("d_", "c_")
+    joined = leads.join(a, X.key(F.col("company_domain")) == F.col(of), "left")
+    how = F.when(~blank, "had").when(X.key(F.col("company_domain")) == "", "no_domain").when(F.coalesce(said, F.lit("")) == "", "not_found").otherwise("filled")
+    return joined.withColumn("filled", how).withColumn("company_country", F.when(how == "filled", F.col(said)).otherwise(F.col("company_country"))).drop(of, said)
 
 
 # --- taxonomies
@@ -73,10 +77,11 @@ def filled_country(leads: DataFrame, answers: DataFrame) -> DataFrame:
 
 def to_v1(df: DataFrame, taxonomy: DataFrame, industry: str, into: str = "v1") -> DataFrame:
     """df with its industry in the first taxonomy: by exact name, else in lower case, else unchanged."""
-    exact = taxonomy.groupBy(F.col("v2").alias("e_")).agg(F.min(F.struct("prio", "v1")).alias("e"))
-    lower = taxonomy.groupBy(F.lower("v2").alias("l_")).agg(F.min(F.struct("prio", "v1")).alias("l"))
-    joined = df.join(exact, F.col(industry) == F.col("e_"), "left").join(lower, F.lower(industry) == F.col("l_"), "left")
-    return joined.withColumn(into, F.coalesce("e.v1", "l.v1", industry)).drop("e_", "l_", "e", "l")
+    same, same_best, low, low_best = (fresh(df.columns, x) for x in ("_same", "_same_best", "_low", "_low_best"))
+    exact = taxonomy.groupBy(F.col("v2").alias(same)).agg(F.min(F.struct("prio", "v1")).alias(same_best))
+    lower = taxonomy.groupBy(F.lower("v2").alias(low)).agg(F.min(F.struct("prio", "v1")).alias(low_best))
+    joined = df.join(exact, F.col(industry) == F.col(same), "left").join(lower, F.lower(industry) == F.col(low), "left")
+    return joined.withColumn(into, F.coalesce(f"{same_best}.v1", f"{low_best}.v1", industry)).drop(same, same_best, low, low_best)
 
 
 def spellings(industries: DataFrame, taxonomy: DataFrame) -> DataFrame:
@@ -100,8 +105,9 @@ def resolved_ids(df: DataFrame, key: str, ids: str, names: DataFrame) -> DataFra
 
 def name_ids(df: DataFrame, name: str, names: DataFrame, order: str = "ord") -> DataFrame:
     """df with ``id`` of its name by normalised key; of names that meet in a key the last id counts. names: id, name and an order."""
-    last = names.groupBy(X.industry_key(F.col("name")).alias("n_")).agg(F.max(F.struct(F.col(order).alias("o"), "id"))["id"].alias("id"))
-    return df.join(last, X.industry_key(F.col(name)) == F.col("n_"), "left").drop("n_")
+    of = fresh(df.columns, "_of")
+    last = names.groupBy(X.industry_key(F.col("name")).alias(of)).agg(F.max(F.struct(F.col(order).alias("o"), "id"))["id"].alias("id"))
+    return df.join(last, X.industry_key(F.col(name)) == F.col(of), "left").drop(of)
 
 
 def merged_ids(known: DataFrame, new: DataFrame) -> DataFrame:
@@ -115,6 +121,7 @@ def merged_ids(known: DataFrame, new: DataFrame) -> DataFrame:
 def scored_industries(leads: DataFrame, scores: DataFrame, industry: str = "industry") -> DataFrame:
     """leads with ``score``: each distinct industry is looked up once; unknown ones and malformed scores are maybe. Blank ones have none."""
     s = scores.select(F.lower("industry").alias("s_"), F.when(F.col("score").isin("relevant", "maybe", "irrelevant"), F.col("score")).alias("score_"))
-    distinct = leads.select(F.col(industry).alias("i_")).filter(X.nonblank(F.col("i_"))).distinct()
-    table = distinct.join(s, F.lower("i_") == F.col("s_"), "left").select("i_", F.coalesce("score_", F.lit("maybe")).alias("score"))
-    return leads.join(table, F.col(industry) == F.col("i_"), "left").drop("i_")
+    of = fresh(leads.columns, "_of")
+    distinct = leads.select(F.col(industry).alias(of)).filter(X.nonblank(F.col(of))).distinct()
+    table = distinct.join(s, F.lower(of) == F.col("s_"), "left").select(of, F.coalesce("score_", F.lit("maybe")).alias("score"))
+    return leads.join(table, F.col(industry) == F.col(of), "left").drop(of)

@@ -352,6 +352,21 @@ def test_enrichment_keeps_columns_named_as_helpers(spark):
     assert (row.v, row.v_by, row._needs) == ("A", "model", "mine")
 
 
+def test_lookups_keep_columns_named_as_helpers(spark):
+    df = leads(spark, [{"email": "a@b", "industry": "Food", "company_domain": "x.lv"}]).select("*", *[F.lit("mine").alias(c) for c in ("_of", "_said", "_same", "_same_hit", "_low", "_mail", "_keys")])
+    scores = spark.createDataFrame([("food", "relevant", "why")], "industry string, score string, reason string")
+    names = spark.createDataFrame([("7", "Food", 1)], "id string, name string, ord int")
+    answers = spark.createDataFrame([("X.lv", "Latvia")], "domain string, country string")
+    reviewed = spark.createDataFrame([("n", "A@b", "c")], "Name string, Email string, Company string")
+    one = filters.by_relevance(df, scores, False).first()
+    assert (one.relevance, one._same, one._low, one._same_hit) == ("relevant", "mine", "mine", "mine")
+    assert joins.name_ids(df, "industry", names).first().asDict()["id"] == "7" and joins.scored_industries(df, scores).first()._of == "mine"
+    two = joins.filled_country(df, answers).first()
+    assert (two.company_country, two._of, two._said) == ("Latvia", "mine", "mine")
+    three = joins.kept_or_removed(df, reviewed).first()
+    assert three.kept and three._mail == "mine"
+
+
 def test_a_long_chain_across_campaigns(spark):
     """Row i shares an e-mail with row i - 1 and a profile with row i + 1: every other one stays."""
     n = 24

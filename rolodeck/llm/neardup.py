@@ -45,7 +45,7 @@ class _Codes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) >= 1 << 20:
+        if len(self) >= 1 << 18:  # some 40 MB
             self.clear()
         code = self[word] = xxhash.xxh64_intdigest(word, 42)
         return code
@@ -191,13 +191,13 @@ def _listed(column: np.ndarray, owner: np.ndarray, counts: np.ndarray, n: int, w
 def set_links(members: DataFrame, texts: DataFrame, words: int, similarity: float, most: int, most_shingles: int) -> DataFrame:
     """(node, root) for the exact links inside clusters. members: node, cluster, size; texts: node, text, one row for each node of members.
 
-    A cluster of over 256 nodes is dealt out in up to 16 blocks, so that tasks share it; none has over most / 2 nodes or about most_shingles / 2 shingles.
+    A cluster of over 128 nodes is dealt out in up to 16 blocks, so that tasks share it; none has over most / 2 nodes or about most_shingles / 2 shingles.
     """
     clusters = checkpointed(members.groupBy(F.col("cluster").alias("cluster_")).agg(F.count(F.lit(1)).alias("n_"), F.sum("size").alias("size_")))
     n, size = F.col("n_"), F.col("size_")
-    parts = F.greatest(F.least(F.ceil(n / 256), F.lit(16)), F.ceil(n / F.lit(most / 2)), F.least(n, F.ceil(size / F.lit(most_shingles / 2)))).cast("long")
+    parts = F.greatest(F.least(F.ceil(n / 64), F.lit(16)), F.ceil(n / F.lit(most / 2)), F.least(n, F.ceil(size / F.lit(most_shingles / 2)))).cast("long")
     placed = join_hot(members, clusters, ("cluster", "cluster_"), "n_", members.count())
-    dealt = dealt_in_blocks(placed, F.when((n <= 256) & (size <= most_shingles), F.lit(1).cast("long")).otherwise(parts), F.xxhash64("node", F.lit(9)))
+    dealt = dealt_in_blocks(placed, F.when((n <= 128) & (size <= most_shingles), F.lit(1).cast("long")).otherwise(parts), F.xxhash64("node", F.lit(9)))
     dealt = dealt.select("cluster", "low", "high", "side", F.col("node").alias("node_"))
     sets = checkpointed(with_sets(texts, "text", words))
     keys = ("cluster", "low", "high")

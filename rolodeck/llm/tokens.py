@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .util import binary, checkpointed, filesystem, new_folder, text_slices
+from .util import binary, checkpointed, filesystem, new_folder, spread, text_slices
 
 #: A vocabulary file is read by the driver and broadcast; larger ones are refused.
 MOST_VOCABULARY_BYTES = 64 << 20
@@ -118,20 +118,19 @@ def count_tokens_by(files: DataFrame, eod: int, width: int, step: int) -> DataFr
                 yield pa.RecordBatch.from_arrays([pa.array([path] * n, pa.string()), pa.array(range(n), pa.int64()), pa.array([n] * n, pa.int64())], names=["path", "block", "blocks"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
         for batch in batches:
-            out = []
-            for path, block in zip(batch.column("path").to_pylist(), batch.column("block").to_pylist(), strict=True):
+            for i, (path, block) in enumerate(zip(batch.column("path").to_pylist(), batch.column("block").to_pylist(), strict=True)):
                 store, inner = filesystem(path)
                 with store.open_input_file(inner) as f:
                     f.seek(block * step)
                     tokens = np.frombuffer(f.read(step), dtype)
                 at = separators(tokens, eod)
-                out.append((len(tokens), len(at), len(tokens) - 1 - int(at[-1]) if len(at) else len(tokens), np.diff(at, prepend=-1) - 1))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True))], names=[*batch.schema.names, "n", "seps", "tail", "lengths"])
+                found = (len(tokens), len(at), len(tokens) - 1 - int(at[-1]) if len(at) else len(tokens), np.diff(at, prepend=-1) - 1)
+                yield pa.RecordBatch.from_arrays([*batch.slice(i, 1).columns, *(pa.array([c], k) for c, k in zip(found, kinds, strict=True))], names=[*batch.schema.names, "n", "seps", "tail", "lengths"])
 
-    every = files.select("path").distinct().mapInArrow(blocks, "path string, block long, blocks long").repartition("path", "block")
-    scanned = checkpointed(every.mapInArrow(scan, "path string, block long, blocks long, n long, seps long, tail long, lengths array<long>"))
+    every = checkpointed(files.select("path").distinct().mapInArrow(blocks, "path string, block long, blocks long"))
+    scanned = checkpointed(spread(every).mapInArrow(scan, "path string, block long, blocks long, n long, seps long, tail long, lengths array<long>"))
     # The prefix scan: a file's blocks are few (its size by the block's), and only their summaries are sorted.
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     tokens = F.coalesce(F.sum("n").over(before), F.lit(0))
@@ -149,11 +148,13 @@ def count_tokens_by(files: DataFrame, eod: int, width: int, step: int) -> DataFr
 def document_tokens(docs: DataFrame, vocabulary: bytes, pattern: str, id: str = "doc_id", text: str = "text", block_mb: int = 8) -> DataFrame:
     """(id, n_tokens) of each document: its tokens are written to flat files, and these are scanned.
 
-    The files go once they are scanned; the scan's result is kept by a reliable checkpoint, so nothing reads them again.
+    ids must be whole numbers. The files go once they are scanned, or the job has failed; the scan's result is kept by a reliable checkpoint, so nothing reads them again.
     """
     words, folder = Vocabulary(vocabulary, pattern), new_folder(docs.sparkSession, "tokens")
-    manifest = write_tokens(docs, vocabulary, pattern, folder, id, text)
-    counts = count_tokens(manifest, words.eod, words.dtype.itemsize, block_mb).withColumnsRenamed({"path": "path_", "ordinal": "ordinal_"})
-    files, inner = filesystem(folder)
-    files.delete_dir_contents(inner, missing_dir_ok=True)
+    try:
+        manifest = write_tokens(docs, vocabulary, pattern, folder, id, text)
+        counts = count_tokens(manifest, words.eod, words.dtype.itemsize, block_mb).withColumnsRenamed({"path": "path_", "ordinal": "ordinal_"})
+    finally:
+        files, inner = filesystem(folder)
+        files.delete_dir_contents(inner, missing_dir_ok=True)
     return manifest.join(counts, (F.col("path") == F.col("path_")) & (F.col("ordinal") == F.col("ordinal_"))).select(F.col("id").alias(id), "n_tokens")

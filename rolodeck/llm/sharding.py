@@ -79,12 +79,15 @@ def bucketed_numbers(df: DataFrame, keys: list[Column], order: list[Column], row
     )
 
 
-def shard(df: DataFrame, shards: int = 16, id: str = "doc_id", content: Column | None = None, key: str = "rolodeck", buckets: int = 1024, into: tuple[str, str] = ("shard", "slot")) -> DataFrame:
+def shard(df: DataFrame, shards: int = 16, id: str = "doc_id", content: Column | None = None, key: str = "rolodeck", buckets: int | None = None, into: tuple[str, str] = ("shard", "slot")) -> DataFrame:
     """df with ``shard`` (int) and ``slot`` (long).
 
-    content: a hash of the rest of the row that matters, by default of the column text; it tells rows of equal ids apart. A column of df that is
-    named as one of ``into`` is an error; give other names then.
+    content: a hash of the rest of the row that matters, by default of the column text; it tells rows of equal ids apart. Rows that are equal in id and content
+    get neighbouring numbers, and which of them gets which is left open. A column of df that is named as one of ``into`` is an error; give other names then.
+    buckets: of rows that are numbered together, by default as many as leave 100,000 rows to one, so that each is small whatever the table's size.
     """
+    if buckets is None:
+        buckets = max(1024, df.count() // 100_000)
     clash = {c.lower() for c in df.columns} & {c.lower() for c in into}
     if clash:
         raise ValueError(f"columns {sorted(clash)} exist already; choose others with into=")

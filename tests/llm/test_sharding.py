@@ -44,3 +44,24 @@ def test_few_rows_empty_and_clash(spark):
     assert S.shard(df.limit(0), 16).count() == 0
     with pytest.raises(ValueError):
         S.shard(df.withColumnRenamed("text", "Slot"), 16)
+
+
+def test_query_against_brute_force(spark, small):
+    """All columns of op6; a document's row number is its place in the order of bucket, hash and id."""
+    import zlib
+
+    from pyspark.sql import functions as F
+
+    from rolodeck.llm import queries
+
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    text = F.coalesce("text", F.lit(""))
+    content = F.xxhash64(F.crc32(text.cast("binary")), (F.octet_length(text) + 1).cast("long"))
+    rows = docs.select("doc_id", "text", content.alias("c")).select("*", F.xxhash64("doc_id", "c", F.lit("rolodeck")).alias("b"), F.xxhash64("doc_id", "c").alias("h")).collect()
+    order = sorted(rows, key=lambda r: (r.b % 1024, r.h, r.doc_id, r.c))
+    want = {}
+    for i, r in enumerate(order):
+        place, raw = S.place_of(i, len(rows)), (r.text or "").encode()
+        want[r.doc_id] = (len(raw) + 1, zlib.crc32(raw), "rows", place % 16, place // 16, None)
+    got = {r.doc_id: (r.size, r.text_crc32, r.law, r.shard, r.slot, r.grown_shard) for r in queries.op6_sharding(spark, small).collect()}
+    assert got == want

@@ -16,8 +16,11 @@ A stratum whose holdout can't certify any step, or that has no labels, rejects b
 The ladder and counts are aggregates in Spark: (stratum, strictest step that a document fails) is counted, a running sum gives each step's rejections, and the
 table that decides has at most strata x steps rows. Documents are one narrow pass, twice: once for the labelled ones, once to apply the cutoffs.
 
-Defined results: a null or empty text has no words and fails the base rules. A null stratum is a stratum. Labels with null or unknown ids or null quality are ignored, and
-an id that is labelled twice counts twice. Rows, repeated or not, stay one for one.
+The bound holds for independent draws, so the holdout is of distinct texts: of each stratum's labelled rows of one text, whatever their ids and labels, one counts, as good if any of its labels
+says so. (Near copies still count as two.)
+
+Defined results: a null or empty text has no words and fails the base rules. A null stratum is a stratum. Labels with null or unknown ids or null quality are ignored. Rows, repeated or not,
+stay one for one.
 """
 
 from __future__ import annotations
@@ -32,11 +35,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .util import binary, checkpointed, extended, free_prefix, fresh, text_slices
+from .util import binary, checkpointed, extended, free_prefix, fresh, text_or_empty, text_slices
 
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_exclaims")
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
+#: Up to so many labels (16 bytes each) are told to all tasks, so that features are worked out for labelled documents only. With more, which are a good part of any corpus, features of all
+#: documents are worked out and meet the labels without their texts: a join before would shuffle texts.
+BROADCAST_LABELS = 1_000_000
+#: The column with a hash of the text beside FEATURES.
+CONTENT = "_text_hash"
 #: Of each signal the value at which strictness 1 rejects.
 SIGNALS = {"symbols per word": 0.25, "exclamation marks per word": 0.25, "capitals among letters": 0.5, "repeated lines": 0.4}
 #: Steps of strictness, lenient to strict: a signal is rejected at its value above divided by the step.
@@ -169,17 +177,20 @@ def certified_steps(holdout: DataFrame, alpha: float, delta: float) -> DataFrame
 def choose_cutoffs(docs: DataFrame, labels: DataFrame, stratum: str = "lang", id: str = "doc_id", text: str = "text", quality: str = "quality", alpha: float = 0.01, delta: float = 0.05, featured: DataFrame | None = None) -> DataFrame:
     """(stratum, cut, n_good), one row for each stratum with labels; docs' labelled rows are the holdout.
 
-    featured: columns id, stratum and FEATURES of docs, if they are worked out already.
+    featured: columns id, stratum, CONTENT and FEATURES of docs, if they are worked out already.
     """
-    marks = labels.select(F.col(id).alias("label_id"), F.col(quality).alias("quality")).filter("label_id is not null and quality in (0, 1)")
+    # One label for each id, so that no join multiplies rows.
+    marks = checkpointed(labels.filter(F.col(id).isNotNull() & F.col(quality).isin(0, 1)).groupBy(F.col(id).alias("label_id")).agg(F.max(quality).alias("quality")))
     if featured is None:
-        ids = docs.select(F.col(id).alias("id"), F.col(stratum).alias("stratum"), F.col(text).cast("string").alias("text"))
+        ids = docs.select(F.col(id).alias("id"), F.col(stratum).alias("stratum"), F.col(text).cast("string").alias("text"), F.xxhash64(text_or_empty(F.col(text))).alias(CONTENT))
+        if marks.count() <= BROADCAST_LABELS:
+            ids = ids.join(F.broadcast(marks.select("label_id")), F.col("id") == F.col("label_id"), "left_semi")
         featured = with_features(ids, "text", keep_text=False)
     else:
-        featured = featured.select(F.col(id).alias("id"), F.col(stratum).alias("stratum"), *FEATURES)
-    scored = featured.filter(~base_failed()).select("id", "stratum", step_of(strictness()).alias("step"))
-    holdout = scored.join(marks, F.col("id") == F.col("label_id")).select("stratum", "quality", "step")
-    return certified_steps(holdout, alpha, delta)
+        featured = featured.select(F.col(id).alias("id"), F.col(stratum).alias("stratum"), CONTENT, *FEATURES)
+    scored = featured.filter(~base_failed()).select("id", "stratum", CONTENT, step_of(strictness()).alias("step"))
+    labelled = scored.join(marks, F.col("id") == F.col("label_id")).groupBy("stratum", CONTENT).agg(F.max("quality").alias("quality"), F.min("step").alias("step"))
+    return certified_steps(labelled, alpha, delta)
 
 
 def judged(featured: DataFrame, cutoffs: DataFrame, stratum: str = "lang", prefix: str = "", into: tuple[str, str] = ("base_failed", "kept")) -> DataFrame:
@@ -198,9 +209,10 @@ def judged(featured: DataFrame, cutoffs: DataFrame, stratum: str = "lang", prefi
 
 def quality_verdicts(docs: DataFrame, labels: DataFrame, stratum: str = "lang", id: str = "doc_id", text: str = "text", alpha: float = 0.01, delta: float = 0.05) -> DataFrame:
     """One row for each document: id, stratum, FEATURES, base_failed, kept. Texts are read once; the features are kept by a checkpoint."""
-    featured = checkpointed(with_features(docs.select(F.col(id), F.col(stratum), F.col(text).cast("string").alias(text)), text, keep_text=False))
+    content = F.xxhash64(text_or_empty(F.col(text))).alias(CONTENT)
+    featured = checkpointed(with_features(docs.select(F.col(id), F.col(stratum), F.col(text).cast("string").alias(text), content), text, keep_text=False))
     cutoffs = checkpointed(choose_cutoffs(docs, labels, stratum, id, text, alpha=alpha, delta=delta, featured=featured))
-    return judged(featured, cutoffs, stratum)
+    return judged(featured.drop(CONTENT), cutoffs, stratum)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", id: str = "doc_id", text: str = "text", alpha: float = 0.01, delta: float = 0.05) -> DataFrame:

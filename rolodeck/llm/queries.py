@@ -120,20 +120,20 @@ OP5_SQL = rf"""
 WITH w AS (
   SELECT doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
 ), f AS (
-  SELECT doc_id, lang, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+  SELECT doc_id, lang, t, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
     list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper, length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS n_letters, length(regexp_replace(t, '[^!]', '', 'g')) AS n_exclaims FROM w
 ), win AS (
   SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i : i + 7], ' ')) AS c FROM w, unnest(generate_series(1, len(w) - 7)) u(i) WHERE len(w) >= 8
 ), rep AS (
   SELECT doc_id, count(DISTINCT p) AS n FROM win, unnest(generate_series(i, i + 7)) u(p) WHERE c > 1 GROUP BY doc_id
 ), g AS (
-  SELECT f.doc_id, lang, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
+  SELECT f.doc_id, lang, t, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
     greatest(coalesce(n_symbols::DOUBLE / nullif(n_words, 0) / {quality.SIGNALS["symbols per word"]}, 0), coalesce(n_exclaims::DOUBLE / nullif(n_words, 0) / {quality.SIGNALS["exclamation marks per word"]}, 0), coalesce(n_upper::DOUBLE / nullif(n_letters, 0) / {quality.SIGNALS["capitals among letters"]}, 0), coalesce((len(lines) - len(list_distinct(lines)))::DOUBLE / nullif(len(lines), 0) / {quality.SIGNALS["repeated lines"]}, 0)) AS signal
   FROM f LEFT JOIN rep ON f.doc_id = rep.doc_id
 ), s AS (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, coalesce(len(list_filter({list(quality.LADDER)}::DOUBLE[], lambda x: 1.0::DOUBLE / nullif(signal, 0) > x)), {len(quality.LADDER)}) AS step FROM g
 ), h AS (
-  SELECT lang, quality, CASE WHEN signal = 0 THEN {len(quality.LADDER)} ELSE step END AS step FROM s JOIN labels USING (doc_id) WHERE NOT base_failed AND quality IN (0, 1)
+  SELECT lang, max(quality) AS quality, min(CASE WHEN signal = 0 THEN {len(quality.LADDER)} ELSE step END) AS step FROM s JOIN labels USING (doc_id) WHERE NOT base_failed AND quality IN (0, 1) GROUP BY lang, t
 ), l AS (
   SELECT a.lang, b.step, count(*) FILTER (quality = 1 AND h.step <= b.step) AS rejected, count(*) FILTER (quality = 0 AND h.step <= b.step) AS caught, count(*) FILTER (quality = 1) AS n
   FROM (SELECT DISTINCT lang FROM h) a, range({len(quality.LADDER)}) b(step) JOIN h ON h.lang IS NOT DISTINCT FROM a.lang GROUP BY 1, 2

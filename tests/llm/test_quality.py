@@ -81,7 +81,10 @@ def corpus(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, lang string, n_words int"), spark.createDataFrame(labels, "doc_id long, quality int")
 
 
-def test_keep_good(spark):
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_keep_good(spark, monkeypatch, most):
+    """With labels told to all tasks, and with more than can be."""
+    monkeypatch.setattr(Q, "BROADCAST_LABELS", most)
     docs, labels = corpus(spark)
     kept = Q.keep_good(docs, labels)
     assert kept.columns == docs.columns
@@ -107,3 +110,36 @@ def test_without_labels_and_empty(spark):
     assert Q.keep_good(docs.limit(0), labels).count() == 0
     with pytest.raises(ValueError):
         Q.with_features(docs)
+
+
+def test_query_in_which_the_method_rejects(spark):
+    """At sf0.1 there are labels enough to certify cutoffs: the whole query against brute force, with documents that only the method rejects."""
+    from rolodeck.llm import queries
+
+    folder, last = "/root/testdata/sf0.1", len(Q.LADDER)
+    seen, verdicts = {}, {}
+    for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang", "text").collect():
+        n, _, symbols, dup_lines, repeated, lines, upper, letters, exclaims = Q.features((r.text or "").encode())
+        shares = {"symbols per word": (symbols, n), "exclamation marks per word": (exclaims, n), "capitals among letters": (upper, letters), "repeated lines": (dup_lines, lines)}
+        signal = max(a / b / Q.SIGNALS[k] if b else 0.0 for k, (a, b) in shares.items())
+        step = sum(1.0 / signal > x for x in Q.LADDER) if signal else last
+        verdicts[r.doc_id] = (r.lang, n < 20 or 100 * repeated > 30 * n, step)
+        seen[r.doc_id] = r.text
+    holdout = {}
+    for r in spark.read.parquet(f"{folder}/labels.parquet").collect():
+        lang, failed, step = verdicts.get(r.doc_id, (None, True, 0))
+        if not failed and r.quality in (0, 1):
+            old = holdout.get((lang, seen[r.doc_id]), (0, last))
+            holdout[lang, seen[r.doc_id]] = (max(old[0], r.quality), min(old[1], step))
+    cuts = plain_choice([(lang, q, step) for (lang, _), (q, step) in holdout.items()], 0.01, 0.05)
+    want = {d: (failed, not failed and not (cuts.get(lang) is not None and step <= cuts[lang])) for d, (lang, failed, step) in verdicts.items()}
+    got = {r.doc_id: (r.base_failed, r.kept) for r in queries.op5_quality(spark, folder).collect()}
+    assert got == want and sum(not failed and not kept for failed, kept in got.values()) > 0
+
+
+def test_copies_of_a_text_count_once(spark):
+    """300 labelled copies of one good text, and an id labelled twice, certify no more than one text does."""
+    good = " ".join(f"w{i}" for i in range(40)) + "!" * 8
+    docs = spark.createDataFrame([(i, good, "en") for i in range(300)] + [(300 + i, " ".join(f"v{i}x{j}" for j in range(40)), "en") for i in range(3)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(303)] + [(301, 1), (301, 0)], "doc_id long, quality int")
+    assert [(r.stratum, r.cut, r.n_good) for r in Q.choose_cutoffs(docs, labels).collect()] == [("en", None, 4)]

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langid, licences, mixing, quality, sharding, simhash, tokens, warc
+from . import chat, collocations, decontaminate, langid, licences, mixing, quality, sharding, simhash, tokens, warc
 from .util import table, text_or_empty
 
 #: Where a vocabulary file of a public tokenizer lies (the environment may name another), and how its texts are split; both are parameters of op9.
@@ -82,6 +82,11 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text", held_out.alias("held_out")), model, keep_text=False)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over documents."""
     import corpus_pipeline
@@ -90,7 +95,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_simhash, op2_chat, op3_warc, op4_licence_scan, op5_quality, op6_sharding, op7_mixing, op8_decontamination, op9_token_counts, op10_language, pipeline)
+    own = (op1_simhash, op2_chat, op3_warc, op4_licence_scan, op5_quality, op6_sharding, op7_mixing, op8_decontamination, op9_token_counts, op10_language, op11_collocations, pipeline)
     return {f.__name__: f for f in own}
 
 
@@ -193,6 +198,31 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
 FROM dw LEFT JOIN h USING (doc_id) LEFT JOIN it USING (doc_id)"""
 
+OP11_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p
+), g AS (
+  SELECT lang, n, array_to_string(w[i : i + n - 1], ' ') AS phrase FROM w, (VALUES (1), (2), (3), (4)) l(n), unnest(generate_series(1, len(w) - n + 1)) u(i) WHERE len(w) >= n
+), f AS (
+  SELECT lang, n, phrase, count(*) AS a FROM g GROUP BY 1, 2, 3
+), c AS (
+  SELECT *, string_split(phrase, ' ') AS w FROM f WHERE n > 1 AND a >= 30
+), k AS (
+  SELECT c.lang, c.phrase, c.n, c.a, k, l.a AS l, r.a AS r, (2000000::HUGEINT * c.a) // (l.a + r.a) AS score
+  FROM c, unnest(generate_series(1, c.n - 1)) u(k)
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1 : k], ' ') JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1 :], ' ')
+), b AS (
+  SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), x AS (
+  SELECT DISTINCT b.lang, b.phrase FROM b JOIN c ON c.lang = b.lang AND c.n > b.n AND (' ' || c.phrase || ' ') LIKE '%' || ' ' || replace(replace(replace(b.phrase, '!', '!!'), '%', '!%'), '_', '!_') || ' ' || '%' ESCAPE '!' WHERE 100::HUGEINT * c.a >= 80::HUGEINT * b.a
+), t AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank FROM b ANTI JOIN x ON x.lang = b.lang AND x.phrase = b.phrase
+)
+SELECT t.lang, rank, phrase, a, l, r, s.n, CAST(score AS BIGINT) AS score
+FROM t JOIN (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE n = 1 GROUP BY lang) s ON s.lang = t.lang WHERE rank <= 2000"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat": OP2_SQL, "op3_warc": OP3_SQL, "op4_licence_scan": licences.oracle(), "op5_quality": OP5_SQL, "op7_mixing": OP7_SQL, "op8_decontamination": OP8_SQL}
+    return {"op2_chat": OP2_SQL, "op3_warc": OP3_SQL, "op4_licence_scan": licences.oracle(), "op5_quality": OP5_SQL, "op7_mixing": OP7_SQL, "op8_decontamination": OP8_SQL, "op11_collocations": OP11_SQL}

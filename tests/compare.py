@@ -12,7 +12,8 @@ def normal(df: pd.DataFrame) -> list[tuple]:
     def text(v) -> str:
         if v is None or v is pd.NaT or v is pd.NA or isinstance(v, float) and v != v:
             return "NULL"
-        return repr(round(v, 6)) if isinstance(v, float) else str(v)
+        # A column of whole numbers with nulls is one of floats in one of the two, and not in the other.
+        return str(int(v)) if isinstance(v, float) and v.is_integer() else repr(round(float(v), 6)) if isinstance(v, float) else str(v)
 
     return sorted(tuple(map(text, row)) for row in df.astype(object).itertuples(index=False))
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .util import binary, checkpointed, text_slices
+from .util import binary, checkpointed, filesystem, new_folder, text_slices
 
 LONGEST = 4
 #: Words that neighbouring chunks share: all but one of the longest phrase.
@@ -278,14 +278,20 @@ def counted(chunks: DataFrame, lengths: tuple[int, ...], known: Frequent | None,
 
 def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = 30) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, n_words, f) of words and phrases of up to four words that occur at least so often, and (lang, n), the number of all words. Both are checkpointed."""
-    chunks = checkpointed(dictionary(docs, text, lang))
-    words = checkpointed(counted(chunks, (1,), None, 1))
-    totals = checkpointed(words.groupBy("lang").agg(F.sum("f").alias("n")))
-    often = F.col("f") >= least
-    words = words.filter(often)
-    pairs = checkpointed(counted(chunks, (2,), frequent(words), 1).filter(often))
-    longer = counted(chunks, tuple(range(3, LONGEST + 1)), frequent(pairs), 2).filter(often)
-    found = checkpointed(words.unionByName(pairs).unionByName(longer).withColumn("phrase", F.col("phrase").cast("string")))
+    folder = new_folder(docs.sparkSession, "chunks")
+    files, inner = filesystem(folder)
+    try:
+        dictionary(docs, text, lang).write.parquet(folder)  # read three times; gone when all is counted
+        chunks = docs.sparkSession.read.parquet(folder)
+        words = checkpointed(counted(chunks, (1,), None, 1))
+        totals = checkpointed(words.groupBy("lang").agg(F.sum("f").alias("n")))
+        often = F.col("f") >= least
+        words = words.filter(often)
+        pairs = checkpointed(counted(chunks, (2,), frequent(words), 1).filter(often))
+        longer = counted(chunks, tuple(range(3, LONGEST + 1)), frequent(pairs), 2).filter(often)
+        found = checkpointed(words.unionByName(pairs).unionByName(longer).withColumn("phrase", F.col("phrase").cast("string")))
+    finally:
+        files.delete_dir(inner)
     return found, totals
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, collocations, decontaminate, langid, licences, mixing, quality, sharding, simhash, tokens, warc
+from . import chat, collocations, decontaminate, langid, licences, mixing, quality, sharding, simhash, tokens, trie, warc
 from .util import table, text_or_empty
 
 #: Where a vocabulary file of a public tokenizer lies (the environment may name another), and how its texts are split; both are parameters of op9.
@@ -87,6 +87,11 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the trie of all rebuilt conversations' prefixes."""
+    return trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("ref_conv_id", "ref_place")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over documents."""
     import corpus_pipeline
@@ -95,7 +100,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_simhash, op2_chat, op3_warc, op4_licence_scan, op5_quality, op6_sharding, op7_mixing, op8_decontamination, op9_token_counts, op10_language, op11_collocations, pipeline)
+    own = (op1_simhash, op2_chat, op3_warc, op4_licence_scan, op5_quality, op6_sharding, op7_mixing, op8_decontamination, op9_token_counts, op10_language, op11_collocations, op13_prefix_trie, pipeline)
     return {f.__name__: f for f in own}
 
 
@@ -223,6 +228,40 @@ WITH p AS (
 SELECT t.lang, rank, phrase, a, l, r, s.n, CAST(score AS BIGINT) AS score
 FROM t JOIN (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE n = 1 GROUP BY lang) s ON s.lang = t.lang WHERE rank <= 2000"""
 
+# A path is the hex digests of its turns, one after the other.
+OP13_SQL = r"""
+WITH tab AS (
+  SELECT list(v ORDER BY i) AS tab FROM (SELECT i, list_reduce([i, 1, 2, 3, 4, 5, 6, 7, 8], lambda c, s: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v FROM range(256) r(i))
+), t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place FROM conversations WHERE conv_id IS NOT NULL
+), s AS (
+  SELECT conv_id AS c, conv_id - conv_id % 100 AS base, count(*) AS n, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT) AS codes FROM t GROUP BY conv_id
+), v AS (
+  SELECT c, base, n, xor(4294967295, list_reduce(list_prepend(4294967295, codes), lambda a, b: xor(a // 256, tab[1 + xor(a, b) % 256]))) % 6 AS h FROM s, tab
+), g AS (
+  SELECT v.*, least(h, coalesce(b.n, 0)) AS given FROM v LEFT JOIN (SELECT c AS base_, n FROM s) b ON b.base_ = v.base
+), r AS (
+  SELECT c, place + 1 AS depth, role, text FROM g JOIN t ON t.conv_id = g.base AND place < h
+  UNION ALL SELECT c, place - h + given + 1, role, text FROM g JOIN t ON t.conv_id = g.c AND place >= h
+), p AS (
+  SELECT c, depth, text, string_agg(sha256(length(role) || ':' || role || text), '') OVER (PARTITION BY c ORDER BY depth) AS path FROM r
+  UNION ALL SELECT c, 0, '', '' FROM g
+), node AS (
+  SELECT path, any_value(depth) AS depth, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(length(text)) AS saved FROM p GROUP BY path
+), up AS (
+  SELECT *, CASE WHEN depth > 0 THEN left(path, length(path) - 64) END AS above FROM node
+), kids AS (
+  SELECT above, count(*) AS n FROM up WHERE above IS NOT NULL GROUP BY above
+), leafy AS (
+  SELECT up.*, coalesce(kids.n, 0) AS n_children FROM up LEFT JOIN kids ON kids.above = up.path
+), ends AS (
+  SELECT path, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS digest FROM (SELECT c, arg_max(path, depth) AS path FROM p GROUP BY c) GROUP BY path
+), sums AS (
+  SELECT a.path, CAST(count(*) FILTER (b.n_children = 0) AS BIGINT) AS n_leaves, CAST(sum(b.saved) AS BIGINT) AS saved_tokens FROM leafy a JOIN leafy b ON starts_with(b.path, a.path) GROUP BY a.path
+)
+SELECT l.conv_id, CAST(l.depth AS BIGINT) AS depth, q.conv_id AS parent_conv_id, l.n_convs, l.n_children, n_leaves, saved_tokens, coalesce(digest, sha256('')) AS ends_sha256
+FROM leafy l JOIN sums ON sums.path = l.path LEFT JOIN node q ON q.path = l.above LEFT JOIN ends ON ends.path = l.path"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat": OP2_SQL, "op3_warc": OP3_SQL, "op4_licence_scan": licences.oracle(), "op5_quality": OP5_SQL, "op7_mixing": OP7_SQL, "op8_decontamination": OP8_SQL, "op11_collocations": OP11_SQL}
+    return {"op2_chat": OP2_SQL, "op3_warc": OP3_SQL, "op4_licence_scan": licences.oracle(), "op5_quality": OP5_SQL, "op7_mixing": OP7_SQL, "op8_decontamination": OP8_SQL, "op11_collocations": OP11_SQL, "op13_prefix_trie": OP13_SQL}

@@ -9,7 +9,7 @@ Texts are lower-cased (A-Z), split at sentence marks into pieces and these at bl
 3. *Prune.* A phrase that occurs ``least`` times has only parts that do. Words are counted first, then pairs of frequent words, then phrases of three and four words all of whose pairs are frequent. Tasks know what is frequent
    from a Bloom filter of fixed size (``FILTER_BITS``), whatever the corpus; it lets more pass than it should, never less, and what passes is counted exactly. When a corpus has far more frequent pairs than the filter has
    bits, nothing is pruned any more and the last pass shuffles more; results are the same.
-4. Scores, containment and ranking are joins, aggregations and a top-k window over candidates only, in whole numbers and decimals.
+4. Scores, containment and ranking are joins, aggregations and one sort over candidates only, in whole numbers and decimals.
 
 Defined results: null texts are empty; a text without words adds nothing. A null language is ``und``. Repeated rows count each time. ids and other columns are not looked at. An empty table gives an empty result. Texts of over
 ``PORTION`` bytes are parsed in portions cut at sentence marks, which no phrase crosses.
@@ -21,9 +21,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..cluster import numbered
 from .util import binary, checkpointed, filesystem, new_folder, text_slices
 
 LONGEST = 4
@@ -324,7 +325,9 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     covered = within.groupBy(F.col("lang").alias("lang_"), "part").agg(F.max("a").alias("most"))
     dropped = covered.withColumn("most_", F.col("most").cast("decimal(19,0)") * 100)
     kept = best.join(dropped, (F.col("lang") == F.col("lang_")) & (F.col("phrase") == F.col("part")), "left").filter(F.col("most_").isNull() | (F.col("most_") < exact("a") * inside))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
-    named = totals.select(F.col("lang").alias("lang_"), "n")
-    return ranked.join(named, F.col("lang") == F.col("lang_")).select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    # Numbered by ranges of one order over all languages, each from its first number on: no task sees a language's candidates together.
+    order = [F.col("lang"), F.desc("score"), F.desc("a"), F.col("phrase")]
+    every = checkpointed(numbered(kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score"), order, "place"))
+    starts = every.groupBy("lang").agg((F.min("place") - 1).alias("start")).join(totals, "lang").withColumnRenamed("lang", "lang_")
+    ranked = every.join(starts, F.col("lang") == F.col("lang_")).withColumn("rank", F.col("place") - F.col("start")).filter(F.col("rank") <= top)
+    return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, collocations, decontaminate, langid, licences, mixing, quality, sharding, simhash, tokens, trie, warc
+from . import chat, collocations, decontaminate, forest, langid, licences, mixing, quality, sharding, simhash, tokens, trie, warc
 from .util import table, text_or_empty
 
 #: Where a vocabulary file of a public tokenizer lies (the environment may name another), and how its texts are split; both are parameters of op9.
@@ -87,6 +87,12 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of each fiftieth."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return forest.nearest(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nodes of the trie of all rebuilt conversations' prefixes."""
     return trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("ref_conv_id", "ref_place")
@@ -100,7 +106,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_simhash, op2_chat, op3_warc, op4_licence_scan, op5_quality, op6_sharding, op7_mixing, op8_decontamination, op9_token_counts, op10_language, op11_collocations, op13_prefix_trie, pipeline)
+    own = (op1_simhash, op2_chat, op3_warc, op4_licence_scan, op5_quality, op6_sharding, op7_mixing, op8_decontamination, op9_token_counts, op10_language, op11_collocations, op12_neighbours, op13_prefix_trie, pipeline)
     return {f.__name__: f for f in own}
 
 

@@ -188,7 +188,7 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return first.groupBy("query").agg(F.collect_list(F.struct("score", "ids", "key")).alias("best"))
 
 
-def nearest(df: DataFrame, queries: DataFrame, k: int = 5, id: str = "vec_id", vector: str = "embedding", trees: int = 32, first: int = 8, start: int = 256, recall: float = 0.93, most: int = 16_384, seed: int = 1) -> DataFrame:
+def nearest(df: DataFrame, queries: DataFrame, k: int = 5, id: str = "vec_id", vector: str = "embedding", trees: int = 32, first: int = 8, start: int = 256, recall: float = 0.9, most: int = 16_384, seed: int = 1) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of queries the k nearest rows of df, without the row itself.
 
     queries: rows of df's form that are rows of df too. first: trees to descend in; start: entries to go up to there. recall: the average chance to meet a neighbour that decides how far to go up.

@@ -34,13 +34,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def small(df: DataFrame, most: int = 10_000) -> DataFrame:
-    """df, marked for a broadcast, for joins that have no other way (ranges, "contains"); over ``most`` rows it is an error."""
-    if df.limit(most + 1).count() > most:
-        raise ValueError(f"a table of over {most} rows where a small one is needed")
-    return F.broadcast(df)
-
-
 def fresh(columns: Iterable[str], base: str) -> str:
     """A column name that starts with base and clashes with none of columns (names are compared without case)."""
     taken = {c.lower() for c in columns}
@@ -63,6 +56,38 @@ def numbered(df: DataFrame, order: list[Column], into: str) -> DataFrame:
     return dealt.withColumn(into, inside).join(F.broadcast(before), F.col(part) == F.col(other)).withColumn(into, F.col(into) + F.col(first)).drop(part, first, other)
 
 
+def split_hot(right: DataFrame, weight: str, total: int, heavy: int = 1_000) -> tuple[DataFrame, DataFrame]:
+    """right, one row for each key, in two: keys that ``weight`` rows have, over ``heavy`` and over a ten-thousandth of ``total``, marked for a broadcast (fewer than 10,000, whatever the tables' sizes), and all others."""
+    most = max(total // 10_000, heavy)
+    return F.broadcast(right.filter(F.col(weight) > most)), right.filter(F.col(weight) <= most)
+
+
+def join_hot(left: DataFrame, right: DataFrame, on: tuple[str, str], weight: str, total: int, heavy: int = 1_000) -> DataFrame:
+    """left joined (inner) with right, which has one row for each key, by equality of left's column on[0] and right's on[1].
+
+    weight: right's column with the number of left's rows that have the key; total: at least the sum of all weights. Hot keys (see ``split_hot``) are told to all tasks. All others are joined as
+    Spark sees fit, and none of them is much for one task. Both tables are read twice.
+    """
+    hot, cold = split_hot(right, weight, total, heavy)
+    same = F.col(on[0]) == F.col(on[1])
+    return left.join(hot, same).unionByName(left.join(hot.select(on[1]), same, "left_anti").join(cold, same))
+
+
+def without_hot(left: DataFrame, right: DataFrame, on: tuple[str, str], weight: str, total: int, heavy: int = 1_000) -> DataFrame:
+    """left without the rows whose key right has (see ``join_hot``)."""
+    same = F.col(on[0]) == F.col(on[1])
+    for keys in split_hot(right, weight, total, heavy):
+        left = left.join(keys.select(on[1]), same, "left_anti")
+    return left
+
+
+def filesystem(uri: str):
+    """(pyarrow filesystem, path inside it) of a URI or a plain path; works on executors as on the driver."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri) if ":/" in uri else (fs.LocalFileSystem(), uri)
+
+
 def row_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 32 << 20) -> Iterator[pa.RecordBatch]:
     """The batches, cut into slices of as many rows as their average size allows in ``most`` bytes of the column; at least one."""
     for batch in batches:

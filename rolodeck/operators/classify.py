@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..cluster import small
+from ..cluster import fresh
 from ..functions import text as X
 from .filters import lead_domain, own
+from .lookup import looked_up
+from .matching import overlapping
 
 #: Labels and, of each, the patterns that give it, in order.
 SENIORITY = [
@@ -136,13 +138,9 @@ def mapped_values(df: DataFrame, key: str, values: str, dim: DataFrame, code: st
 
 
 def revenue_buckets(df: DataFrame, key: str, low: str, high: str, buckets: DataFrame) -> DataFrame:
-    """(key, buckets) that the range from low to high touches; without high a bucket counts if it ends above low and starts below a hundred times low.
-
-    The only non-equi join here: the buckets are a table of a few rows.
-    """
-    hit = F.when(F.col(high).isNull(), (F.col("b_high") > F.col(low)) & (F.col("b_low") < F.col(low) * 100)).otherwise((F.col("b_high") > F.col(low)) & (F.col("b_low") < F.col(high)))
-    b = small(buckets.select("bucket", F.col("low").alias("b_low"), F.col("high").alias("b_high")))
-    lists = df.filter(F.col(low).isNotNull()).join(b, hit).groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("b_low", "bucket"))), lambda x: x["bucket"]).alias("buckets"))
+    """(key, buckets) that the range from low to high touches; without high a bucket counts if it ends above low and starts below a hundred times low."""
+    b = buckets.select("bucket", F.col("low").alias("b_low"), F.col("high").alias("b_high"))
+    lists = overlapping(df, F.col(low), F.coalesce(F.col(high), F.col(low) * 100), b, "b_low", "b_high").groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("b_low", "bucket"))), lambda x: x["bucket"]).alias("buckets"))
     return lists.select(key, F.array_join("buckets", "|").alias("buckets"))
 
 
@@ -165,14 +163,15 @@ def web_score() -> Column:
 
 def web_insights(score: Column, most: int = 3) -> Column:
     """The first few of the site's problems, in our own words."""
-    slow = F.when(F.col("lcp_seconds") > 4, F.format_string("Main content takes %.1f seconds", "lcp_seconds")).when(F.col("lcp_seconds") > 2.5, F.lit("Main content could appear sooner"))
+    seconds = F.format_string("Main content takes %.1f seconds", "lcp_seconds")
+    slow = F.when(F.col("lcp_seconds") > 4, seconds).when(F.col("lcp_seconds") > 2.5, F.concat(seconds, F.lit(", 2.5 is good")))
     every = [
         slow,
         F.when(~F.coalesce("has_ssl", F.lit(False)), F.lit("No secure connection")),
         F.when(~F.col("is_mobile_friendly"), F.lit("Hard to use on phones")),
-        F.when((F.col("performance_score") < 40) & ~F.coalesce(F.col("lcp_seconds") > 4, F.lit(False)), F.lit("Slow pages")),
-        F.when(F.col("seo_score") < 60, F.lit("Hard to find by search")),
-        F.when(F.col("cms").isNotNull() & (score < 50), F.concat(F.lit("Dated "), F.col("cms"), F.lit(" site"))),
+        F.when((F.col("performance_score") < 40) & ~F.coalesce(F.col("lcp_seconds") > 4, F.lit(False)), F.format_string("Speed score %d of 100", "performance_score")),
+        F.when(F.col("seo_score") < 60, F.format_string("Search score %d of 100", "seo_score")),
+        F.when(F.col("cms").isNotNull() & (score < 50), F.format_string("Dated %s site, score %d of 100", "cms", score)),
     ]
     return F.slice(F.array_compact(F.array(*every)), 1, most)
 
@@ -190,29 +189,37 @@ def web_metrics(answer: Column) -> Column:
     return F.struct(*[v.alias(k) for k, v in (score | value | phones).items()])
 
 
-def with_evaluation(leads: DataFrame, evaluations: DataFrame, site: Column, result: dict[str, Column]) -> DataFrame:
-    """leads with their site's evaluation and a status: no_website, not_evaluated or success."""
-    e = evaluations.select(F.col("site").alias("site_"), *[v.alias(k) for k, v in result.items()])
+def with_evaluation(leads: DataFrame, evaluations: DataFrame, site: Column, result: dict[str, Column], order: tuple[str, ...] = ()) -> DataFrame:
+    """leads with their site's last evaluation (see ``lookup``) and a status: no_website, not_evaluated or success."""
+    got = fresh(leads.columns, "_got")
     s = X.blank_if_null(site)
-    joined = leads.join(e, s == F.col("site_"), "left")
-    return joined.withColumn("web_status", F.when(s == "", "no_website").when(F.col("site_").isNull(), "not_evaluated").otherwise("success")).drop("site_")
+    joined = looked_up(leads, evaluations, s, F.col("site"), result, got, order)
+    status = F.when(s == "", "no_website").when(F.col(got).isNull(), "not_evaluated").otherwise("success")
+    return joined.withColumns({"web_status": status} | {k: F.col(f"{got}.{k}") for k in result}).drop(got)
+
+
+#: Niche names that are written otherwise in segments' names.
+ASCII_NICHES = {"būvnieki": "buvnieki"}
 
 
-def segment(niche: Column, score: Column) -> Column:
-    return F.concat_ws("_", niche, F.when(score >= 70, "decent").otherwise("poor"))
+def segment(niche: Column, score: Column, names: dict[str, str] = ASCII_NICHES, least: int = 70) -> Column:
+    """niche_decent from so many points on, else niche_poor, also without a score; a niche that is not known is "unknown"."""
+    name = F.coalesce(niche, F.lit("unknown"))
+    for k, v in names.items():
+        name = F.when(niche == k, F.lit(v)).otherwise(name)
+    return F.concat(name, F.when(score >= least, "_decent").otherwise("_poor"))
 
 
-#: What is said of a site's first problem: pattern, text, and the pattern's group that {value} stands for. The first that fits counts.
+#: What is said of a site's first problem, as ``web_insights`` words it: pattern, text, and the pattern's group that {value} stands for. The first that fits counts.
 MESSAGES = [
-    (r"loads? in ([\d.]+)s", "Paskatījos uz {casual_name} lapu no telefona. Ielādējās {value} sekundēs.", 1),
-    (r"load time \(([\d.]+)s\)", "Paskatījos uz {casual_name} lapu no telefona. Ielādējās {value} sekundēs.", 1),
-    (r"HTTPS|doesn't use HTTPS|ssl", "Atvēru {casual_name} lapu un pārlūks uzreiz brīdināja par drošību. Nav HTTPS.", 0),
-    (r"mobile|isn't optimized for mobile", "Paskatījos uz {casual_name} lapu no telefona. Mobilajā versijā neizskatās labi.", 0),
-    (r"scores? (\d+)/100 on Google", "Paskatījos uz {casual_name} lapu. Google ātruma testā saņēma {value}/100.", 1),
-    (r"SEO score is (\d+)/100", "Paskatījos uz {casual_name} lapu. SEO vērtējumā saņēma {value}/100.", 1),
-    (r"(\w+) site scores? (\d+)/100", "Paskatījos uz {casual_name} lapu. Google testā saņēma {value}/100.", 2),
+    (r"takes ([\d.]+) seconds", "I opened {casual_name} on my phone and waited {value} seconds.", 1),
+    (r"^no secure connection", "My browser warned me of {casual_name}: the connection is not secure.", 0),
+    (r"^hard to use on phones", "On my phone the site of {casual_name} is hard to use.", 0),
+    (r"^speed score (\d+)", "In a speed test {casual_name} got {value} of 100 points.", 1),
+    (r"^search score (\d+)", "In a search test {casual_name} got {value} of 100 points.", 1),
+    (r"^dated .* site, score (\d+)", "Tests gave the site of {casual_name} {value} of 100 points.", 1),
 ]
-NO_MESSAGE = "Apskatīju {casual_name} lapu."
+NO_MESSAGE = "I had a look at the site of {casual_name}."
 
 
 def message(insight: Column, casual_name: Column, templates: list[tuple[str, str, int]] = MESSAGES, fallback: str = NO_MESSAGE) -> Column:

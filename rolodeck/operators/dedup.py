@@ -5,14 +5,18 @@ The keys are persons and companies. A shared mailbox or a placeholder name may h
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as X
-from ..cluster import checkpointed, fresh
+from ..cluster import checkpointed, fresh, join_hot, without_hot
 from ..schemas import LEAD
+from .graph import components
 
 
 def first_seen(df: DataFrame, key: Column, order: str) -> DataFrame:
@@ -43,23 +47,24 @@ def merged_by_email(leads: DataFrame, order: str = "ord", columns: tuple[str, ..
     The fold keeps a base record and fills its holes from the next one; the next one becomes the base only if it has strictly more fields than the base has by
     then; ``source`` is the sorted union. Keys with up to ``most`` different records are folded as arrays in one aggregation. A key with more (a shared mailbox may hold a third of all rows)
     is never gathered: a record changes the base only if it is richer or fills a hole, and each change adds a field, so a key changes at most once for each column. Each round finds every
-    large key's next changing record by a minimum, which is combined before it is shuffled; as many rounds as columns are enough.
+    large key's next changing record by a minimum, which is combined before it is shuffled; as many rounds as columns are enough. Joins by a large key are ``join_hot``.
     """
     record = F.array(*[F.col(c) for c in columns])  # as a list, so that a step of the fold is a few small expressions
     keyed = leads.withColumn("_key", merge_key(order))
     once = checkpointed(keyed.groupBy("_key", *columns).agg(F.min(order).alias("_o"), F.count(F.lit(1)).alias("_n")))
     named = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.filter(F.split("source", ","), lambda x: x != "")))))
     sizes = checkpointed(once.groupBy(F.col("_key").alias("k_")).agg(F.count(F.lit(1)).alias("records"), F.sum("_n").alias("n"), named.alias("sources")))
-    big = sizes.filter(F.col("records") > most).select("k_")
+    big = sizes.filter(F.col("records") > most).select("k_", "records")
     large = bool(big.limit(1).count())
-    small = once.join(big, F.col("_key") == F.col("k_"), "left_anti") if large else once
+    total = once.count() if large else 0
+    small = without_hot(once, big, ("_key", "k_"), "records", total) if large else once
     lists = small.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("_o", record.alias("r")))).alias("rows"))
     first = F.element_at("rows", 1)
     later = F.slice("rows", F.lit(2), F.greatest(F.size("rows") - 1, F.lit(0)))
     state = lists.select("_key", first["_o"].alias("_first"), F.aggregate(later, first["r"], lambda base, x: _step(base, x["r"])).alias("base"))
     if large:
-        rows = once.join(big, F.col("_key") == F.col("k_"), "left_semi").select("_key", F.col("_o").alias("o"), record.alias("r"))
-        state = state.unionByName(_folded_in_rounds(rows))
+        rows = checkpointed(join_hot(once, big, ("_key", "k_"), "records", total).select("_key", F.col("_o").alias("o"), record.alias("r"), "records"))
+        state = state.unionByName(_folded_in_rounds(rows, total))
     # Every row's source counts, and a merge leaves nothing blank but empty texts; a row that is alone stays as it is.
     done = state.join(sizes, F.col("_key") == F.col("k_"))
     value = lambda i: F.when((F.col("n") == 1) | X.nonblank(F.col("base")[i]), F.col("base")[i]).otherwise(F.lit(""))
@@ -77,19 +82,21 @@ def _step(base: Column, nxt: Column) -> Column:
     return F.when(_filled(nxt) > _filled(base), over(nxt, base)).otherwise(over(base, nxt))
 
 
-def _folded_in_rounds(rows: DataFrame) -> DataFrame:
-    """(_key, _first, base) of keys with many records; rows: _key, o (order) and r (record)."""
-    state = checkpointed(rows.groupBy("_key").agg(F.min(F.struct("o", "r")).alias("x")).select("_key", F.col("x.o").alias("_first"), F.col("x.o").alias("at"), F.col("x.r").alias("base")))
+def _folded_in_rounds(rows: DataFrame, total: int) -> DataFrame:
+    """(_key, _first, base) of keys with many records; rows: _key, o (order), r (record), and records, how many the key has."""
+    first = rows.groupBy("_key").agg(F.min(F.struct("o", "r")).alias("x"), F.max("records").alias("records"))
+    state = checkpointed(first.select("_key", F.col("x.o").alias("_first"), F.col("x.o").alias("at"), F.col("x.r").alias("base"), "records"))
+    rows = rows.drop("records")
     while True:
-        held = state.select(F.col("_key").alias("k_"), "at", "base")
+        held = state.select(F.col("_key").alias("k_"), "at", "base", "records")
         fills = F.exists(F.zip_with("base", "r", lambda b, n: X.nonblank(n) & ~X.nonblank(X.blank_if_null(b))), lambda x: x)
-        changing = rows.join(held, F.col("_key") == F.col("k_")).filter((F.col("o") > F.col("at")) & (fills | (_filled(F.col("r")) > _filled(F.col("base")))))
+        changing = join_hot(rows, held, ("_key", "k_"), "records", total).filter((F.col("o") > F.col("at")) & (fills | (_filled(F.col("r")) > _filled(F.col("base")))))
         nxt = checkpointed(changing.groupBy(F.col("_key").alias("n_")).agg(F.min(F.struct("o", "r")).alias("x")))
         if not nxt.limit(1).count():
             return state.select("_key", "_first", "base")
         joined = state.join(nxt, F.col("_key") == F.col("n_"), "left")
         base = F.when(F.col("x").isNull(), F.col("base")).otherwise(_step(F.col("base"), F.col("x")["r"]))
-        state = checkpointed(joined.select("_key", "_first", F.coalesce("x.o", "at").alias("at"), base.alias("base")))
+        state = checkpointed(joined.select("_key", "_first", F.coalesce("x.o", "at").alias("at"), base.alias("base"), "records"))
 
 
 def merged_simple(leads: DataFrame, order: str = "ord", columns: tuple[str, ...] = LEAD) -> DataFrame:
@@ -108,21 +115,25 @@ def merge_stats(raw: DataFrame, merged: DataFrame, first: str, second: str) -> D
     return raw.agg(F.count(F.lit(1)).alias("raw_rows")).withColumn("_k", F.lit(1)).join(out.withColumn("_k", F.lit(1)), "_k").drop("_k").withColumn("duplicates", F.col("raw_rows") - F.col("unique_rows"))
 
 
-def cross_campaign(leads: DataFrame, rank: str, order: str = "ord", email: str = "email", url: str = "linkedin_url", name: str = "name", org: str = "company_name") -> DataFrame:
+def cross_campaign(leads: DataFrame, rank: str, order: str = "ord", email: str = "email", url: str = "linkedin_url", name: str = "name", org: str = "company_name", rounds: int = 4, most: int = 100_000) -> DataFrame:
     """(order, rank, reason): reason is null for rows that stay, else the first kind of key (email, url, name_org) shared with a kept earlier row.
 
     Campaigns go by ``rank`` (1: oldest with rows, the baseline, which stays whole); inside one by ``order``. A row stays if no *kept* earlier row shares a key; keys of
     dropped rows count for nothing, so this is no grouping. Rounds decide it: rows sharing a key with a kept earlier row are dropped; of the undecided, those that are first
-    on all of their keys stay; and so on until none is undecided. Each round is aggregations by key, which combine before they shuffle (a hot key is one row per task), and a
-    join back; it ends in a reliable checkpoint. Their number is bounded by the longest chain of rows that each wait for the one before (about half its length); keys of persons and
-    companies make short ones, but a chain of a thousand rows takes some hundred rounds.
+    on all of their keys stay; and so on. Each round is aggregations by key, which combine before they shuffle (a hot key is one row per task), and a
+    join back; it ends in a reliable checkpoint. Keys of persons and companies make short chains of rows that each wait for the one before, and a few rounds decide nearly all. What ``rounds`` rounds leave open is cut into
+    connected parts: one of up to ``most`` rows is decided by one task that walks through it in order, whatever its chains. Only larger parts go on in rounds, half as many as their longest chain has rows.
     """
     position = F.struct(F.col(rank).alias("c"), F.col(order).alias("o"))
     mail, profile, n, g = X.key(F.col(email)), X.profile_key(F.col(url)), X.key(F.col(name)), X.key(F.col(org))
     keys = F.array_compact(F.array(F.when(mail != "", F.struct(F.lit(1).alias("kind"), mail.alias("key"))), F.when(profile != "", F.struct(F.lit(2).alias("kind"), profile.alias("key"))), F.when((n != "") & (g != ""), F.struct(F.lit(3).alias("kind"), F.concat(n, F.lit("|"), g).alias("key")))))
     rows = leads.select(position.alias("p"), keys.alias("keys"), F.when((F.col(rank) == 1) | (F.size(keys) == 0), F.lit(1)).otherwise(F.lit(0)).alias("state"))
     rows = checkpointed(rows)  # state: 0 undecided, 1 kept, 2 dropped
+    done = 0
     while rows.filter("state = 0").limit(1).count():
+        if done == rounds:
+            rows = _small_parts_decided(rows, most)
+        done += 1
         k = rows.filter("state < 2").select("p", "state", F.explode("keys").alias("k"))
         firsts = k.groupBy("k").agg(F.min(F.when(F.col("state") == 1, F.col("p"))).alias("kept"), F.min(F.when(F.col("state") == 0, F.col("p"))).alias("open"))
         open_ = k.filter("state = 0").join(firsts.withColumnRenamed("k", "k_"), F.col("k") == F.col("k_"))
@@ -137,6 +148,42 @@ def cross_campaign(leads: DataFrame, rank: str, order: str = "ord", email: str =
     return rows.join(hits, F.col("p") == F.col("p_"), "left").select(F.col("p.o").alias(order), F.col("p.c").alias(rank), name_of.alias("reason"))
 
 
+def _small_parts_decided(rows: DataFrame, most: int) -> DataFrame:
+    """rows (p, keys, state) with the undecided ones of connected parts of up to ``most`` rows decided.
+
+    First those that share a key with a kept earlier row are dropped; then a part's own rows decide it. Rows and keys are the nodes of a graph, each numbered by a hash; should two hashes meet, parts are joined that need not
+    be, which changes no decision.
+    """
+    k = rows.select("p", "state", F.explode("keys").alias("k"))
+    kept = k.filter("state = 1").groupBy(F.col("k").alias("k_")).agg(F.min("p").alias("kept"))
+    hit = k.filter("state = 0").join(kept, (F.col("k") == F.col("k_")) & (F.col("kept") < F.col("p"))).select(F.col("p").alias("p_")).distinct()
+    dropped = F.when(F.col("p_").isNotNull(), 2).otherwise(F.col("state"))
+    rows = checkpointed(rows.join(hit, F.col("p") == F.col("p_"), "left").select("p", "keys", dropped.alias("state")))
+    open_ = rows.filter("state = 0").withColumn("node", F.xxhash64("p"))
+    edges = open_.select(F.col("node"), F.explode(F.transform("keys", lambda k: F.xxhash64(k))).alias("root"))
+    placed = components(edges).withColumnRenamed("node", "node_")
+    parts = checkpointed(open_.join(placed, F.col("node") == F.col("node_")).select("p", "keys", F.col("component").alias("part")))
+    sizes = parts.groupBy(F.col("part").alias("part_")).agg(F.count(F.lit(1)).alias("n"))
+    few = join_hot(parts, sizes.filter(F.col("n") <= most), ("part", "part_"), "n", parts.count())
+    walk = few.select("part", "p.c", "p.o", F.transform("keys", lambda k: F.concat_ws(":", k["kind"].cast("string"), k["key"])).alias("ks"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, kept = None, set()
+        for batch in batches:
+            stays = []
+            for p, keys in zip(batch.column("part").to_pylist(), batch.column("ks").to_pylist(), strict=True):
+                if p != part:
+                    part, kept = p, set()
+                stays.append(kept.isdisjoint(keys))
+                if stays[-1]:
+                    kept.update(keys)
+            yield pa.RecordBatch.from_arrays([batch.column("c"), batch.column("o"), pa.array([1 if s else 2 for s in stays], pa.int32())], names=["c", "o", "said"])
+
+    kinds = T.StructType([walk.schema["c"], walk.schema["o"], T.StructField("said", T.IntegerType())])
+    said = walk.repartition("part").sortWithinPartitions("part", "c", "o").mapInArrow(run, kinds).select(F.struct("c", "o").alias("p_"), "said")
+    return checkpointed(rows.join(said, F.col("p") == F.col("p_"), "left").select("p", "keys", F.coalesce("said", "state").alias("state")))
+
+
 def cross_counts(decided: DataFrame, rank: str) -> DataFrame:
     """Per campaign and in all (rank null): rows, removed by each kind of key, kept, and the removal rate in per cent."""
     count = lambda c: F.sum(c.cast("long"))

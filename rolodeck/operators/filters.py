@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..cluster import fresh
 from ..functions import text as X
 from ..schemas import INVALID_MARKERS
+from .lookup import looked_up, one_row_a_key
 from .normalize import is_junk
 
 PHONES = ("phone", "organization_phone", "personal_phone", "company_phone")
@@ -135,18 +136,18 @@ def enforced(df: DataFrame, capabilities: DataFrame, predicates: dict[str, Colum
     return tagged(joined, stages).drop(of, keys)
 
 
-def by_relevance(df: DataFrame, scores: DataFrame, with_maybe: bool, industry: str = "industry") -> DataFrame:
+def by_relevance(df: DataFrame, scores: DataFrame, with_maybe: bool, industry: str = "industry", order: tuple[str, ...] = ()) -> DataFrame:
     """df with ``relevance``, ``reason`` and ``kept``: relevant rows stay, maybe if asked; blank and unscored stay.
 
-    scores: industry, score, reason; looked up exactly first, then in lower case.
+    scores: industry, score, reason; looked up exactly first, then in lower case; of several scores of an industry the last counts (see ``lookup``), of several spellings the first by name.
     """
-    same, same_hit, low, low_hit = (fresh(df.columns, x) for x in ("_same", "_same_hit", "_low", "_low_hit"))
-    exact = scores.select(F.col("industry").alias(same), F.struct("score", "reason").alias(same_hit))
-    lower = scores.groupBy(F.lower("industry").alias(low)).agg(F.min_by(F.struct("score", "reason"), "industry").alias(low_hit))
-    joined = df.join(exact, F.col(industry) == F.col(same), "left").join(lower, F.lower(industry) == F.col(low), "left")
-    hit = F.coalesce(same_hit, low_hit)
+    same, low = fresh(df.columns, "_same"), fresh(df.columns, "_low")
+    once = one_row_a_key(scores, F.col("industry"), {"score": F.col("score"), "reason": F.col("reason")}, order)
+    lower = once.groupBy(F.lower("key").alias("key")).agg(F.min_by("value", "key").alias("value"))
+    joined = looked_up(looked_up(df, once, F.col(industry), F.col("key"), {"hit": F.col("value")}, same), lower, F.lower(industry), F.col("key"), {"hit": F.col("value")}, low)
+    hit = F.coalesce(f"{same}.hit", f"{low}.hit")
     keep = F.coalesce(hit["score"].isin("relevant", *["maybe"] * with_maybe), F.lit(True)) | (X.key(F.col(industry)) == "")
-    return joined.withColumns({"relevance": hit["score"], "reason": hit["reason"], "kept": keep}).drop(same, same_hit, low, low_hit)
+    return joined.withColumns({"relevance": hit["score"], "reason": hit["reason"], "kept": keep}).drop(same, low)
 
 
 # --- what still needs work

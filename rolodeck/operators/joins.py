@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..cluster import fresh
 from ..functions import text as X
+from .lookup import looked_up
 
 
 def _keys(df: DataFrame, *columns: Column) -> DataFrame:
@@ -62,14 +63,14 @@ def unseen_places(places: DataFrame, exported: DataFrame, in_batch: bool, order:
     return first_seen(left, F.coalesce("lead_id", F.concat(F.lit("row:"), F.col(order).cast("string"))), order)
 
 
-def filled_country(leads: DataFrame, answers: DataFrame) -> DataFrame:
-    """leads with company_country filled from the answer (domain, country) of its domain, only where it is blank; ``filled`` says how."""
-    of, said = fresh(leads.columns, "_of"), fresh(leads.columns, "_said")
-    a = answers.select(F.lower("domain").alias(of), F.col("country").alias(said))
+def filled_country(leads: DataFrame, answers: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
+    """leads with company_country filled from the last answer (domain, country; see ``lookup``) of its domain, only where it is blank; ``filled`` says how."""
+    said = fresh(leads.columns, "_said")
     blank = ~X.nonblank(X.blank_if_null(F.col("company_country")))
-    joined = leads.join(a, X.key(F.col("company_domain")) == F.col(of), "left")
-    how = F.when(~blank, "had").when(X.key(F.col("company_domain")) == "", "no_domain").when(F.coalesce(said, F.lit("")) == "", "not_found").otherwise("filled")
-    return joined.withColumn("filled", how).withColumn("company_country", F.when(how == "filled", F.col(said)).otherwise(F.col("company_country"))).drop(of, said)
+    joined = looked_up(leads, answers, X.key(F.col("company_domain")), X.key(F.col("domain")), {"country": F.col("country")}, said, order)
+    country = F.col(f"{said}.country")
+    how = F.when(~blank, "had").when(X.key(F.col("company_domain")) == "", "no_domain").when(F.coalesce(country, F.lit("")) == "", "not_found").otherwise("filled")
+    return joined.withColumn("filled", how).withColumn("company_country", F.when(how == "filled", country).otherwise(F.col("company_country"))).drop(said)
 
 
 # --- taxonomies
@@ -118,10 +119,10 @@ def merged_ids(known: DataFrame, new: DataFrame) -> DataFrame:
     return joined.select(F.coalesce("a", "b").alias("id"), F.coalesce("an", "bn").alias("name"), status.alias("status"))
 
 
-def scored_industries(leads: DataFrame, scores: DataFrame, industry: str = "industry") -> DataFrame:
-    """leads with ``score``: each distinct industry is looked up once; unknown ones and malformed scores are maybe. Blank ones have none."""
-    s = scores.select(F.lower("industry").alias("s_"), F.when(F.col("score").isin("relevant", "maybe", "irrelevant"), F.col("score")).alias("score_"))
-    of = fresh(leads.columns, "_of")
-    distinct = leads.select(F.col(industry).alias(of)).filter(X.nonblank(F.col(of))).distinct()
-    table = distinct.join(s, F.lower(of) == F.col("s_"), "left").select(of, F.coalesce("score_", F.lit("maybe")).alias("score"))
-    return leads.join(table, F.col(industry) == F.col(of), "left").drop(of)
+def scored_industries(leads: DataFrame, scores: DataFrame, industry: str = "industry", order: tuple[str, ...] = ()) -> DataFrame:
+    """leads with ``score``, the last one of its industry (see ``lookup``) in any case; unknown industries and malformed scores are maybe. Blank industries have none."""
+    said = fresh(leads.columns, "_said")
+    known = F.when(F.col("score").isin("relevant", "maybe", "irrelevant"), F.col("score")).otherwise("maybe")
+    joined = looked_up(leads, scores, F.lower(industry), F.lower("industry"), {"score": known}, said, order)
+    score = F.when(X.nonblank(F.col(industry)), F.coalesce(f"{said}.score", F.lit("maybe")))
+    return joined.withColumn("score", score).drop(said)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names, text as X
 from ..schemas import BLOCKED_DOMAINS, FREE_PROVIDERS, JUNK_MARKERS, LEAD, SOCIAL_DOMAINS
+from .lookup import looked_up
 
 
 def shaped(df: DataFrame, columns: dict[str, Column | str], target: tuple[str, ...] = LEAD, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -167,18 +168,17 @@ def _spaced_json(list_: Column, fields: list[str]) -> Column:
 
 
 def place_leads(rows: DataFrame, contacts: DataFrame, query: str, scraped_at: Column, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The 34-column lead of each place (PLACE_LEAD): its own values, and what its site's contacts (one row per site) say.
+    """The 34-column lead of each place (PLACE_LEAD): its own values, and what its site's contacts (of several rows of a site the last, see ``lookup``) say.
 
     contacts: site, status, error (null: none), emails, phone_numbers, business_hours, social struct<facebook, twitter, linkedin, instagram, youtube, tiktok>, owner struct<name, title, email,
     phone, linkedin>, team array<struct>, additional_contacts, pages_scraped, search_enriched. enrichment_status: no_website, skipped (nothing looked up), error: .. (cut to 50 characters
     behind the colon) or the contacts' own. Hours found on the site replace the place's, even by nothing.
     """
     own = [f.name for f in contacts.schema["team"].dataType.elementType.fields]
-    c = contacts.select(F.struct(*[x for x in contacts.columns if x != "site"]).alias("c_"), F.col("site").alias("site_"))
-    joined = rows.join(c, X.present(F.col("website")) & (F.col("website") == F.col("site_")), "left")
-    got = F.col("site_").isNotNull() & F.col("c_.error").isNull()
+    joined = looked_up(rows, contacts, F.when(X.present(F.col("website")), F.col("website")), F.col("site"), {x: F.col(x) for x in contacts.columns if x != "site"}, "c_")
+    got = F.col("c_").isNotNull() & F.col("c_.error").isNull()
     found = lambda f: F.when(got, F.col(f"c_.{f}"))
-    status = F.when(~X.present(F.col("website")), "no_website").when(F.col("site_").isNull(), "skipped").when(F.col("c_.error").isNotNull(), F.concat(F.lit("error: "), F.substring("c_.error", 1, 50))).otherwise(F.col("c_.status"))
+    status = F.when(~X.present(F.col("website")), "no_website").when(F.col("c_").isNull(), "skipped").when(F.col("c_.error").isNotNull(), F.concat(F.lit("error: "), F.substring("c_.error", 1, 50))).otherwise(F.col("c_.status"))
     plain = ("business_name", "category", "address", "city", "state", "zip_code", "country", "phone", "website", "google_maps_url", "rating", "review_count", "price_level")
     values = {k: F.col(k) if k in rows.columns else F.lit("") for k in plain}
     hours = F.col("business_hours") if "business_hours" in rows.columns else F.lit("")
@@ -202,14 +202,13 @@ def company_country(answers: DataFrame) -> DataFrame:
 PROFILE = {"linkedin_bio": "bio", "linkedin_headline": "professional_title", "linkedin_company": "company_name", "linkedin_industry": "company_industry", "linkedin_location": "location", "linkedin_tenure_years": "total_tenure_years", "linkedin_followers": "followers_range"}
 
 
-def profile_filled(leads: DataFrame, answers: DataFrame, enriched_at: str, credits: int, key: str = "ord") -> DataFrame:
+def profile_filled(leads: DataFrame, answers: DataFrame, enriched_at: str, credits: int, key: str = "ord", order: tuple[str, ...] = ()) -> DataFrame:
     """leads with nine profile columns: what is present in the answer overwrites what was there, anything else stays; up to five jobs and three schools.
 
-    linkedin_enriched_at and linkedin_enrichment_credits are set where there is an answer. leads may have any of these columns already, as texts and lists.
+    Of several answers the last counts (see ``lookup``). linkedin_enriched_at and linkedin_enrichment_credits are set where there is an answer. leads may have any of these columns already, as texts and lists.
     """
     jobs, schools = {"title": "position_title", "company": "company_name", "period": "employment_period"}, {"school": "institution_name", "degree": "degree", "period": "attendance_period"}
-    a = answers.select(F.col(key).alias("k_"), F.struct(*[c for c in answers.columns if c != key]).alias("a_"))
-    joined = leads.join(a, F.col(key) == F.col("k_"), "left")
+    joined = looked_up(leads, answers, F.col(key), F.col(key), {c: F.col(c) for c in answers.columns if c != key and c not in order}, "a_", order)
     before = lambda c: F.col(c) if c in leads.columns else F.lit(None)
     filled = {c: X.first_present(F.col(f"a_.{p}").cast("string"), before(c).cast("string")) for c, p in PROFILE.items()}
 
@@ -218,8 +217,8 @@ def profile_filled(leads: DataFrame, answers: DataFrame, enriched_at: str, credi
 
     for into, c, fields, most in (("linkedin_experience", "work_experience", jobs, 5), ("linkedin_education", "education", schools, 3)):
         filled[into] = F.when(F.size(F.col(f"a_.{c}")) > 0, shaped_list(F.slice(F.col(f"a_.{c}"), 1, most), fields)).otherwise(before(into))
-    filled |= {"linkedin_enriched_at": F.when(F.col("k_").isNotNull(), F.lit(enriched_at)).otherwise(before("linkedin_enriched_at")), "linkedin_enrichment_credits": F.when(F.col("k_").isNotNull(), F.lit(credits)).otherwise(before("linkedin_enrichment_credits"))}
-    return joined.withColumns(filled).drop("k_", "a_")
+    filled |= {"linkedin_enriched_at": F.when(F.col("a_").isNotNull(), F.lit(enriched_at)).otherwise(before("linkedin_enriched_at")), "linkedin_enrichment_credits": F.when(F.col("a_").isNotNull(), F.lit(credits)).otherwise(before("linkedin_enrichment_credits"))}
+    return joined.withColumns(filled).drop("a_")
 
 
 def tag_pairs(raw: DataFrame, column: str = "raw") -> DataFrame:

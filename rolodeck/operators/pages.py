@@ -15,8 +15,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..cluster import row_slices, small
+from ..cluster import row_slices
 from ..functions import text as X
+from .matching import containing
 
 
 @dataclass(frozen=True)
@@ -172,13 +173,13 @@ def site_rollup(pages: DataFrame, site: str, section: Column, text: str, order:
 
 
 def contact_links(pages: DataFrame, patterns: DataFrame, url: str = "url", html: str = "html", key: str = "page_id", most: int = 5) -> DataFrame:
-    """(key, rank, link): up to five links of a page, by first appearance, that hold a pattern and lead to the same host. patterns: a few rows."""
+    """(key, rank, link): up to five links of a page, by first appearance, that hold a pattern and lead to the same host."""
     hrefs = F.regexp_extract_all(F.col(html), F.lit(r"""href=["']([^"'#?]+)"""), F.lit(1))
     host = F.try_parse_url(F.col(url), F.lit("HOST"))
     links = pages.select(key, host.alias("host"), F.posexplode(hrefs).alias("pos", "href"))
     full = F.when(F.col("href").startswith("/") & ~F.col("href").startswith("//"), F.concat(F.lit("https://"), "host", "href")).when(F.col("href").rlike("^https?://"), F.col("href"))
     same = links.withColumn("link", full).filter(F.try_parse_url("link", F.lit("HOST")) == F.col("host"))
-    hit = same.join(small(patterns), F.contains(F.lower("href"), F.col("pattern")), "left_semi")
+    hit = containing(same, F.lower("href"), patterns.select("pattern").distinct(), "pattern")
     first = hit.groupBy(key, "link").agg(F.min("pos").alias("pos"))
     return first.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy("pos")).cast("long")).filter(F.col("rank") <= most).select(key, "rank", "link")
 
@@ -191,8 +192,11 @@ def contacts(pages: DataFrame, html: str = "html", key: str = "page_id") -> Data
     """(key, emails, phones, and a link for each social network) found in a page."""
     h = F.col(html)
     every = lambda p, g=0: F.array_distinct(F.regexp_extract_all(h, F.lit(p), F.lit(g)))
-    social = [F.regexp_extract(h, rf"""href=["'](https?://(?:www\.)?{s}\.com/[^"']+)""", 1).alias(s) for s in SOCIAL]
-    return pages.select(key, every(EMAIL).alias("emails"), every(r"""tel:([+0-9() -]{6,20})""", 1).alias("phones"), *social)
+    host = r"https?://(?:www\.)?"
+    links = F.regexp_extract_all(h, F.lit(rf"""href=["']({host}(?:{'|'.join(SOCIAL)})\.com/[^"']+)"""), F.lit(1))  # of all networks in one pass
+    of = lambda s: F.coalesce(F.get(F.filter("_links", lambda x: x.rlike(rf"^{host}{s}\.com/")), F.lit(0)), F.lit(""))
+    found = pages.select(key, every(EMAIL).alias("emails"), every(r"""tel:([+0-9() -]{6,20})""", 1).alias("phones"), links.alias("_links"))
+    return found.select(key, "emails", "phones", *[of(s).alias(s) for s in SOCIAL])
 
 
 def bundle(pages: DataFrame, site: str, main: Column, text: str, order: str, longest: int = 50_000, most: int = 6) -> DataFrame:

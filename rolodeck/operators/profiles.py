@@ -10,9 +10,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..cluster import checkpointed, numbered, small
+from ..cluster import checkpointed, numbered
 from ..functions import text as X
 from . import classify
+from .matching import containing
+
+
+#: Up to so many different values are ranked by one window for each field; beyond, by ranges of values.
+WINDOW_ROWS = 1_000_000
 
 
 def count_if(c: Column) -> Column:
@@ -38,6 +43,8 @@ def top_counts(df: DataFrame, columns: dict[str, tuple[Column, int | None]], ord
     rank = F.row_number().over(Window.partitionBy("field").orderBy(F.desc("n"), "first")).cast("long")
     limits = {k: most for k, (_, most) in columns.items() if most is not None}
     whole = [k for k in columns if k not in limits]
+    if whole:
+        counts = checkpointed(counts)  # read more than once
     parts = []
     if limits:  # the largest limit is a literal, so each task sends no more than so many values of a field
         top = counts.filter(F.col("field").isin(*limits)).withColumn("rank", rank).filter(F.col("rank") <= max(limits.values()))
@@ -46,7 +53,9 @@ def top_counts(df: DataFrame, columns: dict[str, tuple[Column, int | None]], ord
             own = F.when(F.col("field") == k, F.lit(most)).otherwise(own)
         parts.append(top.filter(F.col("rank") <= own))
     if whole:
-        parts.append(ranked(counts.filter(F.col("field").isin(*whole))))
+        every = counts.filter(F.col("field").isin(*whole))
+        few = every.limit(WINDOW_ROWS + 1).count() <= WINDOW_ROWS
+        parts.append(every.withColumn("rank", rank) if few else ranked(every))
     return reduce(DataFrame.unionByName, parts).drop("first")
 
 
@@ -75,9 +84,10 @@ def title_classes(df: DataFrame, title: str = "title", others: int = 15, order:
 def expected_countries(leads: DataFrame, locations: DataFrame, words: DataFrame, codes: DataFrame) -> DataFrame:
     """Countries that search locations (column location) name, their phone codes, and leads with such a phone.
 
-    words: word, code, pos; codes: country (the word), code (of phones). Both are small.
+    words: word, code, pos; codes: country (the word), code (of phones). A word counts where it stands as a word, letters being compared as they are.
     """
-    named = locations.select(F.lower("location").alias("l")).distinct().join(small(words), F.rlike("l", F.concat(F.lit("\\b"), F.col("word"), F.lit("\\b")))).select("word").distinct()
+    whole = F.rlike("l", F.concat(F.lit("\\b\\Q"), F.col("word"), F.lit("\\E\\b")))
+    named = containing(locations.select(F.lower("location").alias("l")).distinct(), F.col("l"), words, "word").filter(whole).select("word").distinct()
     wanted = named.join(codes.select(F.lower("country").alias("word"), F.col("code").alias("phone_code")), "word")
     # A phone has one prefix of each length, so that equality joins find its codes, however many different phones there are.
     lengths = F.array(*[F.lit(n) for n in range(2, 6)])
@@ -156,6 +166,21 @@ def warnings(rows: DataFrame, text: str, longest: int) -> DataFrame:
     return rows.withColumn("warnings", F.array_compact(F.array(F.when(X.strip(t) == "", "empty"), F.when(F.size(F.split(X.strip(t), r"\s+")) > longest, "too_long"), F.when(F.contains(t, F.lit("—")), "em_dash"))))
 
 
+def warning_counts(rows: DataFrame, text: str, longest: int = 15) -> DataFrame:
+    """(warning, n): rows with each warning, all warnings ("all warnings"), and rows that have any ("any warning")."""
+    listed = warnings(rows, text, longest).select("warnings")
+    each = F.concat("warnings", F.when(F.size("warnings") > 0, F.array(F.lit("any warning"))).otherwise(F.array().cast("array<string>")), F.transform("warnings", lambda _: F.lit("all warnings")))
+    return listed.select(F.explode(each).alias("warning")).groupBy("warning").agg(F.count(F.lit(1)).alias("n"))
+
+
+def segment_summary(rows: DataFrame, segment: Column, text: str, longest: int = 15) -> DataFrame:
+    """(segment, n, too_long, em_dash): leads of each segment and of all ("all"), and those whose message has over so many words, or an em dash."""
+    marked = warnings(rows, text, longest).withColumn("segment", segment)
+    has = lambda w: count_if(F.array_contains("warnings", w))
+    out = marked.rollup("segment").agg(F.count(F.lit(1)).alias("n"), has("too_long").alias("too_long"), has("em_dash").alias("em_dash"), F.grouping("segment").alias("all_"))
+    return out.withColumn("segment", F.when(F.col("all_") == 1, "all").otherwise(F.col("segment"))).drop("all_")
+
+
 def best_leads(leads: DataFrame, n: int, order: str = "ord") -> DataFrame:
     """The n leads with the highest score, ties by order, with reasons. Points for content, bio, jobs, headline and e-mail. A bounded top-k: each task keeps n rows."""
     size = F.length(X.blank_if_null(F.col("content")))

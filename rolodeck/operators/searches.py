@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..cluster import small
+from .matching import containing
 
 #: Column, and the URL parameter it stands for; parameters that end with [] may repeat.
 PARAMETERS = {"titles": "personTitles[]", "locations": "personLocations[]", "seniorities": "personSeniorities[]", "sizes": "organizationNumEmployeesRanges[]", "keywords": "qKeywords"}
@@ -39,7 +39,7 @@ def built(filters: DataFrame, start: str, key: str = "search_id") -> DataFrame:
 
 def country(filters: DataFrame, words: DataFrame, default: str, key: str = "search_id") -> DataFrame:
     """(key, code): of the first location that holds a country word, that word's code; words: word, code, pos."""
-    found = filters.select(key, F.posexplode("locations").alias("at", "location")).join(small(words), F.contains(F.lower("location"), F.col("word")))
+    found = containing(filters.select(key, F.posexplode("locations").alias("at", "location")), F.lower("location"), words, "word")
     best = found.groupBy(F.col(key).alias("k_")).agg(F.min(F.struct("at", "pos", "code")).alias("best"))
     return filters.join(best, F.col(key) == F.col("k_"), "left").select(key, F.coalesce("best.code", F.lit(default)).alias("code"))
 

@@ -145,7 +145,7 @@ CONFIG = {
     "cfg_foreign": ("country, tld", [("latvia", ".de"), ("latvia", ".ee"), ("latvia", ".co.uk"), ("germany", ".lv"), ("germany", ".co.uk"), ("estonia", ".lv")]),
     "cfg_taxonomy": ("v1, v2, prio", [("automotive", "automobile", 1), ("automotive", "vehicles", 2), ("construction", "building", 1), ("machinery", "machinery", 1), ("furniture", "furniture", 1), ("consumer goods", "household", 1), ("consumer goods", "furniture", 2)]),
     "cfg_industry_id": ("id, name, ord", [("5567cd4773696439b10b0000", "Building", 1), ("5567cd4773696439b10b0001", "Automobile", 2), ("5567cd4773696439b10b0002", "Machinery", 3), ("5567cd4773696439b10b0003", "BUILDING", 4)]),
-    "cfg_score": ("industry, score, reason", [("BUILDING", "relevant", "core"), ("automobile", "maybe", "near"), ("MACHINERY", "irrelevant", "far"), ("FURNITURE", "bogus", "shape")]),
+    "cfg_score": ("industry, score, reason, nth", [("BUILDING", "relevant", "core", 3), ("BUILDING", "irrelevant", "first thought", 1), ("automobile", "maybe", "near", 4), ("automobile", "relevant", "too soon", 2), ("MACHINERY", "irrelevant", "far", 5), ("MACHINERY", "irrelevant", "far", 5), ("FURNITURE", "bogus", "shape", 6)]),
     "cfg_source_filter": ("source, filter_key, state", [("feed_a", "titles", "supported"), ("feed_a", "industry", "supported"), ("feed_b", "titles", "supported"), ("feed_b", "industry", "enforceable"), ("feed_b", "revenue", "lost"), ("feed_c", "titles", "enforceable"), ("feed_c", "industry", "enforceable"), ("feed_c", "revenue", "lost")]),
     "cfg_revenue": ("bucket, low, high", [("0-1M", 0, 1000000), ("1-10M", 1000000, 10000000), ("10-50M", 10000000, 50000000), ("50M+", 50000000, 1000000000)]),
     "cfg_size": ("code, bucket, pos", [("1,10", "1-10", 1), ("11,50", "11-20", 1), ("11,50", "21-50", 2), ("51,200", "51-100", 1), ("51,200", "101-200", 2)]),

@@ -79,12 +79,13 @@ query(
     "flt_enforce",
     """SELECT source, coalesce(CASE WHEN source IN ('feed_c') AND NOT (lower(title) = '' OR contains(lower(title), 'ceo')) THEN 'titles' WHEN source IN ('feed_b', 'feed_c') AND NOT (industry = '' OR contains(lower(industry), 'mach')) THEN 'industry' END, 'kept') AS outcome, count(*) AS n FROM fx_leads GROUP BY 1, 2""",
 )(lambda t: L.enforced(t("fx_leads"), t("cfg_source_filter"), {"titles": L.contains_any(F.col("title"), ["ceo"], True), "industry": L.contains_any(F.col("industry"), ["mach"], True)}).groupBy("source", F.coalesce("first_failed", F.lit("kept")).alias("outcome")).agg(F.count(F.lit(1)).alias("n")))
-_REL = "SELECT l.*, coalesce((SELECT score FROM cfg_score s WHERE s.industry = l.industry), (SELECT score FROM cfg_score s WHERE lower(s.industry) = lower(l.industry))) AS relevance, coalesce((SELECT reason FROM cfg_score s WHERE lower(s.industry) = lower(l.industry)), '') AS why FROM fx_leads l"
+_LAST = "(SELECT arg_max({0}, nth) FROM cfg_score s WHERE {1})"
+_REL = f"SELECT l.*, coalesce({_LAST.format('score', 's.industry = l.industry')}, {_LAST.format('score', 'lower(s.industry) = lower(l.industry)')}) AS relevance, coalesce({_LAST.format('reason', 'lower(s.industry) = lower(l.industry)')}, '') AS why FROM fx_leads l"
 query("flt_relevance", f"SELECT ord, coalesce(relevance, '') AS relevance, why AS reason, coalesce(relevance IN ('relevant', 'maybe'), true) OR industry = '' AS kept FROM ({_REL})")(
-    lambda t: L.by_relevance(t("fx_leads"), t("cfg_score"), True).select("ord", X.blank_if_null(F.col("relevance")).alias("relevance"), X.blank_if_null(F.col("reason")).alias("reason"), "kept")
+    lambda t: L.by_relevance(t("fx_leads"), t("cfg_score"), True, order=("nth",)).select("ord", X.blank_if_null(F.col("relevance")).alias("relevance"), X.blank_if_null(F.col("reason")).alias("reason"), "kept")
 )
 query("snk_rejects", f"SELECT CASE WHEN coalesce(relevance = 'relevant', true) OR industry = '' THEN 'accepted' ELSE 'rejected' END AS status, why AS _removal_reason, count(*) AS n FROM ({_REL}) GROUP BY 1, 2")(
-    lambda t: L.by_relevance(t("fx_leads"), t("cfg_score"), False).groupBy(F.when(F.col("kept"), "accepted").otherwise("rejected").alias("status"), X.blank_if_null(F.col("reason")).alias("_removal_reason")).agg(F.count(F.lit(1)).alias("n"))
+    lambda t: L.by_relevance(t("fx_leads"), t("cfg_score"), False, order=("nth",)).groupBy(F.when(F.col("kept"), "accepted").otherwise("rejected").alias("status"), X.blank_if_null(F.col("reason")).alias("_removal_reason")).agg(F.count(F.lit(1)).alias("n"))
 )
 query("flt_no_website", "SELECT ord FROM fx_places WHERE website IS NULL OR website = ''")(lambda t: t("fx_places").filter(~X.present(X.blank_if_null(F.col("website")))).select("ord"))
 _keep("flt_needs_industry", "industry = ''", lambda d: L.needs_industry())

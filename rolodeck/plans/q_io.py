@@ -25,7 +25,7 @@ def folder(t, kind: str) -> str:
 def _json(t):
     path = folder(t, "json")
     t("fx_leads").select("ord", "name", "email").write.json(path, lineSep=",")  # objects joined by commas
-    rows = t.spark.read.option("wholetext", True).text(path).select(F.concat(F.lit("["), F.regexp_replace("value", ",+$", ""), F.lit("]")).alias("value"))
+    rows = t.spark.read.text(path, wholetext=True).select(F.concat(F.lit("["), F.regexp_replace("value", ",+$", ""), F.lit("]")).alias("value"))
     rows.write.option("lineSep", "\n").text(path + "-lists")
     return R.json_leads(t.spark, path + "-lists", "ord long, name string, email string")
 
@@ -59,9 +59,15 @@ query("src_latest_snapshot", "SELECT ord, '2024-03' AS run_id FROM fx_leads WHER
 query("src_registry", "SELECT client, campaign_id, created_at FROM fx_campaigns WHERE client <> 'client_4' UNION ALL SELECT DISTINCT client, 'folder_' || type, '' FROM fx_campaigns WHERE client = 'client_4'")(
     lambda t: R.campaigns(t("fx_campaigns").filter("client <> 'client_4'").groupBy("client").agg(F.collect_list(F.struct("campaign_id", "created_at")).alias("campaigns")), t("fx_campaigns").select("client", F.concat(F.lit("folder_"), "type").alias("folder")))
 )
-query("src_pages", "SELECT c_custkey AS ord, CASE WHEN p.url IS NULL THEN 'error' ELSE 'success' END AS status, coalesce(length(html), 0)::BIGINT AS chars FROM customer LEFT JOIN (SELECT any_value(url) AS url, any_value(html) AS html, page_id FROM pages GROUP BY page_id) p ON p.page_id = c_custkey")(
-    lambda t: R.pages_of(t("customer").select(F.col("c_custkey").alias("ord"), F.concat(F.lit("p:"), F.col("c_custkey").cast("string")).alias("site")), t("pages").select(F.concat(F.lit("p:"), F.col("page_id").cast("string")).alias("url"), "html"), "ord", "site").select("ord", "status", F.coalesce(F.length("html"), F.lit(0)).cast("long").alias("chars"))
-)
+def _stored(t):
+    """Customers' pages, each stored twice, the first time shorter."""
+    now = t("pages").select(F.concat(F.lit("p:"), F.col("page_id").cast("string")).alias("url"), "html", F.lit(2).alias("nth"))
+    sites = t("customer").select(F.col("c_custkey").alias("ord"), F.concat(F.lit("p:"), F.col("c_custkey").cast("string")).alias("site"))
+    found = R.pages_of(sites, now.unionByName(now.withColumns({"html": F.lit("<p>soon"), "nth": F.lit(1)})), "ord", "site", ("nth",))
+    return found.select("ord", "status", F.coalesce(F.length("html"), F.lit(0)).cast("long").alias("chars"))
+
+
+query("src_pages", "SELECT c_custkey AS ord, CASE WHEN p.url IS NULL THEN 'error' ELSE 'success' END AS status, coalesce(length(html), 0)::BIGINT AS chars FROM customer LEFT JOIN (SELECT any_value(url) AS url, any_value(html) AS html, page_id FROM pages GROUP BY page_id) p ON p.page_id = c_custkey")(_stored)
 
 
 # --- sinks
@@ -143,7 +149,9 @@ def _fan(t):
 
 
 query("snk_fanout", "SELECT 'best_' || niche AS niche_safe, count(*) AS rows FROM fx_places GROUP BY 1")(_fan)
-query("snk_place10", f"SELECT ord, '2026-01-02' AS scraped_at, niche, business_name, category, address, city, phone, google_maps_url, {_blank('rating')}, {_blank('review_count')} FROM fx_business")(lambda t: S.place10(t("fx_business"), F.lit("2026-01-02"), ("ord",)))
+# A place may be called 0 or false: only numbers and truth values are blanked.
+_odd = lambda t: t("fx_business").withColumn("category", F.when(F.col("ord") % 8 == 0, "0").when(F.col("ord") % 8 == 1, "false").when(F.col("ord") % 8 == 2, "true").otherwise(F.col("category")))
+query("snk_place10", f"SELECT ord, '2026-01-02' AS scraped_at, niche, business_name, CASE ord % 8 WHEN 0 THEN '0' WHEN 1 THEN 'false' WHEN 2 THEN 'true' ELSE category END AS category, address, city, phone, google_maps_url, {_blank('rating')}, {_blank('review_count')} FROM fx_business")(lambda t: S.place10(_odd(t), F.lit("2026-01-02"), ("ord",)))
 query("snk_place34", f"SELECT * REPLACE ({', '.join(map(_blank, ('rating', 'review_count', 'pages_scraped', 'search_enriched')))}) FROM ({_LEAD34})")(lambda t: S.place34(_leads34(t), ("ord",)))
 
 
@@ -206,7 +214,7 @@ query("pg_ssl", "SELECT page_id, starts_with(url, 'https') AS ssl FROM pages")(l
 def _stream(t):
     landing, sink = folder(t, "landing"), folder(t, "sink")
     t("events").select("event_id", "user_id", "event_type", F.to_date("ts").alias("day")).repartitionByRange(6, "day").write.parquet(landing)
-    I.append_new(t.spark, landing, "event_id long, user_id long, event_type string, day date", sink, folder(t, "state"), lambda d: d.select("user_id", "event_type"), I.user_key, 2, digits=1)
+    I.append_new(t.spark, landing, "event_id long, user_id long, event_type string, day date", sink, folder(t, "state"), lambda d: d.select("user_id", "event_type"), I.user_key, 2, parts=8)
     return I.sink_table(t.spark, sink).select("user_id", "event_type")
 
 
@@ -233,9 +241,15 @@ query(
     "SELECT ord, CASE WHEN ord % 4 = 0 THEN 'kept' WHEN company_name = '' THEN '' WHEN regexp_matches(company_name, '[37]$') THEN lower(company_name) ELSE upper(company_name) END AS casual, CASE WHEN ord % 4 = 0 OR company_name = '' THEN '' WHEN regexp_matches(company_name, '[37]$') THEN 'fallback' ELSE 'model' END AS by FROM fx_leads",
 )(lambda t: E.enriched(_needing(t), L.needs_value("casual", F.col(_KEY)), _KEY, "casual", _model, "model", fallback=F.lower(_KEY)).select("ord", X.blank_if_null(F.col("casual")).alias("casual"), X.blank_if_null(F.col("casual_by")).alias("by")))
 query("enr_prompt", "SELECT ord, 'Say one line about ' || company_name || ' to ' || first_name || '.' AS prompt FROM fx_leads")(lambda t: t("fx_leads").select("ord", E.prompt("Say one line about {company} to {who}.", company=F.col("company_name"), who=F.col("first_name")).alias("prompt")))
-query("enr_email_status", "SELECT ord, CASE WHEN email = '' THEN 'missing' WHEN contains(lower(email), '7@') THEN 'verification_failed' ELSE 'valid' END AS email_status FROM fx_leads")(
-    lambda t: E.email_status(t("fx_leads"), t("fx_leads").filter("email <> ''").select(F.lower("email").alias("email"), F.when(F.contains(F.lower("email"), F.lit("7@")), "error").otherwise("valid").alias("status")).distinct()).select("ord", "email_status")
-)
+def _checked(t):
+    """Each e-mail was checked for each lead that has it, in its spelling; the last answer is the valid one, or an error."""
+    email = F.lower("email")
+    last = F.when(F.contains(email, F.lit("7@")), "error").otherwise("valid")
+    answers = t("fx_leads").filter("email <> ''").select("email", F.explode(F.array(F.struct(F.lit("unknown").alias("status"), F.lit(1).alias("nth")), F.struct(last.alias("status"), F.lit(2).alias("nth")))).alias("a"))
+    return E.email_status(t("fx_leads"), answers.select("email", "a.*"), order=("nth",)).select("ord", "email_status")
+
+
+query("enr_email_status", "SELECT ord, CASE WHEN email = '' THEN 'missing' WHEN contains(lower(email), '7@') THEN 'verification_failed' ELSE 'valid' END AS email_status FROM fx_leads")(_checked)
 
 
 # --- the flagship

@@ -21,9 +21,18 @@ query(
     """WITH p AS (SELECT ord, CASE WHEN title <> '' AND address <> '' THEN md5(trim(lower(title || '|' || address))) END AS id FROM fx_places), u AS (SELECT * FROM p WHERE id IS NULL OR id NOT IN (SELECT id FROM p WHERE ord % 3 = 1 AND id IS NOT NULL))
     SELECT min(ord) AS ord FROM u GROUP BY coalesce(id, 'row:' || ord)""",
 )(lambda t: J.unseen_places(t("fx_places"), t("fx_places").filter("ord % 3 = 1"), True).select("ord"))
-_FILLED = """SELECT l.ord, CASE WHEN l.company_country <> '' THEN 'had' WHEN l.company_domain = '' THEN 'no_domain' WHEN c.domain IS NULL THEN 'not_found' ELSE 'filled' END AS filled, CASE WHEN l.company_country = '' AND c.domain IS NOT NULL THEN CASE WHEN hq_country <> '' THEN hq_country ELSE 'Estonia' END ELSE l.company_country END AS company_country
-  FROM fx_leads l LEFT JOIN fx_company c ON l.company_domain = c.domain"""
-_filled = lambda t: J.filled_country(t("fx_leads"), N.company_country(t("fx_company")))
+# Each domain is answered twice, the earlier time in capitals.
+_ANSWERS = "SELECT lower(domain) AS domain, arg_max(country, nth) AS country FROM (SELECT domain, CASE WHEN hq_country <> '' THEN hq_country ELSE 'Estonia' END AS country, 2 AS nth FROM fx_company UNION ALL SELECT upper(domain), 'Earlier', 1 FROM fx_company) GROUP BY 1"
+_FILLED = f"""SELECT l.ord, CASE WHEN l.company_country <> '' THEN 'had' WHEN l.company_domain = '' THEN 'no_domain' WHEN c.domain IS NULL THEN 'not_found' ELSE 'filled' END AS filled, CASE WHEN l.company_country = '' AND c.domain IS NOT NULL THEN c.country ELSE l.company_country END AS company_country
+  FROM fx_leads l LEFT JOIN ({_ANSWERS}) c ON l.company_domain = c.domain"""
+
+
+def _filled(t):
+    now = N.company_country(t("fx_company"))
+    answers = now.withColumn("nth", F.lit(2)).unionByName(now.select(F.upper("domain").alias("domain"), F.lit("Earlier").alias("country"), F.lit(1).alias("nth")))
+    return J.filled_country(t("fx_leads"), answers, ("nth",))
+
+
 query("join_domain_lookup", _FILLED)(lambda t: _filled(t).select("ord", "filled", "company_country"))
 _TLD = "CASE WHEN ends_with({0}, '.co.uk') THEN '.co.uk' WHEN contains({0}, '.') THEN '.' || string_split({0}, '.')[-1] ELSE '' END"
 _signs = lambda test: "array_to_string(list_filter([" + ", ".join(f"CASE WHEN {test.format(k)} THEN '{n}=' || {k} END" for k, n in (("d", "domain"), ("e", "email"), ("f", "phone"))) + "], lambda x: x IS NOT NULL), ',')"
@@ -74,7 +83,7 @@ query(
     SELECT coalesce(k.id, n.id) AS id, coalesce(k.name, n.name) AS name, CASE WHEN n.id IS NULL THEN 'known' WHEN k.id IS NULL THEN 'new' WHEN lower(k.name) = lower(n.name) THEN 'same' ELSE 'conflict' END AS status FROM k FULL OUTER JOIN n ON k.id = n.id""",
 )(lambda t: J.merged_ids(_known(t), _fresh(t)))
 query("join_intent", "SELECT DISTINCT industry FROM (SELECT name AS industry FROM cfg_industry_id UNION ALL SELECT industry FROM fx_leads WHERE source = 'feed_a' AND industry <> '')")(lambda t: t("cfg_industry_id").select(F.col("name").alias("industry")).unionByName(t("fx_leads").filter("source = 'feed_a' and industry <> ''").select("industry")).distinct())
-query("join_score_back", "SELECT ord, CASE WHEN industry = '' THEN '' ELSE coalesce((SELECT score FROM cfg_score s WHERE lower(s.industry) = lower(l.industry) AND score <> 'bogus'), 'maybe') END AS score FROM fx_leads l")(lambda t: J.scored_industries(t("fx_leads"), t("cfg_score")).select("ord", X.blank_if_null(F.col("score")).alias("score")))
+query("join_score_back", "SELECT ord, CASE WHEN industry = '' THEN '' ELSE coalesce((SELECT nullif(arg_max(score, nth), 'bogus') FROM cfg_score s WHERE lower(s.industry) = lower(l.industry)), 'maybe') END AS score FROM fx_leads l")(lambda t: J.scored_industries(t("fx_leads"), t("cfg_score"), order=("nth",)).select("ord", X.blank_if_null(F.col("score")).alias("score")))
 query("join_score_exact", "SELECT ord, CASE WHEN lower(trim(industry)) IN (SELECT lower(trim(name)) FROM cfg_industry_id) THEN 'relevant' ELSE 'irrelevant' END AS score FROM fx_leads")(lambda t: J.name_ids(t("fx_leads"), "industry", t("cfg_industry_id")).select("ord", F.when(F.col("id").isNotNull(), "relevant").otherwise("irrelevant").alias("score")))
 
 # --- duplicates

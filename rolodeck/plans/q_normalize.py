@@ -70,6 +70,12 @@ _leads34 = lambda t: N.place_leads(t("fx_business"), t("fx_contacts"), "shops in
 query("nrm_place_lead", _LEAD34)(_leads34)
 query("nrm_company_resp", "SELECT domain, CASE WHEN hq_country <> '' THEN hq_country ELSE 'Estonia' END AS country FROM fx_company")(lambda t: N.company_country(t("fx_company")))
 _JOBS = ", ".join(f"x[{i}].position_title || ' @ ' || x[{i}].company_name || ' (' || x[{i}].employment_period || ')'" for i in range(1, 6))
+def _profiles(t):
+    """Each profile answered twice."""
+    now = t("fx_profiles").filter("ord % 10 <> 0").drop("linkedin_url").withColumn("nth", F.lit(2))
+    return now.unionByName(now.withColumns({"bio": F.lit("an older bio"), "location": F.lit("elsewhere"), "nth": F.lit(1)}))
+
+
 query(
     "nrm_profile_resp",
     f"""SELECT ord, CASE WHEN has THEN CASE WHEN bio <> '' THEN bio ELSE 'old bio' END ELSE 'old bio' END AS linkedin_bio, CASE WHEN has THEN professional_title ELSE '' END AS linkedin_headline, CASE WHEN has THEN coalesce(company_name, '') ELSE '' END AS linkedin_company,
@@ -77,7 +83,7 @@ query(
     CASE WHEN has THEN array_to_string([{_JOBS}], ';') ELSE '' END AS jobs, CASE WHEN has THEN 'S1 BSc 2010;S2 MSc 2012;S3 PhD 2015' ELSE '' END AS schools, CASE WHEN has THEN '2026-01-02T00:00:00Z' END AS linkedin_enriched_at, CASE WHEN has THEN 1 ELSE 0 END AS linkedin_enrichment_credits
     FROM (SELECT ord, ord % 10 <> 0 AS has, bio, professional_title, company_name, company_industry, location, total_tenure_years, followers_range, work_experience AS x FROM fx_profiles)""",
 )(
-    lambda t: N.profile_filled(t("fx_leads").select("ord", F.lit("old bio").alias("linkedin_bio")), t("fx_profiles").filter("ord % 10 <> 0").drop("linkedin_url"), "2026-01-02T00:00:00Z", 1)
+    lambda t: N.profile_filled(t("fx_leads").select("ord", F.lit("old bio").alias("linkedin_bio")), _profiles(t), "2026-01-02T00:00:00Z", 1, order=("nth",))
     .withColumns({"jobs": X.blank_if_null(F.array_join(F.transform("linkedin_experience", lambda x: F.concat(x["title"], F.lit(" @ "), x["company"], F.lit(" ("), x["period"], F.lit(")"))), ";")), "schools": X.blank_if_null(F.array_join(F.transform("linkedin_education", lambda x: F.concat_ws(" ", x["school"], x["degree"], x["period"])), ";"))})
     .withColumn("linkedin_enrichment_credits", F.coalesce("linkedin_enrichment_credits", F.lit(0)))
     .drop("linkedin_experience", "linkedin_education")

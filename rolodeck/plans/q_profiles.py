@@ -67,11 +67,10 @@ _DEN = "0.0::DOUBLE" + "".join(f" + CASE WHEN ({v}) IS NULL THEN 0 ELSE {w}::DOU
 _SCORED = f"SELECT *, CAST(trunc(({_NUM}) / nullif({_DEN}, 0)) AS INT) AS score FROM fx_web_eval"
 _scored = lambda t: t("fx_web_eval").withColumn("score", C.web_score())
 query("scr_web_overall", f"SELECT ord, coalesce(score, -1) AS score FROM ({_SCORED})")(lambda t: _scored(t).select("ord", F.coalesce("score", F.lit(-1)).alias("score")))
-query(
-    "scr_web_insights",
-    f"""SELECT ord, array_to_string(list_filter([CASE WHEN lcp_seconds > 4 THEN printf('Main content takes %.1f seconds', lcp_seconds) WHEN lcp_seconds > 2.5 THEN 'Main content could appear sooner' END, CASE WHEN NOT coalesce(has_ssl, false) THEN 'No secure connection' END, CASE WHEN NOT is_mobile_friendly THEN 'Hard to use on phones' END,
-    CASE WHEN performance_score < 40 AND NOT coalesce(lcp_seconds > 4, false) THEN 'Slow pages' END, CASE WHEN seo_score < 60 THEN 'Hard to find by search' END, CASE WHEN cms IS NOT NULL AND score < 50 THEN 'Dated ' || cms || ' site' END], lambda x: x IS NOT NULL)[1:3], '|') AS insights FROM ({_SCORED})""",
-)(lambda t: _scored(t).select("ord", F.array_join(C.web_insights(F.col("score")), "|").alias("insights")))
+_TAKES = "printf('Main content takes %.1f seconds', lcp_seconds)"
+_INSIGHTS = f"""list_filter([CASE WHEN lcp_seconds > 4 THEN {_TAKES} WHEN lcp_seconds > 2.5 THEN {_TAKES} || ', 2.5 is good' END, CASE WHEN NOT coalesce(has_ssl, false) THEN 'No secure connection' END, CASE WHEN NOT is_mobile_friendly THEN 'Hard to use on phones' END,
+    CASE WHEN performance_score < 40 AND NOT coalesce(lcp_seconds > 4, false) THEN 'Speed score ' || performance_score || ' of 100' END, CASE WHEN seo_score < 60 THEN 'Search score ' || seo_score || ' of 100' END, CASE WHEN cms IS NOT NULL AND score < 50 THEN 'Dated ' || cms || ' site, score ' || score || ' of 100' END], lambda x: x IS NOT NULL)[1:3]"""
+query("scr_web_insights", f"SELECT ord, array_to_string({_INSIGHTS}, '|') AS insights FROM ({_SCORED})")(lambda t: _scored(t).select("ord", F.array_join(C.web_insights(F.col("score")), "|").alias("insights")))
 query(
     "scr_web_metrics",
     """SELECT p_partkey AS ord, CASE WHEN p_partkey % 6 <> 0 THEN CAST(p_size AS INT) ELSE -1 END AS performance_score, CASE WHEN p_partkey % 6 <> 0 THEN 80 ELSE -1 END AS accessibility_score, CASE WHEN p_partkey % 6 <> 0 THEN 90 ELSE -1 END AS seo_score, -1 AS best_practices_score,
@@ -82,34 +81,54 @@ query(
         '{"lighthouseResult":{"categories":{"performance":{"score":%s},"accessibility":{"score":0.8},"seo":{"score":0.9},"best-practices":{"score":null}},"audits":{"first-contentful-paint":{"numericValue":%s},"largest-contentful-paint":{"numericValue":%s},"cumulative-layout-shift":{"numericValue":0.1250004},"total-blocking-time":{"numericValue":%d.7},"speed-index":{"numericValue":%s},"viewport":{"score":%d}}}}',
         ((F.col("p_size") + 0.5) / 100).cast("string"), (F.col("p_partkey") * 10.0).cast("string"), (F.col("p_partkey") * 20.0).cast("string"), F.col("p_size"), (F.col("p_partkey") * 30.0).cast("string"), F.col("p_partkey") % 2))).alias("m")).select("ord", "m.*").withColumns({c: F.coalesce(c, F.lit(-1)) for c in ("performance_score", "accessibility_score", "seo_score", "best_practices_score", "tbt_ms")} | {"is_mobile_friendly": F.coalesce("is_mobile_friendly", F.lit(False))})
 )
+def _attached(t):
+    """Each site was evaluated twice, with another result the first time."""
+    now = t("fx_web_eval")
+    twice = now.withColumn("nth", F.lit(2)).unionByName(now.withColumns({"performance_score": F.lit(1), "has_ssl": F.lit(False), "nth": F.lit(1)}))
+    leads = t("customer").select(F.col("c_custkey").alias("ord"), F.when(F.col("c_custkey") % 3 != 0, F.format_string("https://site%d.example", 2 * F.col("c_custkey"))).alias("web"))
+    return C.with_evaluation(leads, twice, F.col("web"), {"score": C.web_score()}, ("nth",)).select("ord", "web_status", F.coalesce("score", F.lit(-1)).alias("score"))
+
+
 query(
     "scr_web_attach",
     f"SELECT c_custkey AS ord, CASE WHEN c_custkey % 3 = 0 THEN 'no_website' WHEN e.site IS NULL THEN 'not_evaluated' ELSE 'success' END AS web_status, coalesce(e.score, -1) AS score FROM customer LEFT JOIN ({_SCORED}) e ON c_custkey % 3 <> 0 AND e.site = 'https://site' || (2 * c_custkey) || '.example'",
-)(lambda t: C.with_evaluation(t("customer").select(F.col("c_custkey").alias("ord"), F.when(F.col("c_custkey") % 3 != 0, F.format_string("https://site%d.example", 2 * F.col("c_custkey"))).alias("web")), t("fx_web_eval"), F.col("web"), {"score": C.web_score()}).select("ord", "web_status", F.coalesce("score", F.lit(-1)).alias("score")))
+)(_attached)
 query("agg_score_summary", f"SELECT coalesce(cms, 'Unknown') AS cms, count(*) AS sites, count(score) AS scored, coalesce(round_even(avg(score), 1), 0)::DOUBLE AS average, count(*) FILTER (score < 50) AS below_50, coalesce(100 * count(*) FILTER (score < 50) // nullif(count(score), 0), 0) AS below_50_pct FROM ({_SCORED}) GROUP BY 1")(
     lambda t: P.score_summary(_scored(t).withColumn("cms", F.coalesce("cms", F.lit("Unknown"))), F.col("score"), "cms")
 )
-query("seg_assign", f"SELECT ord, niche || '_' || CASE WHEN score >= 70 THEN 'decent' ELSE 'poor' END AS segment FROM ({_SCORED})")(lambda t: _scored(t).select("ord", C.segment(F.col("niche"), F.col("score")).alias("segment")))
-query("agg_segment", f"SELECT niche || '_' || CASE WHEN score >= 70 THEN 'decent' ELSE 'poor' END AS segment, count(*) AS n FROM ({_SCORED}) GROUP BY 1")(lambda t: _scored(t).groupBy(C.segment(F.col("niche"), F.col("score")).alias("segment")).agg(F.count(F.lit(1)).alias("n")))
-_INSIGHT = {0: "Your site loads in 7.4s on mobile", 1: "The mobile load time (3.2s) is above average", 2: "Your site doesn't use HTTPS", 3: "It isn't optimized for Mobile", 4: "It scores 31/100 on Google's speed test", 5: "Your SEO score is 44/100", 6: "Your WordPress site scores 38/100", 7: "Nothing known"}
-_WANT = {0: "Paskatījos uz X lapu no telefona. Ielādējās 7.4 sekundēs.", 1: "Paskatījos uz X lapu no telefona. Ielādējās 3.2 sekundēs.", 2: "Atvēru X lapu un pārlūks uzreiz brīdināja par drošību. Nav HTTPS.", 3: "Paskatījos uz X lapu no telefona. Mobilajā versijā neizskatās labi.", 4: "Paskatījos uz X lapu. Google ātruma testā saņēma 31/100.", 5: "Paskatījos uz X lapu. SEO vērtējumā saņēma 44/100.", 6: "Paskatījos uz X lapu. Google testā saņēma 38/100.", 7: "Apskatīju X lapu."}
+# From score to segment and message. Some niches are unknown, some written with other letters.
+_NICHED = f"SELECT * REPLACE (CASE ord % 10 WHEN 0 THEN NULL WHEN 1 THEN 'būvnieki' ELSE niche END AS niche) FROM ({_SCORED})"
+_SEGMENT = "CASE ord % 10 WHEN 0 THEN 'unknown' WHEN 1 THEN 'buvnieki' ELSE niche END || CASE WHEN score >= 70 THEN '_decent' ELSE '_poor' END"
+_niched = lambda t: _scored(t).withColumn("niche", F.when(F.col("ord") % 10 == 0, None).when(F.col("ord") % 10 == 1, "būvnieki").otherwise(F.col("niche")))
+query("seg_assign", f"SELECT ord, {_SEGMENT} AS segment FROM ({_NICHED})")(lambda t: _niched(t).select("ord", C.segment(F.col("niche"), F.col("score")).alias("segment")))
+_SAID = {
+    "contains(first, 'takes')": "'I opened ' || shop || ' on my phone and waited ' || regexp_extract(first, 'takes ([0-9.]+) seconds', 1) || ' seconds.'",
+    "first = 'No secure connection'": "'My browser warned me of ' || shop || ': the connection is not secure.'",
+    "first = 'Hard to use on phones'": "'On my phone the site of ' || shop || ' is hard to use.'",
+    "starts_with(first, 'Speed')": "'In a speed test ' || shop || ' got ' || performance_score || ' of 100 points.'",
+    "starts_with(first, 'Search')": "'In a search test ' || shop || ' got ' || seo_score || ' of 100 points.'",
+    "starts_with(first, 'Dated')": "'Tests gave the site of ' || shop || ' ' || score || ' of 100 points.'",
+}
+_SHOP = "CASE WHEN ord % 7 = 0 THEN 'the very small shop on the corner of street number ' || ord WHEN ord % 11 = 0 THEN 'Shop — ' || ord ELSE 'Shop ' || ord END"
+_MESSAGE = f"SELECT *, CASE {' '.join(f'WHEN {k} THEN {v}' for k, v in _SAID.items())} ELSE 'I had a look at the site of ' || shop || '.' END AS message FROM (SELECT *, {_INSIGHTS}[1] AS first, {_SHOP} AS shop FROM ({_NICHED}))"
 
 
-def _message(t):
-    insight = F.lit(None).cast("string")
-    for i, said in _INSIGHT.items():
-        insight = F.when(F.col("ord") % 9 == i, said).otherwise(insight)
-    return t("fx_web_eval").select("ord", C.message(insight, F.concat(F.lit("Shop "), F.col("ord").cast("string"))).alias("message"))
+def _messages(t):
+    n = F.col("ord").cast("string")
+    shop = F.when(F.col("ord") % 7 == 0, F.concat(F.lit("the very small shop on the corner of street number "), n)).when(F.col("ord") % 11 == 0, F.concat(F.lit("Shop — "), n)).otherwise(F.concat(F.lit("Shop "), n))
+    return _niched(t).withColumn("message", C.message(F.get(C.web_insights(F.col("score")), F.lit(0)), shop))
 
 
-query("seg_message", "SELECT ord, replace(CASE ord % 9 " + " ".join(f"WHEN {i} THEN '{w}'" for i, w in _WANT.items()) + " ELSE 'Apskatīju X lapu.' END, 'X', 'Shop ' || ord) AS message FROM fx_web_eval")(_message)
+query("seg_message", f"SELECT ord, message FROM ({_MESSAGE})")(lambda t: _messages(t).select("ord", "message"))
+query("agg_segment", f"SELECT coalesce(segment, 'all') AS segment, count(*) AS n, count(*) FILTER (len(string_split(message, ' ')) > 15) AS too_long, count(*) FILTER (contains(message, '—')) AS em_dash FROM (SELECT {_SEGMENT} AS segment, message FROM ({_MESSAGE})) GROUP BY ROLLUP (segment)")(
+    lambda t: P.segment_summary(_messages(t), C.segment(F.col("niche"), F.col("score")), "message")
+)
 _TEXT = "CASE ord % 5 WHEN 0 THEN '' WHEN 1 THEN 'one — two' WHEN 2 THEN 'a b c d e f g h i j k l m n o p q' ELSE 'short text' END"
 _said = lambda: F.when(F.col("ord") % 5 == 0, "").when(F.col("ord") % 5 == 1, "one — two").when(F.col("ord") % 5 == 2, "a b c d e f g h i j k l m n o p q").otherwise("short text")
-query("agg_qa", f"SELECT w AS warning, count(*) AS n FROM (SELECT unnest(list_filter([CASE WHEN x = '' THEN 'empty' END, CASE WHEN len(string_split(x, ' ')) > 15 THEN 'too_long' END, CASE WHEN contains(x, '—') THEN 'em_dash' END], lambda v: v IS NOT NULL)) AS w FROM (SELECT {_TEXT} AS x FROM fx_leads)) GROUP BY 1")(
-    lambda t: P.warnings(t("fx_leads").select("ord", _said().alias("x")), "x", 15).select(F.explode("warnings").alias("warning")).groupBy("warning").agg(F.count(F.lit(1)).alias("n"))
-)
+_WARNED = f"SELECT list_filter([CASE WHEN x = '' THEN 'empty' END, CASE WHEN len(string_split(x, ' ')) > 15 THEN 'too_long' END, CASE WHEN contains(x, '—') THEN 'em_dash' END], lambda v: v IS NOT NULL) AS ws FROM (SELECT {_TEXT} AS x FROM fx_leads)"
+query("agg_qa", f"SELECT w AS warning, count(*) AS n FROM (SELECT unnest(ws) AS w FROM ({_WARNED})) GROUP BY 1 UNION ALL SELECT 'all warnings', CAST(sum(len(ws)) AS BIGINT) FROM ({_WARNED}) UNION ALL SELECT 'any warning', count(*) FROM ({_WARNED}) WHERE len(ws) > 0")(lambda t: P.warning_counts(t("fx_leads").select("ord", _said().alias("x")), "x"))
 query("agg_relevance_report", f"SELECT CASE WHEN industry = '' THEN 'EMPTY' ELSE industry END AS industry, coalesce(relevance, '') AS score, min(why) AS reason, count(*) AS n FROM ({_REL}) GROUP BY 1, 2")(
-    lambda t: L.by_relevance(t("fx_leads"), t("cfg_score"), False).groupBy(F.when(F.col("industry") == "", "EMPTY").otherwise(F.col("industry")).alias("industry"), X.blank_if_null(F.col("relevance")).alias("score")).agg(F.min(X.blank_if_null(F.col("reason"))).alias("reason"), F.count(F.lit(1)).alias("n"))
+    lambda t: L.by_relevance(t("fx_leads"), t("cfg_score"), False, order=("nth",)).groupBy(F.when(F.col("industry") == "", "EMPTY").otherwise(F.col("industry")).alias("industry"), X.blank_if_null(F.col("relevance")).alias("score")).agg(F.min(X.blank_if_null(F.col("reason"))).alias("reason"), F.count(F.lit(1)).alias("n"))
 )
 # --- top-k, sorts, limits
 _best = lambda t: P.best_leads(t("fx_profiles").withColumn("bio", F.when(F.col("ord") % 3 == 1, F.repeat(F.lit("b"), 101)).otherwise(F.col("bio"))).join(t("fx_leads").select(F.col("ord").alias("o"), "email"), F.col("ord") == F.col("o")).withColumns({"content": F.repeat(F.lit("x"), (F.col("ord") % 3000).cast("int")), "n_jobs": (F.col("ord") % 4).cast("int")}), 50)

@@ -22,10 +22,14 @@ def layout(df: DataFrame, columns: dict[str, Column | str], keep: tuple[str, ...
     return df.select(*keep, *[value(c).alias(k) for k, c in columns.items()])
 
 
-def falsy_blank(c: Column) -> Column:
-    """Zero, false and null become empty; true is written True."""
-    t = c.cast("string")
-    return F.when(t.isin("0", "false", "0.0"), "").when(t == "true", "True").otherwise(t)
+def falsy_blank(df: DataFrame, c: str) -> Column:
+    """A column as text: a number that is zero, false and null are empty, true is written True. Texts stay as they are, whatever they say; a missing column is empty."""
+    kind = df.schema[c].dataType if c in df.columns else None
+    if isinstance(kind, T.NumericType):
+        return X.blank_if_null(F.when(F.col(c) != 0, F.col(c).cast("string")))
+    if isinstance(kind, T.BooleanType):
+        return F.when(F.col(c), "True").otherwise("")
+    return _of(df, c)
 
 
 def _of(df: DataFrame, c: str) -> Column:
@@ -115,7 +119,7 @@ CALLING9 = ("niche", "business_name", "category", "address", "city", "phone", "g
 
 def calling9(places: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Nine columns for calls; a rating or number of reviews of zero is empty."""
-    return layout(places, {c: falsy_blank(_of(places, c)) if c in ("rating", "review_count") else _of(places, c) for c in CALLING9}, keep)
+    return layout(places, {c: falsy_blank(places, c) if c in ("rating", "review_count") else _of(places, c) for c in CALLING9}, keep)
 
 
 EMAIL24 = ("niche", "business_name", "category", "address", "city", "phone", "website", "email_1", "email_2", "facebook", "instagram", "linkedin", "google_maps_url", "rating", "review_count", "overall_score", "performance_score", "seo_score", "is_mobile_friendly", "has_ssl", "cms", "insight_1", "insight_2", "insight_3")
@@ -126,20 +130,20 @@ def email24(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     at = lambda c, i: F.get(c, F.lit(i)) if c in rows.columns else F.lit("")
     numbers = ("rating", "review_count", "overall_score", "performance_score", "seo_score", "is_mobile_friendly", "has_ssl")
     lists = {f"email_{i + 1}": at("emails", i) for i in range(2)} | {f"insight_{i + 1}": at("insights", i) for i in range(3)}
-    return layout(rows, {c: lists[c] if c in lists else falsy_blank(_of(rows, c)) if c in numbers else _of(rows, c) for c in EMAIL24}, keep)
+    return layout(rows, {c: lists[c] if c in lists else falsy_blank(rows, c) if c in numbers else _of(rows, c) for c in EMAIL24}, keep)
 
 
 PLACE10 = ("scraped_at", "niche", "business_name", "category", "address", "city", "phone", "google_maps_url", "rating", "review_count")
 
 
 def place10(places: DataFrame, scraped_at: Column, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Ten texts of each place; zero is empty."""
-    return layout(places, {"scraped_at": scraped_at} | {c: _of(places, c) if c == "niche" else falsy_blank(_of(places, c)) for c in PLACE10[1:]}, keep)
+    """Ten texts of each place; a number that is zero is empty."""
+    return layout(places, {"scraped_at": scraped_at} | {c: _of(places, c) if c == "niche" else falsy_blank(places, c) for c in PLACE10[1:]}, keep)
 
 
 def place34(leads: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The 34 columns of ``normalize.place_leads`` as texts; zero and false are empty, true is written True."""
-    return layout(leads, {c: falsy_blank(_of(leads, c)) for c in PLACE_LEAD}, keep)
+    """The 34 columns of ``normalize.place_leads`` as texts; numbers that are zero and false are empty, true is written True."""
+    return layout(leads, {c: falsy_blank(leads, c) for c in PLACE_LEAD}, keep)
 
 
 def cleaned(df: DataFrame, drop: tuple[str, ...], content: str, summary: str = "company_summary", longest: int = 150) -> DataFrame:
@@ -167,15 +171,22 @@ def write_mode(df: DataFrame, path: str, mode: str) -> None:
 def fan_out(df: DataFrame, path: str, niche: str = "niche", keep_others: bool = False) -> DataFrame:
     """Writes a partition for each niche, all together being the combined output; returns the summary (niche, rows).
 
-    Niches written before and not in df are dropped, or stay with keep_others; those in df are replaced.
+    Niches written before and not in df are dropped, or stay with keep_others; those in df are replaced. df is worked out once: the summary is read from what was written, where files' footers tell their rows. Rows are dealt by
+    niche, small niches together and a large one to several tasks, as adaptive execution sees their sizes, so that a niche has few files.
     """
+    from pyspark.sql import Observation
+
     safe = F.regexp_replace(F.lower(X.blank_if_null(F.col(niche))), "[^a-z0-9]+", "_")
-    tagged = df.withColumn("niche_safe", safe)
+    seen = Observation()
+    tagged = df.withColumn("niche_safe", safe).hint("rebalance", "niche_safe").observe(seen, F.collect_set("niche_safe").alias("niches"))
     tagged.write.partitionBy("niche_safe").option("partitionOverwriteMode", "dynamic" if keep_others else "static").mode("overwrite").parquet(path)
-    return tagged.groupBy("niche_safe").agg(F.count(F.lit(1)).alias("rows"))
+    niches = sorted(seen.get["niches"])  # a folder each
+    written = df.sparkSession.read.schema("niche_safe string").parquet(path).filter(F.col("niche_safe").isin(niches))
+    return written.groupBy("niche_safe").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def write_scores(scores: DataFrame, path: str, run_id: str) -> DataFrame:
-    """Keeps a run's scores beside the list, and returns the counts by score."""
-    scores.withColumn("run_id", F.lit(run_id)).write.partitionBy("run_id").mode("append").parquet(path)
-    return scores.groupBy("score").agg(F.count(F.lit(1)).alias("n"))
+    """Keeps a run's scores beside the list, and returns the run's counts by score, read from what was written. A run that is written again is replaced."""
+    folder = f"{path}/run_id={run_id}"
+    scores.write.mode("overwrite").parquet(folder)
+    return scores.sparkSession.read.schema("score string").parquet(folder).groupBy("score").agg(F.count(F.lit(1)).alias("n"))

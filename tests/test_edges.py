@@ -1,13 +1,15 @@
 """Hand-made rows: blanks of all kinds, ties, chains, odd URLs and names, empty input."""
 
 import random
+import unicodedata
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from rolodeck import cluster
 from rolodeck.functions import names, text
-from rolodeck.operators import classify, dedup, enrich, filters, joins, normalize, pages, profiles, searches, sets
+from rolodeck.operators import classify, dedup, enrich, filters, graph, joins, normalize, pages, profiles, searches, sets
 from rolodeck.schemas import LEAD
 from rolodeck.sources import readers, sinks
 from rolodeck.streaming import incremental
@@ -99,12 +101,13 @@ def brute_campaigns(rows):
     return out
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_cross_campaign(spark, seed):
+@pytest.mark.parametrize("seed, how", [(0, {}), (1, {}), (2, {}), (3, {"rounds": 0}), (4, {"rounds": 1}), (5, {"rounds": 0, "most": 3})])
+def test_cross_campaign(spark, seed, how):
+    """By rounds, by connected parts, and by both."""
     rng = random.Random(seed)
     rows = [(rng.randint(1, 4), i, *(rng.choice(["", *map(str, range(12))]) for _ in range(3))) for i in range(60)]
     df = leads(spark, [{"ord": i, "email": m, "linkedin_url": u, "name": n, "company_name": n} for _, i, m, u, n in rows]).join(spark.createDataFrame([(i, r) for r, i, *_ in rows], "ord long, rank int"), "ord")
-    got = {r.ord: r.reason for r in dedup.cross_campaign(df, "rank").collect()}
+    got = {r.ord: r.reason for r in dedup.cross_campaign(df, "rank", **how).collect()}
     assert got == brute_campaigns(rows)
 
 
@@ -129,9 +132,9 @@ def test_chain_and_report(spark):
     assert report == {"email": (4, 1, 3), "title": (3, 1, 2)}
 
 
-@pytest.mark.parametrize("score, segment", [(70, "x_decent"), (69, "x_poor"), (None, "x_poor")])
-def test_segments(spark, score, segment):
-    df = spark.createDataFrame([("x", score)], "n string, s int")
+@pytest.mark.parametrize("niche, score, segment", [("x", 70, "x_decent"), ("x", 69, "x_poor"), ("x", None, "x_poor"), (None, 80, "unknown_decent"), (None, None, "unknown_poor"), ("būvnieki", 71, "buvnieki_decent")])
+def test_segments(spark, niche, score, segment):
+    df = spark.createDataFrame([(niche, score)], "n string, s int")
     assert df.select(classify.segment(F.col("n"), F.col("s")).alias("v")).first().v == segment
 
 
@@ -184,8 +187,9 @@ def test_pre_detection_of_malformed(spark):
 
 def test_json_reader_refuses_objects(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"a": 1}')
-    with pytest.raises(ValueError):
-        readers.json_leads(spark, str(tmp_path), "a int")
+    for whole in (1 << 20, 0):
+        with pytest.raises(Exception, match="the top level must be a list"):
+            readers.json_leads(spark, str(tmp_path), "a int", whole).collect()
 
 
 def test_unknown_feed():
@@ -277,6 +281,30 @@ def test_falsy_values_and_truth(spark):
     assert got == [("", "", "True", ""), ("4.5", "7", "", "True")]
 
 
+def test_texts_that_look_false_stay(spark):
+    df = spark.createDataFrame([("0", "false", "true", Decimal("0.00"), 0.0), ("0.0", "x", None, Decimal("4.50"), 4.0)], "business_name string, category string, city string, rating decimal(5,2), review_count double")
+    got = [(r.business_name, r.category, r.city, r.rating, r.review_count) for r in sinks.place10(df, F.lit("now")).collect()]
+    assert got == [("0", "false", "true", "", ""), ("0.0", "x", "", "4.50", "4.0")]
+
+
+def test_each_insight_has_a_message(spark):
+    """From a site's values to what is said of them; only a site without problems gets the fallback."""
+    rows = [(7.4, True, True, 90, 90, None), (3.2, True, True, 90, 90, None), (None, False, True, 90, 90, None), (None, True, False, 90, 90, None), (None, True, True, 31, 90, None), (None, True, True, 90, 44, None), (1.0, True, True, 45, 60, "Wix"), (None, True, True, 90, 90, "Wix")]
+    df = spark.createDataFrame(rows, "lcp_seconds double, has_ssl boolean, is_mobile_friendly boolean, performance_score int, seo_score int, cms string")
+    score = F.when(F.col("performance_score") == 45, 49).otherwise(95)
+    got = [r.m for r in df.select(classify.message(F.get(classify.web_insights(score), F.lit(0)), F.lit("Acme")).alias("m")).collect()]
+    assert got == [
+        "I opened Acme on my phone and waited 7.4 seconds.",
+        "I opened Acme on my phone and waited 3.2 seconds.",
+        "My browser warned me of Acme: the connection is not secure.",
+        "On my phone the site of Acme is hard to use.",
+        "In a speed test Acme got 31 of 100 points.",
+        "In a search test Acme got 44 of 100 points.",
+        "Tests gave the site of Acme 49 of 100 points.",
+        "I had a look at the site of Acme.",
+    ]
+
+
 def test_place_rules(spark):
     lists = "emails array<string>, phones array<string>, categories array<string>, facebooks array<string>, instagrams array<string>, linkedIns array<string>, twitters array<string>, youtubes array<string>, tiktoks array<string>, whatsapps array<string>"
     schema = f"placeId string, title string, categoryName string, address string, street string, city string, postalCode string, countryCode string, phone string, phoneUnformatted string, website string, domain string, url string, totalScore double, reviewsCount int, permanentlyClosed boolean, {lists}"
@@ -367,12 +395,15 @@ def test_lookups_keep_columns_named_as_helpers(spark):
     assert three.kept and three._mail == "mine"
 
 
-def test_a_long_chain_across_campaigns(spark):
+def test_a_long_chain_across_campaigns(spark, monkeypatch):
     """Row i shares an e-mail with row i - 1 and a profile with row i + 1: every other one stays."""
-    n = 24
+    n, steps, real = 1000, [], dedup.checkpointed
+    monkeypatch.setattr(dedup, "checkpointed", lambda d: steps.append(1) or real(d))
+    monkeypatch.setattr(graph, "checkpointed", lambda d: steps.append(1) or real(d))
     df = leads(spark, [{"email": f"m{i // 2}", "linkedin_url": f"p{(i + 1) // 2}"} for i in range(n)]).withColumn("rank", F.when(F.col("ord") == 1, 1).otherwise(2))
     got = {r.ord: r.reason for r in dedup.cross_campaign(df, "rank").collect()}
     assert [got[i] is None for i in range(1, n + 1)] == [i % 2 == 1 for i in range(1, n + 1)]
+    assert len(steps) < 40  # some ten rounds, and not five hundred
 
 
 def test_global_numbers(spark):
@@ -388,7 +419,7 @@ def test_unlimited_value_counts(spark):
     assert [got[k][1] for _, _, k in order] == list(range(1, 608)) and got["w", "one"] == (900, 1)
 
 
-def test_stream_reads_only_its_parts(spark, tmp_path):
+def test_stream_appends_new_keys_only(spark, tmp_path):
     """Two runs: what the sink has already is not appended again; new keys are."""
     landing, sink, state = (str(tmp_path / x) for x in ("landing", "sink", "state"))
     schema = "event_id long, user_id long, event_type string"
@@ -439,3 +470,22 @@ def test_page_text_limits():
     assert len(pages.page_text(f"<main>{words}</main>", pages.SITE_RULES)) <= 2000 < len(pages.page_text(f"<main>{words}</main>", pages.SECTION_RULES)) <= 3000
     assert pages.page_text("<body><main>" + "m" * 60 + "</main><p>" + "b" * 99 + "</p></body>", pages.SITE_RULES).endswith("b" * 99)  # little text: the whole body
     assert "b" * 99 not in pages.page_text("<body><main>" + "m" * 120 + "</main><p>" + "b" * 99 + "</p></body>", pages.SITE_RULES)
+
+
+def test_folding_in_the_jvm(spark):
+    """Over all letters of Latin, Greek and Cyrillic, and marks behind them, as Python folds them."""
+    letters = [chr(i) for i in [*range(0x20, 0x250), *range(0x300, 0x530), *range(0x1C80, 0x1C90), *range(0x1D00, 0x2000), *range(0x2C60, 0x2C80), *range(0x2DE0, 0x2E00), *range(0xA640, 0xA7A0)] if unicodedata.category(chr(i)) != "Cn"]
+    texts = letters + [f"{a}{b}x" for a in "aEñΣ" for b in ("\u0301", "\u0327\u0308", "ς", "Σ")] + ["ΟΔΟΣ", "Ångström", "Jānis Bērziņš", "ÉÈ", "İ", ""]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", names.folded_name(F.col("t")).alias("v")).collect()
+    assert [(r.t, r.v) for r in got if r.v != names.folded(r.t)] == []
+
+
+def test_a_mailbox_with_most_records(spark):
+    """Without any broadcast that Spark chooses itself: the hot key is folded in rounds, as it would be in order."""
+    rows = [dict.fromkeys(LEAD, "") | {"email": "all@x" if i % 3 else f"m{i % 5}", "name": f"n{i}", "city": "" if i % 4 else f"c{i}", "source": "feed_a", "ord": i} for i in range(1, 200)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = dedup.merged_by_email(leads(spark, rows), most=20).select("ord", *LEAD).collect()
+        assert sorted(map(tuple, got)) == brute_merge(rows)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

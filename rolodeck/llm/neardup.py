@@ -12,8 +12,8 @@ are linked if their sets of shingles have a Jaccard similarity of at least ``sim
 4. What the candidates connect is a *cluster*. Inside a cluster every two sets are compared exactly, shingle by shingle through an inverted list, never one pair
    at a time; clusters that are too large for a task are dealt out as blocks against blocks. Links are merged at once and leave as stars.
 
-Cost: masks grow as the number of nodes to the power 0.24 (see README), fingerprints and hashes move, texts only where a cluster has two nodes or more
-and once for the rows that stay.
+Cost: masks grow as the number of nodes to the power 0.24 (see README); fingerprints and hashes move. Texts move once, for the rows that stay. The sets of clusters of two nodes or more are made where the texts are read: a
+Bloom filter of fixed size, made of the rows that the nodes name, picks them out, and of repeated rows a task makes one set.
 
 Defined results: all null or word-less texts are one node. Repeated rows and null ids are rows as any other: one row of each group stays. An empty
 table gives an empty result.
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .simhash import components, dealt_in_blocks, in_groups, merge, numbered_groups, star_edges
-from .util import binary, checkpointed, extended, fresh, join_hot, text_slices
+from .util import KeyFilter, binary, checkpointed, extended, fresh, join_hot, text_slices
 
 WIDTH = 4  # words of 64 bits in a fingerprint
 PRINT = [f"p{k}" for k in range(WIDTH)]
@@ -98,15 +98,24 @@ def with_prints(df: DataFrame, text: str, words: int) -> DataFrame:
     return df.mapInArrow(run, extended(df.drop(text), [T.StructField(c, T.LongType()) for c in ("node", "size", *PRINT)]))
 
 
-def with_sets(df: DataFrame, text: str, words: int) -> DataFrame:
-    """(node, shingles) of df's node and text. Narrow."""
+def named_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(node, shingles) of the rows that wanted names. docs: id, text, content; wanted: node, id_, content_, a row for each node."""
+    key = lambda *c: F.xxhash64(*c).alias("key")
+    told = docs.sparkSession.sparkContext.broadcast(KeyFilter.of(wanted.select(key("id_", "content_")), "key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, text):
-            sets = [shingles(t, words).tobytes() for t in binary(batch.column(text))]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], names=["node", "shingles"])
+        seen: set[tuple] = set()
+        for batch in text_slices(batches, "text"):
+            rows = batch.filter(pa.array(told.value.has(batch.column("key").to_numpy())))
+            names = list(zip(rows.column("id").to_pylist(), rows.column("content").to_pylist(), strict=True))
+            new = [i for i, n in enumerate(names) if n not in seen and not seen.add(n)]
+            rows = rows.take(pa.array(new, pa.int64()))
+            sets = [shingles(t, words).tobytes() for t in binary(rows.column("text"))]
+            yield pa.RecordBatch.from_arrays([rows.column("id"), rows.column("content"), pa.array(sets, pa.binary())], names=["id", "content", "shingles"])
 
-    return df.select("node", text).mapInArrow(run, "node long, shingles binary")
+    found = docs.select("id", "content", "text", key("id", "content")).mapInArrow(run, "id long, content long, shingles binary")
+    same = F.col("id").eqNullSafe(F.col("id_")) & (F.col("content") == F.col("content_"))
+    return found.join(wanted, same).select("node", "shingles").dropDuplicates(["node"])
 
 
 def bit_odds(similarity: float) -> float:
@@ -188,8 +197,8 @@ def _listed(column: np.ndarray, owner: np.ndarray, counts: np.ndarray, n: int, w
         at = end
 
 
-def set_links(members: DataFrame, texts: DataFrame, words: int, similarity: float, most: int, most_shingles: int) -> DataFrame:
-    """(node, root) for the exact links inside clusters. members: node, cluster, size; texts: node, text, one row for each node of members.
+def set_links(members: DataFrame, sets: DataFrame, similarity: float, most: int, most_shingles: int) -> DataFrame:
+    """(node, root) for the exact links inside clusters. members: node, cluster, size; sets: node, shingles, one row for each node of members.
 
     A cluster of over 128 nodes is dealt out in up to 16 blocks, so that tasks share it; none has over most / 2 nodes or about most_shingles / 2 shingles.
     """
@@ -199,7 +208,7 @@ def set_links(members: DataFrame, texts: DataFrame, words: int, similarity: floa
     placed = join_hot(members, clusters, ("cluster", "cluster_"), "n_", members.count())
     dealt = dealt_in_blocks(placed, F.when((n <= 128) & (size <= most_shingles), F.lit(1).cast("long")).otherwise(parts), F.xxhash64("node", F.lit(9)))
     dealt = dealt.select("cluster", "low", "high", "side", F.col("node").alias("node_"))
-    sets = checkpointed(with_sets(texts, "text", words))
+    sets = checkpointed(sets)
     keys = ("cluster", "low", "high")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,8 +249,7 @@ def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", words:
     clusters = components(star_edges(nodes, PRINT, plan, distance, most=20_000)).withColumnRenamed("node", "node_")
     members = checkpointed(nodes.join(clusters, F.col("node") == F.col("node_")).select("node", "size", "first", F.col("component").alias("cluster")))
     wanted = members.select("node", F.col("first.id").alias("id_"), F.col("first.hash").alias("content_"))
-    texts = d.join(wanted, F.col("id").eqNullSafe(F.col("id_")) & (F.col("content") == F.col("content_"))).select("node", "text").dropDuplicates(["node"])
-    return nodes.select("node", "size", "first"), components(set_links(members.drop("first"), texts, words, similarity, most, most_shingles))
+    return nodes.select("node", "size", "first"), components(set_links(members.drop("first"), named_sets(d, wanted, words), similarity, most, most_shingles))
 
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, recall: float = 0.999) -> DataFrame:

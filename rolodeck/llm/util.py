@@ -5,14 +5,15 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..cluster import checkpointed, fresh, shared_folder
+from ..cluster import checkpointed, filesystem, fresh, join_hot, shared_folder
 
-__all__ = ["WORD", "binary", "checkpointed", "extended", "filesystem", "free_prefix", "fresh", "join_hot", "new_folder", "shared_folder", "spread", "table", "text_or_empty", "text_slices"]
+__all__ = ["KeyFilter", "WORD", "binary", "checkpointed", "extended", "filesystem", "free_prefix", "fresh", "join_hot", "new_folder", "shared_folder", "spread", "table", "text_or_empty", "text_slices"]
 
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,13 +32,6 @@ def new_folder(spark: SparkSession, kind: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
 
 
-def filesystem(uri: str):
-    """(pyarrow filesystem, path inside it) of a URI or a plain path; works on executors as on the driver."""
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri) if ":/" in uri else (fs.LocalFileSystem(), uri)
-
-
 def binary(column: pa.ChunkedArray | pa.Array) -> list:
     """The UTF-8 bytes of a string column; null stays None."""
     return column.cast(pa.large_binary()).to_pylist()
@@ -72,17 +66,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def join_hot(left: DataFrame, right: DataFrame, on: tuple[str, str], weight: str, total: int, heavy: int = 1_000) -> DataFrame:
-    """left joined (inner) with right, which has one row for each key, by equality of left's column on[0] and right's on[1].
-
-    weight: right's column with the number of left's rows that have the key; total: at least the sum of all weights. Keys of over ``heavy`` rows and over a
-    ten-thousandth of total are told to all tasks by a broadcast: there are fewer than 10,000, whatever the tables' sizes. All others are joined as
-    Spark sees fit, and none of them is much for one task. Both tables are read twice.
-    """
-    most = max(total // 10_000, heavy)
-    hot, cold = F.broadcast(right.filter(F.col(weight) > most)), right.filter(F.col(weight) <= most)
-    same = F.col(on[0]) == F.col(on[1])
-    return left.join(hot, same).unionByName(left.join(hot.select(on[1]), same, "left_anti").join(cold, same))
+class KeyFilter:
+    """A Bloom filter of 64-bit keys, of a fixed number of bits: it may let a key pass that is not among them, and never keeps out one that is."""
+
+    PROBES = 3
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+
+    @staticmethod
+    def _bits(keys: np.ndarray, probe: int, bits: int) -> np.ndarray:
+        x = keys.view(np.uint64) + np.uint64((probe + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
+        for shift, times in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = (x ^ (x >> np.uint64(shift))) * np.uint64(times)
+        return (x ^ (x >> np.uint64(31))) % np.uint64(bits)
+
+    @classmethod
+    def of(cls, df: DataFrame, key: str, bits: int = 1 << 26) -> "KeyFilter":
+        """The filter of df's keys. Tasks set bits, words of 64 are put together before and behind a shuffle; the driver sees bits / 64 rows at most, whatever the table's size."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keys = batch.column(key).to_numpy()
+                bit = np.unique(np.concatenate([cls._bits(keys, i, bits) for i in range(cls.PROBES)]))
+                if len(bit):
+                    at = bit >> np.uint64(6)
+                    new = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+                    word = np.bitwise_or.reduceat(np.uint64(1) << (bit & np.uint64(63)), new)
+                    yield pa.RecordBatch.from_arrays([pa.array(at[new].astype(np.int64)), pa.array(word.view(np.int64))], names=["at", "word"])
+
+        found = df.select(key).mapInArrow(run, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
+        words = np.zeros(bits // 64, np.uint64)
+        words[found.column("at").to_numpy()] = found.column("word").to_numpy().view(np.uint64)
+        return cls(words)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        out = np.ones(len(keys), bool)
+        for i in range(self.PROBES):
+            bit = self._bits(keys, i, 64 * len(self.words))
+            out &= (self.words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+        return out
 
 
 def spread(work: DataFrame, each: int = 8) -> DataFrame:

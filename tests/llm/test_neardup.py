@@ -169,3 +169,75 @@ def test_stage_drops_copies_of_similarity_four_fifths(spark, small):
 
 def test_empty(spark):
     assert N.keep_one(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def exact_pairs(sets, least=0.8):
+    """All pairs of sets at that similarity: such sets share one of their rarest elements; what shares one is compared as a whole."""
+    import collections
+
+    count = collections.Counter(x for s in sets for x in s)
+    listed, found = collections.defaultdict(list), []
+    for i, s in enumerate(sets):
+        rare = sorted(s, key=lambda x: (count[x], x))[: len(s) - int(-(-least * len(s) // 1)) + 1]
+        for j in {j for x in rare for j in listed[x]}:
+            both = len(s & sets[j])
+            if both >= least * (len(s) + len(sets[j]) - both) - 1e-9:
+                found.append((j, i))
+        for x in rare:
+            listed[x].append(i)
+    return found
+
+
+def test_the_stage_over_a_large_table(spark):
+    """Over all of sf0.1 the stage keeps what exact comparison of all pairs keeps: no link is lost, none is added."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rows = sorted((r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect())
+    codes = {}
+    sets = [{codes.setdefault(x, len(codes)) for x in plain_shingles(t)} for _, t in rows]
+    root = roots_of(exact_pairs(sets), len(sets))
+    empty = [i for i, s in enumerate(sets) if not s]
+    want = sorted(rows[i][0] for i in range(len(rows)) if root[i] == i and (sets[i] or i == empty[0]))
+    assert sorted(r.doc_id for r in N.keep_one(docs).select("doc_id").collect()) == want
+    assert len(want) < len(rows)
+
+
+def exchanged(df):
+    """The columns that each exchange of the plan moves."""
+    import re
+
+    plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return re.findall(r"\(\d+\) Exchange[^\n]*\nInput \[\d+\]: \[([^\]]*)\]", plan)
+
+
+def test_texts_are_shuffled_once(spark, tmp_path):
+    """Without any broadcast join: sets are made where texts are read, and only the rows that stay are dealt, once."""
+    docs = spark.createDataFrame([(i % 90, t) for i, t in enumerate(planted())], "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        d = docs.select(N.F.col("doc_id").alias("id"), "text", N.content_hash("text").alias("content"))
+        wanted = d.limit(20).select(N.F.monotonically_increasing_id().alias("node"), N.F.col("id").alias("id_"), N.F.col("content").alias("content_"))
+        moved = exchanged(N.named_sets(d, wanted, 5))
+        assert moved and not any("text#" in m for m in moved if "shingles" in m or "content#" in m)
+        assert sum("text#" in m for m in exchanged(N.keep_one(docs))) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_named_sets_of_repeated_rows(spark):
+    """Null ids and repeated rows: a set for each node, whatever the number of its rows."""
+    rows = [(1, "a b c d e f"), (None, "a b c d e f")] + [(None, "x y z u v w")] * 50 + [(2, None), (2, "other words here")]
+    d = spark.createDataFrame(rows, "id long, text string").withColumn("content", N.content_hash("text"))
+    wanted = d.filter("id is null or id = 1").distinct().select(N.F.xxhash64("id", "content").alias("node"), N.F.col("id").alias("id_"), N.F.col("content").alias("content_"))
+    got = {r.node: r.shingles for r in N.named_sets(d, wanted, 5).collect()}
+    want = {r.node: N.shingles(t.encode(), 5).tobytes() for r in wanted.collect() for i, t in rows if i == r.id_ and t and d.filter(N.F.col("text") == t).first().content == r.content_}
+    assert got == want and len(got) == 3
+
+
+def test_key_filter(spark):
+    rng = np.random.default_rng(1)
+    keys, others = rng.integers(-(2**63), 2**63, (2, 3000))
+    f = N.KeyFilter.of(spark.createDataFrame([(int(k),) for k in keys], "k long"), "k", 1 << 16)
+    assert f.has(keys).all() and f.has(others).mean() < 0.02
+    assert not N.KeyFilter.of(spark.createDataFrame([], "k long"), "k").has(others).any()

@@ -9,8 +9,8 @@ searcher. With m its patterns' length and a block of two consecutive words, the
 * and it compares each such pattern with the text's words directly, so a hit is always a true occurrence.
 
 The benchmark's patterns are compiled on the driver in blocks of at most ``most_words`` words (some 100 MB of tables) and broadcast; the documents are one narrow pass with no shuffle. A
-larger benchmark is searched block by block: a pass adds its hits to what earlier passes found, with a checkpoint in between, so that no
-task ever holds more than one block.
+larger benchmark is kept as files of such blocks in the shared folder: a task takes some documents, reads and compiles one block after another, and adds up what each finds. So it is one narrow pass whatever the benchmark's size,
+no document is written or shuffled, and no task ever holds more than one block's tables and ``HELD`` bytes of text. The files stay there, for the result may be worked out again.
 
 Defined results: a null, empty or word-less text has no words and no hits; items without words are ignored; an item with a null id marks words but is
 not listed; items with equal ids count once. Rows, repeated or not, stay one for one. An empty benchmark hits nothing.
@@ -27,8 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .util import binary, checkpointed, extended, fresh, text_slices
+from .util import binary, extended, filesystem, new_folder, text_slices
 
+#: Bytes of text that a task searches for one block after another.
+HELD = 64 << 20
 #: Bytes of words: digits, a-z after lower-casing A-Z, and all beyond ASCII; others are blanks.
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 #: The same for Spark, on lower-cased text.
@@ -110,50 +112,102 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     clash = {c.lower() for c in docs.columns} & {c.lower() for c in names}
     if clash:
         raise ValueError(f"columns {sorted(clash)} exist already; choose a prefix=")
-    spark = docs.sparkSession
-    hit, items = fresh(docs.columns, "_hit"), fresh(docs.columns, "_items")
-    parts = _blocks(benchmark, item_id, item_text, most_words) or [None]
-    found = docs
-    for k, part in enumerate(parts):
-        windows = [(w, r.item) for r in part.toLocalIterator() for w in item_windows((r.text or "").encode(), width)] if part is not None else []
-        tables = spark.sparkContext.broadcast(compile_patterns(windows))
-        last = k == len(parts) - 1
-        kinds = (T.LongType(), T.LongType(), T.LongType(), T.StringType(), T.BooleanType())
-        fields = [T.StructField(n, t) for n, t in zip(names, kinds, strict=True)] if last else [T.StructField(hit, T.BinaryType()), T.StructField(items, T.ArrayType(T.StringType()))]
-        base = docs if keep_text or not last else docs.drop(text)
-        found = _pass(checkpointed(found) if k else found, text, hit, items, tables, extended(base, fields), share if last else None)
-    return found
-
-
-def _pass(docs: DataFrame, text: str, hit: str, items: str, tables, schema: T.StructType, share: tuple[int, int] | None) -> DataFrame:
-    """docs with what the tables' patterns and earlier passes found: as ``hit`` (a bit for each word, null: none) and ``items``, or, given share, as results."""
-    names = schema.names
-    earlier = hit in docs.columns
+    parts = _blocks(benchmark, item_id, item_text, most_words)
+    if len(parts) > 1:
+        searchers = _Files(docs.sparkSession, parts, width)
+    else:
+        windows = [w for part in parts for r in part.toLocalIterator() for w in _windows([(r.item, (r.text or "").encode())], width)]
+        searchers = _Shared(docs.sparkSession, compile_patterns(windows))
+    kinds = (T.LongType(), T.LongType(), T.LongType(), T.StringType(), T.BooleanType())
+    schema = extended(docs if keep_text else docs.drop(text), [T.StructField(n, t) for n, t in zip(names, kinds, strict=True)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        searchers = tables.value
-        for batch in text_slices(batches, text):
-            old = zip(batch.column(hit).to_pylist(), batch.column(items).to_pylist(), strict=True) if earlier else [(None, None)] * batch.num_rows
-            rows = []
-            for t, (before, known) in zip(binary(batch.column(text)), old, strict=True):
-                words, ids, mark = words_of(t), set(known or ()), None
-                for s in searchers:
-                    for start, named in s.search(words):
-                        if mark is None:
-                            mark = np.zeros(len(words), bool)
-                        mark[start : start + s.m] = True
-                        ids |= named
-                if before is not None:
-                    was = np.unpackbits(np.frombuffer(before, np.uint8))[: len(words)].astype(bool)
-                    mark = was if mark is None else mark | was
-                if share is None:
-                    rows.append((None if mark is None else np.packbits(mark).tobytes(), None if mark is None else sorted(ids)))
-                else:
-                    n_hit = 0 if mark is None else int(mark.sum())
-                    rows.append((len(words), n_hit, len(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest(), n_hit > 0 and n_hit * share[1] >= len(words) * share[0]))
-            kinds = (pa.binary(), pa.list_(pa.string())) if share is None else (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_())
-            new = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-            kept = [i for i, c in enumerate(batch.schema.names) if c in names and c not in (hit, items)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), *new], names=names)
+        for held in _together(text_slices(batches, text), text, HELD if searchers.several else 0):
+            found = [_Hits() for batch in held for _ in range(batch.num_rows)]
+            for block in searchers.blocks():
+                rows = iter(found)
+                for batch in held:
+                    for t in binary(batch.column(text)):
+                        next(rows).add(words_of(t), block)
+            rows = iter(found)
+            for batch in held:
+                new = [next(rows).result(share) for _ in range(batch.num_rows)]
+                columns = [pa.array(c, k) for c, k in zip(zip(*new, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_()), strict=True)]
+                kept = [i for i, c in enumerate(batch.schema.names) if keep_text or c != text]
+                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), *columns], names=schema.names)
 
     return docs.mapInArrow(run, schema)
+
+
+class _Hits:
+    """What is found in one text: a mark for each word that is hit, and items."""
+
+    def __init__(self):
+        self.n, self.mark, self.ids = 0, None, set()
+
+    def add(self, words: list[bytes], searchers: list[WuManber]) -> None:
+        self.n = len(words)
+        for s in searchers:
+            for start, named in s.search(words):
+                if self.mark is None:
+                    self.mark = np.zeros(self.n, bool)
+                self.mark[start : start + s.m] = True
+                self.ids |= named
+
+    def result(self, share: tuple[int, int]) -> tuple[int, int, int, str, bool]:
+        n_hit = 0 if self.mark is None else int(self.mark.sum())
+        return self.n, n_hit, len(self.ids), hashlib.sha256(",".join(sorted(self.ids)).encode()).hexdigest(), n_hit > 0 and n_hit * share[1] >= self.n * share[0]
+
+
+def _windows(items: list[tuple[str | None, bytes]], width: int) -> list[tuple[tuple[bytes, ...], str | None]]:
+    return [(w, item) for item, text in items for w in item_windows(text, width)]
+
+
+def _together(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in lists of about ``most`` bytes of text."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(text).nbytes
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+class _Shared:
+    """Searchers of one block, told to all tasks."""
+
+    several = False
+
+    def __init__(self, spark, searchers: list[WuManber]):
+        self.told = spark.sparkContext.broadcast(searchers)
+
+    def blocks(self) -> Iterator[list[WuManber]]:
+        yield self.told.value
+
+
+class _Files:
+    """Blocks of a benchmark as files in the shared folder, compiled where they are used."""
+
+    several = True
+
+    def __init__(self, spark, parts: list[DataFrame], width: int):
+        folder = new_folder(spark, "benchmark")
+        self.width, self.paths = width, [f"{folder}/{k}" for k in range(len(parts))]
+        files, inner = filesystem(folder)
+        files.create_dir(inner)
+        for path, part in zip(self.paths, parts, strict=True):
+            with files.open_output_stream(filesystem(path)[1]) as out:
+                rows = [(r.item, (r.text or "").encode()) for r in part.toLocalIterator()]
+                items = pa.table({"item": pa.array([i for i, _ in rows], pa.string()), "text": pa.array([t for _, t in rows], pa.binary())})
+                with pa.ipc.new_stream(out, items.schema) as writer:
+                    writer.write_table(items)
+
+    def blocks(self) -> Iterator[list[WuManber]]:
+        for path in self.paths:
+            files, inner = filesystem(path)
+            with files.open_input_stream(inner) as found:
+                items = pa.ipc.open_stream(found).read_all()
+            yield compile_patterns(_windows(list(zip(items.column("item").to_pylist(), items.column("text").to_pylist(), strict=True)), self.width))

@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 
 from rolodeck.llm import decontaminate as D
 
@@ -68,3 +69,13 @@ def test_empty_benchmark_and_clash(spark):
     with pytest.raises(ValueError):
         D.find_contamination(odd, b)
     assert D.find_contamination(odd, b, prefix="x_").columns[:2] == ["n_HIT", "text"]
+
+
+def test_many_blocks_write_no_text(spark, monkeypatch):
+    """A benchmark of many blocks: one narrow pass, in whose plan nothing is shuffled or read from a checkpoint; only the benchmark is written."""
+    docs, items, d, b = tables(spark, 7)
+    monkeypatch.setattr(DataFrame, "checkpoint", lambda *_: pytest.fail("a checkpoint"))
+    got = D.find_contamination(d, b, most_words=20, keep_text=False)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "MapInArrow" in plan
+    assert sorted(map(tuple, got.collect()), key=str) == brute(docs, items)

@@ -5,8 +5,8 @@ Each language has a codeword of bits, far from all others. Each bit splits the l
 codeword, an exponential loss of the margins against its bits, weighted by how reliable each bit's classifier is, and takes the codeword of least loss. A document whose two best
 codewords are nearly as good is flagged ambiguous.
 
-Training is one aggregation over all training documents (no sample): n-gram counts by language are summed inside tasks, then over tasks. The result is a table of
-languages x DIMENSIONS numbers, which is small whatever the corpus's size; languages beyond MOST_LANGUAGES are refused. Prediction is one narrow pass.
+Training is one aggregation over all training documents (no sample): n-gram counts by language are summed inside tasks, then over tasks, into an array of DIMENSIONS numbers for each language. The driver reads these
+arrays one by one and keeps the classifiers' sums only (DIMENSIONS x bits numbers; bits grow with the logarithm of the number of languages). All languages are learnt; ``most`` may limit them. Prediction is one narrow pass.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; so is every text if there is nothing to learn from. Rows stay one for one.
 """
@@ -25,8 +25,10 @@ from pyspark.sql import types as T
 from .util import binary, checkpointed, extended, text_slices
 
 DIMENSIONS = 1 << 13
-#: A model knows so many languages at most: those with most text.
-MOST_LANGUAGES = 500
+#: So many languages' counts are held by a task at a time (64 KB each).
+HELD = 500
+#: Beyond so many languages codewords are drawn with more bits and not searched for.
+SEARCHED = 4_000
 UNKNOWN = "und"
 #: ASCII letters in lower case, bytes beyond ASCII as they are, all else a blank.
 _LETTERS = np.array([c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256)], np.uint8)
@@ -53,7 +55,7 @@ def grams(text: bytes) -> np.ndarray:
 
 
 def codewords(k: int) -> np.ndarray:
-    """k codewords of +1 and -1. Up to 6 languages: all splits (exhaustive codes); more: a seeded, greedy search for columns that keep rows apart."""
+    """k codewords of +1 and -1. Up to 6 languages: all splits (exhaustive codes); more: a seeded, greedy search for columns that keep rows apart; beyond SEARCHED: drawn, with bits enough for them to be far apart."""
     if k < 2:
         return np.ones((k, 1))
     if k <= 6:
@@ -61,15 +63,22 @@ def codewords(k: int) -> np.ndarray:
         rows = [np.ones(len(splits), int), *[np.where(splits >> i & 1, 1, -1) for i in range(k - 1)]]
         return np.array(rows)
     bits = max(15, 4 * int(np.ceil(np.log2(k))))
-    rng, code, apart = np.random.default_rng(k), np.zeros((k, 0), int), np.zeros((k, k), int)
-    pairs = np.triu_indices(k, 1)
+    rng, code = np.random.default_rng(k), np.zeros((k, 0), int)
+    if k > SEARCHED:
+        return rng.choice([-1, 1], size=(k, 2 * bits))
+    first, second = np.triu_indices(k, 1)
+    apart = np.zeros(len(first), np.int16)
     for _ in range(bits):  # column by column: of fifty drawn ones the one that leaves the nearest rows farthest apart, and fewest of them so near
-        drawn = rng.choice([-1, 1], size=(50, k))
-        drawn = drawn[np.abs(drawn.sum(axis=1)) < k]
-        after = [apart[pairs] + (c[pairs[0]] != c[pairs[1]]) for c in drawn]
-        best = max(range(len(drawn)), key=lambda i: (after[i].min(), -int((after[i] == after[i].min()).sum())))
-        code = np.column_stack([code, drawn[best]])
-        apart[pairs] = after[best]
+        best = None
+        for c in rng.choice([-1, 1], size=(50, k)):
+            if abs(c.sum()) == k:
+                continue
+            after = apart + (c[first] != c[second])
+            nearest = int(after.min())
+            worth = (nearest, -int((after == nearest).sum()))
+            if best is None or worth > best[0]:
+                best = (worth, c, after)
+        code, apart = np.column_stack([code, best[1]]), best[2]
     return code
 
 
@@ -96,10 +105,10 @@ class Model:
         return self.languages[order[0]], score, bool(loss[order[1]] - loss[order[0]] < close)
 
 
-def count_grams(labelled: DataFrame, text: str, lang: str, most: int = MOST_LANGUAGES) -> dict[str, np.ndarray]:
-    """Of each language its n-gram counts; of more than ``most`` languages those with most n-grams, ties by name.
+def count_grams(labelled: DataFrame, text: str, lang: str, most: int | None = None) -> DataFrame:
+    """(lang, counts): each language's n-gram counts, DIMENSIONS longs as bytes; of more than ``most`` languages those with most n-grams, ties by name. A checkpointed table.
 
-    Each task sums what it reads, some languages at a time; (language, n-gram) sums are shuffled, and one row for each of the kept languages reaches the driver.
+    Each task sums what it reads, some languages at a time; (language, n-gram) sums are shuffled, and those of a language become one row.
     """
     kinds = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text")).filter("lang is not null and text is not null")
 
@@ -115,41 +124,48 @@ def count_grams(labelled: DataFrame, text: str, lang: str, most: int = MOST_LANG
         for batch in text_slices(batches, "text"):
             for name, t in zip(batch.column("lang").to_pylist(), binary(batch.column("text")), strict=True):
                 sums[name] = sums[name] + grams(t) if name in sums else grams(t)
-                if len(sums) > most:
+                if len(sums) > HELD:
                     yield from done()
         yield from done()
 
-    sums = checkpointed(kinds.mapInArrow(run, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    kept = sums.groupBy("lang").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "lang").limit(most)
-    rows = sums.join(F.broadcast(kept.select("lang")), "lang", "left_semi").toPandas()
-    found = {n: np.zeros(DIMENSIONS, np.int64) for n in sorted(rows["lang"].unique())}
-    for name, part in rows.groupby("lang"):
-        found[name][part["gram"].to_numpy()] = part["n"].to_numpy()
-    return found
+    def gather(rows: pa.Table) -> pa.Table:
+        counts = np.zeros(DIMENSIONS, np.int64)
+        counts[rows.column("gram").to_numpy()] = rows.column("n").to_numpy()
+        return pa.table({"lang": rows.column("lang").slice(0, 1), "counts": pa.array([counts.tobytes()], pa.binary())})
 
+    sums = kinds.mapInArrow(run, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    if most is not None:
+        sums = checkpointed(sums)
+        kept = sums.groupBy("lang").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "lang").limit(most)
+        sums = sums.join(kept.select("lang"), "lang", "left_semi")
+    return checkpointed(sums.groupBy("lang").applyInArrow(gather, "lang string, counts binary").orderBy("lang"))
 
-def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
-    """A model from all labelled rows with a text and a language."""
-    found = count_grams(labelled, text, lang)
-    names = list(found)
+
+def train(labelled: DataFrame, text: str = "text", lang: str = "lang", most: int | None = None) -> Model:
+    """A model from all labelled rows with a text and a language; most: of so many languages, those with most text."""
+    found = count_grams(labelled, text, lang, most)
+    names = [r.lang for r in found.select("lang").collect()]  # a name for each language; texts stay where they are
     code = codewords(len(names))
     if not names:
         return Model([], code, np.zeros((DIMENSIONS, 1)), np.ones(1), np.ones(1))
-    profiles = np.array([(found[n] + 0.5) / (found[n].sum() + 0.5 * DIMENSIONS) for n in names])  # each language counts alike, however many rows it has
-    weights, trust, scale = [], [], []
-    for bit in range(code.shape[1]):
-        plus, minus = code[:, bit] > 0, code[:, bit] < 0
-        if not plus.any() or not minus.any():
-            w = np.zeros(DIMENSIONS)
-        else:
-            w = np.log(profiles[plus].mean(axis=0)) - np.log(profiles[minus].mean(axis=0))
-        margins = profiles @ w  # of a long text in each language
-        least = float((margins * code[:, bit]).min())
-        weights.append(w)
-        trust.append(max(least, 1e-6))  # a bit that separates its languages well is trusted more
-        scale.append(2.0 / max(float(np.abs(margins).mean()), 1e-9))
-    trust = np.array(trust)
-    return Model(names, code, np.array(weights).T.copy(), trust / trust.sum() * 4, np.array(scale))
+
+    def profiles() -> Iterator[np.ndarray]:
+        """The languages' shares of n-grams, in order of their names, one at a time: each language counts alike, however many rows it has."""
+        for row in found.toLocalIterator():
+            counts = np.frombuffer(row.counts, np.int64)
+            yield (counts + 0.5) / (counts.sum() + 0.5 * DIMENSIONS)
+
+    sums = np.zeros((2, code.shape[1], DIMENSIONS))  # of both sides of each bit
+    for own, profile in zip(code, profiles(), strict=True):
+        sums[0, own > 0] += profile
+        sums[1, own < 0] += profile
+    plus, minus = (code > 0).sum(axis=0), (code < 0).sum(axis=0)
+    split = (plus > 0) & (minus > 0)  # any other bit tells nothing
+    weights = np.zeros((code.shape[1], DIMENSIONS))
+    weights[split] = np.log(sums[0, split] / plus[split, None]) - np.log(sums[1, split] / minus[split, None])
+    margins = np.array([weights @ profile for profile in profiles()])  # of a long text in each language
+    least = np.maximum((margins * code).min(axis=0), 1e-6)  # a bit that separates its languages well is trusted more
+    return Model(names, code, weights.T.copy(), least / least.sum() * 4, 2.0 / np.maximum(np.abs(margins).mean(axis=0), 1e-9))
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", into: tuple[str, str, str] = ("lang_pred", "score", "ambiguous"), keep_text: bool = True) -> DataFrame:

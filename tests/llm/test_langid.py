@@ -117,9 +117,20 @@ def test_query_against_plain_version(spark, small):
         assert (r.held_out, r.lang_pred) == (held[r.doc_id], name) and r.score == pytest.approx(score, abs=1e-9)
 
 
-def test_more_languages_than_are_kept(spark):
-    """600 languages: the 500 with most text are known; with 3 kept, ties go by name."""
-    df = spark.createDataFrame([("abc " * (1 + i // 100) + f"x{i}", f"l{i:03}") for i in range(600)], "text string, lang string")
-    assert len(L.train(df).languages) == 500
-    few = L.count_grams(spark.createDataFrame([("aa bb", "q"), ("aa bb", "b"), ("aa bb", "c"), ("aa bb cc dd", "z")], "text string, lang string"), "text", "lang", most=3)
-    assert list(few) == ["b", "c", "z"]
+def test_many_languages(spark):
+    """All of 700 are known, and found again; a limit keeps those with most text, ties by name."""
+    df = spark.createDataFrame([(f"{chr(0x4E00 + 7 * i)}{chr(0x4E00 + 7 * i + 3)} " * (300 + i % 5), f"l{i:03}") for i in range(700)], "text string, lang string")
+    model = L.train(df)
+    assert len(model.languages) == 700 and model.weights.shape == (L.DIMENSIONS, model.code.shape[1])
+    got = L.identify(df.filter("lang like '%50'"), model).collect()
+    assert sum(r.lang == r.lang_pred for r in got) >= 0.8 * len(got) and len(got) == 7
+    few = spark.createDataFrame([("aa bb", "q"), ("aa bb", "b"), ("aa bb", "c"), ("aa bb cc dd", "z")], "text string, lang string")
+    assert L.train(few, most=3).languages == ["b", "c", "z"]
+    assert L.train(few).languages == ["b", "c", "q", "z"]
+
+
+def test_drawn_codewords(monkeypatch):
+    monkeypatch.setattr(L, "SEARCHED", 50)
+    code = L.codewords(60)
+    assert len({tuple(r) for r in code.tolist()}) == 60
+    assert min((code[i] != code[j]).sum() for i in range(60) for j in range(i)) >= code.shape[1] // 5

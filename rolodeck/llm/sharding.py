@@ -5,8 +5,8 @@ the numbers; where its domain is larger than n, cycle walking applies it again u
 shuffle: ``place mod shards`` is the shard, ``place div shards`` the slot. Shards' counts differ by one at most and slots have no gaps. Whoever
 knows n and the key can compute shard and slot of a row number, and the row number at a slot, without the table (``place_of`` and ``row_at``).
 
-Row numbers without a single task that sees all rows: a hash of the row deals rows to ``buckets`` buckets, an aggregation counts the buckets, a running
-sum over this small table gives each bucket's first number, and a window inside each bucket numbers its rows. Rows are dealt by id and content together, so
+Row numbers without a single task that sees all rows: a hash of the row deals rows to ``buckets`` buckets, an aggregation counts the buckets, running
+sums over this table, in two levels, give each bucket's first number, and a window inside each bucket numbers its rows. Rows are dealt by id and content together, so
 many rows of one id spread; only rows equal in all that is looked at share a bucket, and they are interchangeable.
 
 Defined results: null ids, null and empty texts are rows as any other (size 1, CRC-32 of nothing: 0). Repeated rows each get a slot of their own. An empty
@@ -23,6 +23,10 @@ from pyspark.sql import functions as F
 from .util import fresh, text_or_empty
 
 ROUNDS = 6
+#: Buckets that are numbered together.
+BLOCK = 4096
+#: Up to so many buckets' first numbers are told to all tasks (24 bytes each); beyond, rows meet them by bucket.
+BROADCAST_BUCKETS = 100_000
 
 
 def _round(value: Column, key: str, modulus: Column) -> Column:
@@ -67,13 +71,20 @@ def bucketed_numbers(df: DataFrame, keys: list[Column], order: list[Column], row
     bucket, first, bucket_, count = (fresh([*df.columns, row, n], x) for x in ("_bucket", "_first", "_bucket2", "_count"))
     dealt = df.withColumn(bucket, F.pmod(F.xxhash64(*keys), F.lit(buckets)))
     sizes = dealt.groupBy(F.col(bucket).alias(bucket_)).agg(F.count(F.lit(1)).alias(count))
-    # At most ``buckets`` rows, whatever the table's size: small enough for one task and for a broadcast.
-    everything = Window.orderBy(bucket_)
-    offsets = sizes.select(bucket_, (F.sum(count).over(everything) - F.col(count)).alias(first), F.sum(count).over(everything.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias(n))
+    # Buckets are numbered in blocks, and only blocks, buckets / BLOCK rows, by one task.
+    block, block_, before = (fresh([*df.columns, row, n, bucket_, count], x) for x in ("_block", "_block2", "_before"))
+    sizes = sizes.withColumn(block, F.floor(F.col(bucket_) / BLOCK))
+    everything = Window.orderBy(block_)
+    blocks = sizes.groupBy(F.col(block).alias(block_)).agg(F.sum(count).alias(before))
+    blocks = blocks.select(block_, (F.sum(before).over(everything) - F.col(before)).alias(before), F.sum(before).over(everything.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias(n))
+    offsets = sizes.withColumn(first, F.sum(count).over(Window.partitionBy(block).orderBy(bucket_)) - F.col(count)).join(F.broadcast(blocks), F.col(block) == F.col(block_))
+    offsets = offsets.select(bucket_, (F.col(first) + F.col(before)).alias(first), n)
+    if buckets <= BROADCAST_BUCKETS:
+        offsets = F.broadcast(offsets)
     inside = Window.partitionBy(bucket).orderBy(*order)
     return (
         dealt.withColumn(row, F.row_number().over(inside).cast("long") - 1)
-        .join(F.broadcast(offsets), F.col(bucket) == F.col(bucket_))
+        .join(offsets, F.col(bucket) == F.col(bucket_))
         .withColumn(row, F.col(row) + F.col(first))
         .drop(bucket, first, bucket_)
     )

@@ -39,6 +39,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..cluster import without_hot
+from ..operators.graph import components
 from .util import binary, checkpointed, extended, fresh, join_hot, text_slices
 
 #: Of a group of nodes that is dealt out in blocks, up to so many blocks are told to tasks by a broadcast (16 bytes each).
@@ -246,11 +248,15 @@ def star_edges(nodes: DataFrame, words: list[str], masks: list[list[int]], max_b
     key = F.xxhash64("mask.i", *[F.col(w).bitwiseAND(F.col(f"mask.m{k}")) for k, w in enumerate(words)])
     keyed = nodes.select("node", *words, F.explode(kinds).alias("mask")).select("node", *words, key.alias("key"))
     parts = F.lit(1).cast("long")
-    if nodes.count() > most:
+    if (count := nodes.count()) > most:
         sizes = keyed.groupBy(F.col("key").alias("key_")).agg(F.count(F.lit(1)).alias("n_"))
         large = checkpointed(sizes.filter(F.col("n_") > most))
         if n := large.count():
-            keyed = keyed.join(F.broadcast(large) if n <= BROADCAST_GROUPS else large, F.col("key") == F.col("key_"), "left")
+            if n <= BROADCAST_GROUPS:
+                keyed = keyed.join(F.broadcast(large), F.col("key") == F.col("key_"), "left")
+            else:
+                hot = (large, ("key", "key_"), "n_", count * len(masks))
+                keyed = join_hot(keyed, *hot).unionByName(without_hot(keyed, *hot), allowMissingColumns=True)
             parts = F.coalesce(F.ceil(F.col("n_") / F.lit(most / 2)).cast("long"), parts)
     dealt = dealt_in_blocks(keyed, parts, F.xxhash64("node", F.lit(7))).select("key", "low", "high", "side", "node", *words)
     keys = ("key", "low", "high")
@@ -271,30 +277,6 @@ def star_edges(nodes: DataFrame, words: list[str], masks: list[list[int]], max_b
     return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "node long, root long").filter("root < node")
 
 
-def components(edges: DataFrame, heavy: int = 1_000) -> DataFrame:
-    """(node, component): the smallest node that each node of the edges (node, root) reaches. Nodes without edges are left out.
-
-    Alternating star contraction: a large-star step ties each larger neighbour to the smallest one, a small-star step each smaller one, until every
-    edge points at its component's smallest node. Both steps are joins by a node; where one has over ``heavy`` neighbours they are ``join_hot``.
-    """
-    state = checkpointed(edges.filter("node <> root").select(F.greatest("node", "root").alias("big"), F.least("node", "root").alias("small")).distinct())
-    while True:
-        both = state.unionByName(state.select(F.col("small").alias("big"), F.col("big").alias("small")))
-        lowest = checkpointed(both.groupBy(F.col("big").alias("u")).agg(F.min("small").alias("m"), F.count(F.lit(1)).alias("n")))
-        # Done if each node with a smaller neighbour has no other: then all these are roots.
-        now = lowest.agg(F.sum("n").alias("total"), F.max("n").alias("most"), F.max((F.col("m") < F.col("u")) & (F.col("n") > 1)).alias("open")).first()
-        if not now.open:
-            return lowest.select(F.col("u").alias("node"), F.least("u", "m").alias("component"))
-
-        def by_node(left: DataFrame, right: DataFrame, now=now) -> DataFrame:
-            return join_hot(left, right, ("big", "u"), "n", now.total, heavy) if now.most > heavy else left.join(right, F.col("big") == F.col("u"))
-
-        large = by_node(both, lowest).filter("small > big").select(F.col("small").alias("big"), F.least("u", "m").alias("small")).distinct()
-        down = large.groupBy(F.col("big").alias("u")).agg(F.min("small").alias("m"), F.count(F.lit(1)).alias("n"))
-        small = by_node(large, down).select(F.explode(F.array(F.struct(F.col("small").alias("big"), F.col("m").alias("small")), F.struct("big", F.col("m").alias("small")))).alias("e"))
-        state = checkpointed(small.select("e.big", "e.small").filter("big <> small").distinct())
-
-
 def simhash_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 4, max_bits: int = 4, blocks: int = 6, most: int = 20_000, seed: int = 42) -> DataFrame:
     """One row for each document: ``id``, ``fingerprint`` (signed long), ``component`` (smallest id reachable).
 

@@ -115,9 +115,10 @@ def documents(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, print string"), rows
 
 
-@pytest.mark.parametrize("most, blocks", [(20_000, 6), (6, 6), (3, 5)])
-def test_groups_against_brute_force(spark, most, blocks):
-    """Null and empty texts, null ids, repeated rows, a column that clashes, and upper groups split into blocks."""
+@pytest.mark.parametrize("most, blocks, told", [(20_000, 6, 100_000), (6, 6, 100_000), (3, 5, 100_000), (3, 6, 0)])
+def test_groups_against_brute_force(spark, monkeypatch, most, blocks, told):
+    """Null and empty texts, null ids, repeated rows, a column that clashes, and upper groups split into blocks, with their sizes told to all tasks or joined."""
+    monkeypatch.setattr(S, "BROADCAST_GROUPS", told)
     docs, rows = documents(spark)
     prints = [plain_fingerprint(t or "", 4) for _, t, _ in rows]
     roots = brute(prints, 4)

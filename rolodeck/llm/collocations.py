@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..cluster import numbered
-from .util import binary, checkpointed, filesystem, new_folder, text_slices
+from .util import binary, checkpointed, filesystem, join_hot, new_folder, text_slices
 
 LONGEST = 4
 #: Words that neighbouring chunks share: all but one of the longest phrase.
@@ -328,6 +328,6 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     # Numbered by ranges of one order over all languages, each from its first number on: no task sees a language's candidates together.
     order = [F.col("lang"), F.desc("score"), F.desc("a"), F.col("phrase")]
     every = checkpointed(numbered(kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score"), order, "place"))
-    starts = every.groupBy("lang").agg((F.min("place") - 1).alias("start")).join(totals, "lang").withColumnRenamed("lang", "lang_")
-    ranked = every.join(starts, F.col("lang") == F.col("lang_")).withColumn("rank", F.col("place") - F.col("start")).filter(F.col("rank") <= top)
+    starts = checkpointed(every.groupBy("lang").agg((F.min("place") - 1).alias("start"), F.count(F.lit(1)).alias("weight")).join(totals, "lang").withColumnRenamed("lang", "lang_"))
+    ranked = join_hot(every, starts, ("lang", "lang_"), "weight", every.count()).withColumn("rank", F.col("place") - F.col("start")).filter(F.col("rank") <= top)
     return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

@@ -22,15 +22,16 @@ def folder(t, kind: str) -> str:
 
 
 # --- sources
-def _json(t):
+def _json(t, whole: int = 64 << 20):
     path = folder(t, "json")
     t("fx_leads").select("ord", "name", "email").write.json(path, lineSep=",")  # objects joined by commas
     rows = t.spark.read.text(path, wholetext=True).select(F.concat(F.lit("["), F.regexp_replace("value", ",+$", ""), F.lit("]")).alias("value"))
     rows.write.option("lineSep", "\n").text(path + "-lists")
-    return R.json_leads(t.spark, path + "-lists", "ord long, name string, email string")
+    return R.json_leads(t.spark, path + "-lists", "ord long, name string, email string", whole)
 
 
 query("src_json", "SELECT ord, name, email FROM fx_leads")(_json)
+query("src_json_split", "SELECT ord, name, email FROM fx_leads")(lambda t: _json(t, 0))  # as large files are read
 
 
 def _csv(sep):
@@ -234,7 +235,7 @@ _KEY = "company_name"
 query(
     "enr_apply",
     "SELECT ord, CASE WHEN ord % 4 = 0 THEN 'kept' WHEN company_name = '' OR regexp_matches(company_name, '[37]$') THEN '' ELSE upper(company_name) END AS casual, CASE WHEN ord % 4 = 0 OR company_name = '' OR regexp_matches(company_name, '[37]$') THEN '' ELSE 'model' END AS by FROM fx_leads",
-)(lambda t: E.enriched(_needing(t), L.needs_value("casual", F.col(_KEY)), _KEY, "casual", _model, "model").select("ord", X.blank_if_null(F.col("casual")).alias("casual"), X.blank_if_null(F.col("casual_by")).alias("by")))
+)(lambda t: E.enriched(_needing(t), L.needs_value("casual", F.col(_KEY)), _KEY, "casual", _model, "model", answers=folder(t, "answers")).select("ord", X.blank_if_null(F.col("casual")).alias("casual"), X.blank_if_null(F.col("casual_by")).alias("by")))
 query("enr_retry", "SELECT DISTINCT 'k' || c_custkey AS key, CASE WHEN c_custkey % 10 = 7 THEN 'TimeoutError: no answer' ELSE '' END AS error FROM customer")(lambda t: E.looked_up(t("customer").select(F.concat(F.lit("k"), F.col("c_custkey").cast("string")).alias("k")), "k", _model).select("key", X.blank_if_null(F.col("error")).alias("error")))
 query(
     "enr_fallback",

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..cluster import fresh
+from ..cluster import checkpointed, fresh
 
 #: With hot=True a key counts as hot from so many rows on, if it has over a ten-thousandth of all rows too.
 HEAVY = 100_000
@@ -37,9 +37,9 @@ def looked_up(df: DataFrame, answers: DataFrame, on: Column, key: Column, values
         return df.join(one, on == F.col(of), "left").drop(of)
     asked = fresh([*df.columns, into, of], "_asked")
     rows = df.withColumn(asked, on)
-    sizes = rows.groupBy(asked).agg(F.count(F.lit(1)).alias("n_"))
-    total = F.broadcast(sizes.agg(F.sum("n_").alias("all_")))  # one row
-    heavy = sizes.join(total).filter((F.col("n_") > HEAVY) & (F.col("n_") * 10_000 > F.col("all_"))).select(F.col(asked).alias("hot_"))
+    sizes = checkpointed(rows.groupBy(asked).agg(F.count(F.lit(1)).alias("n_")))
+    total = sizes.agg(F.sum("n_")).first()[0] or 0
+    heavy = sizes.filter(F.col("n_") > max(HEAVY, total // 10_000)).select(F.col(asked).alias("hot_"))
     same = F.col(asked) == F.col("hot_")
     known = F.broadcast(heavy.filter("hot_ is not null").join(one, F.col("hot_") == F.col(of), "left").drop(of))
     first = rows.join(known, same).drop("hot_")

@@ -60,7 +60,7 @@ def _points_in(points: DataFrame, at: Column, ranges: DataFrame, low: Column, hi
     dealt = ranges.withColumn(in_, F.explode(_blocks(low, high))).withColumns({level: F.col(f"{in_}.level"), block: F.col(f"{in_}.block")}).drop(in_)
     used = sorted(r[0] for r in dealt.select(level).distinct().collect())  # 64 numbers at most
     if not used:
-        return points.crossJoin(ranges.limit(0))
+        return points.join(ranges, F.lit(False))
     key = F.explode(F.array(*[F.struct(F.lit(n).alias("l"), F.shiftright(at.cast("long"), n).alias("b")) for n in used]))
     asked = points.withColumn(in_, key)
     return asked.join(dealt, (F.col(f"{in_}.l") == F.col(level)) & (F.col(f"{in_}.b") == F.col(block))).drop(*names)

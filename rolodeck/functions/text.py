@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def bound(value: Column, of: Callable[[Column], Column]) -> Column:
+    """of(value), with value computed once a row. A column that is named several times in an expression is written and computed as often, and steps upon steps of that multiply."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
 def blank_if_null(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
@@ -145,31 +151,43 @@ def phone_code(phone: Column, known: list[str]) -> Column:
 
 def name_slug(url: Column) -> Column:
     """The decoded last part of a profile URL behind /in/; null without one. A plus stays a plus, a broken code stays as it is."""
-    path = F.coalesce(F.try_parse_url(strip(url), F.lit("PATH")), strip(url))
-    raw = F.regexp_replace(F.element_at(F.split(path, "/in/"), -1), "^/+|/+$", "")
-    return F.when(F.contains(path, F.lit("/in/")), F.coalesce(F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))), raw))
+
+    def decoded(raw: Column) -> Column:
+        return F.coalesce(F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))), raw)
+
+    def behind(path: Column) -> Column:
+        return F.when(F.contains(path, F.lit("/in/")), bound(F.regexp_replace(F.element_at(F.split(path, "/in/"), -1), "^/+|/+$", ""), decoded))
+
+    return bound(bound(strip(url), lambda u: F.coalesce(F.try_parse_url(u, F.lit("PATH")), u)), behind)
 
 
 def slug_trimmed(slug: Column) -> Column:
     """Without a trailing id: of more than two parts the last, if it has a digit and six characters; then, still of more than two, an all-digit one of three."""
-    parts = F.split(slug, "-")
-    last = F.element_at(parts, -1)
-    drop = (F.size(parts) > 2) & (F.length(last) >= 6) & last.rlike("[0-9]")
-    parts = F.when(drop, F.slice(parts, F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1)))).otherwise(parts)
-    last = F.element_at(parts, -1)
-    drop = (F.size(parts) > 2) & (F.length(last) >= 3) & last.rlike("^[0-9]+$")
-    return F.array_join(F.when(drop, F.slice(parts, F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1)))).otherwise(parts), "-")
+
+    def without_id(parts: Column, long: int, like: str) -> Column:
+        last = F.element_at(parts, -1)
+        drop = (F.size(parts) > 2) & (F.length(last) >= long) & last.rlike(like)
+        return F.when(drop, F.slice(parts, F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1)))).otherwise(parts)
+
+    shorter = bound(F.split(slug, "-"), lambda parts: without_id(parts, 6, "[0-9]"))
+    return F.array_join(bound(shorter, lambda parts: without_id(parts, 3, "^[0-9]+$")), "-")
 
 
 def slug_names(slug: Column, particles: list[str]) -> Column:
     """struct(first, last), in lower case as in the slug: the surname starts at the first particle that is neither first nor last part, else it is the last part."""
-    parts = F.filter(F.split(slug_trimmed(slug), "-"), lambda p: p != "")
-    n = F.size(parts)
-    inner = F.filter(F.sequence(F.lit(2), F.greatest(n - 1, F.lit(2))), lambda i: (i < n) & F.get(parts, i - 1).isin(*particles))
-    start = F.coalesce(F.get(inner, F.lit(0)), n)
-    first = F.when(n <= 1, F.coalesce(F.get(parts, F.lit(0)), F.lit(""))).otherwise(F.array_join(F.slice(parts, F.lit(1), F.greatest(start - 1, F.lit(1))), " "))
-    last = F.when(n <= 1, F.lit("")).otherwise(F.array_join(F.slice(parts, F.greatest(start, F.lit(1)), F.greatest(n - start + 1, F.lit(1))), " "))
-    return F.struct(first.alias("first"), last.alias("last"))
+
+    def split(parts: Column) -> Column:
+        n = F.size(parts)
+        inner = F.filter(F.sequence(F.lit(2), F.greatest(n - 1, F.lit(2))), lambda i: (i < n) & F.get(parts, i - 1).isin(*particles))
+
+        def at(start: Column) -> Column:
+            first = F.when(n <= 1, F.coalesce(F.get(parts, F.lit(0)), F.lit(""))).otherwise(F.array_join(F.slice(parts, F.lit(1), F.greatest(start - 1, F.lit(1))), " "))
+            last = F.when(n <= 1, F.lit("")).otherwise(F.array_join(F.slice(parts, F.greatest(start, F.lit(1)), F.greatest(n - start + 1, F.lit(1))), " "))
+            return F.struct(first.alias("first"), last.alias("last"))
+
+        return bound(F.coalesce(F.get(inner, F.lit(0)), n), at)
+
+    return bound(F.filter(F.split(slug_trimmed(slug), "-"), lambda p: p != ""), split)
 
 
 def without_legal_form(name: Column, forms: list[str]) -> Column:

@@ -39,6 +39,17 @@ def test_urls(spark):
     assert values(spark, lambda c: text.tld(c, [".co.uk"]), "a.co.uk", "localhost", "", None) == [".co.uk", "", "", ""]
 
 
+def test_slugs(spark):
+    """Ids behind names, particles, empty parts and blanks; each step reads the one before once."""
+    split = lambda c: F.concat_ws("|", (n := text.slug_names(text.name_slug(c), list(names.PARTICLES)))["first"], n["last"])
+    slugs = ["jean-paul-van-der-berg", "maria-lopez-a1b2c3d4", "a-b-123-456789", "ab-c-1234567", "x-12345", "van-de", "de-van-x", "a--b", "-", "a%2Db-c%C5%A1", ""]
+    wanted = ["jean paul|van der berg", "maria|lopez", "a|b", "ab|c", "x|12345", "van|de", "de|van x", "a|b", "|", "a b|cš", "|"]
+    assert values(spark, split, *[f" https://x.com/in/{s}/ " for s in slugs], "https://x.com/company/a", None) == [*wanted, "", ""]
+    for column in (text.name_slug, lambda c: text.slug_trimmed(text.name_slug(c)), lambda c: text.slug_names(text.name_slug(c), ["van"])):
+        plan = spark.createDataFrame([("",)], "url string").select(column(F.col("url")).alias("v"))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.split("\n")[0].count("url#") == 1
+
+
 def test_names():
     assert names.cased("o'neil VAN DER berg mcdonald") == "O'Neil van der Berg McDonald"
     assert (names.cased("van"), names.cased("de la cruz macleod"), names.cased(None)) == ("Van", "De la Cruz MacLeod", "")

@@ -53,20 +53,20 @@ def merged_by_email(leads: DataFrame, order: str = "ord", columns: tuple[str, ..
     keyed = leads.withColumn("_key", merge_key(order))
     once = checkpointed(keyed.groupBy("_key", *columns).agg(F.min(order).alias("_o"), F.count(F.lit(1)).alias("_n")))
     named = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.filter(F.split("source", ","), lambda x: x != "")))))
-    sizes = checkpointed(once.groupBy(F.col("_key").alias("k_")).agg(F.count(F.lit(1)).alias("records"), F.sum("_n").alias("n"), named.alias("sources")))
-    big = sizes.filter(F.col("records") > most).select("k_", "records")
+    facts = (F.sum("_n").alias("n"), named.alias("sources"))  # how many rows a key has, and of which sources; aggregated with its records, for a table of all keys would be joined by telling it to all tasks
+    big = checkpointed(once.groupBy(F.col("_key").alias("k_")).agg(F.count(F.lit(1)).alias("records"), *facts).filter(F.col("records") > most))
     large = bool(big.limit(1).count())
     total = once.count() if large else 0
-    small = without_hot(once, big, ("_key", "k_"), "records", total) if large else once
-    lists = small.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("_o", record.alias("r")))).alias("rows"))
+    hot = big.select("k_", "records")
+    small = without_hot(once, hot, ("_key", "k_"), "records", total) if large else once
+    lists = small.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("_o", record.alias("r")))).alias("rows"), *facts)
     first = F.element_at("rows", 1)
     later = F.slice("rows", F.lit(2), F.greatest(F.size("rows") - 1, F.lit(0)))
-    state = lists.select("_key", first["_o"].alias("_first"), F.aggregate(later, first["r"], lambda base, x: _step(base, x["r"])).alias("base"))
+    done = lists.select("_key", first["_o"].alias("_first"), F.aggregate(later, first["r"], lambda base, x: _step(base, x["r"])).alias("base"), "n", "sources")
     if large:
-        rows = checkpointed(join_hot(once, big, ("_key", "k_"), "records", total).select("_key", F.col("_o").alias("o"), record.alias("r"), "records"))
-        state = state.unionByName(_folded_in_rounds(rows, total))
+        rows = checkpointed(join_hot(once, hot, ("_key", "k_"), "records", total).select("_key", F.col("_o").alias("o"), record.alias("r"), "records"))
+        done = done.unionByName(_folded_in_rounds(rows, total).join(big.drop("records"), F.col("_key") == F.col("k_")).drop("k_"))
     # Every row's source counts, and a merge leaves nothing blank but empty texts; a row that is alone stays as it is.
-    done = state.join(sizes, F.col("_key") == F.col("k_"))
     value = lambda i: F.when((F.col("n") == 1) | X.nonblank(F.col("base")[i]), F.col("base")[i]).otherwise(F.lit(""))
     source = lambda i: F.when(F.col("n") == 1, F.col("base")[i]).otherwise(F.array_join("sources", ","))
     return done.select(F.col("_first").alias(order), *[(source(i) if c == "source" else value(i)).alias(c) for i, c in enumerate(columns)])

@@ -1,7 +1,10 @@
 """What plans must not do, for it would grow faster than the input or pass through one process."""
 
+from rolodeck.operators import dedup
 from rolodeck.plans import catalogue
 
+from .test_edges import leads
+
 
 def plan(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
@@ -10,3 +13,11 @@ def plan(df) -> str:
 def test_restoring_names_reads_a_url_once(spark, small):
     """A slug's steps are each written once: the URL, which the fixture makes of six texts, is not in them over and over."""
     assert len(plan(catalogue.queries()["name_restore"](spark, small)).split("/in/")) < 12
+
+
+def test_merging_joins_no_table_of_all_keys(spark):
+    """Rows and sources of a key come with its records. Such a table is small by its estimate, and was told to all tasks."""
+    rows = [{"email": f"{i % 3}@x.lv", "city": str(i), "source": f"feed_{i % 2}"} for i in range(9)]
+    assert "Join" not in plan(dedup.merged_by_email(leads(spark, rows)))
+    few, many = (sorted(dedup.merged_by_email(leads(spark, rows), most=n).select("ord", "city", "source").collect()) for n in (2, 1000))
+    assert few == many == [(1, "0", "feed_0,feed_1"), (2, "1", "feed_0,feed_1"), (3, "2", "feed_0,feed_1")]

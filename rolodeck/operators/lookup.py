@@ -17,11 +17,13 @@ def one_row_a_key(answers: DataFrame, key: Column, values: dict[str, Column], or
     """(key, value): of each key that is not null the last answer, a struct of ``values``.
 
     order: columns of answers that say which of two answers is the later one (null comes first); where they leave it open, or there are none, the larger values win, so that a result never depends on the order of rows.
-    The reduction combines before it shuffles. Values and order must be of comparable types.
+    Values and order must be of comparable types. The reduction combines before rows of a key meet. To combine records a task sorts them, so they are dealt out first, by their contents: a file read by one task may hold very
+    many, and a hot key has no task of its own. Where a share is large (equal records), adaptive execution splits it.
     """
     value = F.struct(*[v.alias(k) for k, v in values.items()])
     pairs = answers.select(key.alias("k_"), F.struct(*[F.col(c) for c in order], value.alias("value_")).alias("last_"))
-    best = pairs.filter(F.col("k_").isNotNull()).groupBy("k_").agg(F.max("last_").alias("last_"))
+    dealt = pairs.filter(F.col("k_").isNotNull()).withColumn("dealt_", F.xxhash64("k_", "last_")).hint("rebalance", F.col("dealt_"))
+    best = dealt.groupBy("k_").agg(F.max("last_").alias("last_"))
     return best.select(F.col("k_").alias(names[0]), F.col("last_.value_").alias(names[1]))
 
 

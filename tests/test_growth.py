@@ -1,6 +1,8 @@
 """What plans must not do, for it would grow faster than the input or pass through one process."""
 
-from rolodeck.operators import dedup
+from pyspark.sql import functions as F
+
+from rolodeck.operators import dedup, lookup
 from rolodeck.plans import catalogue
 
 from .test_edges import leads
@@ -21,3 +23,12 @@ def test_merging_joins_no_table_of_all_keys(spark):
     assert "Join" not in plan(dedup.merged_by_email(leads(spark, rows)))
     few, many = (sorted(dedup.merged_by_email(leads(spark, rows), most=n).select("ord", "city", "source").collect()) for n in (2, 1000))
     assert few == many == [(1, "0", "feed_0,feed_1"), (2, "1", "feed_0,feed_1"), (3, "2", "feed_0,feed_1")]
+
+
+def test_answers_are_dealt_out_before_they_are_sorted(spark):
+    """One task may read all answers; it need not sort them. Nulls, equal answers and ties are as before."""
+    rows = [(i % 3 if i % 4 else None, i % 2, ["a", str(i % 5)]) for i in range(60)] + [(1, 1, ["z"])] * 40
+    answers = spark.createDataFrame(rows, "k int, nth int, v array<string>").coalesce(1)
+    best = lookup.one_row_a_key(answers, F.col("k"), {"v": F.col("v")}, ("nth",))
+    assert "RebalancePartitions" in plan(best)
+    assert {r.key: r.value.v for r in best.collect()} == {k: max((n, v) for j, n, v in rows if j == k)[1] for k in (0, 1, 2)}

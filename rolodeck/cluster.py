@@ -94,6 +94,7 @@ def row_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 32 <<
         step = max(1, batch.num_rows * most // max(1, batch.column(column).nbytes)) if batch.num_rows else 1
         for at in range(0, batch.num_rows, step):
             yield batch.slice(at, step)
+        del batch  # else it stays while the next one is read
 
 
 def ship(spark: SparkSession) -> None:

@@ -59,6 +59,8 @@ SECTION_RULES = TextRules(
     (Block(("h1", "h2", "h3", "class*=hero", "class*=headline", "class*=banner", "class*=about", "id*=about", "class*=service", "class*=solution", "main", "role=main", "article", "class~=content", "id=content", "class*=content"), 5, 20),),
     3000,
 )
+#: Bytes of pages that are answered at once.
+SLICE = 4 << 20
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
@@ -142,15 +144,16 @@ def page_text(html: str | None, rules: TextRules) -> str:
 
 
 def with_text(pages: DataFrame, rules: TextRules = SITE_RULES, html: str = "html", into: str = "content") -> DataFrame:
-    """pages without html, and its readable text. Narrow; a page is parsed on its own. A column that is named as ``into`` already is an error."""
+    """pages without html, and its readable text. Narrow; a page is parsed on its own, and only its text is kept as Python's beside a batch as Arrow's. A column that is named as ``into`` already is an error."""
     kept = [c for c in pages.columns if c != html]
     if into.lower() in {c.lower() for c in kept}:
         raise ValueError(f"a column {into} exists already; choose another with into=")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in row_slices(batches, html):
-            texts = pa.array([page_text(h, rules) for h in batch.column(html).to_pylist()], pa.string())
+        for batch in row_slices(batches, html, SLICE):
+            texts = pa.array([page_text(h.as_py(), rules) for h in batch.column(html)], pa.string())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), texts], names=[*kept, into])
+            del batch, texts  # the next batch is read before these names are taken again
 
     return pages.mapInArrow(run, pages.drop(html).withColumn(into, F.lit("")).schema)
 

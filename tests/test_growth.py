@@ -1,8 +1,13 @@
 """What plans must not do, for it would grow faster than the input or pass through one process."""
 
+import tracemalloc
+import weakref
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from rolodeck.operators import dedup, lookup
+from rolodeck import cluster
+from rolodeck.operators import dedup, lookup, pages
 from rolodeck.plans import catalogue
 
 from .test_edges import leads
@@ -32,3 +37,34 @@ def test_answers_are_dealt_out_before_they_are_sorted(spark):
     best = lookup.one_row_a_key(answers, F.col("k"), {"v": F.col("v")}, ("nth",))
     assert "RebalancePartitions" in plan(best)
     assert {r.key: r.value.v for r in best.collect()} == {k: max((n, v) for j, n, v in rows if j == k)[1] for k in (0, 1, 2)}
+
+
+def test_a_batch_is_let_go_before_the_next(spark):
+    """Of pages, Python holds one as text; of batches, a task holds one."""
+    made = []
+
+    def batches(n, each):
+        for i in range(n):
+            assert not made or made[-1]() is None
+            made.append(weakref.ref(batch := pa.RecordBatch.from_pydict({"page_id": [i] * each, "html": [f"<main>{'word ' * 40_000}</main>"] * each})))
+            yield batch
+            del batch
+
+    for part in cluster.row_slices(batches(3, 2), "html", 100):
+        assert part.num_rows == 1
+        del part
+
+    class Table:
+        columns = ("page_id", "html")
+        schema = None
+        drop = withColumn = lambda self, *_: self
+        mapInArrow = lambda self, run, _: run
+
+    made.clear()
+    run = pages.with_text(Table(), pages.SECTION_RULES)
+    source = [pa.RecordBatch.from_pydict({"page_id": list(range(60)), "html": [f"<main>{'word ' * 40_000}</main>"] * 60})]
+    tracemalloc.start()
+    texts = [t for b in run(iter(source)) for t in b.column("content").to_pylist()]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [len(t) for t in texts] == [3000] * 60 and most < 8 << 20  # the pages are 12 MB

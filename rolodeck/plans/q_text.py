@@ -62,7 +62,7 @@ query(
     "name_slug_split",
     f"""SELECT ord, {_title('first')} AS first, {_title('last')} AS last FROM (SELECT ord, CASE WHEN n IS NULL THEN NULL WHEN n <= 1 THEN parts[1] ELSE array_to_string(parts[:s - 1], ' ') END AS first, CASE WHEN n IS NULL THEN NULL WHEN n <= 1 THEN '' ELSE array_to_string(parts[s:], ' ') END AS last FROM (
     SELECT ord, parts, len(parts) AS n, coalesce(list_filter(range(2, len(parts)), lambda i: list_contains(['van', 'von', 'de', 'der', 'den', 'la', 'le', 'di', 'da', 'du'], parts[i]))[1], len(parts)) AS s FROM ({_TRIMMED})))""",
-)(lambda t: t("fx_labels").select("ord", text.slug_names(text.name_slug(F.col("url")), list(names.PARTICLES)).alias("n"), text.name_slug(F.col("url")).alias("slug")).select("ord", *[names.name_title(F.when(F.col("slug").isNotNull(), F.col(f"n.{x}"))).alias(x) for x in ("first", "last")]))
+)(lambda t: t("fx_labels").select("ord", text.name_slug(F.col("url")).alias("slug")).select("ord", text.slug_names(F.col("slug"), list(names.PARTICLES)).alias("n"), "slug").select("ord", *[names.name_title(F.when(F.col("slug").isNotNull(), F.col(f"n.{x}"))).alias(x) for x in ("first", "last")]))
 
 
 def _restored(t):

@@ -4,6 +4,7 @@ import tracemalloc
 import weakref
 
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from rolodeck import cluster
@@ -22,6 +23,12 @@ def test_restoring_names_reads_a_url_once(spark, small):
     assert len(plan(catalogue.queries()["name_restore"](spark, small)).split("/in/")) < 12
 
 
+@pytest.mark.parametrize("name", ["name_slug", "name_slug_trim", "name_slug_split", "name_restore"])
+def test_a_slug_is_made_once_a_row(spark, small, name):
+    """Also in the queries that share name_restore's steps: the URL, which is the fixture's CASE, is stripped in one place of the plan."""
+    assert plan(catalogue.queries()[name](spark, small)).count("regexp_replace(CASE WHEN") == 1
+
+
 def test_merging_joins_no_table_of_all_keys(spark):
     """Rows and sources of a key come with its records. Such a table is small by its estimate, and was told to all tasks."""
     rows = [{"email": f"{i % 3}@x.lv", "city": str(i), "source": f"feed_{i % 2}"} for i in range(9)]
